@@ -1,4 +1,8 @@
-"""Schema references, ``scheme:vendor/name/format/model-revision-addition``."""
+"""Schema references, ``scheme:vendor/name/jsonschema/model-revision-addition``.
+
+The key of a reference is its text without the scheme. Rows are compared by key, as
+plain strings; keys are taken apart only where they are few, after aggregation.
+"""
 
 from __future__ import annotations
 
@@ -8,38 +12,48 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_PART = r"[A-Za-z0-9_.\-]+"
-_URI = rf"^(?:[a-z]+:)?{_PART}/{_PART}/{_PART}/[1-9][0-9]*-(?:0|[1-9][0-9]*)-(?:0|[1-9][0-9]*)$"
+# The parts of a reference.
+FORMAT = "jsonschema"
+_NAME = r"[A-Za-z0-9_.\-]+"
+_NUMBER = r"(?:0|[1-9][0-9]*)"
+_SCHEME = r"(?:[a-z]+:)?"
+_REFERENCE = rf"^{_SCHEME}{_NAME}/{_NAME}/{FORMAT}/[1-9][0-9]*-{_NUMBER}-{_NUMBER}$"
 _CRITERION = re.compile(
-    rf"^(?:[a-z]+:)?({_PART})/({_PART})/{_PART}/([1-9][0-9]*|\*)-([0-9]+|\*)-([0-9]+|\*)$"
+    rf"^{_SCHEME}({_NAME})/({_NAME})/{FORMAT}/([1-9][0-9]*|\*)-({_NUMBER}|\*)-({_NUMBER}|\*)$"
 )
 
+REF_FIELDS = ("vendor", "name", "model", "revision", "addition")
 
-def schema_ref(uri: Column) -> Column:
-    """Struct of the parts of a reference; NULL when the text is not one.
 
-    One pattern test, then splits: cheaper per row than five capture groups.
-    """
-    parts = F.split(uri, "/")
-    version = F.split(F.get(parts, F.lit(3)), "-")
+def is_reference(uri: Column) -> Column:
+    return uri.rlike(_REFERENCE)
 
-    def number(index: int) -> Column:
-        return F.get(version, F.lit(index)).try_cast("int")
 
-    ref = F.struct(
-        F.substring_index(F.get(parts, F.lit(0)), ":", -1).alias("vendor"),
-        F.get(parts, F.lit(1)).alias("name"),
-        number(0).alias("model"),
-        number(1).alias("revision"),
-        number(2).alias("addition"),
-    )
-    return F.when(uri.rlike(_URI), ref)
+def key_of(uri: Column) -> Column:
+    return F.substring_index(uri, ":", -1)
+
 
+def key_text(vendor: str, name: str, model: int, revision: int, addition: int) -> str:
+    return f"{vendor}/{name}/{FORMAT}/{model}-{revision}-{addition}"
 
-def version_text(ref: Column) -> Column:
-    return F.concat_ws(
-        "-", *[ref.getField(p).cast("string") for p in ("model", "revision", "addition")]
-    )
+
+def version_of(uri: Column) -> Column:
+    """``model-revision-addition`` of a reference."""
+    return F.substring_index(uri, "/", -1)
+
+
+def key_parts(key: Column) -> list[Column]:
+    """The columns ``vendor, name, model, revision, addition`` of a key."""
+    parts = F.split(key, "/")
+    numbers = F.split(F.get(parts, F.lit(3)), "-")
+    return [
+        F.get(parts, F.lit(0)).alias("vendor"),
+        F.get(parts, F.lit(1)).alias("name"),
+        *[
+            F.get(numbers, F.lit(i)).try_cast("int").alias(part)
+            for i, part in enumerate(REF_FIELDS[2:])
+        ],
+    ]
 
 
 @dataclass(frozen=True)
@@ -60,18 +74,17 @@ class Criterion:
         numbers = [None if p == "*" else int(p) for p in match.groups()[2:]]
         return cls(match[1], match[2], *numbers)
 
-    def matches(self, ref) -> Column:
-        """Condition on columns: ``ref(part)`` gives the column of one part."""
-        condition = (ref("vendor") == self.vendor) & (ref("name") == self.name)
-        for part in ("model", "revision", "addition"):
-            wanted = getattr(self, part)
-            if wanted is not None:
-                condition = condition & (ref(part) == wanted)
-        return condition
-
-
-def matches_any(criteria: list[Criterion], ref) -> Column:
-    condition = F.lit(False)
-    for criterion in criteria:
-        condition = condition | criterion.matches(ref)
-    return condition
+    @property
+    def pattern(self) -> str:
+        """Regular expression of the keys it matches."""
+        names = f"{re.escape(self.vendor)}/{re.escape(self.name)}/{FORMAT}/"
+        numbers = (self.model, self.revision, self.addition)
+        return names + "-".join("[0-9]+" if n is None else str(n) for n in numbers)
+
+
+def matches_any(criteria: list[Criterion], key: Column) -> Column:
+    """Whether a key is on the list; never NULL."""
+    if not criteria:
+        return F.lit(False)
+    pattern = "^(?:" + "|".join(c.pattern for c in criteria) + ")$"
+    return F.coalesce(key.rlike(pattern), F.lit(False))

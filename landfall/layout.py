@@ -1,7 +1,7 @@
 """The fixed part of an event line, as data: ordered names, types, required or not.
 
 The layout is a plain ``StructType``. ``NOT NULL`` marks a required field and
-``VARIANT`` marks a field that holds JSON text. Fields named in ``unstruct`` hold
+``VARIANT`` marks a field that holds JSON text. The field named ``unstruct`` holds
 one self-describing item; fields named in ``contexts`` hold a list of them. Those
 fields feed the entity columns and are left out of the fixed output columns.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class Layout:
     schema: T.StructType
-    unstruct: tuple[str, ...] = ("unstruct_event",)
+    unstruct: str | None = "unstruct_event"
     contexts: tuple[str, ...] = ("contexts",)
     # True: the item sits in the ``data`` of an outer {"schema", "data"} object.
     envelope: bool = True
@@ -27,7 +27,7 @@ class Layout:
         names = self.schema.fieldNames()
         if len({n.lower() for n in names}) != len(names):
             raise ValueError(f"layout has repeated field names: {names}")
-        for name in (*self.unstruct, *self.contexts):
+        for name in self.entity_fields:
             if name not in names or not isinstance(self.schema[name].dataType, T.VariantType):
                 raise ValueError(f"layout field {name} must exist and be VARIANT")
         for f in self.fixed:
@@ -42,8 +42,8 @@ class Layout:
         return cls(T.StructType.fromDDL(ddl), **kwargs)
 
     @property
-    def entity_fields(self) -> frozenset[str]:
-        return frozenset((*self.unstruct, *self.contexts))
+    def entity_fields(self) -> list[str]:
+        return [*([] if self.unstruct is None else [self.unstruct]), *self.contexts]
 
     @property
     def fixed(self) -> list[T.StructField]:

@@ -7,7 +7,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.operators.entities import seen_items
+from landfall.operators.entities import SEEN_KEY, spread_items
 from landfall.operators.parse import BYTES, FAILURE
 from landfall.sources.scratch import ensure_checkpoint_dir
 
@@ -98,21 +98,15 @@ def combine_batches(parsed: DataFrame, batch: list[str], event_time: str) -> Dat
     bounded by the schemas in use.
     """
     good = F.col(FAILURE).isNull()
-    versions = F.when(good, seen_items())
-    spread = parsed.select(
-        *batch,
-        event_time,
-        good.alias("_good"),
-        BYTES,
-        F.posexplode_outer(versions).alias("_position", "_seen"),
-    )
-    first = F.coalesce(F.col("_position"), F.lit(0)) == 0
+    spread = spread_items(parsed, *batch, event_time, BYTES, good.alias("_good"))
+    first = F.col("position") == 0
+    seen = F.when(F.col("key").isNotNull(), F.concat_ws(" ", *SEEN_KEY))
     return spread.groupBy(*batch).agg(
         F.count_if(first & F.col("_good")).alias("parsed"),
         F.count_if(first & ~F.col("_good")).alias("failed"),
         F.sum(F.when(first, F.col(BYTES))).alias("bytes"),
         F.min(F.when(F.col("_good"), F.col(event_time))).alias("earliest"),
-        F.sort_array(F.collect_set("_seen")).alias("entities"),
+        F.sort_array(F.collect_set(seen)).alias("entities"),
     )
 
 

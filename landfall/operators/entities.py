@@ -6,26 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.names import CONTEXTS, UNSTRUCT
-from landfall.functions.schema_uri import Criterion, matches_any
-from landfall.operators.parse import CONTEXT_ITEMS, FAILURE, REF_FIELDS, UNSTRUCT_ITEMS
+from landfall.functions.schema_uri import REF_FIELDS, Criterion, key_of, key_parts, matches_any
+from landfall.operators.parse import CONTEXT_ITEMS, FAILURE, UNSTRUCT_ITEM
 
 ENTITY = ("kind", "vendor", "name", "model")
 VERSION = ("revision", "addition")
 SEEN = (*ENTITY, *VERSION)
+SEEN_KEY = ("kind", "key")
 
 
-def seen_items() -> Column:
-    """Array of the (kind, schema version) pairs of one parsed row, without payloads."""
+def spread_items(parsed: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row per item of each row: ``position``, ``kind``, ``key``, and the given columns.
 
-    def tagged(items: str, kind: str) -> Column:
-        return F.transform(
-            items,
-            lambda item: F.struct(
-                F.lit(kind).alias("kind"), *[item.getField(p).alias(p) for p in REF_FIELDS]
-            ),
-        )
-
-    return F.concat(tagged(UNSTRUCT_ITEMS, UNSTRUCT), tagged(CONTEXT_ITEMS, CONTEXTS))
+    Every row has a position 0, which is its own event's item; the key is NULL there when
+    it has none, or when the row failed. Context items follow from position 1.
+    """
+    own = F.array(F.col(UNSTRUCT_ITEM).getField("schema"))
+    uris = F.concat(own, F.col(CONTEXT_ITEMS).getField("schema"))
+    none = F.array(F.lit(None).cast("string"))
+    good = F.col(FAILURE).isNull()
+    spread = parsed.select(
+        *columns, F.posexplode(F.when(good, uris).otherwise(none)).alias("position", "uri")
+    )
+    kind = F.when(F.col("position") == 0, UNSTRUCT).otherwise(CONTEXTS)
+    return spread.withColumns({"kind": kind, "key": key_of(F.col("uri"))}).drop("uri")
 
 
 def discover_entities(parsed: DataFrame) -> DataFrame:
@@ -34,13 +38,19 @@ def discover_entities(parsed: DataFrame) -> DataFrame:
     Partial aggregation shrinks each task's rows to its distinct versions before the
     shuffle, so a schema that fills a third of the rows is no hot spot.
     """
-    items = parsed.where(F.col(FAILURE).isNull()).select(F.explode(seen_items()).alias("seen"))
-    return items.select("seen.*").groupBy(*SEEN).agg(F.count("*").alias("items"))
+    items = spread_items(parsed).where(F.col("key").isNotNull())
+    counted = items.groupBy(*SEEN_KEY).agg(F.count("*").alias("items"))
+    return counted.select("kind", *key_parts(F.col("key")), "items")
+
+
+def _key() -> Column:
+    version = F.concat_ws("-", *[F.col(part).cast("string") for part in REF_FIELDS[2:]])
+    return F.concat_ws("/", "vendor", "name", F.lit("jsonschema"), version)
 
 
 def skip_schemas(discovered: DataFrame, criteria: list[Criterion]) -> DataFrame:
     """Drop the versions that a criterion matches; they get no column."""
-    return discovered.where(~matches_any(criteria, F.col))
+    return discovered.where(~matches_any(criteria, _key()))
 
 
 def entity_versions(discovered: DataFrame) -> DataFrame:

@@ -5,12 +5,10 @@
 ``_failure``   why the line is bad, NULL for a good line
 ``_payload``   the line as valid UTF-8 text
 ``_bytes``     its weight
-``_unstruct``  the self-describing items of each single-item field, as an array
-``_contexts``  the items of all list fields, as one array
+``_unstruct``  the event's own self-describing item, or NULL
+``_contexts``  the items of all list fields as one array, never NULL
 
-An item is a struct ``(vendor, name, model, revision, addition, data variant, source,
-position)``; ``source`` is the index of its field in the line and ``position`` its place
-in that field's list, which together find its raw text again.
+An item is a struct ``(schema string, data variant)``.
 """
 
 from __future__ import annotations
@@ -21,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.schema_uri import schema_ref
+from landfall.functions.once import computed_once
+from landfall.functions.schema_uri import is_reference
 from landfall.functions.typed_text import text_to_type
 from landfall.layout import Layout
 from landfall.options import Processor
@@ -29,138 +28,132 @@ from landfall.options import Processor
 FAILURE = "_failure"
 PAYLOAD = "_payload"
 BYTES = "_bytes"
-UNSTRUCT_ITEMS = "_unstruct"
+UNSTRUCT_ITEM = "_unstruct"
 CONTEXT_ITEMS = "_contexts"
 
-REF_FIELDS = ("vendor", "name", "model", "revision", "addition")
+_ITEM = "struct<schema:string,data:variant>"
 
 
 def parse_lines(
     lines: DataFrame, layout: Layout, value: str = "value", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Split each tab-separated line and cast its fields; ``keep`` carries input columns."""
+    """Split each tab-separated line and cast its fields; ``keep`` carries input columns.
+
+    The steps are separate projections so that each intermediate is computed once a row:
+    cells, texts, typed values, items.
+    """
     fields = layout.schema.fields
+    carried = [*keep, PAYLOAD, BYTES]
     split = lines.select(
         *keep,
         F.make_valid_utf8(F.col(value).cast("string")).alias(PAYLOAD),
         F.octet_length(F.col(value)).cast("long").alias(BYTES),
         F.split(F.col(value).cast("string"), "\t", -1).alias("_cells"),
     )
-    right_size = F.size("_cells") == len(fields)
-    texts = {
-        f.name: F.when(right_size, F.nullif(F.get("_cells", F.lit(i)), F.lit("")))
-        for i, f in enumerate(fields)
-    }
-    typed = split.select(
-        *keep,
-        PAYLOAD,
-        BYTES,
+    texts = split.select(
+        *carried,
         F.size("_cells").alias("_size"),
-        *[_typed(f, texts[f.name]).alias(f.name) for f in fields],
-        _cell_failure(fields, texts).alias("_cell_failure"),
+        *[_cell(i, len(fields)).alias(_text(f)) for i, f in enumerate(fields)],
+    )
+    typed = texts.select(
+        *carried,
+        "_size",
+        *[_text(f) for f in fields],
+        *[text_to_type(F.col(_text(f)), f.dataType).alias(f.name) for f in fields],
     )
+    fixed = [f.name for f in layout.fixed]
     items = typed.select(
-        "*",
-        F.array(*[_single(n, layout) for n in layout.unstruct]).alias("_unstruct_refs"),
-        _list_items(layout).alias("_context_refs"),
+        *carried,
+        *fixed,
+        F.coalesce(*_cell_failures(fields)).alias("_cell_failure"),
+        _single_item(layout).alias(UNSTRUCT_ITEM),
+        *[_list_items(name, layout).alias(_list(name)) for name in layout.contexts],
+        *[F.col(name).isNotNull().alias(_present(name)) for name in layout.entity_fields],
+    )
+    joined = items.select(
+        "*", _concat_lists([_list(name) for name in layout.contexts]).alias(CONTEXT_ITEMS)
     )
-    return items.select(
+    return joined.select(
         *keep,
-        *[f.name for f in layout.fixed],
+        *fixed,
         PAYLOAD,
         BYTES,
-        F.coalesce(
-            F.when(
-                F.col("_size") != len(fields),
-                F.concat(
-                    F.lit(f"expected {len(fields)} fields, found "), F.col("_size").cast("string")
-                ),
-            ),
-            F.col("_cell_failure"),
-            *[_single_failure(F.col(n), i, n) for i, n in enumerate(layout.unstruct)],
-            *[_list_failure(F.col(n), layout, n) for n in layout.contexts],
-            _items_failure("_context_refs", "contexts"),
-        ).alias(FAILURE),
-        F.filter("_unstruct_refs", lambda item: item.isNotNull()).alias(UNSTRUCT_ITEMS),
-        F.col("_context_refs").alias(CONTEXT_ITEMS),
+        computed_once(F.coalesce("_cell_failure", *_item_failures(layout))).alias(FAILURE),
+        UNSTRUCT_ITEM,
+        CONTEXT_ITEMS,
     )
 
 
-def _typed(field: T.StructField, text: Column) -> Column:
-    return text_to_type(text, field.dataType)
+def _text(field: T.StructField) -> str:
+    return f"_text_{field.name}"
 
 
-def _cell_failure(fields: list[T.StructField], texts: dict[str, Column]) -> Column:
-    reasons = []
-    for f in fields:
-        text = texts[f.name]
-        if not f.nullable:
-            reasons.append(F.when(text.isNull(), F.lit(f"{f.name}: missing required value")))
-        if not isinstance(f.dataType, T.StringType):
-            kind = "json" if isinstance(f.dataType, T.VariantType) else f.dataType.typeName()
-            bad = text.isNotNull() & _typed(f, text).isNull()
-            reasons.append(F.when(bad, F.lit(f"{f.name}: not a valid {kind}")))
-    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
-
-
-def _item(value: Column, source: int, position: Column) -> Column:
-    """Struct of one self-describing item; its ``vendor`` is NULL when it is not one."""
-    ref = schema_ref(F.try_variant_get(value, "$.schema", "string"))
-    return F.struct(
-        *[ref.getField(part).alias(part) for part in REF_FIELDS],
-        F.try_variant_get(value, "$.data", "variant").alias("data"),
-        F.lit(source).alias("source"),
-        position.alias("position"),
-    )
+def _list(name: str) -> str:
+    return f"_list_{name}"
 
 
-def _inner(value: Column, layout: Layout) -> Column:
-    return F.try_variant_get(value, "$.data", "variant") if layout.envelope else value
+def _present(name: str) -> str:
+    return f"_has_{name}"
 
 
-def _single(name: str, layout: Layout) -> Column:
-    value, source = F.col(name), layout.schema.fieldNames().index(name)
-    return F.when(value.isNotNull(), _item(_inner(value, layout), source, F.lit(0)))
+def _cell(index: int, count: int) -> Column:
+    """Text of one field; NULL when empty or when the line has the wrong size."""
+    cell = F.get("_cells", F.lit(index))
+    return F.when((F.size("_cells") == count) & (cell != ""), cell)
 
 
-def _list_items(layout: Layout) -> Column:
-    empty = F.array().cast(_ITEMS_TYPE)
-    lists = [F.coalesce(_list_of(name, layout), empty) for name in layout.contexts]
-    return reduce(F.concat, lists) if lists else empty
+def _cell_failures(fields: list[T.StructField]) -> list[Column]:
+    count = len(fields)
+    found = F.concat(F.lit(f"expected {count} fields, found "), F.col("_size").cast("string"))
+    failures = [F.when(F.col("_size") != count, found)]
+    for f in fields:
+        text = F.col(_text(f))
+        if not f.nullable:
+            failures.append(F.when(text.isNull(), F.lit(f"{f.name}: missing required value")))
+        if not isinstance(f.dataType, T.StringType):
+            kind = "json" if isinstance(f.dataType, T.VariantType) else f.dataType.typeName()
+            bad = text.isNotNull() & F.col(f.name).isNull()
+            failures.append(F.when(bad, F.lit(f"{f.name}: not a valid {kind}")))
+    return failures
 
 
-def _list_of(name: str, layout: Layout) -> Column:
-    source = layout.schema.fieldNames().index(name)
-    elements = F.try_variant_get(_inner(F.col(name), layout), "$", "array<variant>")
-    return F.transform(elements, lambda e, p: _item(e, source, p))
+def _single_item(layout: Layout) -> Column:
+    if layout.unstruct is None:
+        return F.lit(None).cast(_ITEM)
+    return F.try_variant_get(layout.unstruct, _path(layout), _ITEM)
 
 
-_ITEMS_TYPE = (
-    "array<struct<vendor:string,name:string,model:int,revision:int,addition:int,"
-    "data:variant,source:int,position:int>>"
-)
+def _list_items(name: str, layout: Layout) -> Column:
+    return F.try_variant_get(name, _path(layout), f"array<{_ITEM}>")
 
 
-def _bad_item(item: Column) -> Column:
-    return item.getField("vendor").isNull() | item.getField("data").isNull()
+def _path(layout: Layout) -> str:
+    return "$.data" if layout.envelope else "$"
 
 
-def _single_failure(value: Column, index: int, name: str) -> Column:
-    item = F.get("_unstruct_refs", F.lit(index))
-    return F.when(
-        value.isNotNull() & _bad_item(item), F.lit(f"{name}: not a self-describing item")
-    )
+def _concat_lists(names: list[str]) -> Column:
+    empty = F.array().cast(f"array<{_ITEM}>")
+    lists = [F.coalesce(F.col(name), empty) for name in names]
+    return reduce(F.concat, lists) if lists else empty
 
 
-def _list_failure(value: Column, layout: Layout, name: str) -> Column:
-    elements = F.try_variant_get(_inner(value, layout), "$", "array<variant>")
-    return F.when(
-        value.isNotNull() & elements.isNull(), F.lit(f"{name}: not a list of items")
-    )
+def _item_failures(layout: Layout) -> list[Column]:
+    failures = []
+    if layout.unstruct is not None:
+        bad = F.col(_present(layout.unstruct)) & _bad_item(F.col(UNSTRUCT_ITEM))
+        failures.append(F.when(bad, F.lit(f"{layout.unstruct}: not a self-describing item")))
+    for name in layout.contexts:
+        bad = F.col(_present(name)) & F.col(_list(name)).isNull()
+        failures.append(F.when(bad, F.lit(f"{name}: not a list of items")))
+    if layout.contexts:
+        bad = F.exists(CONTEXT_ITEMS, _bad_item)
+        failures.append(F.when(bad, F.lit("contexts: not a self-describing item")))
+    return failures
 
 
-def _items_failure(items: str, name: str) -> Column:
-    return F.when(F.exists(items, _bad_item), F.lit(f"{name}: not a self-describing item"))
+def _bad_item(item: Column) -> Column:
+    schema = item.getField("schema")
+    return ~F.coalesce(is_reference(schema), F.lit(False)) | item.getField("data").isNull()
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.names import CONTEXTS, UNSTRUCT
-from landfall.functions.schema_uri import Criterion, matches_any, version_text
+from landfall.functions.names import UNSTRUCT
+from landfall.functions.once import computed_once
+from landfall.functions.schema_uri import Criterion, key_of, matches_any, version_of
 from landfall.functions.strict_json import (
     keeps_text,
     strict_error,
@@ -16,59 +19,50 @@ from landfall.functions.strict_json import (
     text_shape,
 )
 from landfall.layout import Layout
-from landfall.operators.parse import (
-    CONTEXT_ITEMS,
-    FAILURE,
-    PAYLOAD,
-    REF_FIELDS,
-    UNSTRUCT_ITEMS,
-)
+from landfall.operators.parse import CONTEXT_ITEMS, FAILURE, PAYLOAD, UNSTRUCT_ITEM
 from landfall.plans.columns import EntityColumn
 
+# Raw JSON text of the items, only for plans that keep some of it.
+_UNSTRUCT_TEXT = "_unstruct_text"
+_CONTEXT_TEXTS = "_context_texts"
 
-def _belongs(item: Column, column: EntityColumn) -> Column:
-    """Whether an item's value goes to this column."""
-    condition = (
-        (item.getField("vendor") == column.vendor)
-        & (item.getField("name") == column.name)
-        & (item.getField("model") == column.model)
-    )
 
-    def is_version(version) -> Column:
-        return (item.getField("revision") == version[0]) & (item.getField("addition") == version[1])
-
-    if column.only is not None:
-        return condition & is_version(column.only)
-    for version in column.excluded:
-        condition = condition & ~is_version(version)
-    return condition
+def _belongs(item: Column, column: EntityColumn) -> Column:
+    return key_of(item.getField("schema")).isin(list(column.keys))
 
 
-def _items_of(column: EntityColumn) -> Column:
-    items = UNSTRUCT_ITEMS if column.kind == UNSTRUCT else CONTEXT_ITEMS
-    return F.filter(items, lambda item: _belongs(item, column))
+def _raw(name: str, layout: Layout) -> Column:
+    """The text of a line's field."""
+    index = layout.schema.fieldNames().index(name)
+    return F.get(F.split(PAYLOAD, "\t", -1), F.lit(index))
 
 
-def _raw_text(item: Column, kind: str, layout: Layout) -> Column:
-    """The item's ``data`` as text with its keys in their own order."""
-    raw = F.get(F.split(PAYLOAD, "\t", -1), item.getField("source"))
-    one, many = "struct<data:string>", "array<struct<data:string>>"
+def _item_texts(raw: Column, shape: str, layout: Layout) -> Column:
     if layout.envelope:
-        single = F.from_json(raw, f"struct<data:{one}>").getField("data")
-        listed = F.from_json(raw, f"struct<data:{many}>").getField("data")
-    else:
-        single = F.from_json(raw, one)
-        listed = F.from_json(raw, many)
-    element = F.get(listed, item.getField("position"))
-    return element.getField("data") if kind == CONTEXTS else single.getField("data")
-
-
-def _text(item: Column, column: EntityColumn, layout: Layout) -> Column | None:
-    if not keeps_text(column.data_type):
-        return None
-    raw = _raw_text(item, column.kind, layout)
+        return F.from_json(raw, f"struct<data:{shape}>").getField("data")
+    return F.from_json(raw, shape)
+
+
+def _with_texts(parsed: DataFrame, layout: Layout, columns: list[EntityColumn]) -> DataFrame:
+    """Add the raw text of each item's data, its keys in their own order, where needed."""
+    kept = {c.kind for c in columns if keeps_text(c.data_type)}
+    added = {}
+    if UNSTRUCT in kept:
+        item = _item_texts(_raw(layout.unstruct, layout), "struct<data:string>", layout)
+        added[_UNSTRUCT_TEXT] = item.getField("data")
+    if kept - {UNSTRUCT}:
+        empty = F.array().cast("array<string>")
+        lists = [
+            _item_texts(_raw(name, layout), "array<struct<data:string>>", layout).getField("data")
+            for name in layout.contexts
+        ]
+        added[_CONTEXT_TEXTS] = reduce(F.concat, [F.coalesce(texts, empty) for texts in lists])
+    return parsed.withColumns(added) if added else parsed
+
+
+def _shaped(text: Column, column: EntityColumn) -> Column:
     shape = text_shape(column.data_type)
-    return raw if isinstance(shape, T.StringType) else F.from_json(raw, shape.simpleString())
+    return text if isinstance(shape, T.StringType) else F.from_json(text, shape.simpleString())
 
 
 def _with_version(text: Column, version: Column) -> Column:
@@ -81,9 +75,9 @@ def _with_version(text: Column, version: Column) -> Column:
     return F.when(text.startswith("{"), injected).otherwise(text)
 
 
-def _context_value(item: Column, column: EntityColumn, layout: Layout) -> Column:
-    data, text = item.getField("data"), _text(item, column, layout)
-    version = version_text(item)
+def _context_value(item: Column, column: EntityColumn) -> Column:
+    data, version = item.getField("data"), version_of(item.getField("schema"))
+    text = _shaped(item.getField("text"), column) if keeps_text(column.data_type) else None
     if isinstance(column.data_type, T.StructType):
         members = struct_fields(data, column.data_type, text)
         return F.struct(version.alias("_schema_version"), *members)
@@ -92,52 +86,71 @@ def _context_value(item: Column, column: EntityColumn, layout: Layout) -> Column
     return _with_version(value, version) if is_json else value
 
 
-def entity_value(column: EntityColumn, layout: Layout) -> Column:
+def _context_items(column: EntityColumn) -> Column:
+    """The row's items that belong to a contexts column."""
+    if not keeps_text(column.data_type):
+        return F.filter(CONTEXT_ITEMS, lambda item: _belongs(item, column))
+    paired = F.transform(
+        CONTEXT_ITEMS,
+        lambda item, i: F.struct(
+            item.getField("schema").alias("schema"),
+            item.getField("data").alias("data"),
+            F.get(F.col(_CONTEXT_TEXTS), i).alias("text"),
+        ),
+    )
+    return F.filter(paired, lambda item: _belongs(item, column))
+
+
+def _items_name(column: EntityColumn) -> str:
+    return f"_items_{column.column}"
+
+
+def _own_items(column: EntityColumn) -> Column:
+    """What a column is made from: the event's data, or the list of its context items."""
+    if column.kind == UNSTRUCT:
+        item = F.col(UNSTRUCT_ITEM)
+        return F.when(_belongs(item, column), item.getField("data"))
+    return _context_items(column)
+
+
+def _value(column: EntityColumn) -> Column:
     """The column's value for a row; NULL when the row has no such item."""
-    items = _items_of(column)
+    items = F.col(_items_name(column))
     if column.kind == UNSTRUCT:
-        values = F.transform(
-            items,
-            lambda item: strict_value(
-                item.getField("data"), column.data_type, _text(item, column, layout)
-            ),
-        )
-        return F.get(values, F.lit(0))
-    values = F.transform(items, lambda item: _context_value(item, column, layout))
-    return F.when(F.size(values) > 0, values)
-
-
-def entity_error(column: EntityColumn) -> Column:
+        keeps = keeps_text(column.data_type)
+        text = _shaped(F.col(_UNSTRUCT_TEXT), column) if keeps else None
+        return F.when(items.isNotNull(), strict_value(items, column.data_type, text))
+    values = F.transform(items, lambda item: _context_value(item, column))
+    return F.when(F.size(items) > 0, values)
+
+
+def _error(column: EntityColumn) -> Column:
     """Why one of the row's items does not fit this column; NULL when all do."""
+    items = F.col(_items_name(column))
+    if column.kind == UNSTRUCT:
+        error = strict_error(items, column.data_type, column.column, nullable=False)
+        return F.when(items.isNotNull(), error)
     errors = F.transform(
-        _items_of(column),
+        items,
         lambda item: strict_error(
             item.getField("data"), column.data_type, column.column, nullable=False
         ),
     )
-    return F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
-
+    first = F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
+    return F.when(F.size(items) > 0, first)
 
-def unknown_schema_error(known: list[str], skipped: list[Criterion]) -> Column:
-    """Reason for a row with an item that is neither registered nor skipped.
 
-    ``known`` holds ``vendor/name/model-revision-addition`` of registered versions.
-    """
+def _unknown_schema(known: list[str], skipped: list[Criterion]) -> Column:
+    """Reason for a row with an item whose schema is neither registered nor skipped."""
 
-    def unknown(item: Column) -> Column:
-        return ~_item_key(item).isin(known) & ~matches_any(skipped, item.getField)
+    def unknown(key: Column) -> Column:
+        return key.isNotNull() & ~key.isin(known) & ~matches_any(skipped, key)
 
-    items = F.concat(UNSTRUCT_ITEMS, CONTEXT_ITEMS)
-    first = F.get(F.filter(items, unknown), F.lit(0))
-    return F.when(
-        first.isNotNull(), F.concat(F.lit("schema not found: "), _item_key(first))
+    uris = F.concat(
+        F.array(F.col(UNSTRUCT_ITEM).getField("schema")), F.col(CONTEXT_ITEMS).getField("schema")
     )
-
-
-def _item_key(item: Column) -> Column:
-    vendor, name, *numbers = [item.getField(p) for p in REF_FIELDS]
-    version = F.concat_ws("-", *[n.cast("string") for n in numbers])
-    return F.concat_ws("/", vendor, name, version)
+    keys = F.transform(uris, key_of)
+    return F.concat(F.lit("schema not found: "), F.get(F.filter(keys, unknown), F.lit(0)))
 
 
 def transform_events(
@@ -150,18 +163,27 @@ def transform_events(
 ) -> DataFrame:
     """Fixed columns, entity columns, and ``_failure``/``_payload`` for the second split.
 
-    ``known`` is given when some versions of the batch are not registered and their
-    events are to fail; None when every version is registered or skipped.
+    ``known`` holds the keys of registered schemas; give it when events with any other
+    key, unless skipped, are to fail. None means that no such key occurs.
     """
+    fixed = [f.name for f in layout.fixed]
+    carried = [*keep, *fixed, PAYLOAD, FAILURE, UNSTRUCT_ITEM, CONTEXT_ITEMS]
+    texts = [c for c in (_UNSTRUCT_TEXT, _CONTEXT_TEXTS)]
+    source = _with_texts(parsed, layout, columns)
+    routed = source.select(
+        *carried,
+        *[t for t in texts if t in source.columns],
+        *[_own_items(c).alias(_items_name(c)) for c in columns],
+    )
     reasons = [F.col(FAILURE)]
     if known is not None:
-        reasons.append(unknown_schema_error(known, list(skipped)))
-    reasons += [entity_error(c) for c in columns]
-    return parsed.select(
+        reasons.append(_unknown_schema(known, list(skipped)))
+    reasons += [_error(c) for c in columns]
+    return routed.select(
         *keep,
-        *[f.name for f in layout.fixed],
-        *[entity_value(c, layout).alias(c.column) for c in columns],
-        F.coalesce(*reasons).alias(FAILURE),
+        *fixed,
+        *[_value(c).alias(c.column) for c in columns],
+        computed_once(F.coalesce(*reasons)).alias(FAILURE),
         PAYLOAD,
     )
 

@@ -46,9 +46,8 @@ def resolve(discovered: DataFrame, registry: DataFrame) -> DataFrame:
     Both sides are distinct schema versions, so the join needs no hint: the planner
     broadcasts the registry when its size allows and merges otherwise.
     """
-    return discovered.join(registry.select(*KEY, "schema_json"), list(KEY), "left").select(
-        *discovered.columns, "schema_json"
-    )
+    known = registry.select(*KEY, "schema_json").dropDuplicates(list(KEY))
+    return discovered.join(known, list(KEY), "left").select(*discovered.columns, "schema_json")
 
 
 def missing_schemas(discovered: DataFrame, registry: DataFrame) -> DataFrame:
@@ -70,3 +69,47 @@ def clashing_schemas(discovered: DataFrame) -> DataFrame:
 def registered_versions(registry: DataFrame, models: DataFrame) -> DataFrame:
     """Every registered version of the given ``(vendor, name, model)`` rows."""
     return registry.select(*KEY, "schema_json").join(models, ["vendor", "name", "model"], "left_semi")
+
+
+def schema_fields(registry: DataFrame) -> DataFrame:
+    """One row per field of each registered version: its JSON type, format, required or not."""
+    shape = "properties map<string,struct<type:string,format:string>>, required array<string>"
+    parsed = registry.select(*KEY, F.from_json("schema_json", shape).alias("schema"))
+    fields = parsed.select(*KEY, "schema.required", F.explode("schema.properties"))
+    return fields.select(
+        *KEY,
+        F.col("key").alias("field"),
+        F.concat_ws("/", "value.type", "value.format").alias("type"),
+        F.coalesce(F.array_contains("required", F.col("key")), F.lit(False)).alias("required"),
+    )
+
+
+def field_history(discovered: DataFrame, registry: DataFrame) -> DataFrame:
+    """How each field of the discovered entities stands across versions.
+
+    All versions up to the newest discovered one count. A field missing from a version, or
+    optional in one, is nullable; one with several types needs recovery columns.
+    """
+    position = F.struct("revision", "addition")
+    newest = discovered.groupBy(*ENTITY).agg(F.max(position).alias("newest"))
+    model = ["vendor", "name", "model"]
+    versions = newest.join(registry.select(*KEY), model).where(position <= F.col("newest"))
+    totals = versions.groupBy(*ENTITY).agg(F.count("*").alias("versions"))
+    grouped = (
+        newest.join(schema_fields(registry), model)
+        .where(position <= F.col("newest"))
+        .groupBy(*ENTITY, "field")
+        .agg(
+            F.sort_array(F.collect_set("type")).alias("types"),
+            F.count("*").alias("present"),
+            F.count_if("required").alias("required"),
+        )
+    )
+    return grouped.join(totals, list(ENTITY)).select(
+        *ENTITY,
+        "field",
+        "types",
+        "versions",
+        (F.col("required") < F.col("versions")).alias("nullable"),
+        (F.size("types") > 1).alias("conflicting"),
+    )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 from landfall.functions.names import CONTEXTS, UNSTRUCT, column_name
+from landfall.functions.schema_uri import key_text
 from landfall.functions.strict_json import landed_type
 from landfall.plans.evolve import SubVersion, merge_versions, recovery_suffix
 
@@ -40,7 +41,7 @@ class SeenVersion:
 
 @dataclass(frozen=True)
 class EntityColumn:
-    """One output column. ``excluded`` versions of the model live in other columns."""
+    """One output column, filled from items of the given versions of its model."""
 
     kind: str
     vendor: str
@@ -48,8 +49,12 @@ class EntityColumn:
     model: int
     column: str
     data_type: T.DataType
-    excluded: tuple[SubVersion, ...] = ()
-    only: SubVersion | None = None
+    versions: tuple[SubVersion, ...]
+    recovered: bool = False
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return tuple(key_text(self.vendor, self.name, self.model, *v) for v in self.versions)
 
     @property
     def output_type(self) -> T.DataType:
@@ -85,13 +90,12 @@ def plan_columns(
         if evolution.merged is None:
             continue
         base = column_name(kind, vendor, name, model)
-        broken = tuple(sorted(evolution.recovered))
-        columns.append(EntityColumn(*entity, base, evolution.merged, excluded=broken))
-        for version in broken:
+        fits = tuple(sorted(versions[entity] - set(evolution.recovered)))
+        columns.append(EntityColumn(*entity, base, evolution.merged, fits))
+        for version, broken in sorted(evolution.recovered.items()):
             if version in versions[entity]:
-                recovered = evolution.recovered[version]
-                suffix = recovery_suffix(model, version, recovered)
-                columns.append(EntityColumn(*entity, base + suffix, recovered, only=version))
+                suffix = recovery_suffix(model, version, broken)
+                columns.append(EntityColumn(*entity, base + suffix, broken, (version,), True))
     _check_clashes(columns)
     return columns
 

@@ -57,9 +57,9 @@ class Manifest:
         before = self._rows(batch_id)
         for row in before:
             if row["state"] == COMMITTED:
-                return Attempt(row["attempt"], _instant(row["micros"]), committed=True)
+                return Attempt(row["attempt"], instant(row["micros"]), committed=True)
         first = min((r["micros"] for r in before), default=None)
-        load_tstamp = datetime.now(UTC) if first is None else _instant(first)
+        load_tstamp = datetime.now(UTC) if first is None else instant(first)
         attempt = Attempt(len(before), load_tstamp, committed=False)
         self._append(batch_id, attempt, STARTED)
         return attempt
@@ -90,7 +90,7 @@ class Manifest:
         frame.coalesce(1).write.mode("append").parquet(self._folder(batch_id))
 
 
-def _instant(micros: int) -> datetime:
+def instant(micros: int) -> datetime:
     return datetime.fromtimestamp(micros / 1_000_000, UTC)
 
 

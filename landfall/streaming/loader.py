@@ -6,12 +6,12 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions.schema_uri import matches_any
-from landfall.operators.entities import SEEN, seen_items
+from landfall.functions.schema_uri import key_parts, key_text, matches_any
+from landfall.operators.entities import SEEN, SEEN_KEY, spread_items
 from landfall.operators.parse import BYTES, FAILURE, failed_rows, parse_lines
 from landfall.operators.project import assemble, override_load_time, transform_events
 from landfall.operators.registry import registered_versions, resolve
@@ -19,7 +19,7 @@ from landfall.options import LoadOptions
 from landfall.plans.columns import EntityColumn, SeenVersion, plan_columns
 from landfall.sources.failed import failed_json, write_failed
 from landfall.sources.landing import batch_folder, file_count, seed, write_batch
-from landfall.sources.manifest import Manifest
+from landfall.sources.manifest import Manifest, instant
 
 # How many unregistered versions an error message spells out.
 _LISTED_MISSING = 100
@@ -58,60 +58,59 @@ def plan_batch(parsed: DataFrame, registry: DataFrame, options: LoadOptions) ->
     a single row before it leaves the executors, so junk references cannot flood it.
     """
     stats = _version_stats(parsed, options)
-    usable = F.col("schema_json").isNotNull()
-    missing = ~usable & F.col("vendor").isNotNull() & ~F.col("skipped")
-    kept = usable & ~F.col("skipped")
     rows = (
         resolve(stats, registry)
+        .withColumn("registered", F.col("schema_json").isNotNull())
         .select(
-            *[F.when(kept, F.col(c)).alias(c) for c in SEEN],
+            *[F.when(F.col("registered") & ~F.col("skipped"), F.col(c)).alias(c) for c in SEEN],
             "rows",
             "bytes",
             "earliest",
-            F.when(missing, F.col("items")).otherwise(0).alias("missing_items"),
+            F.when(_is_missing(), F.col("items")).otherwise(0).alias("missing_items"),
         )
         .groupBy(*SEEN)
         .agg(
             F.sum("rows").alias("rows"),
             F.sum("bytes").alias("bytes"),
-            F.min("earliest").alias("earliest"),
+            F.unix_micros(F.min("earliest")).alias("earliest"),
             F.sum("missing_items").alias("missing_items"),
         )
         .collect()
     )
     missing_items = sum(r["missing_items"] for r in rows)
     if missing_items and options.strict:
-        raise MissingSchemas(_missing_message(stats.where(~F.col("skipped")), registry))
+        raise MissingSchemas(_missing_message(stats, registry))
     seen = [SeenVersion(*[r[c] for c in SEEN]) for r in rows if r["kind"] is not None]
     times = [r["earliest"] for r in rows if r["earliest"] is not None]
     return BatchPlan(
         rows=sum(r["rows"] for r in rows),
         bytes=sum(r["bytes"] or 0 for r in rows),
-        earliest=min(times, default=None),
+        earliest=instant(min(times)) if times else None,
         columns=plan_columns(seen, _schema_texts(seen, registry)),
-        known=sorted({f"{s.vendor}/{s.name}/{s.model}-{s.revision}-{s.addition}" for s in seen}),
+        known=sorted({key_text(*s.schema_key, *s.version) for s in seen}),
         missing_items=missing_items,
     )
 
 
 def _version_stats(parsed: DataFrame, options: LoadOptions) -> DataFrame:
-    """Per schema version of good rows: items, and the sums of the rows that start with it."""
+    """Per schema version of good rows: its items, and the sums of rows whose own it is."""
+    time = options.layout.event_time
     good = F.col(FAILURE).isNull()
-    spread = parsed.select(
-        good.alias("_good"),
-        BYTES,
-        options.layout.event_time,
-        F.posexplode_outer(F.when(good, seen_items())).alias("_position", "_seen"),
-    ).select("*", "_seen.*")
-    first = F.coalesce(F.col("_position"), F.lit(0)) == 0
-    stats = spread.groupBy(*SEEN).agg(
-        F.count("_position").alias("items"),
+    spread = spread_items(parsed, BYTES, F.when(good, F.col(time)).alias("time"))
+    first = F.col("position") == 0
+    stats = spread.groupBy(*SEEN_KEY).agg(
+        F.count("key").alias("items"),
         F.count_if(first).alias("rows"),
         F.sum(F.when(first, F.col(BYTES))).alias("bytes"),
-        F.min(F.when(F.col("_good"), F.col(options.layout.event_time))).alias("earliest"),
+        F.min("time").alias("earliest"),
     )
-    skipped = F.coalesce(matches_any(options.criteria, F.col), F.lit(False))
-    return stats.withColumn("skipped", skipped)
+    return stats.select(
+        "*", *key_parts(F.col("key")), matches_any(options.criteria, F.col("key")).alias("skipped")
+    )
+
+
+def _is_missing() -> Column:
+    return F.col("key").isNotNull() & F.col("schema_json").isNull() & ~F.col("skipped")
 
 
 def _schema_texts(seen: list[SeenVersion], registry: DataFrame) -> dict:
@@ -128,12 +127,8 @@ def _schema_texts(seen: list[SeenVersion], registry: DataFrame) -> dict:
 
 
 def _missing_message(stats: DataFrame, registry: DataFrame) -> str:
-    unresolved = resolve(stats, registry).where(
-        F.col("schema_json").isNull() & F.col("vendor").isNotNull()
-    )
-    version = F.concat_ws("-", "model", "revision", "addition")
-    names = unresolved.select(F.concat_ws("/", "vendor", "name", version).alias("name")).distinct()
-    listed = [r["name"] for r in names.orderBy("name").limit(_LISTED_MISSING).collect()]
+    names = resolve(stats, registry).where(_is_missing()).select("key").distinct()
+    listed = [r["key"] for r in names.orderBy("key").limit(_LISTED_MISSING).collect()]
     return (
         "Exiting because schemas could not be resolved; register them, skip them, or load "
         "with strict=False: " + ", ".join(listed)
