@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from landfall.functions import sql
+
 # The parts of a reference.
 FORMAT = "jsonschema"
 _NAME = r"[A-Za-z0-9_.\-]+"
@@ -25,35 +27,33 @@ _CRITERION = re.compile(
 REF_FIELDS = ("vendor", "name", "model", "revision", "addition")
 
 
-def is_reference(uri: Column) -> Column:
-    return uri.rlike(_REFERENCE)
+def is_reference(uri: str) -> str:
+    """SQL condition; NULL for a NULL text."""
+    return f"{uri} RLIKE {sql.text(_REFERENCE)}"
 
 
-def key_of(uri: Column) -> Column:
-    return F.substring_index(uri, ":", -1)
+def key_of(uri: str) -> str:
+    return f"substring_index({uri}, ':', -1)"
 
 
-def key_text(vendor: str, name: str, model: int, revision: int, addition: int) -> str:
-    return f"{vendor}/{name}/{FORMAT}/{model}-{revision}-{addition}"
+def version_of(uri: str) -> str:
+    """``model-revision-addition`` of a reference."""
+    return f"substring_index({uri}, '/', -1)"
 
 
-def version_of(uri: Column) -> Column:
-    """``model-revision-addition`` of a reference."""
-    return F.substring_index(uri, "/", -1)
+def key_text(vendor: str, name: str, model: int, revision: int, addition: int) -> str:
+    return f"{vendor}/{name}/{FORMAT}/{model}-{revision}-{addition}"
 
 
-def key_parts(key: Column) -> list[Column]:
+def key_parts(key: str) -> list[Column]:
     """The columns ``vendor, name, model, revision, addition`` of a key."""
-    parts = F.split(key, "/")
-    numbers = F.split(F.get(parts, F.lit(3)), "-")
-    return [
-        F.get(parts, F.lit(0)).alias("vendor"),
-        F.get(parts, F.lit(1)).alias("name"),
-        *[
-            F.get(numbers, F.lit(i)).try_cast("int").alias(part)
-            for i, part in enumerate(REF_FIELDS[2:])
-        ],
+    parts = f"split({key}, '/')"
+    numbers = f"split(get({parts}, 3), '-')"
+    texts = [f"get({parts}, {i}) AS {part}" for i, part in enumerate(REF_FIELDS[:2])]
+    numeric = [
+        f"try_cast(get({numbers}, {i}) AS INT) AS {part}" for i, part in enumerate(REF_FIELDS[2:])
     ]
+    return [F.expr(e) for e in (*texts, *numeric)]
 
 
 @dataclass(frozen=True)
@@ -82,9 +82,9 @@ class Criterion:
         return names + "-".join("[0-9]+" if n is None else str(n) for n in numbers)
 
 
-def matches_any(criteria: list[Criterion], key: Column) -> Column:
-    """Whether a key is on the list; never NULL."""
+def matches_any(criteria: list[Criterion], key: str) -> str:
+    """SQL condition whether a key is on the list; never NULL."""
     if not criteria:
-        return F.lit(False)
+        return "false"
     pattern = "^(?:" + "|".join(c.pattern for c in criteria) + ")$"
-    return F.coalesce(key.rlike(pattern), F.lit(False))
+    return f"coalesce({key} RLIKE {sql.text(pattern)}, false)"

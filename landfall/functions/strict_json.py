@@ -1,22 +1,22 @@
-"""Strict typed reads of JSON values, generated as expressions from a planned type.
+"""Strict typed reads of JSON values, generated as SQL from a planned type.
 
 A planned type is a Spark ``DataType`` in which ``VariantType`` means "keep as JSON
 text". A struct field may carry the JSON keys it reads in its metadata (``keys``);
 without them the key is the field's name. ``from_json`` and plain variant casts accept
 ``"12"`` for a number and ``12`` for a string; here the JSON type itself must fit.
 
-Every function takes the value as a variant column. Where JSON text is kept, ``text``
-is the same value as raw text, because a variant reorders keys.
+Every function takes the value as the SQL of a variant. Where JSON text is kept, ``raw``
+is the same value as raw text, because a variant reorders keys. ``depth`` keeps the names
+of nested lambda variables apart.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.functions import sql
 from landfall.functions.names import normalize_name
 from landfall.functions.typed_text import text_to_date, text_to_timestamp
 
@@ -50,112 +50,111 @@ def landed_type(kind: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(kind, T.VariantType) else kind
 
 
-def is_missing(value: Column) -> Column:
+def _read(value: str, kind: str, path: str = "$") -> str:
+    return f"try_variant_get({value}, {sql.text(path)}, {sql.text(kind)})"
+
+
+def _missing(value: str) -> str:
     """Absent or JSON null."""
-    return value.isNull() | F.is_variant_null(value)
+    return f"({value} IS NULL OR is_variant_null({value}))"
 
 
-def _member(value: Column, key: str) -> Column:
+def _member(value: str, key: str) -> str:
     if _PLAIN_KEY.fullmatch(key):
-        return F.try_variant_get(value, f"$['{key}']", "variant")
-    quoted = key.replace("`", "``")
-    return F.try_variant_get(value, "$", f"struct<`{quoted}` variant>").getField(key)
+        return _read(value, "variant", f"$['{key}']")
+    quoted = sql.name(key)
+    return f"{_read(value, f'struct<{quoted} variant>')}.{quoted}"
 
 
-def _field_value(value: Column, field: T.StructField) -> Column:
+def _field_value(value: str, field: T.StructField) -> str:
     members = [_member(value, key) for key in keys_of(field)]
     if len(members) == 1:
         return members[0]
-    return F.coalesce(*[F.when(~is_missing(m), m) for m in members])
+    return sql.coalesce([f"CASE WHEN NOT {_missing(m)} THEN {m} END" for m in members])
 
 
-def _elements(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
+def _elements(value: str) -> str:
+    return _read(value, "array<variant>")
 
 
-def _is_object(value: Column) -> Column:
+def _is_object(value: str) -> str:
     # A one-field read is NULL for anything but an object and skips the other members.
-    return F.try_variant_get(value, "$", "struct<`_` variant>").isNotNull()
-
-
-def _json_type(value: Column) -> Column:
-    return F.schema_of_variant(value)
+    return f"{_read(value, 'struct<`_` variant>')} IS NOT NULL"
 
 
-def _as(value: Column, type_name: str) -> Column:
-    return F.try_variant_get(value, "$", type_name)
+def _json_type(value: str) -> str:
+    return f"schema_of_variant({value})"
 
 
-def _decimal_fits(value: Column, kind: T.DecimalType) -> Column:
+def _decimal_fits(value: str, kind: T.DecimalType) -> str:
     """In range and exact: reads as decimals round, so the stored scale is compared."""
-    json_type = _json_type(value)
-    target = _as(value, kind.simpleString())
-    stored_scale = F.regexp_extract(json_type, r",([0-9]+)\)", 1).try_cast("int")
-    exact = (
-        F.when(json_type == "BIGINT", True)
-        .when(json_type.startswith("DECIMAL"), stored_scale <= kind.scale)
-        .when(json_type == "DOUBLE", target.cast("double") == _as(value, "double"))
-        .otherwise(False)
+    json_type, target = _json_type(value), _read(value, kind.simpleString())
+    scale = rf"try_cast(regexp_extract({json_type}, ',([0-9]+)\\)', 1) AS INT)"
+    return (
+        f"({target} IS NOT NULL AND CASE WHEN {json_type} = 'BIGINT' THEN true"
+        f" WHEN {json_type} LIKE 'DECIMAL%' THEN {scale} <= {kind.scale}"
+        f" WHEN {json_type} = 'DOUBLE'"
+        f" THEN CAST({target} AS DOUBLE) = {_read(value, 'double')} ELSE false END)"
     )
-    return target.isNotNull() & exact
 
 
-def _leaf_fits(value: Column, kind: T.DataType) -> Column:
+def _leaf_fits(value: str, kind: T.DataType) -> str:
     json_type = _json_type(value)
     if isinstance(kind, T.VariantType):
-        return F.lit(True)
+        return "true"
     if isinstance(kind, T.StringType):
-        return json_type == "STRING"
+        return f"{json_type} = 'STRING'"
     if isinstance(kind, T.BooleanType):
-        return json_type == "BOOLEAN"
+        return f"{json_type} = 'BOOLEAN'"
     if isinstance(kind, T.LongType):
-        return json_type == "BIGINT"
+        return f"{json_type} = 'BIGINT'"
     if isinstance(kind, T.IntegerType):
-        return (json_type == "BIGINT") & _as(value, "int").isNotNull()
+        return f"({json_type} = 'BIGINT' AND {_read(value, 'int')} IS NOT NULL)"
     if isinstance(kind, T.DoubleType):
-        return json_type.isin("BIGINT", "DOUBLE") | json_type.startswith("DECIMAL")
+        return f"({json_type} IN ('BIGINT', 'DOUBLE') OR {json_type} LIKE 'DECIMAL%')"
     if isinstance(kind, T.DecimalType):
         return _decimal_fits(value, kind)
     if isinstance(kind, (T.DateType, T.TimestampType)):
-        return (json_type == "STRING") & _leaf_value(value, kind, None).isNotNull()
+        return f"({json_type} = 'STRING' AND {_leaf_value(value, kind)} IS NOT NULL)"
     raise TypeError(f"no strict read for {kind.simpleString()}")
 
 
-def _leaf_value(value: Column, kind: T.DataType, text: Column | None) -> Column:
+def _leaf_value(value: str, kind: T.DataType, raw: str | None = None) -> str:
     if isinstance(kind, T.VariantType):
         # Raw text of a JSON string has lost its quotes; the variant gives them back.
-        is_string = _as(value, "string").isNotNull() & (_json_type(value) == "STRING")
-        return F.when(is_string, F.to_json(value)).otherwise(text)
+        return f"CASE WHEN {_json_type(value)} = 'STRING' THEN to_json({value}) ELSE {raw} END"
     if isinstance(kind, T.DateType):
-        return text_to_date(_as(value, "string"))
+        return text_to_date(_read(value, "string"))
     if isinstance(kind, T.TimestampType):
-        return text_to_timestamp(_as(value, "string"))
-    return _as(value, kind.simpleString())
+        return text_to_timestamp(_read(value, "string"))
+    return _read(value, kind.simpleString())
 
 
-def strict_error(value: Column, kind: T.DataType, path: str, nullable: bool = True) -> Column:
+def strict_error(
+    value: str, kind: T.DataType, path: str, nullable: bool = True, depth: int = 0
+) -> str:
     """Why the value does not fit the type; NULL when it fits."""
-    missing = F.lit(None).cast("string") if nullable else F.lit(f"{path}: missing required value")
-    wrong = F.lit(f"{path}: expected {landed_type(kind).typeName()}")
-    checked = F.when(is_missing(value), missing)
+    missing = "NULL" if nullable else sql.text(f"{path}: missing required value")
+    wrong = sql.text(f"{path}: expected {landed_type(kind).typeName()}")
+    if isinstance(kind, T.VariantType):
+        return "CAST(NULL AS STRING)" if nullable else f"CASE WHEN {value} IS NULL THEN {missing} END"
+    checked = f"CASE WHEN {_missing(value)} THEN {missing}"
     if isinstance(kind, T.StructType):
-        members = [
-            strict_error(_field_value(value, f), f.dataType, f"{path}.{f.name}", f.nullable)
-            for f in kind.fields
-        ]
-        inner = F.coalesce(*members) if members else F.lit(None).cast("string")
-        return checked.when(~_is_object(value), wrong).otherwise(inner)
-    if isinstance(kind, T.ArrayType):
-        elements = _elements(value)
-        errors = F.transform(
-            elements,
-            lambda e: strict_error(e, kind.elementType, f"{path}[]", kind.containsNull),
+        inner = sql.coalesce(
+            [
+                strict_error(
+                    _field_value(value, f), f.dataType, f"{path}.{f.name}", f.nullable, depth
+                )
+                for f in kind.fields
+            ]
         )
-        first = F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
-        return checked.when(elements.isNull(), wrong).otherwise(first)
-    if isinstance(kind, T.VariantType) and not nullable:
-        return F.when(value.isNull(), missing)
-    return checked.when(~_leaf_fits(value, kind), wrong)
+        return f"{checked} WHEN NOT {_is_object(value)} THEN {wrong} ELSE {inner} END"
+    if isinstance(kind, T.ArrayType):
+        elements, item = _elements(value), f"e{depth}"
+        error = strict_error(item, kind.elementType, f"{path}[]", kind.containsNull, depth + 1)
+        errors = f"filter(transform({elements}, {item} -> {error}), x -> x IS NOT NULL)"
+        return f"{checked} WHEN {elements} IS NULL THEN {wrong} ELSE get({errors}, 0) END"
+    return f"{checked} WHEN NOT {_leaf_fits(value, kind)} THEN {wrong} END"
 
 
 def text_shape(kind: T.DataType) -> T.DataType | None:
@@ -176,27 +175,26 @@ def text_shape(kind: T.DataType) -> T.DataType | None:
     return None
 
 
-def strict_value(value: Column, kind: T.DataType, text: Column | None = None) -> Column:
-    """The typed value of a variant known to fit. ``text`` is shaped by :func:`text_shape`."""
+def strict_value(value: str, kind: T.DataType, raw: str | None = None, depth: int = 0) -> str:
+    """The typed value of a variant known to fit. ``raw`` is shaped by :func:`text_shape`."""
     if isinstance(kind, T.StructType):
-        return F.when(_is_object(value), F.struct(*struct_fields(value, kind, text)))
+        members = struct_members(value, kind, raw, depth)
+        return f"CASE WHEN {_is_object(value)} THEN named_struct({members}) END"
     if isinstance(kind, T.ArrayType):
-        if keeps_text(kind.elementType):
-            return F.transform(
-                _elements(value),
-                lambda e, i: strict_value(e, kind.elementType, F.get(text, i)),
-            )
-        return F.transform(_elements(value), lambda e: strict_value(e, kind.elementType))
-    return F.when(~F.is_variant_null(value), _leaf_value(value, kind, text))
+        item, position = f"e{depth}", f"i{depth}"
+        part = f"get({raw}, {position})" if keeps_text(kind.elementType) else None
+        inner = strict_value(item, kind.elementType, part, depth + 1)
+        return f"transform({_elements(value)}, ({item}, {position}) -> {inner})"
+    return f"CASE WHEN NOT is_variant_null({value}) THEN {_leaf_value(value, kind, raw)} END"
 
 
-def struct_fields(value: Column, kind: T.StructType, text: Column | None = None) -> list[Column]:
-    """The members of a struct, aliased to their normalised names."""
+def struct_members(value: str, kind: T.StructType, raw: str | None = None, depth: int = 0) -> str:
+    """Names and values of a struct's members, under their normalised names."""
     members = []
     for f in kind.fields:
         part = None
         if keeps_text(f.dataType):
-            part = F.coalesce(*[text.getField(key) for key in keys_of(f)])
-        member = strict_value(_field_value(value, f), f.dataType, part)
-        members.append(member.alias(normalize_name(f.name)))
-    return members
+            part = sql.coalesce([f"{raw}.{sql.name(key)}" for key in keys_of(f)])
+        member = strict_value(_field_value(value, f), f.dataType, part, depth)
+        members.append(f"{sql.text(normalize_name(f.name))}, {member}")
+    return ", ".join(members)

@@ -2,36 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def whole_millis(ts: Column) -> Column:
-    """Drop digits below the millisecond."""
-    return F.timestamp_millis(F.unix_millis(ts))
+def text_to_timestamp(text: str) -> str:
+    """ISO or space-separated date and time; text without a zone is taken as UTC.
 
-
-def text_to_timestamp(text: Column) -> Column:
-    """ISO or space-separated date and time; text without a zone is taken as UTC."""
-    dated = F.when(F.substr(text, F.lit(5), F.lit(1)) == "-", text)
-    instant = F.coalesce(
-        F.concat(dated, F.lit("Z")).try_cast("timestamp"), dated.try_cast("timestamp")
+    Digits below the millisecond are dropped.
+    """
+    # Without the dash in place the cast would read a bare time of day as today's.
+    dated = f"CASE WHEN substr({text}, 5, 1) = '-' THEN {text} END"
+    instant = (
+        f"coalesce(try_cast({dated} || 'Z' AS TIMESTAMP), try_cast({dated} AS TIMESTAMP))"
     )
-    return whole_millis(instant)
+    return f"timestamp_millis(unix_millis({instant}))"
 
 
-def text_to_date(text: Column) -> Column:
-    return F.when(F.length(text) == 10, text).try_cast("date")
+def text_to_date(text: str) -> str:
+    return f"try_cast(CASE WHEN length({text}) = 10 THEN {text} END AS DATE)"
 
 
-def text_to_type(text: Column, kind: T.DataType) -> Column:
+def text_to_type(text: str, kind: T.DataType) -> str:
+    """SQL of the typed value of a text expression."""
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.TimestampType):
         return text_to_timestamp(text)
     if isinstance(kind, T.DateType):
         return text_to_date(text)
-    if isinstance(kind, T.VariantType):
-        return F.try_parse_json(text)
-    return text.try_cast(kind)
+    return f"try_cast({text} AS {kind.simpleString()})"

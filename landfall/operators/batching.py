@@ -23,6 +23,7 @@ def assign_batches(
     max_bytes: int = 16_000_000,
     max_delay_seconds: float = 1.0,
     max_group_rows: int = 2_000_000,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Number the batches of a table of chunks: ``source``, ``delay_bucket``, ``batch_seq``.
 
@@ -33,8 +34,9 @@ def assign_batches(
     limits from the source and trigger instead (see ``sources.lines``).
 
     The running weight is a window over (source, bucket). Before it, the rows of the
-    largest group are counted; past ``max_group_rows`` the groups are cut into ranges
-    that many tasks sum separately, so no task ever holds a whole hot source.
+    largest group are counted; past ``max_group_rows`` the rows are cut into ranges
+    (``pieces`` of them, or as many as keep to the limit) that many tasks sum separately,
+    so no task ever holds a whole hot source.
     """
     micros = int(max_delay_seconds * 1_000_000)
     keyed = chunks.withColumns(
@@ -48,9 +50,8 @@ def assign_batches(
     if (largest or 0) <= max_group_rows:
         before = _running(["source", "delay_bucket"], time, order, weight)
     else:
-        keyed, before = _split_running(
-            keyed, time, order, weight, pieces=ceil(total / max_group_rows) + 1
-        )
+        pieces = pieces or ceil(total / max_group_rows) + 1
+        keyed, before = _split_running(keyed, time, order, weight, pieces)
     sequence = F.floor(before / F.lit(max_bytes)).cast("long")
     return keyed.withColumn("batch_seq", sequence).drop("_piece", "_offset")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.names import CONTEXTS, UNSTRUCT
-from landfall.functions.schema_uri import REF_FIELDS, Criterion, key_of, key_parts, matches_any
+from landfall.functions.schema_uri import FORMAT, Criterion, key_of, key_parts, matches_any
 from landfall.operators.parse import CONTEXT_ITEMS, FAILURE, UNSTRUCT_ITEM
 
 ENTITY = ("kind", "vendor", "name", "model")
@@ -21,15 +21,14 @@ def spread_items(parsed: DataFrame, *columns: str | Column) -> DataFrame:
     Every row has a position 0, which is its own event's item; the key is NULL there when
     it has none, or when the row failed. Context items follow from position 1.
     """
-    own = F.array(F.col(UNSTRUCT_ITEM).getField("schema"))
-    uris = F.concat(own, F.col(CONTEXT_ITEMS).getField("schema"))
-    none = F.array(F.lit(None).cast("string"))
-    good = F.col(FAILURE).isNull()
-    spread = parsed.select(
-        *columns, F.posexplode(F.when(good, uris).otherwise(none)).alias("position", "uri")
+    uris = f"concat(array({UNSTRUCT_ITEM}.schema), {CONTEXT_ITEMS}.schema)"
+    none = "array(CAST(NULL AS STRING))"
+    items = F.expr(f"posexplode(CASE WHEN {FAILURE} IS NULL THEN {uris} ELSE {none} END)")
+    return parsed.select(*columns, items.alias("position", "uri")).select(
+        "*",
+        F.expr(f"CASE WHEN position = 0 THEN '{UNSTRUCT}' ELSE '{CONTEXTS}' END AS kind"),
+        F.expr(f"{key_of('uri')} AS key"),
     )
-    kind = F.when(F.col("position") == 0, UNSTRUCT).otherwise(CONTEXTS)
-    return spread.withColumns({"kind": kind, "key": key_of(F.col("uri"))}).drop("uri")
 
 
 def discover_entities(parsed: DataFrame) -> DataFrame:
@@ -40,17 +39,13 @@ def discover_entities(parsed: DataFrame) -> DataFrame:
     """
     items = spread_items(parsed).where(F.col("key").isNotNull())
     counted = items.groupBy(*SEEN_KEY).agg(F.count("*").alias("items"))
-    return counted.select("kind", *key_parts(F.col("key")), "items")
-
-
-def _key() -> Column:
-    version = F.concat_ws("-", *[F.col(part).cast("string") for part in REF_FIELDS[2:]])
-    return F.concat_ws("/", "vendor", "name", F.lit("jsonschema"), version)
+    return counted.select("kind", *key_parts("key"), "items")
 
 
 def skip_schemas(discovered: DataFrame, criteria: list[Criterion]) -> DataFrame:
     """Drop the versions that a criterion matches; they get no column."""
-    return discovered.where(~matches_any(criteria, _key()))
+    key = f"concat_ws('/', vendor, name, '{FORMAT}', concat_ws('-', model, revision, addition))"
+    return discovered.where(f"NOT {matches_any(criteria, key)}")
 
 
 def entity_versions(discovered: DataFrame) -> DataFrame:

@@ -13,13 +13,11 @@ An item is a struct ``(schema string, data variant)``.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.once import computed_once
+from landfall.functions import sql
 from landfall.functions.schema_uri import is_reference
 from landfall.functions.typed_text import text_to_type
 from landfall.layout import Layout
@@ -32,6 +30,8 @@ UNSTRUCT_ITEM = "_unstruct"
 CONTEXT_ITEMS = "_contexts"
 
 _ITEM = "struct<schema:string,data:variant>"
+# Only what JSON itself allows.
+_JSON_OPTIONS = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
 def parse_lines(
@@ -40,120 +40,116 @@ def parse_lines(
     """Split each tab-separated line and cast its fields; ``keep`` carries input columns.
 
     The steps are separate projections so that each intermediate is computed once a row:
-    cells, texts, typed values, items.
+    cells, texts, typed values and items, the verdict.
     """
     fields = layout.schema.fields
-    carried = [*keep, PAYLOAD, BYTES]
-    split = lines.select(
-        *keep,
-        F.make_valid_utf8(F.col(value).cast("string")).alias(PAYLOAD),
-        F.octet_length(F.col(value)).cast("long").alias(BYTES),
-        F.split(F.col(value).cast("string"), "\t", -1).alias("_cells"),
+    line = sql.name(value)
+    kept = [sql.name(c) for c in keep]
+    carried = [*kept, PAYLOAD, BYTES]
+    split = lines.selectExpr(
+        *kept,
+        f"make_valid_utf8(CAST({line} AS STRING)) AS {PAYLOAD}",
+        f"CAST(octet_length({line}) AS BIGINT) AS {BYTES}",
+        f"split(CAST({line} AS STRING), '\\t', -1) AS _cells",
     )
-    texts = split.select(
+    texts = split.selectExpr(
         *carried,
-        F.size("_cells").alias("_size"),
-        *[_cell(i, len(fields)).alias(_text(f)) for i, f in enumerate(fields)],
+        "size(_cells) AS _size",
+        *[f"{_cell(i, len(fields))} AS {_text(f.name)}" for i, f in enumerate(fields)],
     )
-    typed = texts.select(
+    typed = texts.selectExpr(
         *carried,
         "_size",
-        *[_text(f) for f in fields],
-        *[text_to_type(F.col(_text(f)), f.dataType).alias(f.name) for f in fields],
-    )
-    fixed = [f.name for f in layout.fixed]
-    items = typed.select(
-        *carried,
-        *fixed,
-        F.coalesce(*_cell_failures(fields)).alias("_cell_failure"),
-        _single_item(layout).alias(UNSTRUCT_ITEM),
-        *[_list_items(name, layout).alias(_list(name)) for name in layout.contexts],
-        *[F.col(name).isNotNull().alias(_present(name)) for name in layout.entity_fields],
-    )
-    joined = items.select(
-        "*", _concat_lists([_list(name) for name in layout.contexts]).alias(CONTEXT_ITEMS)
+        *[_text(f.name) for f in fields],
+        *[f"{text_to_type(_text(f.name), f.dataType)} AS {sql.name(f.name)}" for f in layout.fixed],
+        f"{_single_item(layout)} AS {UNSTRUCT_ITEM}",
+        *[f"{_list_items(c, layout)} AS {_list(c)}" for c in layout.contexts],
     )
-    return joined.select(
-        *keep,
-        *fixed,
+    joined = typed.selectExpr("*", f"{_all_items(layout)} AS {CONTEXT_ITEMS}")
+    reasons = [*_cell_failures(layout), *_item_failures(layout)]
+    return joined.selectExpr(
+        *kept,
+        *[sql.name(f.name) for f in layout.fixed],
         PAYLOAD,
         BYTES,
-        computed_once(F.coalesce("_cell_failure", *_item_failures(layout))).alias(FAILURE),
+        f"{sql.computed_once(sql.coalesce(reasons))} AS {FAILURE}",
         UNSTRUCT_ITEM,
         CONTEXT_ITEMS,
     )
 
 
-def _text(field: T.StructField) -> str:
-    return f"_text_{field.name}"
+def _text(field: str) -> str:
+    return sql.name(f"_text_{field}")
 
 
-def _list(name: str) -> str:
-    return f"_list_{name}"
+def _list(field: str) -> str:
+    return sql.name(f"_list_{field}")
 
 
-def _present(name: str) -> str:
-    return f"_has_{name}"
-
-
-def _cell(index: int, count: int) -> Column:
+def _cell(index: int, count: int) -> str:
     """Text of one field; NULL when empty or when the line has the wrong size."""
-    cell = F.get("_cells", F.lit(index))
-    return F.when((F.size("_cells") == count) & (cell != ""), cell)
+    cell = f"get(_cells, {index})"
+    return f"CASE WHEN size(_cells) = {count} AND {cell} <> '' THEN {cell} END"
 
 
-def _cell_failures(fields: list[T.StructField]) -> list[Column]:
-    count = len(fields)
-    found = F.concat(F.lit(f"expected {count} fields, found "), F.col("_size").cast("string"))
-    failures = [F.when(F.col("_size") != count, found)]
-    for f in fields:
-        text = F.col(_text(f))
-        if not f.nullable:
-            failures.append(F.when(text.isNull(), F.lit(f"{f.name}: missing required value")))
-        if not isinstance(f.dataType, T.StringType):
-            kind = "json" if isinstance(f.dataType, T.VariantType) else f.dataType.typeName()
-            bad = text.isNotNull() & F.col(f.name).isNull()
-            failures.append(F.when(bad, F.lit(f"{f.name}: not a valid {kind}")))
-    return failures
+def _from_json(text: str, inner: str, layout: Layout) -> str:
+    if layout.envelope:
+        return f"from_json({text}, 'struct<data:{inner}>', {_JSON_OPTIONS}).data"
+    return f"from_json({text}, '{inner}', {_JSON_OPTIONS})"
 
 
-def _single_item(layout: Layout) -> Column:
+def _single_item(layout: Layout) -> str:
     if layout.unstruct is None:
-        return F.lit(None).cast(_ITEM)
-    return F.try_variant_get(layout.unstruct, _path(layout), _ITEM)
+        return f"CAST(NULL AS {_ITEM})"
+    return _from_json(_text(layout.unstruct), _ITEM, layout)
 
 
-def _list_items(name: str, layout: Layout) -> Column:
-    return F.try_variant_get(name, _path(layout), f"array<{_ITEM}>")
+def _list_items(field: str, layout: Layout) -> str:
+    return _from_json(_text(field), f"array<{_ITEM}>", layout)
 
 
-def _path(layout: Layout) -> str:
-    return "$.data" if layout.envelope else "$"
+def _all_items(layout: Layout) -> str:
+    empty = f"CAST(array() AS array<{_ITEM}>)"
+    lists = [f"coalesce({_list(c)}, {empty})" for c in layout.contexts]
+    if len(lists) == 1:
+        return lists[0]
+    return f"concat({', '.join(lists)})" if lists else empty
 
 
-def _concat_lists(names: list[str]) -> Column:
-    empty = F.array().cast(f"array<{_ITEM}>")
-    lists = [F.coalesce(F.col(name), empty) for name in names]
-    return reduce(F.concat, lists) if lists else empty
+def _cell_failures(layout: Layout) -> list[str]:
+    fields = layout.schema.fields
+    found = f"concat('expected {len(fields)} fields, found ', _size)"
+    failures = [f"CASE WHEN _size <> {len(fields)} THEN {found} END"]
+    for f in fields:
+        text = _text(f.name)
+        if not f.nullable:
+            reason = sql.text(f"{f.name}: missing required value")
+            failures.append(f"CASE WHEN {text} IS NULL THEN {reason} END")
+        if not isinstance(f.dataType, (T.StringType, T.VariantType)):
+            reason = sql.text(f"{f.name}: not a valid {f.dataType.typeName()}")
+            bad = f"{text} IS NOT NULL AND {sql.name(f.name)} IS NULL"
+            failures.append(f"CASE WHEN {bad} THEN {reason} END")
+    return failures
 
 
-def _item_failures(layout: Layout) -> list[Column]:
+def _item_failures(layout: Layout) -> list[str]:
     failures = []
     if layout.unstruct is not None:
-        bad = F.col(_present(layout.unstruct)) & _bad_item(F.col(UNSTRUCT_ITEM))
-        failures.append(F.when(bad, F.lit(f"{layout.unstruct}: not a self-describing item")))
-    for name in layout.contexts:
-        bad = F.col(_present(name)) & F.col(_list(name)).isNull()
-        failures.append(F.when(bad, F.lit(f"{name}: not a list of items")))
+        bad = f"{_text(layout.unstruct)} IS NOT NULL AND {_bad_item(UNSTRUCT_ITEM)}"
+        reason = sql.text(f"{layout.unstruct}: not a self-describing item")
+        failures.append(f"CASE WHEN {bad} THEN {reason} END")
+    for c in layout.contexts:
+        bad = f"{_text(c)} IS NOT NULL AND {_list(c)} IS NULL"
+        failures.append(f"CASE WHEN {bad} THEN {sql.text(f'{c}: not a list of items')} END")
     if layout.contexts:
-        bad = F.exists(CONTEXT_ITEMS, _bad_item)
-        failures.append(F.when(bad, F.lit("contexts: not a self-describing item")))
+        bad = f"exists({CONTEXT_ITEMS}, item -> {_bad_item('item')})"
+        reason = sql.text("contexts: not a self-describing item")
+        failures.append(f"CASE WHEN {bad} THEN {reason} END")
     return failures
 
 
-def _bad_item(item: Column) -> Column:
-    schema = item.getField("schema")
-    return ~F.coalesce(is_reference(schema), F.lit(False)) | item.getField("data").isNull()
+def _bad_item(item: str) -> str:
+    return f"(NOT coalesce({is_reference(f'{item}.schema')}, false) OR {item}.data IS NULL)"
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

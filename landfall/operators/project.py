@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.functions import sql
 from landfall.functions.names import UNSTRUCT
-from landfall.functions.once import computed_once
 from landfall.functions.schema_uri import Criterion, key_of, matches_any, version_of
 from landfall.functions.strict_json import (
     keeps_text,
     strict_error,
     strict_value,
-    struct_fields,
+    struct_members,
     text_shape,
 )
 from landfall.layout import Layout
@@ -27,130 +25,104 @@ _UNSTRUCT_TEXT = "_unstruct_text"
 _CONTEXT_TEXTS = "_context_texts"
 
 
-def _belongs(item: Column, column: EntityColumn) -> Column:
-    return key_of(item.getField("schema")).isin(list(column.keys))
-
-
-def _raw(name: str, layout: Layout) -> Column:
-    """The text of a line's field."""
-    index = layout.schema.fieldNames().index(name)
-    return F.get(F.split(PAYLOAD, "\t", -1), F.lit(index))
+def _belongs(item: str, column: EntityColumn) -> str:
+    return f"{key_of(f'{item}.schema')} IN ({sql.texts(column.keys)})"
 
 
-def _item_texts(raw: Column, shape: str, layout: Layout) -> Column:
+def _item_texts(field: str, shape: str, layout: Layout) -> str:
+    """Raw text of the data of a line field's items, each with its keys in their own order."""
+    index = layout.schema.fieldNames().index(field)
+    raw = f"get(split({PAYLOAD}, '\\t', -1), {index})"
     if layout.envelope:
-        return F.from_json(raw, f"struct<data:{shape}>").getField("data")
-    return F.from_json(raw, shape)
+        return f"from_json({raw}, 'struct<data:{shape}>').data.data"
+    return f"from_json({raw}, '{shape}').data"
 
 
-def _with_texts(parsed: DataFrame, layout: Layout, columns: list[EntityColumn]) -> DataFrame:
-    """Add the raw text of each item's data, its keys in their own order, where needed."""
+def _kept_texts(layout: Layout, columns: list[EntityColumn]) -> dict[str, str]:
     kept = {c.kind for c in columns if keeps_text(c.data_type)}
-    added = {}
+    texts = {}
     if UNSTRUCT in kept:
-        item = _item_texts(_raw(layout.unstruct, layout), "struct<data:string>", layout)
-        added[_UNSTRUCT_TEXT] = item.getField("data")
+        texts[_UNSTRUCT_TEXT] = _item_texts(layout.unstruct, "struct<data:string>", layout)
     if kept - {UNSTRUCT}:
-        empty = F.array().cast("array<string>")
-        lists = [
-            _item_texts(_raw(name, layout), "array<struct<data:string>>", layout).getField("data")
-            for name in layout.contexts
-        ]
-        added[_CONTEXT_TEXTS] = reduce(F.concat, [F.coalesce(texts, empty) for texts in lists])
-    return parsed.withColumns(added) if added else parsed
+        empty = "CAST(array() AS array<string>)"
+        lists = [_item_texts(c, "array<struct<data:string>>", layout) for c in layout.contexts]
+        lists = ", ".join(f"coalesce({items}, {empty})" for items in lists)
+        texts[_CONTEXT_TEXTS] = f"concat({lists})"
+    return texts
 
 
-def _shaped(text: Column, column: EntityColumn) -> Column:
+def _shaped(raw: str, column: EntityColumn) -> str | None:
     shape = text_shape(column.data_type)
-    return text if isinstance(shape, T.StringType) else F.from_json(text, shape.simpleString())
+    if shape is None or isinstance(shape, T.StringType):
+        return raw
+    return f"from_json({raw}, {sql.text(shape.simpleString())})"
 
 
-def _with_version(text: Column, version: Column) -> Column:
+def _with_version(text: str, version: str) -> str:
     """JSON object text with ``_schema_version`` as its first key."""
-    head = F.concat(F.lit('{"_schema_version":"'), version, F.lit('"'))
-    body = F.substr(text, F.lit(2))
-    injected = F.when(body == "}", F.concat(head, F.lit("}"))).otherwise(
-        F.concat(head, F.lit(","), body)
-    )
-    return F.when(text.startswith("{"), injected).otherwise(text)
+    head = f"""concat('{{"_schema_version":"', {version}, '"')"""
+    body = f"substr({text}, 2)"
+    tail = f"CASE WHEN {body} = '}}' THEN '}}' ELSE concat(',', {body}) END"
+    return f"CASE WHEN {text} LIKE '{{%' THEN concat({head}, {tail}) ELSE {text} END"
 
 
-def _context_value(item: Column, column: EntityColumn) -> Column:
-    data, version = item.getField("data"), version_of(item.getField("schema"))
-    text = _shaped(item.getField("text"), column) if keeps_text(column.data_type) else None
+def _context_value(column: EntityColumn) -> str:
+    version = version_of("item.schema")
+    raw = _shaped("item.text", column)
     if isinstance(column.data_type, T.StructType):
-        members = struct_fields(data, column.data_type, text)
-        return F.struct(version.alias("_schema_version"), *members)
-    value = strict_value(data, column.data_type, text)
+        members = struct_members("item.data", column.data_type, raw)
+        return f"named_struct('_schema_version', {version}, {members})"
+    value = strict_value("item.data", column.data_type, raw)
     is_json = isinstance(column.data_type, T.VariantType)
     return _with_version(value, version) if is_json else value
 
 
-def _context_items(column: EntityColumn) -> Column:
-    """The row's items that belong to a contexts column."""
-    if not keeps_text(column.data_type):
-        return F.filter(CONTEXT_ITEMS, lambda item: _belongs(item, column))
-    paired = F.transform(
-        CONTEXT_ITEMS,
-        lambda item, i: F.struct(
-            item.getField("schema").alias("schema"),
-            item.getField("data").alias("data"),
-            F.get(F.col(_CONTEXT_TEXTS), i).alias("text"),
-        ),
-    )
-    return F.filter(paired, lambda item: _belongs(item, column))
-
-
 def _items_name(column: EntityColumn) -> str:
-    return f"_items_{column.column}"
+    return sql.name(f"_items_{column.column}")
 
 
-def _own_items(column: EntityColumn) -> Column:
+def _own_items(column: EntityColumn) -> str:
     """What a column is made from: the event's data, or the list of its context items."""
     if column.kind == UNSTRUCT:
-        item = F.col(UNSTRUCT_ITEM)
-        return F.when(_belongs(item, column), item.getField("data"))
-    return _context_items(column)
-
-
-def _value(column: EntityColumn) -> Column:
+        return f"CASE WHEN {_belongs(UNSTRUCT_ITEM, column)} THEN {UNSTRUCT_ITEM}.data END"
+    items = CONTEXT_ITEMS
+    if keeps_text(column.data_type):
+        pair = (
+            "named_struct('schema', item.schema, 'data', item.data,"
+            f" 'text', get({_CONTEXT_TEXTS}, i))"
+        )
+        items = f"transform({CONTEXT_ITEMS}, (item, i) -> {pair})"
+    return f"filter({items}, item -> {_belongs('item', column)})"
+
+
+def _value(column: EntityColumn) -> str:
     """The column's value for a row; NULL when the row has no such item."""
-    items = F.col(_items_name(column))
+    items = _items_name(column)
     if column.kind == UNSTRUCT:
-        keeps = keeps_text(column.data_type)
-        text = _shaped(F.col(_UNSTRUCT_TEXT), column) if keeps else None
-        return F.when(items.isNotNull(), strict_value(items, column.data_type, text))
-    values = F.transform(items, lambda item: _context_value(item, column))
-    return F.when(F.size(items) > 0, values)
+        value = strict_value(items, column.data_type, _shaped(_UNSTRUCT_TEXT, column))
+        return f"CASE WHEN {items} IS NOT NULL THEN {value} END"
+    values = f"transform({items}, item -> {_context_value(column)})"
+    return f"CASE WHEN size({items}) > 0 THEN {values} END"
 
 
-def _error(column: EntityColumn) -> Column:
+def _error(column: EntityColumn) -> str:
     """Why one of the row's items does not fit this column; NULL when all do."""
-    items = F.col(_items_name(column))
+    items, name = _items_name(column), column.column
     if column.kind == UNSTRUCT:
-        error = strict_error(items, column.data_type, column.column, nullable=False)
-        return F.when(items.isNotNull(), error)
-    errors = F.transform(
-        items,
-        lambda item: strict_error(
-            item.getField("data"), column.data_type, column.column, nullable=False
-        ),
-    )
-    first = F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
-    return F.when(F.size(items) > 0, first)
+        error = strict_error(items, column.data_type, name, nullable=False)
+        return f"CASE WHEN {items} IS NOT NULL THEN {error} END"
+    error = strict_error("item.data", column.data_type, name, nullable=False)
+    errors = f"filter(transform({items}, item -> {error}), x -> x IS NOT NULL)"
+    return f"CASE WHEN size({items}) > 0 THEN get({errors}, 0) END"
 
 
-def _unknown_schema(known: list[str], skipped: list[Criterion]) -> Column:
+def _unknown_schema(known: list[str], skipped: list[Criterion]) -> str:
     """Reason for a row with an item whose schema is neither registered nor skipped."""
-
-    def unknown(key: Column) -> Column:
-        return key.isNotNull() & ~key.isin(known) & ~matches_any(skipped, key)
-
-    uris = F.concat(
-        F.array(F.col(UNSTRUCT_ITEM).getField("schema")), F.col(CONTEXT_ITEMS).getField("schema")
-    )
-    keys = F.transform(uris, key_of)
-    return F.concat(F.lit("schema not found: "), F.get(F.filter(keys, unknown), F.lit(0)))
+    uris = f"concat(array({UNSTRUCT_ITEM}.schema), {CONTEXT_ITEMS}.schema)"
+    known_or_skipped = f"key IN ({sql.texts(known)}) OR {matches_any(skipped, 'key')}"
+    unknown = f"key IS NOT NULL AND NOT coalesce({known_or_skipped}, false)"
+    keys = f"transform({uris}, uri -> {key_of('uri')})"
+    return f"concat('schema not found: ', get(filter({keys}, key -> {unknown}), 0))"
 
 
 def transform_events(
@@ -166,24 +138,23 @@ def transform_events(
     ``known`` holds the keys of registered schemas; give it when events with any other
     key, unless skipped, are to fail. None means that no such key occurs.
     """
-    fixed = [f.name for f in layout.fixed]
-    carried = [*keep, *fixed, PAYLOAD, FAILURE, UNSTRUCT_ITEM, CONTEXT_ITEMS]
-    texts = [c for c in (_UNSTRUCT_TEXT, _CONTEXT_TEXTS)]
-    source = _with_texts(parsed, layout, columns)
-    routed = source.select(
-        *carried,
-        *[t for t in texts if t in source.columns],
-        *[_own_items(c).alias(_items_name(c)) for c in columns],
-    )
-    reasons = [F.col(FAILURE)]
+    fixed = [sql.name(c) for c in (*keep, *[f.name for f in layout.fixed])]
+    failure = FAILURE
     if known is not None:
-        reasons.append(_unknown_schema(known, list(skipped)))
-    reasons += [_error(c) for c in columns]
-    return routed.select(
-        *keep,
+        failure = sql.coalesce([FAILURE, _unknown_schema(known, list(skipped))])
+    source = parsed.selectExpr(
+        *fixed,
+        PAYLOAD,
+        f"{failure} AS {FAILURE}",
+        UNSTRUCT_ITEM,
+        CONTEXT_ITEMS,
+        *[f"{raw} AS {name}" for name, raw in _kept_texts(layout, columns).items()],
+    )
+    routed = source.selectExpr("*", *[f"{_own_items(c)} AS {_items_name(c)}" for c in columns])
+    return routed.selectExpr(
         *fixed,
-        *[_value(c).alias(c.column) for c in columns],
-        computed_once(F.coalesce(*reasons)).alias(FAILURE),
+        *[f"{_value(c)} AS {sql.name(c.column)}" for c in columns],
+        f"{sql.computed_once(sql.coalesce([FAILURE, *[_error(c) for c in columns]]))} AS {FAILURE}",
         PAYLOAD,
     )
 

@@ -173,7 +173,7 @@ def clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("sd:acme.test/"), "event_type")
     )
     item = inputs.described(F.concat(uri, F.lit("/jsonschema/1-0-0")), inputs.event_data())
-    lines = inputs.lines_of(inputs.events(spark, sf_dir), unstruct=inputs.envelope("unstruct", item))
+    lines = inputs.lines_of(inputs.spread_table(spark, sf_dir, "events"), unstruct=inputs.envelope("unstruct", item))
     found = discover_entities(parse_lines(lines, inputs.layout()))
     return lookup.clashing_schemas(found).withColumn("schemas", F.array_join("schemas", ","))
 
@@ -301,7 +301,7 @@ def _empty_schema_run(
     data = F.when(F.lit(open_schema) & (F.col("event_id") % 3 > 0), data).otherwise(F.lit("{}"))
     item = inputs.described(F.lit(f"sd:{inputs.VENDOR}/{name}/jsonschema/1-0-0"), data)
     lines = inputs.lines_of(
-        inputs.events(spark, sf_dir),
+        inputs.spread_table(spark, sf_dir, "events"),
         unstruct=inputs.envelope("unstruct", item),
         contexts=inputs.envelope("contexts", F.concat(F.lit("["), item, F.lit("]"))),
     )

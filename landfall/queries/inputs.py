@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from landfall.layout import Layout
 from landfall.operators.parse import parse_lines
+from landfall.sources.lines import spread
 
 VENDOR = "acme.test"
 
@@ -48,6 +49,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to be parsed or cast, over all cores even if it is one file."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k")
 
@@ -129,7 +135,7 @@ def lines_of(
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(events(spark, sf_dir))
+    return lines_of(spread_table(spark, sf_dir, "events"))
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

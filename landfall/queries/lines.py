@@ -110,7 +110,7 @@ _LINE_ITEM = """{"type":"object","properties":{
 )
 def cast_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scalars and arrays; line number 7 has its quantity as text, which must not pass."""
-    items = inputs.table(spark, sf_dir, "lineitem")
+    items = inputs.spread_table(spark, sf_dir, "lineitem")
     is_open = F.col("l_linestatus") == "O"
     day = F.substr(F.col("l_shipdate").cast("string"), F.lit(1), F.lit(10))
     tags = F.array("l_returnflag", "l_linestatus")
@@ -133,8 +133,8 @@ def cast_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = planned_type(_LINE_ITEM)
     json = items.select(F.try_parse_json(F.coalesce(text, document(quantity))).alias("json"))
     cast = json.select(
-        strict_value(F.col("json"), kind).alias("item"),
-        strict_error(F.col("json"), kind, "item").alias("failure"),
+        F.expr(strict_value("json", kind)).alias("item"),
+        F.expr(strict_error("json", kind, "item")).alias("failure"),
     )
     quantity_ok = F.when(F.col("failure").isNull(), F.col("item.quantity"))
     return cast.select(
@@ -177,7 +177,7 @@ _DECIMALS = '{"type":"object","properties":{%s}}' % ",".join(
 )
 def cast_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three precisions; a price with two decimals does not fit the one-decimal field."""
-    items = inputs.table(spark, sf_dir, "lineitem")
+    items = inputs.spread_table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     text = F.to_json(
         F.struct(
@@ -192,8 +192,8 @@ def cast_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     cast = json.select(
         "l_orderkey",
         "l_linenumber",
-        strict_value(F.col("json"), kind).alias("price"),
-        strict_error(F.col("json"), kind, "price").alias("failure"),
+        F.expr(strict_value("json", kind)).alias("price"),
+        F.expr(strict_error("json", kind, "price")).alias("failure"),
     )
     return cast.select(
         "l_orderkey",
@@ -217,7 +217,7 @@ _TIMES = """{"type":"object","properties":{
 )
 def cast_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digits below the millisecond are dropped; offsets count; days are days."""
-    orders = inputs.table(spark, sf_dir, "orders")
+    orders = inputs.spread_table(spark, sf_dir, "orders")
     day = F.substr(F.col("o_orderdate").cast("string"), F.lit(1), F.lit(10))
     text = F.to_json(
         F.struct(
@@ -227,7 +227,7 @@ def cast_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     json = orders.select("o_orderkey", F.try_parse_json(text).alias("json"))
-    times = strict_value(F.col("json"), planned_type(_TIMES)).alias("t")
+    times = F.expr(strict_value("json", planned_type(_TIMES))).alias("t")
     return json.select("o_orderkey", times).select(
         "o_orderkey",
         F.unix_millis("t.placed").alias("placed_millis"),

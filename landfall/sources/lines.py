@@ -78,3 +78,14 @@ def batch_limits(max_bytes: int = 16_000_000, mean_line_bytes: int | None = None
 def delay_trigger(max_delay_seconds: float = 1.0) -> dict[str, str]:
     """Trigger arguments that close a batch by time."""
     return {"processingTime": f"{int(max_delay_seconds * 1000)} milliseconds"}
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal the rows of a source with fewer splits than cores out over all of them.
+
+    Parsing is the costly step, and a batch that arrives in one file would run on one
+    core. Give the bare source, before any step of its own. A large source has more splits
+    than there are cores and is left as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)

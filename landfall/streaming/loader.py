@@ -19,6 +19,7 @@ from landfall.options import LoadOptions
 from landfall.plans.columns import EntityColumn, SeenVersion, plan_columns
 from landfall.sources.failed import failed_json, write_failed
 from landfall.sources.landing import batch_folder, file_count, seed, write_batch
+from landfall.sources.lines import spread
 from landfall.sources.manifest import Manifest, instant
 
 # How many unregistered versions an error message spells out.
@@ -105,7 +106,7 @@ def _version_stats(parsed: DataFrame, options: LoadOptions) -> DataFrame:
         F.min("time").alias("earliest"),
     )
     return stats.select(
-        "*", *key_parts(F.col("key")), matches_any(options.criteria, F.col("key")).alias("skipped")
+        "*", *key_parts("key"), F.expr(matches_any(options.criteria, "key")).alias("skipped")
     )
 
 
@@ -164,7 +165,7 @@ class Loader:
         attempt = manifest.start(batch_id)
         if attempt.committed:
             return BatchResult(0, 0, 0, None, repeated=True)
-        parsed = parse_lines(lines, options.layout)
+        parsed = parse_lines(spread(lines), options.layout)
         if options.cache:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
