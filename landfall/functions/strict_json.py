@@ -7,7 +7,8 @@ without them the key is the field's name. ``from_json`` and plain variant casts
 
 Every function takes the value as the SQL of a variant. Where JSON text is kept, ``raw``
 is the same value as raw text, because a variant reorders keys. ``depth`` keeps the names
-of nested lambda variables apart.
+of nested lambda variables apart. ``parts`` is the SQL of the members of a struct read
+beforehand, see :func:`read_parts`.
 """
 
 from __future__ import annotations
@@ -70,6 +71,31 @@ def _field_value(value: str, field: T.StructField) -> str:
     members = [_member(value, key) for key in keys_of(field)]
     if len(members) == 1:
         return members[0]
+    return _first_present(members)
+
+
+def read_parts(value: str, kind: T.DataType) -> str | None:
+    """One read of all members of a struct, as variants; NULL for anything but an object.
+
+    Put it in a projection of its own: the checks and the values of the members then
+    share one walk through the object. None when the type has no such read.
+    """
+    if not isinstance(kind, T.StructType):
+        return None
+    keys = [key for f in kind.fields for key in keys_of(f)]
+    if len({key.lower() for key in keys}) < len(keys):
+        return None
+    return _read(value, f"struct<{', '.join(f'{sql.name(key)} variant' for key in keys)}>")
+
+
+def _members_of(value: str, field: T.StructField, parts: str | None) -> str:
+    if parts is None:
+        return _field_value(value, field)
+    members = [f"{parts}.{sql.name(key)}" for key in keys_of(field)]
+    return members[0] if len(members) == 1 else _first_present(members)
+
+
+def _first_present(members: list[str]) -> str:
     return sql.coalesce([f"CASE WHEN NOT {_missing(m)} THEN {m} END" for m in members])
 
 
@@ -131,7 +157,12 @@ def _leaf_value(value: str, kind: T.DataType, raw: str | None = None) -> str:
 
 
 def strict_error(
-    value: str, kind: T.DataType, path: str, nullable: bool = True, depth: int = 0
+    value: str,
+    kind: T.DataType,
+    path: str,
+    nullable: bool = True,
+    depth: int = 0,
+    parts: str | None = None,
 ) -> str:
     """Why the value does not fit the type; NULL when it fits."""
     missing = "NULL" if nullable else sql.text(f"{path}: missing required value")
@@ -143,11 +174,13 @@ def strict_error(
         inner = sql.coalesce(
             [
                 strict_error(
-                    _field_value(value, f), f.dataType, f"{path}.{f.name}", f.nullable, depth
+                    _members_of(value, f, parts), f.dataType, f"{path}.{f.name}", f.nullable, depth
                 )
                 for f in kind.fields
             ]
         )
+        if parts is not None:
+            return f"CASE WHEN {parts} IS NULL THEN {wrong} ELSE {inner} END"
         return f"{checked} WHEN NOT {_is_object(value)} THEN {wrong} ELSE {inner} END"
     if isinstance(kind, T.ArrayType):
         elements, item = _elements(value), f"e{depth}"
@@ -175,11 +208,18 @@ def text_shape(kind: T.DataType) -> T.DataType | None:
     return None
 
 
-def strict_value(value: str, kind: T.DataType, raw: str | None = None, depth: int = 0) -> str:
+def strict_value(
+    value: str,
+    kind: T.DataType,
+    raw: str | None = None,
+    depth: int = 0,
+    parts: str | None = None,
+) -> str:
     """The typed value of a variant known to fit. ``raw`` is shaped by :func:`text_shape`."""
     if isinstance(kind, T.StructType):
-        members = struct_members(value, kind, raw, depth)
-        return f"CASE WHEN {_is_object(value)} THEN named_struct({members}) END"
+        members = struct_members(value, kind, raw, depth, parts)
+        is_object = _is_object(value) if parts is None else f"{parts} IS NOT NULL"
+        return f"CASE WHEN {is_object} THEN named_struct({members}) END"
     if isinstance(kind, T.ArrayType):
         item, position = f"e{depth}", f"i{depth}"
         part = f"get({raw}, {position})" if keeps_text(kind.elementType) else None
@@ -188,13 +228,19 @@ def strict_value(value: str, kind: T.DataType, raw: str | None = None, depth: in
     return f"CASE WHEN NOT is_variant_null({value}) THEN {_leaf_value(value, kind, raw)} END"
 
 
-def struct_members(value: str, kind: T.StructType, raw: str | None = None, depth: int = 0) -> str:
+def struct_members(
+    value: str,
+    kind: T.StructType,
+    raw: str | None = None,
+    depth: int = 0,
+    parts: str | None = None,
+) -> str:
     """Names and values of a struct's members, under their normalised names."""
     members = []
     for f in kind.fields:
         part = None
         if keeps_text(f.dataType):
             part = sql.coalesce([f"{raw}.{sql.name(key)}" for key in keys_of(f)])
-        member = strict_value(_field_value(value, f), f.dataType, part, depth)
+        member = strict_value(_members_of(value, f, parts), f.dataType, part, depth)
         members.append(f"{sql.text(normalize_name(f.name))}, {member}")
     return ", ".join(members)

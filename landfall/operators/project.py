@@ -11,6 +11,7 @@ from landfall.functions.names import UNSTRUCT
 from landfall.functions.schema_uri import Criterion, key_of, matches_any, version_of
 from landfall.functions.strict_json import (
     keeps_text,
+    read_parts,
     strict_error,
     strict_value,
     struct_members,
@@ -66,54 +67,83 @@ def _with_version(text: str, version: str) -> str:
     return f"CASE WHEN {text} LIKE '{{%' THEN concat({head}, {tail}) ELSE {text} END"
 
 
-def _context_value(column: EntityColumn) -> str:
-    version = version_of("item.schema")
-    raw = _shaped("item.text", column)
-    if isinstance(column.data_type, T.StructType):
-        members = struct_members("item.data", column.data_type, raw)
-        return f"named_struct('_schema_version', {version}, {members})"
-    value = strict_value("item.data", column.data_type, raw)
-    is_json = isinstance(column.data_type, T.VariantType)
-    return _with_version(value, version) if is_json else value
+def _source(item: str, text: str, column: EntityColumn) -> str:
+    """What a column's value is made from: the data, or its members if it is a struct."""
+    parts = read_parts(f"{item}.data", column.data_type)
+    members = ["'schema'", f"{item}.schema", "'data'", f"{item}.data"]
+    if parts is not None:
+        members = ["'schema'", f"{item}.schema", "'parts'", parts]
+    if keeps_text(column.data_type):
+        members += ["'text'", _shaped(text, column)]
+    return f"named_struct({', '.join(members)})"
 
 
-def _items_name(column: EntityColumn) -> str:
-    return sql.name(f"_items_{column.column}")
+def _source_name(column: EntityColumn) -> str:
+    return sql.name(f"_source_{column.column}")
 
 
-def _own_items(column: EntityColumn) -> str:
-    """What a column is made from: the event's data, or the list of its context items."""
+def _own_source(column: EntityColumn) -> str:
+    """The source of an event column, or the list of sources of a contexts column."""
     if column.kind == UNSTRUCT:
-        return f"CASE WHEN {_belongs(UNSTRUCT_ITEM, column)} THEN {UNSTRUCT_ITEM}.data END"
-    items = CONTEXT_ITEMS
+        source = _source(UNSTRUCT_ITEM, _UNSTRUCT_TEXT, column)
+        return f"CASE WHEN {_belongs(UNSTRUCT_ITEM, column)} THEN {source} END"
+    items, text = CONTEXT_ITEMS, ""
     if keeps_text(column.data_type):
+        text = "item.text"
         pair = (
             "named_struct('schema', item.schema, 'data', item.data,"
             f" 'text', get({_CONTEXT_TEXTS}, i))"
         )
         items = f"transform({CONTEXT_ITEMS}, (item, i) -> {pair})"
-    return f"filter({items}, item -> {_belongs('item', column)})"
+    own = f"filter({items}, item -> {_belongs('item', column)})"
+    return f"transform({own}, item -> {_source('item', text, column)})"
+
+
+def _parts(source: str, column: EntityColumn) -> str | None:
+    return f"{source}.parts" if read_parts("data", column.data_type) is not None else None
+
+
+def _text(source: str, column: EntityColumn) -> str | None:
+    return f"{source}.text" if keeps_text(column.data_type) else None
+
+
+def _context_value(column: EntityColumn) -> str:
+    version = version_of("item.schema")
+    kind, text, parts = column.data_type, _text("item", column), _parts("item", column)
+    if isinstance(kind, T.StructType):
+        members = struct_members("item.data", kind, text, parts=parts)
+        return f"named_struct('_schema_version', {version}, {members})"
+    value = strict_value("item.data", kind, text)
+    return _with_version(value, version) if isinstance(kind, T.VariantType) else value
 
 
 def _value(column: EntityColumn) -> str:
     """The column's value for a row; NULL when the row has no such item."""
-    items = _items_name(column)
+    source = _source_name(column)
     if column.kind == UNSTRUCT:
-        value = strict_value(items, column.data_type, _shaped(_UNSTRUCT_TEXT, column))
-        return f"CASE WHEN {items} IS NOT NULL THEN {value} END"
-    values = f"transform({items}, item -> {_context_value(column)})"
-    return f"CASE WHEN size({items}) > 0 THEN {values} END"
+        value = strict_value(
+            f"{source}.data",
+            column.data_type,
+            _text(source, column),
+            parts=_parts(source, column),
+        )
+        return f"CASE WHEN {source} IS NOT NULL THEN {value} END"
+    values = f"transform({source}, item -> {_context_value(column)})"
+    return f"CASE WHEN size({source}) > 0 THEN {values} END"
 
 
 def _error(column: EntityColumn) -> str:
     """Why one of the row's items does not fit this column; NULL when all do."""
-    items, name = _items_name(column), column.column
+    source, name = _source_name(column), column.column
+
+    def error(item: str) -> str:
+        parts = _parts(item, column)
+        return strict_error(f"{item}.data", column.data_type, name, nullable=False, parts=parts)
+
     if column.kind == UNSTRUCT:
-        error = strict_error(items, column.data_type, name, nullable=False)
-        return f"CASE WHEN {items} IS NOT NULL THEN {error} END"
-    error = strict_error("item.data", column.data_type, name, nullable=False)
-    errors = f"filter(transform({items}, item -> {error}), x -> x IS NOT NULL)"
-    return f"CASE WHEN size({items}) > 0 THEN get({errors}, 0) END"
+        return f"CASE WHEN {source} IS NOT NULL THEN {error(source)} END"
+    errors = f"filter(transform({source}, item -> {error('item')}), x -> x IS NOT NULL)"
+    return f"CASE WHEN size({source}) > 0 THEN get({errors}, 0) END"
 
 
 def _unknown_schema(known: list[str], skipped: list[Criterion]) -> str:
@@ -150,7 +180,7 @@ def transform_events(
         CONTEXT_ITEMS,
         *[f"{raw} AS {name}" for name, raw in _kept_texts(layout, columns).items()],
     )
-    routed = source.selectExpr("*", *[f"{_own_items(c)} AS {_items_name(c)}" for c in columns])
+    routed = source.selectExpr("*", *[f"{_own_source(c)} AS {_source_name(c)}" for c in columns])
     return routed.selectExpr(
         *fixed,
         *[f"{_value(c)} AS {sql.name(c.column)}" for c in columns],

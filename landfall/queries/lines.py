@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.functions.names import normalized
-from landfall.functions.strict_json import strict_error, strict_value
+from landfall.functions.strict_json import read_parts, strict_error, strict_value
 from landfall.operators.parse import failed_rows, good_rows
 from landfall.options import Processor
 from landfall.plans.field_types import planned_type
@@ -99,6 +100,16 @@ _LINE_ITEM = """{"type":"object","properties":{
  },"required":["orderkey","quantity"]}"""
 
 
+def _cast(json: DataFrame, kind: T.DataType, name: str) -> DataFrame:
+    """The typed value of column ``json`` as column ``name``, and why it does not fit."""
+    read = json.selectExpr("*", f"{read_parts('json', kind)} AS parts")
+    return read.selectExpr(
+        *[c for c in json.columns if c != "json"],
+        f"{strict_value('json', kind, parts='parts')} AS {name}",
+        f"{strict_error('json', kind, name, parts='parts')} AS failure",
+    )
+
+
 @query(
     "cast_scalars",
     """SELECT l_orderkey AS orderkey, CAST(l_linenumber AS INTEGER) AS linenumber,
@@ -132,10 +143,7 @@ def cast_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("l_linenumber") == 7, document(quantity.cast("string")))
     kind = planned_type(_LINE_ITEM)
     json = items.select(F.try_parse_json(F.coalesce(text, document(quantity))).alias("json"))
-    cast = json.select(
-        F.expr(strict_value("json", kind)).alias("item"),
-        F.expr(strict_error("json", kind, "item")).alias("failure"),
-    )
+    cast = _cast(json, kind, "item")
     quantity_ok = F.when(F.col("failure").isNull(), F.col("item.quantity"))
     return cast.select(
         "item.orderkey",
@@ -189,12 +197,7 @@ def cast_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kind = planned_type(_DECIMALS)
     json = items.select("l_orderkey", "l_linenumber", F.try_parse_json(text).alias("json"))
-    cast = json.select(
-        "l_orderkey",
-        "l_linenumber",
-        F.expr(strict_value("json", kind)).alias("price"),
-        F.expr(strict_error("json", kind, "price")).alias("failure"),
-    )
+    cast = _cast(json, kind, "price")
     return cast.select(
         "l_orderkey",
         "l_linenumber",
@@ -227,8 +230,7 @@ def cast_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     json = orders.select("o_orderkey", F.try_parse_json(text).alias("json"))
-    times = F.expr(strict_value("json", planned_type(_TIMES))).alias("t")
-    return json.select("o_orderkey", times).select(
+    return _cast(json, planned_type(_TIMES), "t").select(
         "o_orderkey",
         F.unix_millis("t.placed").alias("placed_millis"),
         F.unix_millis("t.shifted").alias("shifted_millis"),

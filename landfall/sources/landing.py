@@ -60,9 +60,15 @@ def write_batch(events: DataFrame, folder: str, codec: str = "snappy", files: in
         out.write.mode("overwrite").option("compression", codec_name(codec)).parquet(folder)
 
 
-def file_count(batch_bytes: int, target_file_bytes: int) -> int:
-    """One file for a small batch; more as it grows, so no task writes a whole big one."""
-    return max(1, ceil(batch_bytes / target_file_bytes))
+# A small batch is still worth several writers, down to files of this many bytes of input.
+_SMALLEST_SHARE = 16_000_000
+
+
+def file_count(batch_bytes: int, target_file_bytes: int, cores: int) -> int:
+    """Files, and so writers, of a batch: by target size, or one per core for a small batch."""
+    wanted = ceil(batch_bytes / target_file_bytes)
+    shares = ceil(batch_bytes / min(_SMALLEST_SHARE, target_file_bytes))
+    return max(1, wanted, min(cores, shares))
 
 
 def write_partitioned(

@@ -200,7 +200,8 @@ class Loader:
             # Without bad rows no row needs its checks a second time.
             landed = assemble(events, options.layout, plan.columns, all_good=not bad)
             folder = batch_folder(options.landing, load_time, tag)
-            files = file_count(plan.bytes, options.target_file_bytes)
+            cores = parsed.sparkSession.sparkContext.defaultParallelism
+            files = file_count(plan.bytes, options.target_file_bytes, cores)
             write_batch(landed, folder, options.codec, files)
         names = tuple(c.column for c in plan.columns)
         return BatchResult(good, bad, plan.bytes, plan.earliest, names)
