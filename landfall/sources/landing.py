@@ -106,9 +106,11 @@ def read_landing(
     reader = spark.read.option("mergeSchema", True)
     if not partition_columns:
         reader = reader.option("recursiveFileLookup", True)
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader.parquet(landing)
+    if modified_after is None:
+        return reader.parquet(landing)
+    # The columns are those of all files, whichever are left out.
+    schema = read_landing(spark, landing, partition_columns=partition_columns).schema
+    return reader.schema(schema).option("modifiedAfter", modified_after).parquet(landing)
 
 
 def landing_schema(spark: SparkSession, landing: str) -> T.StructType:
