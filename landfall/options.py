@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from landfall.functions.schema_uri import Criterion
@@ -41,6 +42,10 @@ class LoadOptions:
     strict: bool = True
     override_load_time: bool = False
     failed_max_bytes: int = FAILED_SIZE_LIMITS["kafka"]
+    # Failed events go to text files below ``failed``, or to any other batch sink that takes
+    # a ``value`` column, such as "kafka" with its options.
+    failed_format: str = "text"
+    failed_options: Mapping[str, str] = field(default_factory=dict)
     target_file_bytes: int = 128 * 1024 * 1024
     # Keep parsed rows between the passes over one batch. Right for a stream, whose
     # batches are bounded; switch off to re-scan the source of a huge static frame.

@@ -210,7 +210,7 @@ def _failed_documents(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataF
     folder = scratch_folder(spark, "failed-documents")
     documents = inputs.table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
     failed = failed_rows(parse_lines(documents, inputs.layout()), PROCESSOR)
-    write_failed(failed_json(failed, max_bytes), folder)
+    write_failed(failed_json(failed, max_bytes), folder, "documents")
     return read_failed(spark, folder)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.sources.landing import LOAD_BATCH
+
 FAILED_FIELDS = ("processor_name", "processor_version", "failure", "payload")
 
 
@@ -36,9 +39,26 @@ def _json(failure: Column, payload: Column) -> Column:
     )
 
 
-def write_failed(texts: DataFrame, folder: str) -> None:
-    """JSON lines in a batch's own folder; a retry replaces them."""
-    texts.write.mode("overwrite").text(folder)
+def write_failed(texts: DataFrame, root: str, batch: str) -> int:
+    """JSON lines in a batch's own folder, which a retry replaces; returns how many.
+
+    Nothing is written when there are none. The lines are counted in what was written,
+    which is little, instead of deriving them from the batch a second time.
+    """
+    (
+        texts.withColumn(LOAD_BATCH, F.lit(batch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOAD_BATCH)
+        .text(root)
+    )
+    try:
+        written = texts.sparkSession.read.text(f"{root.rstrip('/')}/{LOAD_BATCH}={batch}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    return written.count()
 
 
 def send_failed(texts: DataFrame, kind: str, options: dict[str, str]) -> None:
@@ -46,7 +66,7 @@ def send_failed(texts: DataFrame, kind: str, options: dict[str, str]) -> None:
     texts.write.format(kind).options(**options).mode("append").save()
 
 
-def read_failed(spark, folder: str) -> DataFrame:
+def read_failed(spark: SparkSession, folder: str) -> DataFrame:
     fields = ", ".join(f"{name} string" for name in FAILED_FIELDS)
     lines = spark.read.option("recursiveFileLookup", True).text(folder)
     return lines.select(F.from_json("value", fields).alias("event")).select("event.*")

@@ -72,13 +72,23 @@ def file_count(batch_bytes: int, target_file_bytes: int, cores: int) -> int:
 
 
 def write_partitioned(
-    events: DataFrame, landing: str, load_time: Column, codec: str = "snappy"
+    events: DataFrame,
+    landing: str,
+    load_time: Column,
+    spread: str = "event_id",
+    codec: str = "snappy",
 ) -> None:
-    """Append rows whose load times differ, each under its own UTC day."""
+    """Append rows whose load times differ, each under its own UTC day.
+
+    Rows are ranged by day first, so that a task writes few days and a day few files; the
+    range also runs over a hash of ``spread``, so that a day that holds most rows is
+    written by many tasks.
+    """
+    dated = events.withColumn(LOAD_DATE, load_date_of(load_time))
+    ranged = dated.repartitionByRange(F.col(LOAD_DATE), F.xxhash64(spread))
     with session_conf(events.sparkSession, _WRITE_CONF):
         (
-            events.withColumn(LOAD_DATE, load_date_of(load_time))
-            .write.mode("append")
+            ranged.write.mode("append")
             .partitionBy(LOAD_DATE)
             .option("compression", codec_name(codec))
             .parquet(landing)
@@ -95,22 +105,26 @@ def seed(spark: SparkSession, layout: Layout, landing: str, load_time: datetime)
 def read_landing(
     spark: SparkSession,
     landing: str,
+    schema: T.StructType | None = None,
     modified_after: str | None = None,
     partition_columns: bool = False,
 ) -> DataFrame:
     """All landed rows under the union of their columns; older rows have NULL in newer ones.
 
-    ``partition_columns`` keeps the folder names as columns, so that a filter on the load
-    date skips whole days.
+    Without a ``schema`` the footers of all files are read to unite their columns. The
+    batch log knows them as well (``sources.manifest.logged_schema``), which is quicker
+    on a large folder. ``partition_columns`` keeps the folder names as columns, so that a
+    filter on the load date skips whole days.
     """
-    reader = spark.read.option("mergeSchema", True)
+    if schema is None and modified_after is not None:
+        # The columns are those of all files, whichever are left out.
+        schema = read_landing(spark, landing, partition_columns=partition_columns).schema
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     if not partition_columns:
         reader = reader.option("recursiveFileLookup", True)
-    if modified_after is None:
-        return reader.parquet(landing)
-    # The columns are those of all files, whichever are left out.
-    schema = read_landing(spark, landing, partition_columns=partition_columns).schema
-    return reader.schema(schema).option("modifiedAfter", modified_after).parquet(landing)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.parquet(landing)
 
 
 def landing_schema(spark: SparkSession, landing: str) -> T.StructType:

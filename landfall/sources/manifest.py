@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.layout import Layout
+from landfall.plans.field_types import merge_types
+
 STARTED, COMMITTED = "started", "committed"
 _BATCHES_PER_FOLDER = 100
 
@@ -32,6 +35,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("bytes", T.LongType()),
         T.StructField("earliest", T.TimestampType()),
         T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
@@ -98,3 +102,19 @@ def batch_log(spark: SparkSession, path: str) -> DataFrame:
     """Committed batches of every query."""
     log = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(path)
     return log.where(F.col("state") == COMMITTED).drop("state")
+
+
+def logged_schema(spark: SparkSession, path: str, layout: Layout) -> T.StructType:
+    """Merged schema of the landing folder, from the columns each batch recorded.
+
+    Batches differ in their columns in countless ways, but there are few distinct columns:
+    only those reach the driver.
+    """
+    recorded = batch_log(spark, path).select(F.explode("columns").alias("name", "type")).distinct()
+    merged: dict[str, T.DataType] = {}
+    for row in sorted(recorded.collect()):
+        kind = T._parse_datatype_json_string(row["type"])
+        known = merged.get(row["name"])
+        merged[row["name"]] = kind if known is None else merge_types(known, kind)
+    entities = [T.StructField(name, merged[name]) for name in sorted(merged)]
+    return T.StructType([*layout.base_schema.fields, *entities])

@@ -17,7 +17,7 @@ from landfall.operators.project import assemble, override_load_time, transform_e
 from landfall.operators.registry import registered_versions, resolve
 from landfall.options import LoadOptions
 from landfall.plans.columns import EntityColumn, SeenVersion, plan_columns
-from landfall.sources.failed import failed_json, write_failed
+from landfall.sources.failed import failed_json, send_failed, write_failed
 from landfall.sources.landing import batch_folder, file_count, seed, write_batch
 from landfall.sources.lines import spread
 from landfall.sources.manifest import Manifest, instant
@@ -48,7 +48,7 @@ class BatchResult:
     bad: int
     bytes: int
     earliest: datetime | None
-    columns: tuple[str, ...] = ()
+    columns: tuple[EntityColumn, ...] = ()
     repeated: bool = False
 
 
@@ -180,6 +180,7 @@ class Loader:
             bad=result.bad,
             bytes=result.bytes,
             earliest=result.earliest,
+            columns={c.column: c.output_type.json() for c in result.columns},
         )
         return result
 
@@ -187,12 +188,9 @@ class Loader:
         options = self.options
         plan = plan_batch(parsed, self.registry, options)
         events = self.transform(parsed, plan)
-        bad = events.where(F.col(FAILURE).isNotNull()).count() if plan.rows else 0
-        good = plan.rows - bad
         tag = f"{self.name}-{batch_id}"
-        if bad:
-            texts = failed_json(failed_rows(events, options.processor), options.failed_max_bytes)
-            write_failed(texts, f"{options.failed.rstrip('/')}/load_batch={tag}")
+        bad = self._send_failed(events, tag) if plan.rows else 0
+        good = plan.rows - bad
         if good:
             if options.override_load_time:
                 now = F.timestamp_micros(F.lit(int(load_time.timestamp() * 1_000_000)))
@@ -203,8 +201,20 @@ class Loader:
             cores = parsed.sparkSession.sparkContext.defaultParallelism
             files = file_count(plan.bytes, options.target_file_bytes, cores)
             write_batch(landed, folder, options.codec, files)
-        names = tuple(c.column for c in plan.columns)
-        return BatchResult(good, bad, plan.bytes, plan.earliest, names)
+        columns = tuple(plan.columns) if good else ()
+        return BatchResult(good, bad, plan.bytes, plan.earliest, columns)
+
+    def _send_failed(self, events: DataFrame, tag: str) -> int:
+        """Send a batch's failed events; returns how many there are."""
+        options = self.options
+        failed = failed_rows(events, options.processor)
+        texts = failed_json(failed, options.failed_max_bytes)
+        if options.failed_format == "text":
+            return write_failed(texts, options.failed, tag)
+        count = failed.count()
+        if count:
+            send_failed(texts, options.failed_format, dict(options.failed_options))
+        return count
 
     def run(self, lines: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start the stream. A batch counts as read only once ``process`` has returned."""

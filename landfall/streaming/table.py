@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landfall.operators.table import with_load_tstamp
@@ -11,16 +12,20 @@ from landfall.sources.landing import landing_schema
 
 
 def stream_landing(
-    spark: SparkSession, landing: str, landed_after: Column | None = None
+    spark: SparkSession,
+    landing: str,
+    landed_after: Column | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Stream of landed rows under the columns known now; folder names are no columns.
 
     The schema is fixed when the stream starts. Start it again on the same checkpoint
     to take up columns that appeared since; only new files are read. ``landed_after``
-    leaves out files that were there before a time.
+    leaves out files that were there before a time. ``schema`` spares the reading of all
+    footers, see ``sources.manifest.logged_schema``.
     """
     rows = (
-        spark.readStream.schema(landing_schema(spark, landing))
+        spark.readStream.schema(schema or landing_schema(spark, landing))
         .option("recursiveFileLookup", True)
         .parquet(landing)
     )
@@ -36,10 +41,11 @@ def ingest(
     checkpoint: str,
     landed_after: Column | None = None,
     load_tstamp: Column | None = None,
+    schema: T.StructType | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Append landed rows with their load time to a Parquet table."""
-    rows = with_load_tstamp(stream_landing(spark, landing, landed_after), load_tstamp)
+    rows = with_load_tstamp(stream_landing(spark, landing, landed_after, schema), load_tstamp)
     writer = rows.writeStream.format("parquet").option("path", table)
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -13,7 +13,7 @@ from landfall.plans.columns import ClashingSchemas
 from landfall.sources import landing as landing_module
 from landfall.sources.failed import read_failed
 from landfall.sources.landing import read_landing
-from landfall.sources.manifest import Manifest, batch_log
+from landfall.sources.manifest import Manifest, batch_log, logged_schema
 from landfall.streaming import loader as loader_module
 from landfall.streaming.loader import Loader, MissingSchemas
 
@@ -127,7 +127,7 @@ def test_broken_evolution_is_recovered_in_events(load):
         events.line("b", events.own("test/broken/jsonschema/1-0-1", {"col_a": 123})),
         events.line("c"),
     )
-    main, recovered = result.columns
+    main, recovered = [c.column for c in result.columns]
     assert recovered.startswith(f"{main}_recovered_1_0_1_")
     assert values(landed, main, recovered) == {
         (("xyz",), None),
@@ -148,7 +148,7 @@ def test_broken_evolution_is_recovered_in_contexts(load):
         ),
         events.line("c"),
     )
-    main, recovered = result.columns
+    main, recovered = [c.column for c in result.columns]
     rows = {r["event_id"]: (r[main], r[recovered]) for r in landed.collect()}
     assert rows["c"] == (None, None)
     assert [tuple(x) for x in rows["a"][0]] == [("1-0-0", "xyz")]
@@ -257,6 +257,13 @@ def test_size_cap_on_failed_events(spark, load):
     assert failed[("long" * 100)[:30]].startswith("size violation: ")
 
 
+def test_failed_events_to_another_sink(spark, load, tmp_path):
+    out = str(tmp_path / "sink")
+    for texts in ((events.line("a"),), ("nonsense",)):
+        load(*texts, failed_format="parquet", failed_options={"path": out}, batch_id=len(texts[0]))
+    assert spark.read.parquet(out).count() == 1
+
+
 def test_load_time_override_is_one_value(load):
     texts = [events.line(i, etl="2001-01-01 00:00:00") for i in "ab"]
     _, landed = load(*texts, override_load_time=True)
@@ -310,6 +317,11 @@ def test_columns_evolve_from_batch_to_batch(load):
     )
     assert values(landed, "event_id", f"{OWN}_steady_7.col_b") == {("a", None), ("b", "y"), ("c", None)}
     assert landed.where(f"{LIST}_broken_1 IS NOT NULL").count() == 1
+    options, spark = load.options, landed.sparkSession
+    logged = logged_schema(spark, options.manifest, options.layout)
+    assert set(logged.fieldNames()) == set(landed.columns)
+    quick = read_landing(spark, options.landing, schema=logged).select(landed.columns)
+    assert {str(r) for r in quick.collect()} == {str(r) for r in landed.collect()}
 
 
 def test_uncached_load_gives_the_same(load):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import events
-import pytest
 
 from landfall.operators.entities import discover_entities
 from landfall.operators.parse import good_rows, parse_lines
@@ -63,12 +62,3 @@ def test_filter_on_load_date_prunes_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(load_tstamp_date" in text
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,1)]" in text
     assert one.count() == 1
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_pairs_all_rows_or_uses_python_workers(spark, name):
-    if name in ("landing_manifest",):  # joins one counted row to the log
-        return
-    text = plan(QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text and "MapInPandas" not in text

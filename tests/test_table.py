@@ -59,7 +59,7 @@ def test_session_options_are_put_back(spark):
 def test_load_date_is_the_utc_day(spark, tmp_path):
     assert load_date(datetime.fromisoformat("2024-03-01T00:30:00+02:00")) == "2024-02-29"
     rows = spark.sql("SELECT timestamp_millis(1709251199000) t UNION ALL SELECT timestamp_millis(1709251200000)")
-    write_partitioned(rows, str(tmp_path), F.col("t"))
+    write_partitioned(rows, str(tmp_path), F.col("t"), spread="t")
     assert sorted(p.name for p in tmp_path.glob("load_*")) == [
         "load_tstamp_date=2024-02-29",
         "load_tstamp_date=2024-03-01",
