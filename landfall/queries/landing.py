@@ -135,7 +135,7 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "seed_empty",
-    f"""SELECT event_id, (epoch_us(ts) // 1000) AS collector_millis, NULL AS etl_millis,
+    f"""SELECT event_id, (epoch_us(ts) // 1000) AS collector_millis, CAST(NULL AS BIGINT) AS etl_millis,
     event_type AS event_name FROM events WHERE {SQL_GOOD}""",
 )
 def seed_empty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 EARLIEST, LATEST = "earliest", "latest"
+_PLACE = "_place"
 _FILE_FORMATS = {"text", "parquet", "orc", "json", "csv"}
 
 
@@ -84,8 +85,13 @@ def spread(rows: DataFrame) -> DataFrame:
     """Deal the rows of a source with fewer splits than cores out over all of them.
 
     Parsing is the costly step, and a batch that arrives in one file would run on one
-    core. Give the bare source, before any step of its own. A large source has more splits
-    than there are cores and is left as it is, without a shuffle.
+    core. Give the bare source, before any step of its own: rows are dealt by their place
+    in it, which a re-read does not change, so no sort is needed to make retries safe, and
+    equal rows spread as well as others. A large source has more splits than there are
+    cores and is left as it is, without a shuffle.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    placed = rows.withColumn(_PLACE, F.monotonically_increasing_id())
+    return placed.repartition(cores, _PLACE).drop(_PLACE)
