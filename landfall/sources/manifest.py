@@ -10,10 +10,10 @@ log is.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,8 +90,24 @@ class Manifest:
             "load_tstamp": attempt.load_tstamp,
             **values,
         }
-        frame = self.spark.createDataFrame([tuple(row.get(f) for f in LOG_SCHEMA.names)], LOG_SCHEMA)
-        frame.coalesce(1).write.mode("append").parquet(self._folder(batch_id))
+        cells = [_literal(row.get(f.name), f) for f in LOG_SCHEMA.fields]
+        one = self.spark.range(1).coalesce(1).select(*cells)
+        one.write.mode("append").parquet(self._folder(batch_id))
+
+
+def _literal(value, field: T.StructField) -> Column:
+    """A log value as a column; instants by their microseconds, whatever the session's zone."""
+    if isinstance(value, datetime):
+        column = F.timestamp_micros(F.lit(_micros(value)))
+    elif isinstance(value, dict) and value:
+        column = F.create_map(*[F.lit(x) for pair in value.items() for x in pair])
+    else:
+        column = F.lit(None if isinstance(value, dict) else value)
+    return column.cast(field.dataType).alias(field.name)
+
+
+def _micros(time: datetime) -> int:
+    return (time - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
 
 
 def instant(micros: int) -> datetime:
