@@ -115,7 +115,8 @@ def _json_type(value: str) -> str:
 def _decimal_fits(value: str, kind: T.DecimalType) -> str:
     """In range and exact: reads as decimals round, so the stored scale is compared."""
     json_type, target = _json_type(value), _read(value, kind.simpleString())
-    scale = rf"try_cast(regexp_extract({json_type}, ',([0-9]+)\\)', 1) AS INT)"
+    # The type reads DECIMAL(precision,scale).
+    scale = f"try_cast(rtrim(')', substring_index({json_type}, ',', -1)) AS INT)"
     return (
         f"({target} IS NOT NULL AND CASE WHEN {json_type} = 'BIGINT' THEN true"
         f" WHEN {json_type} LIKE 'DECIMAL%' THEN {scale} <= {kind.scale}"

@@ -16,6 +16,7 @@ from landfall.queries.inputs import SQL_GOOD
 from landfall.queries.lines import PROCESSOR, SQL_LINE
 from landfall.sources.failed import failed_json, read_failed, write_failed
 from landfall.sources.landing import (
+    LOAD_BATCH,
     LOAD_DATE,
     batch_folder,
     read_landing,
@@ -110,8 +111,7 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     count(*) FILTER ({SQL_GOOD}) AS good, count(*) FILTER (NOT ({SQL_GOOD})) AS bad,
     CAST(sum(strlen({SQL_LINE})) AS BIGINT) AS bytes,
     min((epoch_us(ts) // 1000)) FILTER (event_id % 47 <> 7) AS earliest_millis,
-    (SELECT count(*) FROM events WHERE {SQL_GOOD}) AS landed
-    FROM events GROUP BY event_id % 2""",
+    count(*) FILTER ({SQL_GOOD}) AS landed FROM events GROUP BY event_id % 2""",
 )
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, one of them delivered twice; the second delivery changes nothing."""
@@ -120,7 +120,8 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = inputs.events(spark, sf_dir)
     for batch_id in (0, 1, 0):
         loader.process(inputs.lines_of(source.where(F.col("event_id") % 2 == batch_id)), batch_id)
-    landed = read_landing(spark, options.landing).agg(F.count("*").alias("landed"))
+    rows = read_landing(spark, options.landing, partition_columns=True)
+    landed = rows.groupBy(LOAD_BATCH).agg(F.count("*").alias("landed"))
     log = batch_log(spark, options.manifest).select(
         "batch_id",
         "attempt",
@@ -128,9 +129,9 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bad",
         "bytes",
         F.unix_millis("earliest").alias("earliest_millis"),
+        F.concat_ws("-", "query_id", "batch_id").alias(LOAD_BATCH),
     )
-    # The count is a single row.
-    return log.join(F.broadcast(landed), F.lit(True))
+    return log.join(landed, LOAD_BATCH, "left").drop(LOAD_BATCH)
 
 
 @query(

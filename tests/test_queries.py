@@ -32,7 +32,5 @@ def test_query_agrees_with_sql(spark, db, name):
     result = queries()[name](spark, SF)
     assert compare(result, db, name) == ""
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
-    # One query joins a single counted row to the batch log.
-    assert "NestedLoopJoin" not in plan or name == "landing_manifest"
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert not re.search("EvalPython|InPandas|InArrow", plan)
