@@ -51,7 +51,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table about to be parsed or cast, over all cores even if it is one file."""
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), stable_order=True)
 
 
 def _k() -> Column:

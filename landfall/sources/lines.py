@@ -81,17 +81,22 @@ def delay_trigger(max_delay_seconds: float = 1.0) -> dict[str, str]:
     return {"processingTime": f"{int(max_delay_seconds * 1000)} milliseconds"}
 
 
-def spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame, stable_order: bool = False) -> DataFrame:
     """Deal the rows of a source with fewer splits than cores out over all of them.
 
     Parsing is the costly step, and a batch that arrives in one file would run on one
-    core. Give the bare source, before any step of its own: rows are dealt by their place
-    in it, which a re-read does not change, so no sort is needed to make retries safe, and
-    equal rows spread as well as others. A large source has more splits than there are
-    cores and is left as it is, without a shuffle.
+    core. A large source has more splits than there are cores and is left as it is,
+    without a shuffle; give the source before any shuffle of its own, since counting its
+    splits would run that.
+
+    Rows are dealt in turn, so equal rows spread as well as others. Spark sorts them first,
+    lest a retried task deal them differently; ``stable_order`` says that a re-read gives
+    the same rows in the same order, as a bare file scan does, and spares the sort.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() >= cores:
         return rows
+    if not stable_order:
+        return rows.repartition(cores)
     placed = rows.withColumn(_PLACE, F.monotonically_increasing_id())
     return placed.repartition(cores, _PLACE).drop(_PLACE)

@@ -178,7 +178,10 @@ def test_source_options():
 def test_spread_leaves_wide_sources_alone(spark):
     wide = spark.range(100, numPartitions=50)
     assert sources.spread(wide) is wide
-    assert sources.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
+    for stable in (False, True):
+        dealt = sources.spread(spark.range(100, numPartitions=1), stable_order=stable)
+        assert dealt.rdd.getNumPartitions() == 8
+        assert sorted(r[0] for r in dealt.collect()) == list(range(100))
 
 
 def test_size_limit_makes_several_batches(spark, tmp_path):
