@@ -8,6 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.llm import divergence, licenses, toxicity
 from landfall.llm.byte_pairs import round_trip_digests
 from landfall.llm.packing import pack
 from landfall.llm.shared import let_workers_import, table
@@ -51,3 +52,19 @@ def op2_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), word_tokenizer(), END_ID)
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn_stems(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
