@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import divergence, jaccard, licenses, toxicity
+from landfall.llm import divergence, jaccard, licenses, suffix_repeats, toxicity
 from landfall.llm.byte_pairs import round_trip_digests
 from landfall.llm.packing import pack
 from landfall.llm.shared import let_workers_import, table
@@ -74,3 +74,8 @@ def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.removal_digests(table(spark, sf_dir, "documents"))
