@@ -199,6 +199,10 @@ _PAIR, _MEMBER, _HUB = range(3)
 _PART = 20_000
 #: Groups of a token that more than this share of the documents holds are dealt over all tasks.
 _HOT_SHARE = 0.05
+#: Size and place travel in one number.
+_PLACE_BITS = 32
+#: Up to so many keys of candidates (8 bytes each) are broadcast; more are joined by a shuffle.
+_MOST_BROADCAST = 1_000_000
 
 
 def _fits(n_a, n_b, at_a, at_b, percent: int):
@@ -207,8 +211,8 @@ def _fits(n_a, n_b, at_a, at_b, percent: int):
     return (100 * n_a >= percent * n_b) & (room >= least_overlap(n_a + n_b, percent))
 
 
-def _group_pairs(percent: int, all_pairs: int):
-    """Rows sorted by (token, salt, n, set_id) to candidates, rows of large groups and their hubs."""
+def _group_pairs(percent: int, all_pairs: int, hot: list[int], salts: int):
+    """Rows sorted by (token, salt, n, place, set_id) to candidates, rows of large groups and their hubs."""
 
     def pairs_of(t, salt, s, n, p) -> list[pa.RecordBatch]:
         """Of whole groups, or parts of large ones."""
@@ -254,8 +258,11 @@ def _group_pairs(percent: int, all_pairs: int):
 
     def run(batches: Batches) -> Batches:
         rest: list[np.ndarray] | None = None
+        dealt = np.array(sorted(hot), np.int64)
         for batch in batches:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            t, s, size_place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            salt = np.where(np.isin(t, dealt), np.mod(s, salts), -1)
+            now = [t, salt, s, size_place >> _PLACE_BITS, size_place & ((1 << _PLACE_BITS) - 1)]
             now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
             t, salt = now[:2]
             cut = int(np.flatnonzero((t != t[-1]) | (salt != salt[-1]))[-1]) + 1 if (t[0], salt[0]) != (t[-1], salt[-1]) else 0
@@ -285,13 +292,14 @@ def _orders_agree(percent: int, orders: int):
     return run
 
 
-def _verify(percent: int):
+def _verify(percent: int, words: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                both = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-                keep.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
+                p, q = token_set(x, words), token_set(y, words)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     return run
@@ -304,18 +312,6 @@ def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
 
-def _binary_sets(words: int):
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            seen: dict[int, bytes] = {}
-            for text in batch.column(0).to_pylist():
-                tokens = token_set(text or "", words)
-                seen.setdefault(set_id(tokens), tokens.astype("<u8").tobytes())
-            yield _rows(["set_id", "tokens"], [pa.int64(), pa.binary()], [list(seen), list(seen.values())])
-
-    return run
-
-
 def components(links: DataFrame) -> DataFrame:
     """(set_id, component) of the linked classes: least labels by neighbours, then by jumps."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -356,13 +352,14 @@ def classes_and_links(
     # at most tokens per document / _HOT_SHARE of them
     least_hot = max(_PART, _HOT_SHARE * members.count())
     hot = [t for t, c in frequent if c > least_hot]
-    salt = F.pmod("set_id", F.lit(shuffle_width(docs.sparkSession)))
-    salt = F.when(F.col("token").isin(hot), salt).otherwise(F.lit(-1)) if hot else F.lit(-1)
-    rows = rows.select(
-        "token", salt.cast("long").alias("salt"), "set_id", "n", F.col("place").cast("long").alias("place")
-    )
-    sorted_rows = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "set_id")
-    grouped = written(sorted_rows.mapInArrow(_group_pairs(percent, ALL_PAIRS), _GROUPED), "jaccard-groups")
+    salts = shuffle_width(docs.sparkSession)
+    salt = F.when(F.col("token").isin(hot), F.pmod("set_id", F.lit(salts))).otherwise(-1) if hot else F.lit(-1)
+    size_place = F.shiftleft("n", _PLACE_BITS) + F.col("place")
+    rows = rows.select("token", "set_id", size_place.alias("size_place"))
+    by = ["token", salt] if hot else ["token"]
+    sorted_rows = rows.repartition(*by).sortWithinPartitions(*by, "size_place", "set_id")
+    grouped = sorted_rows.mapInArrow(_group_pairs(percent, ALL_PAIRS, hot, salts), _GROUPED)
+    grouped = written(grouped, "jaccard-groups")
     hubs = grouped.where(F.col("kind") == _HUB).select("token", "a", "place")
     best = hubs.groupBy("token").agg(F.min(F.struct("place", "a")).alias("best")).select("token", "best.a")
     over = hubs.join(best.withColumnRenamed("a", "b"), "token").where("a <> b")
@@ -376,10 +373,11 @@ def classes_and_links(
     def verified(pairs: DataFrame) -> DataFrame:
         ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "set_id")
         keys = members.join(ends, "set_id").groupBy("set_id").agg(F.min("text_key").alias("text_key"))
-        chosen = texts.join(keys.select("text_key").distinct(), "text_key", "left_semi").select("text")
-        sets = chosen.mapInArrow(_binary_sets(words), "set_id long, tokens binary")
-        sets = written(sets.groupBy("set_id").agg(F.first("tokens").alias("tokens")), "jaccard-sets")
-        checked = _with_both(pairs, sets, "tokens").mapInArrow(_verify(percent), "a long, b long")
+        keys = written(keys, "jaccard-keys")
+        few = keys.count() <= _MOST_BROADCAST
+        wanted = texts.join(F.broadcast(keys) if few else keys, "text_key").select("set_id", "text")
+        wanted = written(wanted.dropDuplicates(["set_id"]), "jaccard-texts")
+        checked = _with_both(pairs, wanted, "text").mapInArrow(_verify(percent, words), "a long, b long")
         return written(checked, "jaccard-links")
 
     tried = agreed(grouped.where(F.col("kind") == _PAIR).select("a", "b").unionByName(over).distinct())
