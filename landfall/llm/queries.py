@@ -7,8 +7,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from landfall.llm import divergence, jaccard, licenses, suffix_repeats, toxicity
+from landfall.llm import divergence, jaccard, licenses, neighbours, suffix_repeats, toxicity
 from landfall.llm.byte_pairs import round_trip_digests
 from landfall.llm.packing import pack
 from landfall.llm.shared import let_workers_import, table
@@ -79,3 +80,13 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
+#: The stated query set: rows whose id this divides.
+QUERY_EVERY = 20
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0))
