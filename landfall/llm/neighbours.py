@@ -32,7 +32,7 @@ FITTED = 20_000
 PER_LIST = 400
 MOST_LISTS = 4_096
 #: Share of the lists that a query probes, and at least so many.
-PROBED_SHARE = 0.5
+PROBED_SHARE = 0.8
 LEAST_PROBED = 16
 BLOCK = 2_048
 STEP = 16
