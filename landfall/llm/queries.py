@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import divergence, jaccard, licenses, neighbours, suffix_repeats, toxicity
+from landfall.llm import divergence, jaccard, kneser_ney, licenses, neighbours, suffix_repeats, toxicity
 from landfall.llm.byte_pairs import round_trip_digests
 from landfall.llm.packing import pack
 from landfall.llm.shared import let_workers_import, table
@@ -90,3 +90,8 @@ QUERY_EVERY = 20
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0))
+
+
+@query
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
