@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +20,6 @@ def assign_batches(
     weight: str,
     max_bytes: int = 16_000_000,
     max_delay_seconds: float = 1.0,
-    max_group_rows: int = 2_000_000,
     pieces: int | None = None,
 ) -> DataFrame:
     """Number the batches of a table of chunks: ``source``, ``delay_bucket``, ``batch_seq``.
@@ -33,10 +30,8 @@ def assign_batches(
     limit, so a batch may begin a little over a multiple of it; a live stream gets its
     limits from the source and trigger instead (see ``sources.lines``).
 
-    The running weight is a window over (source, bucket). Before it, the rows of the
-    largest group are counted; past ``max_group_rows`` the rows are cut into ranges
-    (``pieces`` of them, or as many as keep to the limit) that many tasks sum separately,
-    so no task ever holds a whole hot source.
+    Rows are cut into ``pieces`` ranges (by default one per shuffle partition) that tasks sum
+    separately on top of the ranges before, so no task ever holds a whole hot source.
     """
     micros = int(max_delay_seconds * 1_000_000)
     keyed = chunks.withColumns(
@@ -45,13 +40,8 @@ def assign_batches(
             "delay_bucket": F.floor(F.unix_micros(F.col(time)) / F.lit(micros)).cast("long"),
         }
     )
-    groups = keyed.groupBy("source", "delay_bucket").count()
-    total, largest = groups.agg(F.sum("count"), F.max("count")).first()
-    if (largest or 0) <= max_group_rows:
-        before = _running(["source", "delay_bucket"], time, order, weight)
-    else:
-        pieces = pieces or ceil(total / max_group_rows) + 1
-        keyed, before = _split_running(keyed, time, order, weight, pieces)
+    width = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed, before = _split_running(keyed, time, order, weight, pieces or width)
     sequence = F.floor(before / F.lit(max_bytes)).cast("long")
     return keyed.withColumn("batch_seq", sequence).drop("_piece", "_offset")
 

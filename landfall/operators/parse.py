@@ -119,7 +119,8 @@ def _all_items(layout: Layout) -> str:
 def _cell_failures(layout: Layout) -> list[str]:
     fields = layout.schema.fields
     found = f"concat('expected {len(fields)} fields, found ', _size)"
-    failures = [f"CASE WHEN _size <> {len(fields)} THEN {found} END"]
+    found = f"coalesce({found}, 'no line')"  # a NULL line has no size
+    failures = [f"CASE WHEN _size <> {len(fields)} OR _size IS NULL THEN {found} END"]
     for f in fields:
         text = _text(f.name)
         if not f.nullable:

@@ -44,7 +44,7 @@ def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("batch_assign_split", _SQL_ASSIGNED)
 def batch_assign_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with groups too large for one task: summed range by range."""
-    return _assigned(spark, sf_dir, max_group_rows=4, pieces=16)
+    return _assigned(spark, sf_dir, pieces=16)
 
 
 def _bucketed(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.sources.landing import LOAD_BATCH
+from landfall.sources.landing import LOAD_BATCH, folder_name
 
 FAILED_FIELDS = ("processor_name", "processor_version", "failure", "payload")
 
@@ -40,25 +39,14 @@ def _json(failure: Column, payload: Column) -> Column:
 
 
 def write_failed(texts: DataFrame, root: str, batch: str) -> int:
-    """JSON lines in a batch's own folder, which a retry replaces; returns how many.
+    """JSON lines in a batch's own folder; returns how many.
 
-    Nothing is written when there are none. The lines are counted in what was written,
-    which is little, instead of deriving them from the batch a second time.
+    A retry replaces the folder as a whole, also when it has no failed rows, so the count
+    (taken from what was written, which is little) is always that of this try.
     """
-    (
-        texts.withColumn(LOAD_BATCH, F.lit(batch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_BATCH)
-        .text(root)
-    )
-    try:
-        written = texts.sparkSession.read.text(f"{root.rstrip('/')}/{LOAD_BATCH}={batch}")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
-    return written.count()
+    folder = f"{root.rstrip('/')}/{LOAD_BATCH}={folder_name(batch)}"
+    texts.write.mode("overwrite").text(folder)
+    return texts.sparkSession.read.schema("value string").text(folder).count()
 
 
 def send_failed(texts: DataFrame, kind: str, options: dict[str, str]) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 from math import ceil
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +50,13 @@ def load_date_of(load_time: Column) -> Column:
     return F.date_from_unix_date(days).cast("string")
 
 
+def folder_name(text: str) -> str:
+    """A text as one part of a path, escaped so that Spark reads it back as it was."""
+    return quote(text, safe="")
+
+
 def batch_folder(landing: str, load_time: datetime, batch: str) -> str:
-    return f"{landing.rstrip('/')}/{LOAD_DATE}={load_date(load_time)}/{LOAD_BATCH}={batch}"
+    return f"{landing.rstrip('/')}/{LOAD_DATE}={load_date(load_time)}/{LOAD_BATCH}={folder_name(batch)}"
 
 
 def write_batch(events: DataFrame, folder: str, codec: str = "snappy", files: int | None = None):

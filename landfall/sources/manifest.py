@@ -9,6 +9,7 @@ log is.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from landfall.layout import Layout
 from landfall.plans.field_types import merge_types
+from landfall.sources.landing import folder_name
 
 STARTED, COMMITTED = "started", "committed"
 _BATCHES_PER_FOLDER = 100
@@ -54,7 +56,8 @@ class Manifest:
         self.query_id = query_id
 
     def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/log_query={self.query_id}/log_group={batch_id // _BATCHES_PER_FOLDER}"
+        group = batch_id // _BATCHES_PER_FOLDER
+        return f"{self.path}/log_query={folder_name(self.query_id)}/log_group={group}"
 
     def start(self, batch_id: int) -> Attempt:
         """Record a try. Times are kept in UTC."""
@@ -129,7 +132,7 @@ def logged_schema(spark: SparkSession, path: str, layout: Layout) -> T.StructTyp
     recorded = batch_log(spark, path).select(F.explode("columns").alias("name", "type")).distinct()
     merged: dict[str, T.DataType] = {}
     for row in sorted(recorded.collect()):
-        kind = T._parse_datatype_json_string(row["type"])
+        kind = T.StructType.fromJson(json.loads(row["type"])).fields[0].dataType
         known = merged.get(row["name"])
         merged[row["name"]] = kind if known is None else merge_types(known, kind)
     entities = [T.StructField(name, merged[name]) for name in sorted(merged)]

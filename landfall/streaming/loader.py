@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from threading import Event
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landfall.functions.schema_uri import key_parts, key_text, matches_any
@@ -22,8 +25,8 @@ from landfall.sources.landing import batch_folder, file_count, seed, write_batch
 from landfall.sources.lines import spread
 from landfall.sources.manifest import Manifest, instant
 
-# How many unregistered versions an error message spells out.
-_LISTED_MISSING = 100
+# How many unregistered versions the message names; the table it points to has all.
+_FIRST_MISSING = 20
 
 
 class MissingSchemas(Exception):
@@ -80,7 +83,7 @@ def plan_batch(parsed: DataFrame, registry: DataFrame, options: LoadOptions) ->
     )
     missing_items = sum(r["missing_items"] for r in rows)
     if missing_items and options.strict:
-        raise MissingSchemas(_missing_message(stats, registry))
+        raise MissingSchemas(_missing_message(stats, registry, options.manifest))
     seen = [SeenVersion(*[r[c] for c in SEEN]) for r in rows if r["kind"] is not None]
     times = [r["earliest"] for r in rows if r["earliest"] is not None]
     return BatchPlan(
@@ -127,17 +130,31 @@ def _schema_texts(seen: list[SeenVersion], registry: DataFrame) -> dict:
     return texts
 
 
-def _missing_message(stats: DataFrame, registry: DataFrame) -> str:
-    names = resolve(stats, registry).where(_is_missing()).select("key").distinct()
-    listed = [r["key"] for r in names.orderBy("key").limit(_LISTED_MISSING).collect()]
+def _missing_message(stats: DataFrame, registry: DataFrame, manifest: str) -> str:
+    """Writes all unregistered versions with their items beside the batch log, and says where."""
+    found = resolve(stats, registry).where(_is_missing()).groupBy("key").agg(F.sum("items").alias("items"))
+    table = f"{manifest.rstrip('/')}-missing/{uuid4().hex}"
+    found.write.parquet(table)
+    written = stats.sparkSession.read.schema(found.schema).parquet(table)
+    first = [r["key"] for r in written.orderBy("key").limit(_FIRST_MISSING).collect()]
     return (
-        "Exiting because schemas could not be resolved; register them, skip them, or load "
-        "with strict=False: " + ", ".join(listed)
+        f"{written.count()} schema versions have no registered schema; all are listed with their items in {table}. "
+        f"Add them to the registry, name them in skip_schemas, or set strict=False. The first: {', '.join(first)}"
     )
 
 
+def _logged_type(column: EntityColumn) -> str:
+    return T.StructType([T.StructField(column.column, column.output_type)]).json()
+
+
 class Loader:
-    """Loads batches of lines. ``name`` identifies the load in folders and the batch log."""
+    """Loads batches of lines.
+
+    A batch is known by the load and its number within it. The batches of a stream belong to
+    the stream's own id, which lives in its checkpoint; static frames belong to ``name``, and
+    each new one needs a number of its own. So neither a second stream nor a new checkpoint
+    is ever taken for batches that were loaded before.
+    """
 
     def __init__(self, options: LoadOptions, registry: DataFrame, name: str = "load"):
         self.options = options
@@ -158,10 +175,11 @@ class Loader:
             skipped=options.criteria,
         )
 
-    def process(self, lines: DataFrame, batch_id: int) -> BatchResult:
+    def process(self, lines: DataFrame, batch_id: int, load: str | None = None) -> BatchResult:
         """Parse, split, type and land one batch: failed events first, then good rows."""
         options = self.options
-        manifest = Manifest(lines.sparkSession, options.manifest, self.name)
+        load = self.name if load is None else load
+        manifest = Manifest(lines.sparkSession, options.manifest, load)
         attempt = manifest.start(batch_id)
         if attempt.committed:
             return BatchResult(0, 0, 0, None, repeated=True)
@@ -169,7 +187,7 @@ class Loader:
         if options.cache:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = self._load(parsed, batch_id, attempt.load_tstamp)
+            result = self._load(parsed, f"{load}-{batch_id}", attempt.load_tstamp)
         finally:
             if options.cache:
                 parsed.unpersist()
@@ -180,23 +198,21 @@ class Loader:
             bad=result.bad,
             bytes=result.bytes,
             earliest=result.earliest,
-            columns={c.column: c.output_type.json() for c in result.columns},
+            columns={c.column: _logged_type(c) for c in result.columns},
         )
         return result
 
-    def _load(self, parsed: DataFrame, batch_id: int, load_time: datetime) -> BatchResult:
+    def _load(self, parsed: DataFrame, tag: str, load_time: datetime) -> BatchResult:
         options = self.options
         plan = plan_batch(parsed, self.registry, options)
         events = self.transform(parsed, plan)
-        tag = f"{self.name}-{batch_id}"
         bad = self._send_failed(events, tag) if plan.rows else 0
         good = plan.rows - bad
         if good:
             if options.override_load_time:
                 now = F.timestamp_micros(F.lit(int(load_time.timestamp() * 1_000_000)))
                 events = override_load_time(events, options.layout, now)
-            # Without bad rows no row needs its checks a second time.
-            landed = assemble(events, options.layout, plan.columns, all_good=not bad)
+            landed = assemble(events, options.layout, plan.columns)
             folder = batch_folder(options.landing, load_time, tag)
             cores = parsed.sparkSession.sparkContext.defaultParallelism
             files = file_count(plan.bytes, options.target_file_bytes, cores)
@@ -218,10 +234,14 @@ class Loader:
 
     def run(self, lines: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start the stream. A batch counts as read only once ``process`` has returned."""
-        writer = lines.writeStream.foreachBatch(self._on_batch).option(
-            "checkpointLocation", checkpoint
-        )
-        return writer.trigger(**(trigger or {"availableNow": True})).start()
+        started, load = Event(), []
+
+        def on_batch(batch: DataFrame, batch_id: int) -> None:
+            started.wait()
+            self.process(batch, batch_id, load[0])
 
-    def _on_batch(self, lines: DataFrame, batch_id: int) -> None:
-        self.process(lines, batch_id)
+        writer = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+        query = writer.trigger(**(trigger or {"availableNow": True})).start()
+        load.append(f"{self.name}-{query.id}")
+        started.set()
+        return query

@@ -48,7 +48,7 @@ def test_hot_source_is_split_and_gives_the_same_batches(spark):
     frame, rows = chunks(spark)
     expected = brute_force(rows, 100, 1.0)
     for pieces in (None, 2, 7):
-        assert assigned(frame, max_group_rows=10, pieces=pieces) == expected
+        assert assigned(frame, pieces=pieces) == expected
 
 
 def test_no_chunks(spark):

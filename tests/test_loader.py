@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import UTC, datetime
 
 import events
@@ -192,7 +193,7 @@ MISSING = events.own("test/absent/jsonschema/7-0-0", {"col_a": "xyz"})
 
 
 def test_missing_schema_stops_when_strict(load, tmp_path):
-    with pytest.raises(MissingSchemas, match="could not be resolved.*test/absent/jsonschema/7-0-0"):
+    with pytest.raises(MissingSchemas, match="no registered schema.*test/absent/jsonschema/7-0-0"):
         load(events.line("a", MISSING), events.line("b"))
     assert not (tmp_path / "landing").exists()
 
@@ -364,3 +365,58 @@ def test_stream_resumes_and_equals_a_batch(spark, tmp_path, load):
     assert streamed.count() == 20
     log = batch_log(spark, options.manifest)
     assert {(r["good"], r["bad"]) for r in log.collect()} == {(10, 0), (10, 1)}
+
+
+def test_retry_after_registration_lands_what_had_failed(load, monkeypatch):
+    text = events.line("a", events.own("test/steady/jsonschema/7-0-0", {"col_a": "x"}))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "commit", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            load(text, schemas={}, strict=False)
+    result, landed = load(text, strict=False)
+    assert (result.good, result.bad, landed.count()) == (1, 0, 1)
+    assert read_failed(landed.sparkSession, load.options.failed).count() == 0
+
+
+@pytest.mark.parametrize("name", ["eu#1", "eu=1", "eu:1", "eu/1", "eu 1", "50%"])
+def test_any_name_of_a_load(spark, tmp_path, name):
+    options = LoadOptions(
+        str(tmp_path / "l"), str(tmp_path / "f"), str(tmp_path / "m"), layout=events.layout()
+    )
+    loader = Loader(options, events.registry(spark), name)
+    result = loader.process(events.lines(spark, events.line("1"), "nonsense"), 0)
+    assert (result.good, result.bad) == (1, 1)
+    assert values(read_landing(spark, options.landing), "event_id") == {("1",)}
+    assert read_failed(spark, options.failed).count() == 1
+    assert loader.process(events.lines(spark, events.line("1"), "nonsense"), 0).repeated
+
+
+def test_stream_backlog_and_new_checkpoint_are_apart(spark, tmp_path):
+    options = LoadOptions(
+        str(tmp_path / "l"), str(tmp_path / "f"), str(tmp_path / "m"), layout=events.layout()
+    )
+    loader = Loader(options, events.registry(spark))
+    source = str(tmp_path / "source")
+    events.lines(spark, events.line("streamed")).write.text(source)
+    loader.run(spark.readStream.text(source), str(tmp_path / "one")).awaitTermination()
+    assert loader.process(events.lines(spark, events.line("backlog")), 0).good == 1
+    loader.run(spark.readStream.text(source), str(tmp_path / "two")).awaitTermination()
+    landed = read_landing(spark, options.landing)
+    assert sorted(r["event_id"] for r in landed.collect()) == ["backlog", "streamed", "streamed"]
+
+
+def test_all_missing_schemas_are_listed(spark, load):
+    texts = [events.line(str(i), events.own(f"test/none{i}/jsonschema/1-0-0", {})) for i in range(130)]
+    with pytest.raises(loader_module.MissingSchemas, match="130 schema versions") as error:
+        load(*texts)
+    folder = re.search(r"items in (\S+)\. ", str(error.value))[1]
+    assert spark.read.parquet(folder).count() == 130
+
+
+def test_a_null_line_fails(load, spark):
+    result, landed = load(events.line("a"), None)
+    assert (result.good, result.bad) == (1, 1)
