@@ -3,8 +3,9 @@
 A document's tokens are its distinct word n-grams, as 64-bit hashes. In any order of all tokens,
 two sets that are similar enough share a token among the first few of each (their prefixes), and
 the places of the first shared token bound their overlap. Candidates come from the first order's
-prefixes and places; they stay only if the prefixes under every further order meet as well; what
-is left is verified on the whole sets. All orders put frequent tokens last (the counts cover all
+prefixes and places; they stay only if the prefixes under every further order meet as well (parity sketches, which
+bound the difference of two sets from below, spare most of them that step); what is left is verified
+on the whole sets. All orders put frequent tokens last (the counts cover all
 documents; ``MOST_FREQUENT`` of them travel to every task, the rest is ordered by hash alone), so
 a passage that many documents share is in few prefixes.
 
@@ -159,7 +160,33 @@ class Orders:
         return found
 
 
-_PREFIXES = "set_id long, n long, tokens array<long>, others binary"
+#: Bits of the sketch of a set: each the parity of how many of its tokens hash there.
+_SKETCH_BITS = 512
+_PREFIXES = "set_id long, n long, tokens array<long>, others binary, sketch binary"
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """The size of the set and its parity bits. Sets differ in at least as many tokens as bits."""
+    bit = (_mixed(tokens * np.uint64(_ORDERS[-1])) & np.uint64(_SKETCH_BITS - 1)).astype(np.int64)
+    odd = np.bincount(bit, minlength=_SKETCH_BITS) & 1
+    return np.uint64(len(tokens)).astype("<u8").tobytes() + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _sketches_fit(percent: int):
+    """Keeps candidates whose parity bits differ in few enough places for the overlap."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 8 + _SKETCH_BITS // 8)
+                for i in (2, 3)
+            )
+            sizes = sum(np.ascontiguousarray(v[:, :8]).view("<u8").ravel().astype(np.int64) for v in (x, y))
+            apart = np.bitwise_count(x[:, 8:] ^ y[:, 8:]).sum(axis=1).astype(np.int64)
+            keep = (100 + percent) * (sizes - apart) >= 2 * percent * sizes
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return run
 
 
 def _prefix_rows(frequent: list[tuple[int, int]], words: int, percent: int, orders: int):
@@ -169,7 +196,7 @@ def _prefix_rows(frequent: list[tuple[int, int]], words: int, percent: int, orde
         order = Orders(frequent)
         for batch in batches:
             seen: set[int] = set()
-            ids, sizes, firsts, others = [], [], [], []
+            ids, sizes, firsts, others, sketches = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 tokens = token_set(text or "", words)
                 key = set_id(tokens)
@@ -180,11 +207,12 @@ def _prefix_rows(frequent: list[tuple[int, int]], words: int, percent: int, orde
                 ids.append(key)
                 sizes.append(len(tokens))
                 firsts.append(first.view(np.int64))
+                sketches.append(sketch(tokens))
                 others.append(b"".join((_mixed(r) >> np.uint64(48)).astype("<u2").tobytes() for r in rest))
             yield _rows(
-                ["set_id", "n", "tokens", "others"],
-                [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()],
-                [ids, sizes, firsts, others],
+                ["set_id", "n", "tokens", "others", "sketch"],
+                [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()],
+                [ids, sizes, firsts, others, sketches],
             )
 
     return run
@@ -365,8 +393,11 @@ def classes_and_links(
     over = hubs.join(best.withColumnRenamed("a", "b"), "token").where("a <> b")
     over = over.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     others = prefixes.groupBy("set_id").agg(F.first("others").alias("others"))
+    sketches = prefixes.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
 
     def agreed(pairs: DataFrame) -> DataFrame:
+        near = _with_both(pairs, sketches, "sketch").mapInArrow(_sketches_fit(percent), "a long, b long")
+        pairs = written(near, "jaccard-near")
         kept = _with_both(pairs, others, "others").mapInArrow(_orders_agree(percent, orders), "a long, b long")
         return written(kept, "jaccard-candidates") if orders > 1 else pairs
 
