@@ -100,6 +100,7 @@ def adaptive_scan(block: np.ndarray, query: np.ndarray, k: int, step: int = STEP
     n, dims = block.shape
     seed = min(n, 4 * k)
     bound = np.partition(((block[:seed] - query) ** 2).sum(1), k - 1)[k - 1] if seed >= k else np.inf
+    bound = bound * (1 + 1e-9) + 1e-12  # sums in another order may differ in their last bits
     alive, partial = np.arange(n), np.zeros(n)
     for d in range(0, dims, step):
         part = block[alive, d : d + step] - query[d : d + step]
@@ -112,7 +113,7 @@ def adaptive_scan(block: np.ndarray, query: np.ndarray, k: int, step: int = STEP
         if not len(alive):
             break
     if len(alive) > k:
-        alive = alive[partial <= np.partition(partial, k - 1)[k - 1]]
+        alive = alive[partial <= np.partition(partial, k - 1)[k - 1] * (1 + 1e-9) + 1e-12]
     return alive
 
 
