@@ -28,9 +28,9 @@ from landfall.llm.shared import Batches, written
 NEIGHBOURS = 20
 #: Bound of the sample that centres are fitted on.
 FITTED = 20_000
-#: One list per so many vectors, at least, and at most so many lists.
-PER_LIST = 400
-MOST_LISTS = 4_096
+#: Lists: the root of the number of vectors over ``ROOT_SHARE``, within these bounds.
+ROOT_SHARE = 8
+LEAST_LISTS, MOST_LISTS = 32, 4_096
 #: Share of the lists that a query probes, and at least so many.
 PROBED_SHARE = 0.8
 LEAST_PROBED = 16
@@ -39,6 +39,7 @@ STEP = 16
 #: Width of the test: larger abandons later and errs less.
 ERROR = 2.5
 SEED = 7
+_MOST_BOUNDS = 500_000
 
 HITS = "query_id long, vec_id long, score double"
 
@@ -95,12 +96,18 @@ class Space:
         return np.c_[vectors, np.zeros(len(vectors))] @ self.rotation
 
 
-def adaptive_scan(block: np.ndarray, query: np.ndarray, k: int, step: int = STEP, error: float = ERROR) -> np.ndarray:
-    """Rows of the block that may be among the query's ``k`` nearest, by partial distances."""
+def adaptive_scan(
+    block: np.ndarray, query: np.ndarray, k: int, bound: float = np.inf, step: int = STEP, error: float = ERROR
+) -> tuple[np.ndarray, float]:
+    """Rows of the block that may be among the query's ``k`` nearest, by partial distances.
+
+    ``bound`` is the ``k``-th best squared distance known so far; the better one comes back.
+    """
     n, dims = block.shape
     seed = min(n, 4 * k)
-    bound = np.partition(((block[:seed] - query) ** 2).sum(1), k - 1)[k - 1] if seed >= k else np.inf
-    bound = bound * (1 + 1e-9) + 1e-12  # sums in another order may differ in their last bits
+    if seed >= k:
+        first = np.partition(((block[:seed] - query) ** 2).sum(1), k - 1)[k - 1]
+        bound = min(bound, first * (1 + 1e-9) + 1e-12)  # sums in another order may differ in their last bits
     alive, partial = np.arange(n), np.zeros(n)
     for d in range(0, dims, step):
         part = block[alive, d : d + step] - query[d : d + step]
@@ -112,9 +119,10 @@ def adaptive_scan(block: np.ndarray, query: np.ndarray, k: int, step: int = STEP
         alive, partial = alive[keep], partial[keep]
         if not len(alive):
             break
-    if len(alive) > k:
-        alive = alive[partial <= np.partition(partial, k - 1)[k - 1] * (1 + 1e-9) + 1e-12]
-    return alive
+    if len(alive) >= k:
+        bound = min(bound, np.partition(partial, k - 1)[k - 1] * (1 + 1e-9) + 1e-12)
+        alive = alive[partial <= bound]
+    return alive, bound
 
 
 def search(
@@ -136,7 +144,7 @@ def search(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims, count = common["dims"], common["n"]
     usable = usable.where(F.size("v") == dims)
-    lists = int(min(MOST_LISTS, max(1, count // PER_LIST)))
+    lists = int(min(MOST_LISTS, max(LEAST_LISTS, count**0.5 // ROOT_SHARE)))
     drawn = usable.orderBy(F.xxhash64("id"), "id").limit(FITTED).select("v")
     sample = np.array([r["v"] for r in drawn.collect()])
     space = Space(sample, float(np.sqrt(common["square"])), lists)
@@ -186,7 +194,8 @@ def search(
         return run
 
     row = "cell int, ids binary, flat binary"
-    spread = F.pmod(F.xxhash64("id"), F.lit(8))
+    # lists of the usual size are some blocks of one task; larger ones are cut further as blocks
+    spread = F.pmod(F.xxhash64("id"), F.lit(1 + count // (lists * 8 * BLOCK)))
     placed = usable.mapInArrow(place, "cell int, id long, v array<double>")
     stored = placed.repartition("cell", spread).sortWithinPartitions("cell", "id").mapInArrow(blocks(BLOCK), row)
     stored = written(stored, "vector-blocks")
@@ -196,20 +205,26 @@ def search(
     asked = asked.select("cell", F.col("ids").alias("query_ids"), F.col("flat").alias("query_flat"))
 
     def scan(batches: Batches) -> Batches:
+        bounds: dict[int, float] = {}  # what this task knows of its queries
         for batch in batches:
             for ids, flat, query_ids, query_flat in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids, query_ids = np.frombuffer(ids, "<i8"), np.frombuffer(query_ids, "<i8")
                 original = np.frombuffer(flat, "<f8").reshape(len(ids), dims)
                 wanted = np.frombuffer(query_flat, "<f8").reshape(len(query_ids), dims)
                 block, turned = space.stored(original), space.asked(wanted)
+                if len(bounds) > _MOST_BOUNDS:
+                    bounds = {}
+                hits: list[list[np.ndarray]] = [[], [], []]
                 for i, q in enumerate(query_ids):
-                    found = adaptive_scan(block, turned[i], k + 1)  # one more: the query itself may be here
+                    # one more than asked for: the query itself may be among them
+                    found, bounds[q] = adaptive_scan(block, turned[i], k + 1, bounds.get(q, np.inf))
                     found = found[ids[found] != q]
                     scores = (original[found] * wanted[i]).sum(1)
-                    columns = [np.full(len(found), q), ids[found], scores]
-                    kinds = [pa.int64(), pa.int64(), pa.float64()]
-                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+                    for column, values in zip(hits, (np.full(len(found), q), ids[found], scores), strict=True):
+                        column.append(values)
+                kinds = [pa.int64(), pa.int64(), pa.float64()]
+                arrays = [pa.array(np.concatenate(c), t) for c, t in zip(hits, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
 
     pairs = stored.join(asked, "cell").select("ids", "flat", "query_ids", "query_flat")
     hits = pairs.mapInArrow(scan, HITS)

@@ -42,5 +42,5 @@ def test_scan_abandons_only_what_is_far():
     draw = np.random.default_rng(1)
     block, query = draw.standard_normal((3000, 65)), draw.standard_normal(65)
     exact = np.argsort(((block - query) ** 2).sum(1))[:20]
-    found = neighbours.adaptive_scan(block, query, 20)
+    found, _ = neighbours.adaptive_scan(block, query, 20)
     assert len(set(exact) & set(found)) >= 18 and len(found) <= 20
