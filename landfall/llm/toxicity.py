@@ -51,6 +51,8 @@ REPORTED = 0.8
 MOST_LABELLED = 8_000
 SHORTEST, LONGEST = 4, 7
 LEAST_TOXIC_DOCS = 5
+#: Share of the toxic documents that hold a stem; the words of one document and its copies stay below.
+LEAST_SUPPORT = 0.025
 LEAST_PURITY = 0.97
 MOST_STEMS = 5_000
 #: Score of a document with a sum of clause weights s: 1 / (1 + exp(-(SLOPE * s + LEVEL))).
@@ -174,7 +176,7 @@ def learn_stems(
         return {}
     # A task that saw a stem in clean documents alone sends no count for it, so the clean ones are
     # counted again for the few stems that toxic documents make likely.
-    floor = max(LEAST_TOXIC_DOCS, total["toxic"] // 400)
+    floor = max(LEAST_TOXIC_DOCS, LEAST_SUPPORT * total["toxic"])
     likely = [
         r["stem"]
         for r in found.where("stem IS NOT NULL")
