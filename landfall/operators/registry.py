@@ -60,10 +60,11 @@ def clashing_schemas(discovered: DataFrame) -> DataFrame:
     entities = discovered.select(*ENTITY).distinct()
     named = entities.select(
         entity_column_name(*[F.col(c) for c in ENTITY]).alias("column_name"),
-        F.concat_ws(".", "vendor", "name").alias("schema"),
+        F.struct("vendor", "name").alias("owner"),
     )
-    clashes = named.groupBy("column_name").agg(F.sort_array(F.collect_set("schema")).alias("schemas"))
-    return clashes.where(F.size("schemas") > 1)
+    clashes = named.groupBy("column_name").agg(F.sort_array(F.collect_set("owner")).alias("owners"))
+    texts = F.transform("owners", lambda o: F.concat_ws(".", o["vendor"], o["name"]))
+    return clashes.where(F.size("owners") > 1).select("column_name", F.sort_array(texts).alias("schemas"))
 
 
 def registered_versions(registry: DataFrame, models: DataFrame) -> DataFrame:

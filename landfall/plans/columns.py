@@ -101,10 +101,10 @@ def plan_columns(
 
 
 def _check_clashes(columns: list[EntityColumn]) -> None:
-    owners: dict[str, set[str]] = defaultdict(set)
+    owners: dict[str, set[tuple[str, str]]] = defaultdict(set)
     for c in columns:
-        owners[c.column].add(f"{c.vendor}.{c.name}")
-    for column, names in sorted(owners.items()):
-        if len(names) > 1:
-            listed = ", ".join(sorted(names))
-            raise ClashingSchemas(f"schemas [{listed}] have clashing column names: {column}")
+        owners[c.column].add((c.vendor, c.name))
+    for column, pairs in sorted(owners.items()):
+        if len(pairs) > 1:
+            listed = " and ".join(f"{vendor}/{name}" for vendor, name in sorted(pairs))
+            raise ClashingSchemas(f"column {column} is asked for by {listed}; skip all but one")

@@ -10,7 +10,7 @@ DDL = (
     "event_id STRING NOT NULL, collector_tstamp TIMESTAMP NOT NULL, etl_tstamp TIMESTAMP, "
     "amount DECIMAL(18,2), unstruct_event VARIANT, contexts VARIANT, derived_contexts VARIANT"
 )
-TIME = "2023-10-24 10:00:00.000"
+TIME = "2024-03-05 06:07:08.900"
 
 
 def layout(**kwargs) -> Layout:
@@ -53,8 +53,9 @@ SCHEMAS = {
     "test/broken/1-0-1": object_schema({"col_a": NUMBER}, ["col_a"]),
     "test/no-fields-closed/1-0-0": json.dumps({"type": "object", "additionalProperties": False}),
     "test/no-fields-open/1-0-0": json.dumps({"type": "object", "additionalProperties": True}),
-    "clash.a/b_c/1-0-0": object_schema({"col_a": TEXT}, ["col_a"]),
-    "clash/a_b_c/1-0-0": object_schema({"col_a": TEXT}, ["col_a"]),
+    # one column name from two spellings, with other fields
+    "shop/cartItem/2-0-0": object_schema({"sku": TEXT, "price": {"type": "number"}}, ["sku"]),
+    "shop/cart_item/2-1-0": object_schema({"line": {"type": "object", "properties": {"sku": TEXT}}}),
 }
 
 

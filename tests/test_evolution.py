@@ -102,8 +102,10 @@ def seen(kind, vendor, name, model, *version):
 SCHEMAS = {
     ("test", "broken", 1): {(0, 0): obj({"a": TEXT}), (0, 1): obj({"a": NUMBER})},
     ("test", "steady", 7): {(0, 0): obj({"a": TEXT}), (0, 1): obj({"a": TEXT, "b": TEXT})},
-    ("clash.a", "b_c", 1): {(0, 0): obj({"a": TEXT})},
-    ("clash", "a_b_c", 1): {(0, 0): obj({"a": TEXT})},
+    ("shop", "cartItem", 2): {(0, 0): obj({"sku": TEXT})},
+    ("shop", "cart_item", 2): {(1, 0): obj({"line": {"type": "object", "properties": {"sku": TEXT}}})},
+    ("acme.test", "x", 3): {(0, 0): obj({"n": NUMBER})},
+    ("acme", "test.x", 3): {(0, 0): obj({"n": NUMBER})},
 }
 
 
@@ -137,10 +139,17 @@ def test_order_of_columns():
     assert [c.name for c in columns] == ["broken", "broken", "steady", "steady"]
 
 
-def test_clash_stops():
-    items = [seen(CONTEXTS, "clash.a", "b_c", 1, 0, 0), seen(CONTEXTS, "clash", "a_b_c", 1, 0, 0)]
-    with pytest.raises(ClashingSchemas, match=r"\[clash.a.b_c, clash.a_b_c\] have clashing column names"):
-        plan_columns(items, SCHEMAS)
+@pytest.mark.parametrize(
+    "items",
+    [
+        [("shop", "cartItem", 2, 0, 0), ("shop", "cart_item", 2, 1, 0)],
+        [("acme.test", "x", 3, 0, 0), ("acme", "test.x", 3, 0, 0)],  # alike when joined by dots
+    ],
+)
+def test_two_owners_of_a_column_stop(items):
+    first, second = ("/".join(owner) for owner in sorted(item[:2] for item in items))
+    with pytest.raises(ClashingSchemas, match=f"asked for by {first} and {second}"):
+        plan_columns([seen(CONTEXTS, *item) for item in items], SCHEMAS)
 
 
 NAMES = ["userId", "PDFViewer", "com.acme-x", "no-fields-v2", "already_snake", "A1B", "aB.cD"]
