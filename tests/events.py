@@ -44,15 +44,27 @@ def object_schema(properties: dict, required: list[str] = (), **more) -> str:
     return json.dumps({"type": "object", "properties": properties, "required": list(required)} | more)
 
 
-TEXT, NUMBER = {"type": "string"}, {"type": "integer"}
+TEXT = {"type": "string"}
 
+WHOLE = {"type": "integer", "minimum": 0, "maximum": 1_000_000}
+
+# A shop: orders grow an address, refunds turn their amount from a number into an object.
 SCHEMAS = {
-    "test/steady/7-0-0": object_schema({"col_a": TEXT}, ["col_a"]),
-    "test/steady/7-0-1": object_schema({"col_a": TEXT, "col_b": TEXT}, ["col_a", "col_b"]),
-    "test/broken/1-0-0": object_schema({"col_a": TEXT}, ["col_a"]),
-    "test/broken/1-0-1": object_schema({"col_a": NUMBER}, ["col_a"]),
-    "test/no-fields-closed/1-0-0": json.dumps({"type": "object", "additionalProperties": False}),
-    "test/no-fields-open/1-0-0": json.dumps({"type": "object", "additionalProperties": True}),
+    "shop/order/2-0-0": object_schema({"number": TEXT, "total": WHOLE}, ["number"]),
+    "shop/order/2-1-3": object_schema(
+        {
+            "number": TEXT,
+            "total": WHOLE,
+            "ship_to": {"type": "object", "properties": {"city": TEXT, "zip": TEXT}, "required": ["city"]},
+        },
+        ["number"],
+    ),
+    "shop/refund/3-0-0": object_schema({"cents": WHOLE, "reason": TEXT}, ["cents"]),
+    "shop/refund/3-2-0": object_schema(
+        {"cents": {"type": "object", "properties": {"net": WHOLE, "tax": WHOLE}}, "reason": TEXT}, ["cents"]
+    ),
+    "shop/heartbeat/1-0-4": json.dumps({"type": "object", "properties": {}, "additionalProperties": False}),
+    "shop/debugDump/5-1-0": json.dumps({"type": "object"}),
     # one column name from two spellings, with other fields
     "shop/cartItem/2-0-0": object_schema({"sku": TEXT, "price": {"type": "number"}}, ["sku"]),
     "shop/cart_item/2-1-0": object_schema({"line": {"type": "object", "properties": {"sku": TEXT}}}),

@@ -57,7 +57,7 @@ def test_no_chunks(spark):
 
 
 def parsed(spark):
-    own = events.own("test/steady/jsonschema/7-0-0", {})
+    own = events.own("shop/order/jsonschema/2-0-0", {})
     two = events.listed(("test/a/jsonschema/1-0-0", {}), ("test/b/jsonschema/1-0-0", {}))
     rows = [
         (1, events.line("a", own, two, tstamp="2024-01-01 00:00:02")),
@@ -77,7 +77,7 @@ def test_combine(spark):
     assert combined[1]["entities"] == [
         "contexts test/a/jsonschema/1-0-0",
         "contexts test/b/jsonschema/1-0-0",
-        "unstruct test/steady/jsonschema/7-0-0",
+        "unstruct shop/order/jsonschema/2-0-0",
     ]
     assert (combined[2]["parsed"], combined[2]["failed"], combined[2]["earliest"]) == (0, 1, None)
     assert combined[2]["entities"] == []

@@ -18,8 +18,12 @@ from landfall.sources.manifest import Manifest, batch_log, logged_schema
 from landfall.streaming import loader as loader_module
 from landfall.streaming.loader import Loader, MissingSchemas
 
-OWN = "unstruct_event_test"
-LIST = "contexts_test"
+OWN = "unstruct_event_shop"
+LIST = "contexts_shop"
+ORDER, ORDER_SHIPPED = "shop/order/jsonschema/2-0-0", "shop/order/jsonschema/2-1-3"
+REFUND, REFUND_SPLIT = "shop/refund/jsonschema/3-0-0", "shop/refund/jsonschema/3-2-0"
+HEARTBEAT, DUMP = "shop/heartbeat/jsonschema/1-0-4", "shop/debugDump/jsonschema/5-1-0"
+TO_BERN = {"number": "B-2", "total": 9, "ship_to": {"city": "Bern", "zip": "3000"}}
 
 
 @pytest.fixture
@@ -95,119 +99,87 @@ def test_empty_batch(load, tmp_path):
     assert not (tmp_path / "landing").exists() and not (tmp_path / "failed").exists()
 
 
-def test_versions_share_an_event_column(load):
+def test_orders_of_both_versions_share_an_event_column(load):
     _, landed = load(
-        events.line("a", events.own("test/steady/jsonschema/7-0-0", {"col_a": "xyz"})),
-        events.line("b", events.own("test/steady/jsonschema/7-0-1", {"col_a": "xyz", "col_b": "abc"})),
-        events.line("c"),
+        events.line("plain", events.own(ORDER, {"number": "B-1"})),
+        events.line("shipped", events.own(ORDER_SHIPPED, TO_BERN)),
+        events.line("other"),
     )
-    column = f"{OWN}_steady_7"
-    assert values(landed, column) == {(("xyz", None),), (("xyz", "abc"),), (None,)}
+    order = f"{OWN}_order_2"
+    assert [c for c in landed.columns if c.startswith((OWN, LIST))] == [order]
+    found = values(landed, "event_id", f"{order}.number", f"{order}.total", f"{order}.ship_to.city")
+    assert found == {("plain", "B-1", None, None), ("shipped", "B-2", 9, "Bern"), ("other", None, None, None)}
 
 
-def test_versions_share_a_contexts_column(load):
+def test_items_of_two_list_fields_share_a_column_and_keep_their_version(load):
+    refund = (REFUND, {"cents": 5})
     _, landed = load(
-        events.line("a", "", events.listed(("test/steady/jsonschema/7-0-0", {"col_a": "xyz"}))),
-        events.line(
-            "b",
-            "",
-            "",
-            events.listed(("test/steady/jsonschema/7-0-1", {"col_a": "xyz", "col_b": "abc"})),
-        ),
-        events.line("c"),
+        events.line("two", "", events.listed((ORDER, {"number": "B-1"}), refund), events.listed((ORDER_SHIPPED, TO_BERN))),
+        events.line("none"),
     )
-    rows = {r["event_id"]: r[f"{LIST}_steady_7"] for r in landed.collect()}
-    assert rows["c"] is None
-    assert [tuple(x) for x in rows["a"]] == [("7-0-0", "xyz", None)]
-    assert [tuple(x) for x in rows["b"]] == [("7-0-1", "xyz", "abc")]
-
-
-def test_broken_evolution_is_recovered_in_events(load):
-    result, landed = load(
-        events.line("a", events.own("test/broken/jsonschema/1-0-0", {"col_a": "xyz"})),
-        events.line("b", events.own("test/broken/jsonschema/1-0-1", {"col_a": 123})),
-        events.line("c"),
-    )
-    main, recovered = [c.column for c in result.columns]
-    assert recovered.startswith(f"{main}_recovered_1_0_1_")
-    assert values(landed, main, recovered) == {
-        (("xyz",), None),
-        (None, (123,)),
-        (None, None),
-    }
-
-
-def test_broken_evolution_is_recovered_in_contexts(load):
-    result, landed = load(
-        events.line(
-            "a",
-            "",
-            events.listed(
-                ("test/broken/jsonschema/1-0-0", {"col_a": "xyz"}),
-                ("test/broken/jsonschema/1-0-1", {"col_a": 123}),
-            ),
-        ),
-        events.line("c"),
-    )
-    main, recovered = [c.column for c in result.columns]
-    rows = {r["event_id"]: (r[main], r[recovered]) for r in landed.collect()}
-    assert rows["c"] == (None, None)
-    assert [tuple(x) for x in rows["a"][0]] == [("1-0-0", "xyz")]
-    assert [tuple(x) for x in rows["a"][1]] == [("1-0-1", 123)]
+    found = {r["event_id"]: r[f"{LIST}_order_2"] for r in landed.collect()}
+    assert found["none"] is None
+    assert [(x["_schema_version"], x["number"], x["total"]) for x in found["two"]] == [
+        ("2-0-0", "B-1", None),
+        ("2-1-3", "B-2", 9),
+    ]
+    assert found["two"][1]["ship_to"]["zip"] == "3000"
 
 
 @pytest.mark.parametrize("place", ["event", "contexts"])
-def test_closed_empty_schema_has_no_column(load, place):
-    schema = "test/no-fields-closed/jsonschema/1-0-0"
-    cells = {"event": (events.own(schema, {}),), "contexts": ("", events.listed((schema, {})))}
-    result, landed = load(events.line("a", *cells[place]), events.line("b"))
+def test_a_number_that_became_an_object_gets_a_recovery_column(load, place):
+    old, new = {"cents": 70, "reason": "late"}, {"cents": {"net": 60, "tax": 10}}
+    if place == "event":
+        texts = [events.line("old", events.own(REFUND, old)), events.line("new", events.own(REFUND_SPLIT, new))]
+    else:
+        texts = [events.line("both", "", events.listed((REFUND_SPLIT, new), (REFUND, old)))]
+    result, landed = load(*texts)
+    main, recovered = [c.column for c in result.columns]
+    assert recovered.startswith(f"{main}_recovered_3_2_0_")
+    if place == "event":
+        found = values(landed, "event_id", f"{main}.cents", f"{recovered}.cents.tax")
+        assert found == {("old", 70, None), ("new", None, 10)}
+    else:
+        row = landed.first()
+        assert [(x["_schema_version"], x["cents"], x["reason"]) for x in row[main]] == [("3-0-0", 70, "late")]
+        assert [(x["_schema_version"], x["cents"]["net"]) for x in row[recovered]] == [("3-2-0", 60)]
+
+
+def test_a_schema_that_allows_nothing_has_no_column(load):
+    texts = [
+        events.line("own", events.own(HEARTBEAT, {})),
+        events.line("listed", "", events.listed((HEARTBEAT, {}), (HEARTBEAT, {}))),
+    ]
+    result, landed = load(*texts)
     assert (result.good, result.columns) == (2, ())
     assert not [c for c in landed.columns if c.startswith((OWN, LIST))]
 
 
-def test_open_empty_schema_lands_as_text(load):
-    schema = "test/no-fields-open/jsonschema/1-0-0"
-    _, landed = load(
-        events.line("a", events.own(schema, {}), events.listed((schema, {}))),
-        events.line("b", events.own(schema, {"z": [1, {"y": 2}], "a": "q"}), events.listed((schema, {"k": 1}))),
-        events.line("c"),
-    )
-    columns = (f"{OWN}_no_fields_open_1", f"{LIST}_no_fields_open_1")
-    assert {(r["event_id"], r[columns[0]], tuple(r[columns[1]] or ())) for r in landed.collect()} == {
-        ("a", "{}", ('{"_schema_version":"1-0-0"}',)),
-        ("b", '{"z":[1,{"y":2}],"a":"q"}', ('{"_schema_version":"1-0-0","k":1}',)),
-        ("c", None, ()),
-    }
-
-
-def test_texts_of_two_list_fields_stay_with_their_items(load):
-    schema = "test/no-fields-open/jsonschema/1-0-0"
-    one = events.listed(("test/steady/jsonschema/7-0-0", {"col_a": "x"}), (schema, {"n": 1}))
-    two = events.listed((schema, {"n": 2}))
-    _, landed = load(events.line("a", "", one, two))
-    texts = landed.select(f"{LIST}_no_fields_open_1").first()[0]
-    assert texts == ['{"_schema_version":"1-0-0","n":1}', '{"_schema_version":"1-0-0","n":2}']
+def test_a_schema_without_fields_lands_as_text_in_order(load):
+    first, second = events.listed((DUMP, {"heap": [3, {"mb": 4}]}), (ORDER, {"number": "B-1"})), events.listed((DUMP, {}))
+    _, landed = load(events.line("a", events.own(DUMP, {"trace": "x", "at": {"line": 1}}), first, second))
+    row = landed.select(f"{OWN}_debug_dump_5", f"{LIST}_debug_dump_5").first()
+    assert row[0] == '{"trace":"x","at":{"line":1}}'
+    assert row[1] == ['{"_schema_version":"5-1-0","heap":[3,{"mb":4}]}', '{"_schema_version":"5-1-0"}']
 
 
-MISSING = events.own("test/absent/jsonschema/7-0-0", {"col_a": "xyz"})
+UNKNOWN = events.own("shop/parcel/jsonschema/4-0-1", {"weight": 2})
 
 
 def test_missing_schema_stops_when_strict(load, tmp_path):
-    with pytest.raises(MissingSchemas, match="no registered schema.*test/absent/jsonschema/7-0-0"):
-        load(events.line("a", MISSING), events.line("b"))
+    with pytest.raises(MissingSchemas, match="no registered schema.*shop/parcel/jsonschema/4-0-1"):
+        load(events.line("a", UNKNOWN), events.line("b"))
     assert not (tmp_path / "landing").exists()
 
 
 def test_missing_schema_fails_its_events_when_lenient(spark, load):
-    other = events.listed(("test/steady/jsonschema/7-0-9", {"col_a": "x"}))
-    result, landed = load(
-        events.line("a", MISSING), events.line("b", "", other), events.line("c"), strict=False
-    )
+    later = events.listed(("shop/order/jsonschema/2-9-0", {"number": "B-9"}), (ORDER, {"number": "B-1"}))
+    result, _ = load(events.line("a", UNKNOWN), events.line("b", "", later), events.line("c"), strict=False)
     assert (result.good, result.bad) == (1, 2)
     failed = read_failed(spark, load.options.failed).collect()
     assert {r["failure"] for r in failed} == {
-        "schema not found: test/absent/jsonschema/7-0-0",
-        "schema not found: test/steady/jsonschema/7-0-9",
+        "schema not found: shop/parcel/jsonschema/4-0-1",
+        "schema not found: shop/order/jsonschema/2-9-0",
     }
 
 
@@ -222,34 +194,31 @@ def test_two_spellings_of_a_name_stop_even_when_lenient(load):
 
 def test_skipped_schemas_get_no_column_and_need_no_registration(load):
     result, landed = load(
-        events.line("a", MISSING),
-        events.line("b", events.own("test/steady/jsonschema/7-0-0", {"col_a": 5})),
-        events.line("c", events.own("test/steady/jsonschema/7-0-1", {"col_a": "x", "col_b": "y"})),
-        skip_schemas=("sd:test/absent/jsonschema/*-*-*", "sd:test/steady/jsonschema/7-0-0"),
+        events.line("a", UNKNOWN),
+        events.line("b", events.own(REFUND, {"cents": "not a number"})),
+        events.line("c", events.own(REFUND_SPLIT, {"cents": {"net": 1}})),
+        skip_schemas=("sd:shop/parcel/jsonschema/*-*-*", "sd:shop/refund/jsonschema/3-0-0"),
     )
     assert (result.good, result.bad) == (3, 0)
-    assert values(landed, "event_id", f"{OWN}_steady_7.col_a") == {("a", None), ("b", None), ("c", "x")}
+    main, recovered = [c.column for c in result.columns]
+    assert landed.where(F.col(main).isNotNull()).isEmpty()
+    assert landed.where(F.col(recovered).isNotNull()).count() == 1
 
 
 def test_lenient_load_does_not_fail_skipped_schemas(load):
-    result, _ = load(
-        events.line("a", MISSING),
-        events.line("b", events.own("test/gone/jsonschema/1-0-0", {})),
-        skip_schemas=("sd:test/absent/jsonschema/7-*-*",),
-        strict=False,
-    )
+    gone = events.own("shop/voucher/jsonschema/1-1-1", {})
+    skipped = ("sd:shop/parcel/jsonschema/4-*-*",)
+    result, _ = load(events.line("a", UNKNOWN), events.line("b", gone), skip_schemas=skipped, strict=False)
     assert (result.good, result.bad) == (1, 1)
 
 
 def test_value_of_the_wrong_type_fails_the_event_but_counts_as_parsed(spark, load):
-    early = events.line(
-        "a", events.own("test/steady/jsonschema/7-0-0", {"col_a": 1}), tstamp="2020-01-01 00:00:00"
-    )
-    result, landed = load(early, events.line("b"), "nonsense")
+    early = events.line("a", events.own(ORDER, {"number": 17}), tstamp="2019-07-08 09:10:11")
+    result, _ = load(early, events.line("b"), "nonsense")
     assert (result.good, result.bad) == (1, 2)
-    assert result.earliest == datetime(2020, 1, 1, tzinfo=UTC)
+    assert result.earliest == datetime(2019, 7, 8, 9, 10, 11, tzinfo=UTC)
     failures = {r["failure"] for r in read_failed(spark, load.options.failed).collect()}
-    assert f"{OWN}_steady_7.col_a: expected string" in failures
+    assert f"{OWN}_order_2.number: expected string" in failures
 
 
 def test_size_cap_on_failed_events(spark, load):
@@ -311,14 +280,15 @@ def test_failed_events_go_out_before_good_rows(load, monkeypatch):
 
 
 def test_columns_evolve_from_batch_to_batch(load):
-    load(events.line("a", events.own("test/steady/jsonschema/7-0-0", {"col_a": "x"})))
+    load(events.line("a", events.own(ORDER, {"number": "B-1"})))
     _, landed = load(
-        events.line("b", events.own("test/steady/jsonschema/7-0-1", {"col_a": "x", "col_b": "y"})),
-        events.line("c", "", events.listed(("test/broken/jsonschema/1-0-0", {"col_a": "z"}))),
+        events.line("b", events.own(ORDER_SHIPPED, TO_BERN)),
+        events.line("c", "", events.listed((REFUND, {"cents": 5}))),
         batch_id=1,
     )
-    assert values(landed, "event_id", f"{OWN}_steady_7.col_b") == {("a", None), ("b", "y"), ("c", None)}
-    assert landed.where(f"{LIST}_broken_1 IS NOT NULL").count() == 1
+    city = values(landed, "event_id", f"{OWN}_order_2.ship_to.city")
+    assert city == {("a", None), ("b", "Bern"), ("c", None)}
+    assert landed.where(f"{LIST}_refund_3 IS NOT NULL").count() == 1
     options, spark = load.options, landed.sparkSession
     logged = logged_schema(spark, options.manifest, options.layout)
     assert set(logged.fieldNames()) == set(landed.columns)
@@ -336,7 +306,7 @@ def test_duplicate_registry_rows_do_not_change_counts(spark, tmp_path):
         str(tmp_path / "l"), str(tmp_path / "f"), str(tmp_path / "m"), layout=events.layout()
     )
     twice = events.registry(spark).union(events.registry(spark))
-    text = events.line("a", events.own("test/steady/jsonschema/7-0-0", {"col_a": "x"}))
+    text = events.line("a", events.own(ORDER, {"number": "B-1"}))
     assert Loader(options, twice).process(events.lines(spark, text), 0).good == 1
 
 
@@ -369,7 +339,7 @@ def test_stream_resumes_and_equals_a_batch(spark, tmp_path, load):
 
 
 def test_retry_after_registration_lands_what_had_failed(load, monkeypatch):
-    text = events.line("a", events.own("test/steady/jsonschema/7-0-0", {"col_a": "x"}))
+    text = events.line("a", events.own(ORDER, {"number": "B-1"}))
 
     def crash(*args, **kwargs):
         raise RuntimeError("lost")

@@ -39,8 +39,8 @@ def test_discovery_shuffles_partial_aggregates_only(spark):
 
 
 def test_transform_does_not_shuffle(spark):
-    schemas = {("test", "steady", 7): {(0, 0): events.SCHEMAS["test/steady/7-0-0"]}}
-    columns = plan_columns([SeenVersion("unstruct", "test", "steady", 7, 0, 0)], schemas)
+    schemas = {("shop", "order", 2): {(1, 3): events.SCHEMAS["shop/order/2-1-3"]}}
+    columns = plan_columns([SeenVersion("unstruct", "shop", "order", 2, 1, 3)], schemas)
     parsed = parse_lines(events.lines(spark, "x"), events.layout())
     text = plan(assemble(transform_events(parsed, events.layout(), columns), events.layout(), columns))
     assert "Exchange" not in text and "Python" not in text
