@@ -7,9 +7,10 @@ as learned, more beside a target, less under negation, less again inside reporte
 document's score sums up its clauses, so single words count only through the clause they are in.
 
 Insult stems and their weights are learned: of the labelled rows that may be used, the
-``most_labelled`` of each label with the smallest hash of their id are looked at, and a stem
-(the first four to seven letters of a word) is taken if documents that hold it are nearly all
-toxic. Rows whose crc32(doc_id as text) mod 3 is 1 are held out from learning.
+``most_labelled`` of each label with the smallest hash of their id are looked at, and a stem (a
+whole word of any length, or the first four to ``LONGEST`` letters of one) is taken if the texts
+that hold it are nearly all toxic and a share of the toxic texts of some language holds it. Texts
+count once, however many copies there are. Rows whose crc32(doc_id as text) mod 3 is 1 are held out from learning.
 
 Defined results: a null or empty text has the score of a text without matches; a null label or
 id takes no part in learning; repeated labels count once; without any toxic label no stem is
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.shared import Batches, arrow_map
+from landfall.llm.shared import Batches, arrow_map, written
 
 #: Words of the closed classes, for four languages.
 TARGETS = (
@@ -49,12 +50,17 @@ NEGATED = 0.7
 REPORTED = 0.8
 #: Bound of the sample for learning, for each of the two labels.
 MOST_LABELLED = 8_000
-SHORTEST, LONGEST = 4, 7
+#: Letters of a stem that other letters may follow; a whole word is a stem whatever its length.
+SHORTEST, LONGEST = 4, 32
+#: Closes a stem that is a whole word.
+END = " "
 LEAST_TOXIC_DOCS = 5
-#: Share of the toxic documents that hold a stem; the words of one document and its copies stay below.
+#: Share of the distinct toxic texts of a language that hold a stem.
 LEAST_SUPPORT = 0.025
 LEAST_PURITY = 0.97
-MOST_STEMS = 5_000
+MOST_STEMS = 50_000
+#: Stems a task counts before it passes them on.
+_COUNTED = 500_000
 #: Score of a document with a sum of clause weights s: 1 / (1 + exp(-(SLOPE * s + LEVEL))).
 SLOPE, LEVEL = 1.0, -2.5
 THRESHOLD = 0.7
@@ -77,13 +83,14 @@ class WordTransducer:
         self.closed |= {w: (NEGATION, 0.0) for w in NEGATIONS}
         self.closed |= {w: (REPORT, 0.0) for w in REPORTS}
         self.closed |= {w: (THREAT, THREAT_WEIGHT) for w in THREATS}
-        first = sorted({s[:SHORTEST] for s in stems} | {w[:SHORTEST] for w in THREATS})
+        first = sorted({s.removesuffix(END)[:SHORTEST] for s in stems} | {w[:SHORTEST] for w in THREATS})
         #: finds whether a text can match at all
         self.may_match = re.compile(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, first)) + ")").search
 
     def __call__(self, word: str) -> tuple[int, float]:
+        ended = word + END
         for n in self.lengths:
-            if (weight := self.stems.get(word[:n])) is not None and len(word) >= n:
+            if (weight := self.stems.get(ended[:n])) is not None:
                 return INSULT, weight
         return self.closed.get(word, (0, 0.0))
 
@@ -126,8 +133,8 @@ def held_out(id_col: str = "doc_id"):
 
 
 def _stems_of(text: str) -> set[str]:
-    words = {w for w in _WORDS.findall(text.lower()) if len(w) >= SHORTEST}
-    return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    words = set(_WORDS.findall(text.lower()))
+    return {w + END for w in words} | {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
 
 
 def learn_stems(
@@ -136,6 +143,7 @@ def learn_stems(
     most_labelled: int = MOST_LABELLED,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str = "lang",
 ) -> dict[str, float]:
     """Weights of the insult stems; at most ``MOST_STEMS`` of them."""
     usable = (
@@ -149,40 +157,53 @@ def learn_stems(
         for label in (0, 1)
     ]
     sample = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * most_labelled rows of 12 bytes at most
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    labelled = texts.join(sample, "doc_id").select("toxic", "text")
+    named = F.coalesce(F.col(lang_col).cast("string"), F.lit("\0")).alias("lang")  # null is a language of its own
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), named)
+    labelled = texts.join(sample, "doc_id").select("toxic", "text", "lang").distinct()
+    labelled = written(labelled, "toxicity-labelled")
 
     def run(batches: Batches) -> Batches:
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        seen = Counter()
-        for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[toxic].update(_stems_of(text or ""))
-                seen[toxic] += 1
-        stems = sorted(counts[1])  # a stem of no toxic document can't be taken
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([None, *stems], pa.string()),
-                pa.array([seen[1], *(counts[1][s] for s in stems)], pa.int64()),
-                pa.array([seen[0], *(counts[0][s] for s in stems)], pa.int64()),
-                pa.array([seen[0]] * (len(stems) + 1), pa.int64()),
-            ],
-            names=["stem", "toxic", "clean", "looked_at"],
-        )
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def counted() -> pa.RecordBatch:
+            # a stem of no toxic text can't be taken; one without a name counts the texts
+            keys = [(lang, None) for lang in sorted(set(seen[0]) | set(seen[1]))] + sorted(counts[1])
+            toxic, clean = (
+                [seen[i][lang] if stem is None else counts[i][lang, stem] for lang, stem in keys] for i in (1, 0)
+            )
+            columns = [pa.array([lang for lang, _ in keys], pa.string()), pa.array([x for _, x in keys], pa.string())]
+            columns += [pa.array(toxic, pa.int64()), pa.array(clean, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "stem", "toxic", "clean"])
 
-    found = labelled.mapInArrow(run, "stem string, toxic long, clean long, looked_at long")
-    total = found.where("stem IS NULL").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+        for batch in batches:
+            for toxic, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts[toxic].update((lang, stem) for stem in _stems_of(text or ""))
+                seen[toxic][lang] += 1
+                if len(counts[0]) + len(counts[1]) > _COUNTED:
+                    yield counted()
+                    for counter in (*counts, *seen):
+                        counter.clear()
+        yield counted()
+
+    found = written(labelled.mapInArrow(run, "lang string, stem string, toxic long, clean long"), "toxicity-stems")
+    sums = [F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")]
+    seen_in = found.where("stem IS NULL").groupBy("lang").agg(*sums)
+    total = seen_in.agg(*sums).first()
     if not total["toxic"]:
         return {}
-    # A task that saw a stem in clean documents alone sends no count for it, so the clean ones are
-    # counted again for the few stems that toxic documents make likely.
-    floor = max(LEAST_TOXIC_DOCS, LEAST_SUPPORT * total["toxic"])
+    # A stem that was seen in clean texts alone gets no count then, so the clean ones are counted
+    # again for the few stems that toxic texts make likely.
+    floors = seen_in.select("lang", F.greatest(F.lit(float(LEAST_TOXIC_DOCS)), LEAST_SUPPORT * F.col("toxic")).alias("floor"))
     likely = [
         r["stem"]
         for r in found.where("stem IS NOT NULL")
+        .groupBy("stem", "lang")
+        .agg(*sums)
+        .join(floors, "lang")
         .groupBy("stem")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= floor) & (F.col("toxic") >= F.lit(LEAST_PURITY) * (F.col("toxic") + F.col("clean"))))
+        .agg(*sums, F.max(F.col("toxic") >= F.col("floor")).alias("held"))
+        .where(F.col("held") & (F.col("toxic") >= F.lit(LEAST_PURITY) * (F.col("toxic") + F.col("clean"))))
         .orderBy(F.desc("toxic"), "stem")
         .limit(MOST_STEMS)
         .collect()

@@ -80,6 +80,22 @@ def test_clauses_weigh_more_than_words():
     assert toxicity.text_weight("the kill switch", reads)[0] == 0 < toxicity.text_weight("kill them", reads)[0]
 
 
+def test_stems_of_minorities_short_and_long_words(spark):
+    rows = [(f"filler{i} moronic text", "en", 1) for i in range(600)]
+    rows += [(f"filler{i} assessment of text", "en", 0) for i in range(600)]
+    rows += [(f"wort{i} achlicheib", "de", 1) for i in range(12)] + [(f"wort{i} achlichkeit", "de", 0) for i in range(12)]
+    rows += [(f"mot{i} ass", None, 1) for i in range(12)]
+    rows += [("the same zebra text", "en", 1)] * 60  # one text, however many copies
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, toxic int")
+    reads = toxicity.WordTransducer(toxicity.learn_stems(frame, frame.select("doc_id", "toxic")))
+    for word in ("moronic", "achlicheib", "ass"):
+        assert toxicity.text_weight(f"a {word}", reads)[0] > 0, word
+    for word in ("achlichkeit", "assessment", "zebra", "filler1"):
+        assert toxicity.text_weight(f"a {word}", reads)[0] == 0, word
+    long_words = spark.createDataFrame([(0, "x" * 200_000, "en")], "doc_id long, text string, lang string")
+    assert toxicity.learn_stems(long_words, long_words.selectExpr("doc_id", "1 AS toxic")) == {}
+
+
 def test_toxicity_edges(spark, edge, edge_rows, empty):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     stems = toxicity.learn_stems(edge, none)
