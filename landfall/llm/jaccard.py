@@ -242,16 +242,19 @@ def _fits(n_a, n_b, at_a, at_b, percent: int):
 def _group_pairs(percent: int, all_pairs: int, hot: list[int], salts: int):
     """Rows sorted by (token, salt, n, place, set_id) to candidates, rows of large groups and their hubs."""
 
-    def pairs_of(t, salt, s, n, p) -> list[pa.RecordBatch]:
-        """Of whole groups, or parts of large ones."""
+    def pairs_of(t, salt, s, n, p, cut_first: bool, cut_last: bool) -> list[pa.RecordBatch]:
+        """Of whole groups, or parts of large ones: the first or last group may be cut."""
         new = (t[1:] != t[:-1]) | (salt[1:] != salt[:-1])
         keep = np.r_[True, new | (s[1:] != s[:-1])]  # a repeated class counts once
         t, salt, s, n, p = t[keep], salt[keep], s[keep], n[keep], p[keep]
         starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (salt[1:] != salt[:-1])])
         lengths = np.diff(np.r_[starts, len(t)])
         group = np.repeat(np.arange(len(starts)), lengths)
-        # the parts of a salted group count as large however few their rows are
-        large = np.repeat((lengths > all_pairs) | (salt[starts] >= 0), lengths)
+        # the parts of a salted or cut group count as large however few their rows are
+        part = salt[starts] >= 0
+        part[0] |= cut_first
+        part[-1] |= cut_last
+        large = np.repeat((lengths > all_pairs) | part, lengths)
         made = []
 
         def rows(kind: int, a, b, i):
@@ -286,6 +289,7 @@ def _group_pairs(percent: int, all_pairs: int, hot: list[int], salts: int):
 
     def run(batches: Batches) -> Batches:
         rest: list[np.ndarray] | None = None
+        cut_before = False  # the first group of the rest had a part before
         dealt = np.array(sorted(hot), np.int64)
         for batch in batches:
             t, s, size_place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -294,13 +298,15 @@ def _group_pairs(percent: int, all_pairs: int, hot: list[int], salts: int):
             now = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
             t, salt = now[:2]
             cut = int(np.flatnonzero((t != t[-1]) | (salt != salt[-1]))[-1]) + 1 if (t[0], salt[0]) != (t[-1], salt[-1]) else 0
-            if cut == 0 and len(t) > _PART:
+            inside = cut == 0 and len(t) > _PART
+            if inside:
                 cut = len(t) - 1  # a part of a large group; its last row begins the next part
             if cut:
-                yield from pairs_of(*(c[:cut] for c in now))
+                yield from pairs_of(*(c[:cut] for c in now), cut_before, inside)
+                cut_before = inside
             rest = [c[cut:] for c in now]
         if rest is not None and len(rest[0]):
-            yield from pairs_of(*rest)
+            yield from pairs_of(*rest, cut_before, False)
 
     return run
 

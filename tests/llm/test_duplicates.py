@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from landfall.llm import jaccard, suffix_repeats
@@ -60,6 +61,47 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert found(frame) == brute_components(rows)
 
 
+@pytest.mark.parametrize("tail", [1, 2, 12, 24])
+def test_tails_of_cut_groups_stay_in_their_group(tail, monkeypatch):
+    """Every class of a cut group is a member of a large one, and every part has a hub."""
+    monkeypatch.setattr(jaccard, "_PART", 50)
+    rows = 100 + tail - 1  # cut at 100 rows but for the last one
+    frames = []
+    for token, count in ((7, rows), (8, 3)):
+        sizes = np.arange(count, dtype=np.int64) + 1000
+        frames.append((np.full(count, token), sizes + token * 10**6, sizes << jaccard._PLACE_BITS))
+    t, s, n = (np.concatenate(c) for c in zip(*frames, strict=True))
+    cuts = [0, 100, *([rows] if rows > 100 else []), len(t)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c[i:j]) for c in (t, s, n)], names=["token", "set_id", "size_place"])
+        for i, j in zip(cuts, cuts[1:], strict=False)
+    ]
+    made = [r for b in jaccard._group_pairs(85, 24, [], 4)(iter(batches)) for r in b.to_pylist()]
+    members = {r["a"] for r in made if r["kind"] == jaccard._MEMBER}
+    assert members == set(s[t == 7].tolist())
+    hubs = [r for r in made if r["kind"] == jaccard._HUB]
+    assert len(hubs) == 2 and {r["token"] for r in hubs} == {7}
+
+
+@pytest.mark.parametrize("tail", [1, 12, 24])
+def test_cut_groups_equal_brute_force(spark, tail, monkeypatch):
+    monkeypatch.setattr(jaccard, "_PART", 50)
+    draw = random.Random(tail)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(100)]
+    texts = []
+    for _ in range(50 + tail):
+        words = list(base)
+        words[draw.randrange(100)] = f"v{draw.randrange(10**6)}"
+        texts.append(" ".join(words + [f"x{i}" for i in range(draw.randrange(8))]))
+    rows = list(enumerate(texts))
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "51")
+    try:
+        assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
 def test_components_without_rows_or_ids(spark, empty):
     assert jaccard.similar_documents(empty).count() == 0
     rows = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (5, None)], "doc_id long, text string")
