@@ -13,6 +13,9 @@ from landfall.llm import jaccard, kneser_ney, packing, suffix_repeats, toxicity
 from landfall.llm.queries import END_ID, word_tokenizer
 from landfall.llm.shared import let_workers_import, table, written
 
+#: Near copies of this stage: word shingles and their least similarity; op9 has its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -28,7 +31,7 @@ def calm_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    return jaccard.one_of_each(docs, jaccard.similar_documents(docs))
+    return jaccard.one_of_each(docs, jaccard.similar_documents(docs, words=NEAR_WORDS, percent=NEAR_PERCENT))
 
 
 def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

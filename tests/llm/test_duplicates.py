@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from landfall.llm import jaccard, suffix_repeats
 
 
@@ -116,6 +117,16 @@ def test_one_of_each_stays(edge, edge_rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(wanted)
 
 
+@pytest.mark.parametrize(("changed", "stay"), [(22, 1), (23, 2)])
+def test_pipeline_stage_links_from_four_fifths_of_five_words(spark, changed, stay):
+    words = [f"w{i}" for i in range(1004)]
+    other = [f"v{i}" if i % 40 == 20 and i < 40 * changed else w for i, w in enumerate(words)]
+    sets = [set(zip(*(x[i:] for i in range(5)), strict=False)) for x in (words, other)]
+    assert (len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1])) == (stay == 1)
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    assert corpus_pipeline.one_of_each(spark, docs, "").count() == stay
+
+
 @pytest.mark.parametrize("letters", [1, 2, 3])
 def test_suffixes_are_sorted(letters):
     draw = random.Random(letters)
