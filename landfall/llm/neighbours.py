@@ -12,8 +12,8 @@ scored exactly on the original vectors in double precision.
 Blocks and query batches are rows that meet by list, so a list of any size is many pairs of
 bounded rows. Defined results: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part; repeated vectors are candidates each; ties go to the
-smaller id; a null id takes no part; an empty table gives no rows; fewer candidates than ``k``
-are all returned if their lists are probed.
+smaller id; a null id takes no part; an empty table gives no rows. A query whose lists hold fewer
+than ``k`` candidates probes further ones, so fewer come back only if there are no more.
 """
 
 from __future__ import annotations
@@ -158,9 +158,17 @@ def search(
 
     def probe(batches: Batches) -> Batches:
         for batch in batches:
-            cells = _nearest(space.asked(_matrix(batch.column(1))), space.centres, probes)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), cells.shape[1]))
-            columns = [pa.array(cells.ravel(), pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows)]
+            turned = space.asked(_matrix(batch.column(1)))
+            cells = _nearest(turned, space.centres, probes)
+            rows, cells = np.repeat(np.arange(batch.num_rows), cells.shape[1]), cells.ravel()
+            few = np.flatnonzero(np.bincount(rows, held[cells], batch.num_rows) < k + 1)
+            if len(few) and probes < len(space.centres):  # one more than asked for: the query itself may be among them
+                order = _nearest(turned[few], space.centres, len(space.centres))
+                before = np.cumsum(held[order], axis=1) - held[order]
+                more = (before < k + 1) & (np.arange(order.shape[1]) >= probes)
+                rows, cells = np.r_[rows, few[np.nonzero(more)[0]]], np.r_[cells, order[more]]
+            rows = pa.array(rows)
+            columns = [pa.array(cells, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows)]
             yield pa.RecordBatch.from_arrays(columns, names=["cell", "id", "v"])
 
     def blocks(most: int):
@@ -199,6 +207,9 @@ def search(
     placed = usable.mapInArrow(place, "cell int, id long, v array<double>")
     stored = placed.repartition("cell", spread).sortWithinPartitions("cell", "id").mapInArrow(blocks(BLOCK), row)
     stored = written(stored, "vector-blocks")
+    held = np.zeros(len(space.centres), np.int64)  # vectors of each list
+    for r in stored.groupBy("cell").agg(F.sum(F.octet_length("ids")).alias("bytes")).collect():
+        held[r["cell"]] = r["bytes"] // 8
     asked = _usable(queries, id_col, vector_col).where(F.size("v") == dims)
     asked = asked.mapInArrow(probe, "cell int, id long, v array<double>")
     asked = asked.repartition("cell", spread).sortWithinPartitions("cell", "id").mapInArrow(blocks(BLOCK // 4), row)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from landfall.llm import neighbours
 
@@ -38,6 +41,15 @@ def test_odd_vectors_take_no_part(spark):
     assert neighbours.search(frame.limit(0), frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [15, 17, 20, 21, 25, 40])
+def test_small_tables_give_all_there_is(spark, n):
+    draw = np.random.default_rng(n)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.standard_normal((n, 8)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(r["query_id"] for r in neighbours.search(frame, frame).collect())
+    assert got == {i: min(20, n - 1) for i in range(n)}
+
+
 def test_scan_abandons_only_what_is_far():
     draw = np.random.default_rng(1)
     block, query = draw.standard_normal((3000, 65)), draw.standard_normal(65)
