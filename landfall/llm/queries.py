@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import divergence, jaccard, kneser_ney, licenses, neighbours, suffix_repeats, toxicity
+from landfall.llm import (
+    decontaminate,
+    divergence,
+    jaccard,
+    kneser_ney,
+    licenses,
+    neighbours,
+    prefix_trie,
+    spelling,
+    suffix_repeats,
+    toxicity,
+)
 from landfall.llm.byte_pairs import round_trip_digests
 from landfall.llm.packing import pack
 from landfall.llm.shared import let_workers_import, table
@@ -95,3 +106,18 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
