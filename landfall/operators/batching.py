@@ -40,8 +40,7 @@ def assign_batches(
             "delay_bucket": F.floor(F.unix_micros(F.col(time)) / F.lit(micros)).cast("long"),
         }
     )
-    width = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed, before = _split_running(keyed, time, order, weight, pieces or width)
+    keyed, before = _split_running(keyed, time, order, weight, pieces)
     sequence = F.floor(before / F.lit(max_bytes)).cast("long")
     return keyed.withColumn("batch_seq", sequence).drop("_piece", "_offset")
 
@@ -56,8 +55,15 @@ def _running(keys: list[str], time: str, order: str, weight: str) -> Column:
     return F.sum(weight).over(rows) - F.col(weight)
 
 
+def cut_into_pieces(keyed: DataFrame, time: str, order: str, pieces: int | None = None) -> DataFrame:
+    """Rows in ranges of their source, bucket and place, with the number of their range as ``_piece``."""
+    width = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keyed.repartitionByRange(pieces or width, "source", "delay_bucket", time, order)
+    return ranged.withColumn("_piece", F.spark_partition_id())
+
+
 def _split_running(
-    keyed: DataFrame, time: str, order: str, weight: str, pieces: int
+    keyed: DataFrame, time: str, order: str, weight: str, pieces: int | None
 ) -> tuple[DataFrame, Column]:
     """Running weight by ranges: each piece sums its own rows, on top of the pieces before.
 
@@ -65,11 +71,7 @@ def _split_running(
     again every time the plan is run.
     """
     ensure_checkpoint_dir(keyed.sparkSession)
-    cut = (
-        keyed.repartitionByRange(pieces, "source", "delay_bucket", time, order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
-    )
+    cut = cut_into_pieces(keyed, time, order, pieces).checkpoint()
     group = ["source", "delay_bucket"]
     # At most one row per group and piece: small whatever the skew of the rows.
     weights = cut.groupBy(*group, "_piece").agg(F.sum(weight).alias("_weight"))

@@ -70,7 +70,7 @@ def test_good_rows_land_with_counts(spark, load):
     assert landed.count() == 4 and landed.where("etl_tstamp IS NOT NULL").count() == 0
     (row,) = batch_log(spark, load.options.manifest).collect()
     assert (row["good"], row["bad"], row["attempt"]) == (4, 0, 0)
-    assert result.earliest == datetime(2023, 10, 24, 10, tzinfo=UTC)
+    assert result.earliest == datetime.fromisoformat(events.TIME).replace(tzinfo=UTC)
     assert landed.columns == [f.name for f in load.options.layout.fixed]
 
 

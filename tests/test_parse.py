@@ -19,11 +19,11 @@ def failures(spark, *texts, layout=None) -> list:
 
 
 def test_good_line_is_typed(spark):
-    text = events.line("a", tstamp="2023-10-24 10:00:00.123987", amount="12.30")
+    text = events.line("a", tstamp="2024-08-19 11:00:00.123987", amount="12.30")
     row = good_rows(parse_lines(events.lines(spark, text), events.layout())).select(
         "event_id", F.unix_micros("collector_tstamp").alias("t"), "etl_tstamp", "amount", "_bytes"
     ).first()
-    instant = datetime(2023, 10, 24, 10, tzinfo=UTC).timestamp()
+    instant = datetime(2024, 8, 19, 11, tzinfo=UTC).timestamp()
     assert row["event_id"] == "a"
     assert row["t"] == int(instant) * 1_000_000 + 123_000
     assert row["etl_tstamp"] is None
@@ -52,7 +52,7 @@ def test_good_line_is_typed(spark):
         (events.line("a", events.own("v/n/jsonschema/1-0-0", {})), None),
         (events.line("a", contexts=events.listed(("v/n/jsonschema/1-0-0", {"k": 1}))), None),
         (events.line("a", contexts=events.listed()), None),
-        (events.line("a", tstamp="2023-10-24T10:00:00.000Z"), None),
+        (events.line("a", tstamp="2024-08-19T11:00:00.000Z"), None),
     ],
 )
 def test_reasons(spark, text, reason):

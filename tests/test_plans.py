@@ -6,6 +6,7 @@ import re
 
 import events
 
+from landfall.operators import batching
 from landfall.operators.entities import discover_entities
 from landfall.operators.parse import good_rows, parse_lines
 from landfall.operators.project import assemble, transform_events
@@ -47,10 +48,16 @@ def test_transform_does_not_shuffle(spark):
     assert text.count("from_json(") == 3
 
 
-def test_scan_reads_only_the_columns_a_query_needs(spark):
-    text = plan(QUERIES["batch_assign"](spark, SF))
+def test_scan_reads_only_the_columns_a_query_needs(spark, monkeypatch):
+    """The plan that is checkpointed, and what is read for it."""
+    seen = []
+    whole = batching.cut_into_pieces
+    monkeypatch.setattr(batching, "cut_into_pieces", lambda *a: seen.append(whole(*a)) or seen[-1])
+    QUERIES["batch_assign"](spark, SF)
+    text = plan(seen[0])
     (schema,) = set(re.findall(r"ReadSchema: struct<([^>]*)>", text))
     assert set(re.findall(r"(\w+):", schema)) == {"event_id", "ts", "event_type", "props"}
+    assert text.split("== Initial Plan ==")[0].count("Exchange") == 1
 
 
 def test_filter_on_load_date_prunes_folders(spark, tmp_path):

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from check_oracles import compare, database
@@ -24,6 +27,15 @@ def test_every_query_has_sql():
     assert set(oracle_sql()) >= set(ORACLES)
 
 
+def test_other_queries_stay_without_what_the_corpus_operators_need():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e;"
+        f"assert set(e.queries()) == set(e.oracle_sql()) and len(e.queries()) == {len(QUERIES)}"
+    )
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_entry(spark):
     result = entry(spark)
     assert result.columns == ["event_name", "events", "earliest_millis"]
