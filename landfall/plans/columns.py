@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -68,15 +69,19 @@ class EntityColumn:
 
 
 def plan_columns(
-    seen: list[SeenVersion], schemas: dict[tuple[str, str, int], dict[SubVersion, str]]
+    seen: list[SeenVersion],
+    schemas: dict[tuple[str, str, int], dict[SubVersion, str]],
+    landed: Mapping[tuple[str, str, str, int], T.DataType] | None = None,
 ) -> list[EntityColumn]:
     """Merged column of each entity, then its recovery columns, in a fixed order.
 
     ``schemas`` holds, for each model, the text of its registered versions. Every version
     up to the newest one seen takes part in the merge, so that a column gets the same type
     from a batch holding only the newest version as from one holding them all. Recovery
-    columns are made only for versions that occur.
+    columns are made only for versions that occur. ``landed`` holds the types that columns
+    of entities have already (``sources.ledger``); these are kept and only added to.
     """
+    landed = landed or {}
     versions: dict[tuple, set[SubVersion]] = defaultdict(set)
     for item in seen:
         versions[item.entity].add(item.version)
@@ -86,7 +91,7 @@ def plan_columns(
         kind, vendor, name, model = entity
         newest = max(versions[entity])
         texts = {v: s for v, s in schemas[entity[1:]].items() if v <= newest}
-        evolution = merge_versions(texts)
+        evolution = merge_versions(texts, landed.get(entity))
         if evolution.merged is None:
             continue
         base = column_name(kind, vendor, name, model)

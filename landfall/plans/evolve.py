@@ -26,9 +26,14 @@ def _optional(kind: T.DataType) -> T.DataType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in kind.fields])
 
 
-def merge_versions(schemas: dict[SubVersion, str]) -> Evolution:
-    """Merge in (revision, addition) order; a version that conflicts leaves the merge."""
-    merged: T.DataType | None = None
+def merge_versions(schemas: dict[SubVersion, str], landed: T.DataType | None = None) -> Evolution:
+    """Merge in (revision, addition) order; a version that conflicts leaves the merge.
+
+    ``landed`` is the type the column has in earlier batches. The merge goes on from it, so
+    it keeps all of its fields, and a version that conflicts with it leaves the merge even
+    if it is older than those that landed.
+    """
+    merged = landed
     recovered: dict[SubVersion, T.DataType] = {}
     saw_empty = False
     for version in sorted(schemas):

@@ -236,12 +236,18 @@ def evolved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingested_table", _SQL_EVOLVED)
 def ingested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table stream takes up the new column when it is started again, and no file twice."""
+    """A running table stream takes up a column that appears in a later file, and no file twice."""
     base = scratch_folder(spark, "ingested")
     landing = f"{base}/landing"
-    for i, batch in enumerate(_two_schemas(spark, sf_dir)):
-        write_batch(batch, batch_folder(landing, LOAD_TIME, str(i)))
-        ingest(spark, landing, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    older, newer = _two_schemas(spark, sf_dir)
+    write_batch(older, batch_folder(landing, LOAD_TIME, "0"))
+    stream = ingest(spark, landing, f"{base}/table", f"{base}/checkpoint", processingTime="0 seconds")
+    try:
+        stream.processAllAvailable()
+        write_batch(newer, batch_folder(landing, LOAD_TIME, "1"))
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
     return read_table(spark, f"{base}/table").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority"
     )

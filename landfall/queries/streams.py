@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.names import UNSTRUCT
+from landfall.operators.table import CLUSTER_BY
 from landfall.queries import inputs
 from landfall.queries.catalog import query
 from landfall.queries.inputs import SQL_ADDITION, SQL_CONTEXTS, SQL_GOOD, SQL_K
 from landfall.queries.landing import load_options
 from landfall.queries.lines import SQL_LINE
-from landfall.sources.landing import read_landing
+from landfall.sources.landing import LOAD_ATTEMPT, batch_folder, read_landing, write_batch
 from landfall.sources.lines import LINE_SCHEMA, start_at, stream_lines
+from landfall.sources.manifest import Manifest, read_committed
 from landfall.sources.scratch import scratch_folder
 from landfall.streaming.loader import Loader
+from landfall.streaming.table import ingest, read_table
 
 _START = datetime(2024, 1, 10, tzinfo=UTC)
 _WRITTEN = T.StructType([*LINE_SCHEMA.fields, T.StructField("written", T.TimestampType())])
@@ -89,6 +92,70 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_events(read_landing(spark, options.landing))
 
 
+_ERRORS = "event_type = 'error'"
+
+
+@query(
+    "late_registration",
+    f"""SELECT event_id, CASE WHEN {SQL_ADDITION} = 1 THEN {SQL_K} END AS k_text,
+    CASE WHEN {SQL_ADDITION} = 0 THEN CAST({SQL_K} AS BIGINT) END AS k_number
+    FROM events WHERE {SQL_GOOD} AND {_ERRORS}""",
+)
+def late_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older version is registered after a newer one has landed; the column keeps its type."""
+    options = load_options(spark, "late")
+    source = inputs.events(spark, sf_dir).where(_ERRORS)
+    first = (F.col("event_id") % 2 == 1) & (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    every = inputs.registry(spark, sf_dir)
+    newer = every.where("NOT (name = 'error' AND addition = 0)")
+    for i, (registry, part) in enumerate(((newer, first), (every, ~first))):
+        Loader(options, registry).process(inputs.lines_of(source.where(part)), i)
+    landed = read_committed(spark, options.manifest, options.landing)
+    (main,) = [c for c in landed.columns if c.startswith(UNSTRUCT) and "_recovered_" not in c]
+    (recovered,) = [c for c in landed.columns if c.startswith(f"{main}_recovered_1_0_0_")]
+    return landed.select(
+        "event_id", F.col(main).getField("k").alias("k_text"), F.col(recovered).getField("k").alias("k_number")
+    )
+
+
+@query(
+    "committed_attempts",
+    f"SELECT event_id, event_type AS event_name, 1 AS attempt FROM events WHERE {SQL_GOOD}",
+)
+def committed_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lost try left behind is neither overwritten by its retry nor seen by readers."""
+    options = load_options(spark, "attempts")
+    loader = Loader(options, inputs.registry(spark, sf_dir))
+    lost = Manifest(spark, options.manifest, loader.name).start(0)
+    folder = batch_folder(options.landing, lost.load_tstamp, f"{loader.name}-0", lost.number)
+    write_batch(inputs.events(spark, sf_dir).select("event_id"), folder)
+    loader.process(inputs.raw_lines(spark, sf_dir), 0)
+    landed = read_committed(spark, options.manifest, options.landing, partition_columns=True)
+    return landed.select("event_id", "event_name", F.col(LOAD_ATTEMPT).cast("int").alias("attempt"))
+
+
+@query(
+    "table_of_committed",
+    f"SELECT event_id, event_type AS event_name, 1 AS loads FROM events WHERE {SQL_GOOD}",
+)
+def table_of_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to landing to table, both as running streams; the table follows the batch log."""
+    options = load_options(spark, "follow")
+    base = scratch_folder(spark, "follow-source")
+    source = inputs.events(spark, sf_dir)
+    loader = Loader(options, inputs.registry(spark, sf_dir))
+    newer = F.col("event_id") % 2 == 1
+    for i, part in enumerate((source.where(~newer), source.where(newer))):
+        inputs.lines_of(part).select("value").write.parquet(f"{base}/arrival={i}")
+        lines = stream_lines(spark, "parquet", {"recursiveFileLookup": "true"}, base, LINE_SCHEMA)
+        loader.run(lines, f"{base}-checkpoint").awaitTermination()
+        ingest(
+            spark, options.landing, f"{base}-table", f"{base}-table-checkpoint", manifest=options.manifest, cluster_by=CLUSTER_BY
+        ).awaitTermination()
+    table = read_table(spark, f"{base}-table")
+    return table.groupBy("event_id", "event_name").agg(F.count("*").cast("int").alias("loads"))
+
+
 def flat_events(landed: DataFrame) -> DataFrame:
     own = [c for c in landed.columns if c.startswith(f"{UNSTRUCT}_event_")]
     k = [F.col(c).getField("k") for c in own if "_recovered_" not in c]

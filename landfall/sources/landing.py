@@ -17,6 +17,7 @@ from landfall.options import codec_name
 
 LOAD_DATE = "load_tstamp_date"
 LOAD_BATCH = "load_batch"
+LOAD_ATTEMPT = "load_attempt"
 
 # Parquet INT64 microseconds, the type table readers expect, instead of INT96.
 _WRITE_CONF = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
@@ -55,15 +56,23 @@ def folder_name(text: str) -> str:
     return quote(text, safe="")
 
 
-def batch_folder(landing: str, load_time: datetime, batch: str) -> str:
-    return f"{landing.rstrip('/')}/{LOAD_DATE}={load_date(load_time)}/{LOAD_BATCH}={folder_name(batch)}"
+def batch_folder(landing: str, load_time: datetime, batch: str, attempt: int | None = None) -> str:
+    """Folder of a batch, or of one try of it."""
+    folder = f"{landing.rstrip('/')}/{LOAD_DATE}={load_date(load_time)}/{LOAD_BATCH}={folder_name(batch)}"
+    return folder if attempt is None else f"{folder}/{LOAD_ATTEMPT}={attempt}"
 
 
-def write_batch(events: DataFrame, folder: str, codec: str = "snappy", files: int | None = None):
-    """Write one batch to its own folder. A retry replaces what a failed try left there."""
+def write_batch(
+    events: DataFrame,
+    folder: str,
+    codec: str = "snappy",
+    files: int | None = None,
+    mode: str = "overwrite",
+) -> None:
+    """Write one batch to its own folder."""
     with session_conf(events.sparkSession, _WRITE_CONF):
         out = events if files is None else events.coalesce(files)
-        out.write.mode("overwrite").option("compression", codec_name(codec)).parquet(folder)
+        out.write.mode(mode).option("compression", codec_name(codec)).parquet(folder)
 
 
 # A small batch is still worth several writers, down to files of this many bytes of input.
@@ -117,6 +126,9 @@ def read_landing(
 ) -> DataFrame:
     """All landed rows under the union of their columns; older rows have NULL in newer ones.
 
+    This reads every file of the folder, those of failed tries too. Where loads may be
+    tried again, ``sources.manifest.read_committed`` reads the committed ones alone.
+
     Without a ``schema`` the footers of all files are read to unite their columns. The
     batch log knows them as well (``sources.manifest.logged_schema``), which is quicker
     on a large folder. ``partition_columns`` keeps the folder names as columns, so that a

@@ -1,10 +1,13 @@
 """The batch log: what each batch did, and whether it was already done.
 
 Every try of a batch first records a ``started`` row and, when all is written, a
-``committed`` row. A batch that comes again keeps the load time of its first try, so its
-files go to the same folder; one that is committed is not loaded again. Rows are grouped
-by the hundred batches, so that looking one up reads one small folder however long the
-log is.
+``committed`` row. A batch that comes again keeps the load time of its first try; one that
+is committed is not loaded again. Rows are grouped by the hundred batches, so that looking
+one up reads one small folder however long the log is.
+
+Each try writes to a folder of its own, which nobody writes to again. The committed row
+names the folder that counts; ``read_committed`` follows these rows, so a reader neither
+sees a batch twice, nor half of one, nor files that vanish while it reads.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("earliest", T.TimestampType()),
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("folder", T.StringType()),
     ]
 )
 
@@ -74,13 +78,22 @@ class Manifest:
     def commit(self, batch_id: int, attempt: Attempt, **counts) -> None:
         self._append(batch_id, attempt, COMMITTED, loaded_at=datetime.now(UTC), **counts)
 
-    def _rows(self, batch_id: int) -> list:
+    def all_rows(self) -> DataFrame | None:
+        """The log of every query, or None before the first try."""
+        return self._log(self.path)
+
+    def _log(self, folder: str) -> DataFrame | None:
         try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(self._folder(batch_id))
+            return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(folder)
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return None
             raise
+
+    def _rows(self, batch_id: int) -> list:
+        log = self._log(self._folder(batch_id))
+        if log is None:
+            return []
         mine = log.where(F.col("batch_id") == batch_id)
         return mine.select("attempt", "state", F.unix_micros("load_tstamp").alias("micros")).collect()
 
@@ -123,6 +136,35 @@ def batch_log(spark: SparkSession, path: str) -> DataFrame:
     return log.where(F.col("state") == COMMITTED).drop("state")
 
 
+def committed_folders(log: DataFrame) -> list[str]:
+    """The folder of each committed batch that landed rows; of two commits the first counts.
+
+    One short text per batch goes to the driver, as it does for any folder that is listed.
+    """
+    first = F.min_by("folder", F.struct("loaded_at", "attempt")).alias("folder")
+    rows = log.where(F.col("folder").isNotNull()).groupBy("query_id", "batch_id").agg(first)
+    return sorted(row["folder"] for row in rows.select("folder").collect())
+
+
+def read_committed(
+    spark: SparkSession, path: str, landing: str, schema: T.StructType | None = None, partition_columns: bool = False
+) -> DataFrame:
+    """The landed rows of committed batches, and of no other try.
+
+    Without a ``schema`` the footers of the files are read to unite their columns, see
+    ``logged_schema``.
+    """
+    folders = committed_folders(batch_log(spark, path))
+    if not folders:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    if partition_columns:
+        reader = reader.option("basePath", landing)
+    else:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.parquet(*folders)
+
+
 def logged_schema(spark: SparkSession, path: str, layout: Layout) -> T.StructType:
     """Merged schema of the landing folder, from the columns each batch recorded.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from threading import Event
 from uuid import uuid4
@@ -22,11 +22,14 @@ from landfall.options import LoadOptions
 from landfall.plans.columns import EntityColumn, SeenVersion, plan_columns
 from landfall.sources.failed import failed_json, send_failed, write_failed
 from landfall.sources.landing import batch_folder, file_count, seed, write_batch
+from landfall.sources.ledger import TypeLedger
 from landfall.sources.lines import spread
-from landfall.sources.manifest import Manifest, instant
+from landfall.sources.manifest import Attempt, Manifest, instant
 
 # How many unregistered versions the message names; the table it points to has all.
 _FIRST_MISSING = 20
+# How often a batch plans its columns again because other loads claimed theirs.
+_CLAIMS = 5
 
 
 class MissingSchemas(Exception):
@@ -43,6 +46,8 @@ class BatchPlan:
     columns: list[EntityColumn]
     known: list[str]
     missing_items: int
+    seen: list[SeenVersion]
+    texts: dict
 
 
 @dataclass(frozen=True)
@@ -53,9 +58,12 @@ class BatchResult:
     earliest: datetime | None
     columns: tuple[EntityColumn, ...] = ()
     repeated: bool = False
+    folder: str | None = None
 
 
-def plan_batch(parsed: DataFrame, registry: DataFrame, options: LoadOptions) -> BatchPlan:
+def plan_batch(
+    parsed: DataFrame, registry: DataFrame, options: LoadOptions, ledger: TypeLedger | None = None
+) -> BatchPlan:
     """Discover and resolve the schema versions of a batch, in one aggregation.
 
     The driver receives one row per *registered* version; everything else is summed into
@@ -86,16 +94,31 @@ def plan_batch(parsed: DataFrame, registry: DataFrame, options: LoadOptions) ->
         raise MissingSchemas(_missing_message(stats, registry, options.manifest))
     seen = [SeenVersion(*[r[c] for c in SEEN]) for r in rows if r["kind"] is not None]
     times = [r["earliest"] for r in rows if r["earliest"] is not None]
+    texts = _schema_texts(seen, registry)
+    landed = ledger.types(s.entity for s in seen) if ledger else {}
     return BatchPlan(
         rows=sum(r["rows"] for r in rows),
         bytes=sum(r["bytes"] or 0 for r in rows),
         earliest=instant(min(times)) if times else None,
-        columns=plan_columns(seen, _schema_texts(seen, registry)),
+        columns=plan_columns(seen, texts, landed),
         known=sorted({key_text(*s.schema_key, *s.version) for s in seen}),
         missing_items=missing_items,
+        seen=seen,
+        texts=texts,
     )
 
 
+def settle_columns(plan: BatchPlan, ledger: TypeLedger) -> BatchPlan:
+    """The plan with columns that the ledger holds, also if others claim types meanwhile."""
+    for _ in range(_CLAIMS):
+        held = ledger.claim(plan.columns)
+        agreed = all(c.recovered or held[c.kind, c.vendor, c.name, c.model] == c.data_type for c in plan.columns)
+        if agreed:
+            return plan
+        plan = replace(plan, columns=plan_columns(plan.seen, plan.texts, held))
+    raise RuntimeError(f"other loads changed the types in {ledger.path} {_CLAIMS} times")
+
+
 def _version_stats(parsed: DataFrame, options: LoadOptions) -> DataFrame:
     """Per schema version of good rows: its items, and the sums of rows whose own it is."""
     time = options.layout.event_time
@@ -160,6 +183,7 @@ class Loader:
         self.options = options
         self.registry = registry
         self.name = name
+        self.ledger = TypeLedger(registry.sparkSession, f"{options.manifest.rstrip('/')}-types")
 
     def seed(self, load_time: datetime) -> str:
         """Land the empty first file."""
@@ -187,7 +211,7 @@ class Loader:
         if options.cache:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = self._load(parsed, f"{load}-{batch_id}", attempt.load_tstamp)
+            result = self._load(parsed, f"{load}-{batch_id}", attempt)
         finally:
             if options.cache:
                 parsed.unpersist()
@@ -199,26 +223,27 @@ class Loader:
             bytes=result.bytes,
             earliest=result.earliest,
             columns={c.column: _logged_type(c) for c in result.columns},
+            folder=result.folder,
         )
         return result
 
-    def _load(self, parsed: DataFrame, tag: str, load_time: datetime) -> BatchResult:
-        options = self.options
-        plan = plan_batch(parsed, self.registry, options)
+    def _load(self, parsed: DataFrame, tag: str, attempt: Attempt) -> BatchResult:
+        options, load_time = self.options, attempt.load_tstamp
+        plan = settle_columns(plan_batch(parsed, self.registry, options, self.ledger), self.ledger)
         events = self.transform(parsed, plan)
         bad = self._send_failed(events, tag) if plan.rows else 0
         good = plan.rows - bad
+        folder = batch_folder(options.landing, load_time, tag, attempt.number) if good else None
         if good:
             if options.override_load_time:
                 now = F.timestamp_micros(F.lit(int(load_time.timestamp() * 1_000_000)))
                 events = override_load_time(events, options.layout, now)
             landed = assemble(events, options.layout, plan.columns)
-            folder = batch_folder(options.landing, load_time, tag)
             cores = parsed.sparkSession.sparkContext.defaultParallelism
             files = file_count(plan.bytes, options.target_file_bytes, cores)
-            write_batch(landed, folder, options.codec, files)
+            write_batch(landed, folder, options.codec, files, mode="errorifexists")
         columns = tuple(plan.columns) if good else ()
-        return BatchResult(good, bad, plan.bytes, plan.earliest, columns)
+        return BatchResult(good, bad, plan.bytes, plan.earliest, columns, folder=folder)
 
     def _send_failed(self, events: DataFrame, tag: str) -> int:
         """Send a batch's failed events; returns how many there are."""

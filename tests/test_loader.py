@@ -14,7 +14,7 @@ from landfall.plans.columns import ClashingSchemas
 from landfall.sources import landing as landing_module
 from landfall.sources.failed import read_failed
 from landfall.sources.landing import read_landing
-from landfall.sources.manifest import Manifest, batch_log, logged_schema
+from landfall.sources.manifest import Manifest, batch_log, logged_schema, read_committed
 from landfall.streaming import loader as loader_module
 from landfall.streaming.loader import Loader, MissingSchemas
 
@@ -41,7 +41,7 @@ def load(spark, tmp_path):
         )
         loader = Loader(options, events.registry(spark, schemas))
         result = loader.process(events.lines(spark, *texts), batch_id)
-        landed = read_landing(spark, options.landing) if result.good else None
+        landed = read_committed(spark, options.manifest, options.landing) if result.good else None
         run.options, run.loader = options, loader
         return result, landed
 

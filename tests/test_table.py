@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 import events
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from landfall.operators.registry import registry_from_folder
@@ -24,6 +25,7 @@ from landfall.sources.landing import (
     write_batch,
     write_partitioned,
 )
+from landfall.sources.manifest import Manifest, read_committed
 from landfall.streaming.table import ingest, read_table, stream_landing
 
 TIME = datetime(2024, 2, 29, 23, 59, 59, tzinfo=UTC)
@@ -198,3 +200,84 @@ def test_size_limit_makes_several_batches(spark, tmp_path):
     )
     query.awaitTermination()
     assert sum(seen) == 3 and len(seen) >= 2
+
+
+def started(spark, tmp_path, **changes):
+    paths = [str(tmp_path / n) for n in ("l", "t", "c")]
+    return ingest(spark, *paths, processingTime="0 seconds", **changes), *paths[:2]
+
+
+def test_a_running_table_stream_takes_up_new_columns_and_fields(spark, tmp_path):
+    landing = str(tmp_path / "l")
+    write_batch(spark.sql("SELECT 1 a, named_struct('x', 1) s"), batch_folder(landing, TIME, "q-0"))
+    stream, _, table = started(spark, tmp_path)
+    try:
+        stream.processAllAvailable()
+        wider = spark.sql("SELECT CAST(id + 2 AS INT) a, named_struct('x', 2, 'y', 'n') s, array(id) b FROM range(5)")
+        write_batch(wider.repartition(3), batch_folder(landing, TIME, "q-1"))
+        stream.processAllAvailable()
+        write_batch(spark.sql("SELECT 9 a, named_struct('x', 3) s"), batch_folder(landing, TIME, "q-2"))
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    rows = read_table(spark, table)
+    assert rows.columns == ["a", "s", "load_tstamp", "b"]
+    found = {(r["a"], r["s"]["y"], tuple(r["b"] or ())) for r in rows.collect()}
+    assert found == {(1, None, ()), (9, None, ()), *[(i + 2, "n", (i,)) for i in range(5)]}
+    assert rows.where("load_tstamp IS NULL").count() == 0
+
+
+def test_columns_that_do_not_merge_stop_the_table_before_it_commits(spark, tmp_path):
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("l", "t", "c"))
+    write_batch(spark.sql("SELECT 1 a"), batch_folder(landing, TIME, "q-0"))
+    ingest(spark, landing, table, checkpoint).awaitTermination()
+    broken = batch_folder(landing, TIME, "q-1")
+    write_batch(spark.sql("SELECT 'text' a"), broken)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="int and string"):
+            ingest(spark, landing, table, checkpoint).awaitTermination()
+        assert [r["a"] for r in read_table(spark, table).collect()] == [1]
+    # the file was not counted as read: repaired, it is loaded
+    write_batch(spark.sql("SELECT 2 a"), broken)
+    ingest(spark, landing, table, str(tmp_path / "c2"), landed_after=F.timestamp_micros(F.lit(0))).awaitTermination()
+    assert sorted(r["a"] for r in read_table(spark, table).collect()) == [1, 1, 2]
+
+
+def test_a_table_batch_that_is_tried_again_is_not_doubled(spark, tmp_path, monkeypatch):
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("l", "t", "c"))
+    write_batch(spark.sql("SELECT id a FROM range(10)"), batch_folder(landing, TIME, "q-0"))
+
+    def crash(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "commit", crash)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            ingest(spark, landing, table, checkpoint).awaitTermination()
+    ingest(spark, landing, table, checkpoint).awaitTermination()
+    assert len(list((tmp_path / "t").rglob("load_attempt=*"))) == 2
+    assert sorted(r["a"] for r in read_table(spark, table).collect()) == list(range(10))
+
+
+def test_a_file_without_rows_gives_the_table_its_columns(spark, tmp_path):
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("l", "t", "c"))
+    write_batch(spark.sql("SELECT 1 a, 'x' b").where("false"), batch_folder(landing, TIME, "seed"))
+    ingest(spark, landing, table, checkpoint).awaitTermination()
+    rows = read_table(spark, table)
+    assert rows.columns == ["a", "b", "load_tstamp"] and rows.count() == 0
+
+
+def test_the_table_follows_committed_batches_alone(spark, tmp_path):
+    manifest = Manifest(spark, str(tmp_path / "log"), "load")
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("l", "t", "c"))
+    for batch in range(3):
+        lost = manifest.start(batch)
+        write_batch(spark.sql(f"SELECT {batch} a, 'lost' b"), batch_folder(landing, lost.load_tstamp, f"load-{batch}", lost.number))
+        kept = manifest.start(batch)
+        folder = batch_folder(landing, kept.load_tstamp, f"load-{batch}", kept.number)
+        write_batch(spark.sql(f"SELECT {batch} a, 'kept' b"), folder)
+        if batch < 2:
+            manifest.commit(batch, kept, good=1, bad=0, folder=folder)
+    ingest(spark, landing, table, checkpoint, manifest=str(tmp_path / "log"), cluster_by=("a", "none")).awaitTermination()
+    assert {(r["a"], r["b"]) for r in read_table(spark, table).collect()} == {(0, "kept"), (1, "kept")}
+    assert {r["a"] for r in read_committed(spark, str(tmp_path / "log"), landing).collect()} == {0, 1}
