@@ -26,8 +26,41 @@ _UNSTRUCT_TEXT = "_unstruct_text"
 _CONTEXT_TEXTS = "_context_texts"
 
 
-def _belongs(item: str, column: EntityColumn) -> str:
-    return f"{key_of(f'{item}.schema')} IN ({sql.texts(column.keys)})"
+# The number of the column that takes the event's own item.
+_UNSTRUCT_ROUTE = "_unstruct_route"
+# Context items, each with the number of its column, and these by column.
+_ROUTED = "_routed"
+_BY_COLUMN = "_by_column"
+
+
+def _numbers(columns: list[EntityColumn]) -> dict[EntityColumn, int]:
+    return {c: i for i, c in enumerate(columns)}
+
+
+def _route(item: str, columns: dict[EntityColumn, int], unstruct: bool) -> str:
+    """The number of an item's column, NULL if it has none: one look-up of its key."""
+    pairs = {key: i for c, i in columns.items() if (c.kind == UNSTRUCT) == unstruct for key in c.keys}
+    if not pairs:
+        return "CAST(NULL AS INT)"
+    listed = ", ".join(f"{sql.text(key)}, {i}" for key, i in pairs.items())
+    return f"element_at(map({listed}), {key_of(f'{item}.schema')})"
+
+
+def _routed_items(columns: dict[EntityColumn, int], texts: bool) -> str:
+    """The context items that have a column, with its number."""
+    members = "'schema', item.schema, 'data', item.data"
+    if texts:
+        members += f", 'text', get({_CONTEXT_TEXTS}, i)"
+    route = _route("item", columns, unstruct=False)
+    items = f"transform({CONTEXT_ITEMS}, (item, i) -> named_struct('route', {route}, {members}))"
+    return f"filter({items}, item -> item.route IS NOT NULL)"
+
+
+def _items_by_column() -> str:
+    """Map from a column's number to the row's items for it; NULL for a row without any."""
+    routes = f"array_distinct({_ROUTED}.route)"
+    groups = f"transform({routes}, route -> filter({_ROUTED}, item -> item.route = route))"
+    return f"CASE WHEN size({_ROUTED}) > 0 THEN map_from_arrays({routes}, {groups}) END"
 
 
 def _item_texts(field: str, shape: str, layout: Layout) -> str:
@@ -82,21 +115,14 @@ def _source_name(column: EntityColumn) -> str:
     return sql.name(f"_source_{column.column}")
 
 
-def _own_source(column: EntityColumn) -> str:
+def _own_source(column: EntityColumn, number: int) -> str:
     """The source of an event column, or the list of sources of a contexts column."""
     if column.kind == UNSTRUCT:
         source = _source(UNSTRUCT_ITEM, _UNSTRUCT_TEXT, column)
-        return f"CASE WHEN {_belongs(UNSTRUCT_ITEM, column)} THEN {source} END"
-    items, text = CONTEXT_ITEMS, ""
-    if keeps_text(column.data_type):
-        text = "item.text"
-        pair = (
-            "named_struct('schema', item.schema, 'data', item.data,"
-            f" 'text', get({_CONTEXT_TEXTS}, i))"
-        )
-        items = f"transform({CONTEXT_ITEMS}, (item, i) -> {pair})"
-    own = f"filter({items}, item -> {_belongs('item', column)})"
-    return f"transform({own}, item -> {_source('item', text, column)})"
+        return f"CASE WHEN {_UNSTRUCT_ROUTE} = {number} THEN {source} END"
+    text = "item.text" if keeps_text(column.data_type) else ""
+    own = f"element_at({_BY_COLUMN}, {number})"
+    return f"CASE WHEN {own} IS NOT NULL THEN transform({own}, item -> {_source('item', text, column)}) END"
 
 
 def _parts(source: str, column: EntityColumn) -> str | None:
@@ -172,16 +198,27 @@ def transform_events(
     failure = FAILURE
     if known is not None:
         failure = sql.coalesce([FAILURE, _unknown_schema(known, list(skipped))])
+    texts = _kept_texts(layout, columns)
     source = parsed.selectExpr(
         *fixed,
         PAYLOAD,
         f"{failure} AS {FAILURE}",
         UNSTRUCT_ITEM,
         CONTEXT_ITEMS,
-        *[f"{raw} AS {name}" for name, raw in _kept_texts(layout, columns).items()],
+        *[f"{raw} AS {name}" for name, raw in texts.items()],
+    )
+    # Each item's key is looked up once and the items of a row are grouped once, so that a
+    # further column costs a row that has no item for it one look-up by number.
+    numbers = _numbers(columns)
+    carried = [*fixed, PAYLOAD, FAILURE, UNSTRUCT_ITEM, *(t for t in texts if t == _UNSTRUCT_TEXT)]
+    routed = source.selectExpr(
+        *carried,
+        f"{_route(UNSTRUCT_ITEM, numbers, unstruct=True)} AS {_UNSTRUCT_ROUTE}",
+        f"{_routed_items(numbers, _CONTEXT_TEXTS in texts)} AS {_ROUTED}",
     )
-    routed = source.selectExpr("*", *[f"{_own_source(c)} AS {_source_name(c)}" for c in columns])
-    return routed.selectExpr(
+    grouped = routed.selectExpr(*carried, _UNSTRUCT_ROUTE, f"{_items_by_column()} AS {_BY_COLUMN}")
+    sources = grouped.selectExpr("*", *[f"{_own_source(c, i)} AS {_source_name(c)}" for c, i in numbers.items()])
+    return sources.selectExpr(
         *fixed,
         *[f"{_value(c)} AS {sql.name(c.column)}" for c in columns],
         f"{sql.computed_once(sql.coalesce([FAILURE, *[_error(c) for c in columns]]))} AS {FAILURE}",
