@@ -6,9 +6,14 @@ form a segment. Anchors met once need no more work. Segments that occur twice or
 are repeated throughout. Of the rest, one copy of each segment goes to the shard of its anchor,
 where the suffixes of the shard's text are sorted in two stages: those smaller than their successor
 directly, all others induced from these by scanning the buckets of first bytes. Common prefixes of
-adjacent suffixes then tell which windows repeat. An anchor with more than ``MOST_SEGMENTS``
-different segments (a passage in very many documents, at its rims) is dealt by hashes of its whole
-windows instead, so no group grows with the corpus.
+adjacent suffixes then tell which windows repeat.
+
+An anchor with more than ``MOST_SEGMENTS`` different segments (a passage in very many documents, at its
+rims) gets further anchors. Equal windows hold their least gram at the same offset, so the windows of a
+segment are cut into ranges of offsets, and those of one range go by all the bytes that every window
+of that range holds around the gram. Ranges that are still crowded are cut again, four times finer, down to
+single windows, where the bytes are the window and different segments can't meet. A rim has one crowded range
+at each step, so rows stay near the number of segments and no group to be sorted grows with the corpus.
 
 Rows are told apart by (id, hash of the text); equal rows are copies of each other. Defined
 results: a null or empty text has no bytes and none removed; texts shorter than the window keep
@@ -19,6 +24,7 @@ rows. Matches never cross documents, and all are judged on the input.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -98,18 +104,11 @@ _PLACE_BITS = np.uint64(24)
 _PLACES = (1 << 24) - 1
 
 
-def segments(data: np.ndarray, hasher: Hasher, window: int, gram: int):
-    """(anchor, hash, start, windows, whether the anchor recurs) of each segment of one text.
+def least_grams(grams: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leftmost and rightmost place of each window's least gram.
 
-    The least gram is found by the high bits of its hash, then by place: leftmost for the anchor,
-    rightmost too to see whether the segment holds it more than once. Windows may then repeat
-    within the segment.
+    The least gram is found by the high bits of its hash, then by place.
     """
-    if len(data) < window:
-        empty = np.empty(0, np.uint64)
-        return empty, empty, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    sums = hasher.sums(data)
-    grams = hasher.grams(sums, gram)
     high = grams >> _PLACE_BITS << _PLACE_BITS
     width = window - gram + 1
     places = np.arange(len(grams), dtype=np.uint64) & np.uint64(_PLACES)
@@ -119,6 +118,21 @@ def segments(data: np.ndarray, hasher: Hasher, window: int, gram: int):
     window_at = np.arange(len(left))
     left = left + base + np.where(left + base < window_at, _PLACES + 1, 0)
     right = right + base + np.where(right + base < window_at, _PLACES + 1, 0)
+    return left, right
+
+
+def segments(data: np.ndarray, hasher: Hasher, window: int, gram: int):
+    """(anchor, hash, start, windows, whether the anchor recurs) of each segment of one text.
+
+    The leftmost least gram is the anchor; the rightmost one shows whether the segment holds it
+    more than once. Windows may then repeat within the segment.
+    """
+    if len(data) < window:
+        empty = np.empty(0, np.uint64)
+        return empty, empty, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    sums = hasher.sums(data)
+    grams = hasher.grams(sums, gram)
+    left, right = least_grams(grams, window, gram)
     anchors = grams[left]
     starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
     lengths = np.diff(np.r_[starts, len(anchors)])
@@ -133,6 +147,29 @@ def segments(data: np.ndarray, hasher: Hasher, window: int, gram: int):
     return anchors[starts], hasher.spans(sums, starts, starts + lengths + window - 1), starts, lengths, recurs
 
 
+#: Offsets in a range, step by step. At single offsets all segments of an anchor are equal.
+_RANGES = (64, 16, 4, 1)
+_ANY = 1 << 62
+
+
+def offset_ranges(data: np.ndarray, hasher: Hasher, window: int, gram: int, width: int):
+    """(anchor, hash, start, windows, whether the gram recurs) of runs of windows of one anchor.
+
+    The anchor is the hash of a range of offsets, in which the window's least gram lies, and of the bytes
+    that all windows of that range hold around the gram: windows that are equal have equal anchors.
+    """
+    sums = hasher.sums(data)
+    left, _ = least_grams(hasher.grams(sums, gram), window, gram)
+    nearest = (left - np.arange(len(left))) // width * width
+    farthest = np.minimum(nearest + width, window - gram + 1) - 1
+    common = hasher.spans(sums, left - nearest, left - farthest + window)
+    anchors = _mixed(common ^ _mixed((nearest * (window + 1) + width).astype(np.uint64)))
+    starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    lengths = np.diff(np.r_[starts, len(left)])
+    recurs = left[starts] != left[starts + lengths - 1]
+    return anchors[starts], hasher.spans(sums, starts, starts + lengths + window - 1), starts, lengths, recurs
+
+
 def _batch(names: list[str], kinds: list[pa.DataType], columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -146,6 +183,19 @@ _SEGMENT_KINDS = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.bool_(), pa.int32()]
 _SETTLED = 2
 
 
+def _settled(anchor: np.ndarray, segment: np.ndarray, start: np.ndarray, known: np.ndarray):
+    """Anchors and states after one row of each segment has been chosen to go on for its copies."""
+    by = np.lexsort((segment, anchor))
+    first = np.r_[True, (anchor[by[1:]] != anchor[by[:-1]]) | (segment[by[1:]] != segment[by[:-1]])]
+    starts = np.flatnonzero(first)
+    sizes = np.diff(np.r_[starts, len(by)])
+    copied = (sizes > 1) | (np.maximum.reduceat(known[by], starts) == 1)
+    states = np.empty(len(by), np.int32)
+    states[by] = np.where(first, np.repeat(copied, sizes), _SETTLED)
+    # settled rows need no company: any spread of them will do
+    return np.where(states == _SETTLED, segment ^ _mixed(start.astype(np.uint64)), anchor), states
+
+
 def _cut(window: int, gram: int):
     """Segments; of those that a batch holds several times, one goes on and the others are settled."""
 
@@ -162,26 +212,55 @@ def _cut(window: int, gram: int):
             if not found:
                 continue
             anchor, segment, start, windows, recurs = (np.concatenate(c) for c in zip(*found, strict=True))
-            by = np.lexsort((segment, anchor))
-            first = np.r_[True, (anchor[by[1:]] != anchor[by[:-1]]) | (segment[by[1:]] != segment[by[:-1]])]
-            sizes = np.diff(np.r_[np.flatnonzero(first), len(by)])
-            known = np.empty(len(by), np.int32)
-            known[by] = np.where(first, np.repeat(sizes > 1, sizes), _SETTLED)
+            anchor, known = _settled(anchor, segment, start, np.zeros(len(anchor), np.int32))
             rows = pa.array(np.concatenate(at))
             ids = [batch.column(0).take(rows), batch.column(1).take(rows)]
-            # settled rows need no company: any spread of them will do
-            anchor = np.where(known == _SETTLED, segment ^ _mixed(start.astype(np.uint64)), anchor)
             columns = [anchor.view(np.int64), segment.view(np.int64), *ids, start, windows, recurs, known]
             yield _batch(_SEGMENT_NAMES, _SEGMENT_KINDS, columns)
 
     return run
 
 
+_CUT_PIECES = f"{_SEGMENTS}, piece binary"
+
+
+def _cut_again(window: int, gram: int, width: int):
+    """Segments of crowded anchors, with their bytes, to runs of one range of offsets."""
+
+    def run(batches: Batches) -> Batches:
+        hasher = Hasher()
+        for batch in batches:
+            found, at, states = [], [], []
+            pieces = batch.column(4).to_pylist()
+            begins, alone = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, piece in enumerate(pieces):
+                parts = offset_ranges(np.frombuffer(piece, np.uint8), hasher, window, gram, width)
+                found.append(parts)
+                at.append(np.full(len(parts[2]), i))
+                states.append(np.full(len(parts[2]), int(not alone[i]), np.int32))
+            anchor, segment, start, windows, recurs = (np.concatenate(c) for c in zip(*found, strict=True))
+            rows = np.concatenate(at)
+            anchor, known = _settled(anchor, segment, start, np.concatenate(states))
+            texts = [
+                b"" if k == _SETTLED else pieces[i][s : s + n + window - 1]
+                for i, s, n, k in zip(rows, start, windows, known, strict=True)
+            ]
+            ids = [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows))]
+            start = start + np.array(begins, np.int64)[rows]
+            columns = [anchor.view(np.int64), segment.view(np.int64), *ids, start, windows]
+            columns += [recurs, known, texts]
+            yield _batch([*_SEGMENT_NAMES, "piece"], [*_SEGMENT_KINDS, pa.binary()], columns)
+
+    return run
+
+
 _MARKS = "kind int, doc_id long, text_key long, start int, windows int, anchor long, alone boolean"
 _MARK_NAMES = [f.split()[0] for f in _MARKS.split(", ")]
 _MARK_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
-#: A repeated segment; a segment to be sorted; one to be dealt by its windows.
+#: A repeated segment; a segment to be sorted; one to be cut again.
 _COPY, _FEW, _MANY = range(3)
+#: Columns of a batch that stay Arrow: row ids, and the bytes where there are any.
+_AS_ARROW = (2, 3, 8)
 
 
 def _mark(most_segments: int):
@@ -192,14 +271,18 @@ def _mark(most_segments: int):
         crowded = None  # the anchor that has shown more than ``most_segments`` segments
 
         def marks(kind: int, columns: list, at: np.ndarray, alone) -> pa.RecordBatch:
-            anchor, _, doc, key, start, windows, _, _ = columns
-            chosen = pa.array(at)
+            anchor, _, doc, key, start, windows, _, _, *piece = columns
+            chosen = pa.array(at, pa.int64())
             rows = [np.full(len(at), kind, np.int32), doc.take(chosen), key.take(chosen), start[at], windows[at]]
-            return _batch(_MARK_NAMES, _MARK_KINDS, [*rows, anchor[at], alone])
+            rows += [anchor[at], alone]
+            if not piece:
+                return _batch(_MARK_NAMES, _MARK_KINDS, rows)
+            bytes_of = pa.nulls(len(at), pa.binary()) if kind == _COPY else piece[0].take(chosen)
+            return _batch([*_MARK_NAMES, "piece"], [*_MARK_KINDS, pa.binary()], [*rows, bytes_of])
 
         def groups(columns: list):
             """Whether each row has copies, and the first row of each segment."""
-            anchor, segment, *_, known = columns
+            anchor, segment, known = columns[0], columns[1], columns[7]
             first = np.r_[True, (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])]
             starts = np.flatnonzero(first)
             sizes = np.diff(np.r_[starts, len(anchor)])
@@ -209,31 +292,31 @@ def _mark(most_segments: int):
 
         for batch in batches:
             columns = [
-                c if i in (2, 3) else c.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.columns)
+                c if i in _AS_ARROW else c.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.columns)
             ]
             if held is not None:
                 columns = [
-                    pa.concat_arrays([h, c]) if i in (2, 3) else np.concatenate([h, c])
+                    pa.concat_arrays([h, c]) if i in _AS_ARROW else np.concatenate([h, c])
                     for i, (h, c) in enumerate(zip(held, columns, strict=True))
                 ]
             anchor = columns[0]
             cut = int(np.searchsorted(anchor, anchor[-1]))
             if cut:
-                done = [c.slice(0, cut) if i in (2, 3) else c[:cut] for i, c in enumerate(columns)]
+                done = [c.slice(0, cut) if i in _AS_ARROW else c[:cut] for i, c in enumerate(columns)]
                 yield from finish(done, groups, marks, most_segments, crowded)
                 crowded = None
-            held = [c.slice(cut) if i in (2, 3) else c[cut:] for i, c in enumerate(columns)]
+            held = [c.slice(cut) if i in _AS_ARROW else c[cut:] for i, c in enumerate(columns)]
             if len(held[0]) > most_segments:
                 # settle copies now; of each segment one row stays
                 copied, starts = groups(held)
                 at = np.flatnonzero(copied & (held[7] >= 0))
                 yield marks(_COPY, held, at, np.zeros(len(at), bool))
-                held = [c.take(pa.array(starts)) if i in (2, 3) else c[starts] for i, c in enumerate(held)]
+                held = [c.take(pa.array(starts)) if i in _AS_ARROW else c[starts] for i, c in enumerate(held)]
                 held[7] = np.where(copied[starts], -1, held[7])
                 if len(starts) > most_segments:
                     crowded = held[0][0]
                     yield marks(_MANY, held, np.arange(len(starts) - 1), held[7][:-1] >= 0)
-                    held = [c.slice(len(starts) - 1) if i in (2, 3) else c[-1:] for i, c in enumerate(held)]
+                    held = [c.slice(len(starts) - 1) if i in _AS_ARROW else c[-1:] for i, c in enumerate(held)]
         if held is not None and len(held[0]):
             yield from finish(held, groups, marks, most_segments, crowded)
 
@@ -406,7 +489,6 @@ def _sort_shards(window: int):
 
 
 _PIECES = "many boolean, anchor long, doc_id long, text_key long, start int, alone boolean, piece binary"
-_WINDOWS = "one long, two long, doc_id long, text_key long, start int, alone boolean"
 
 
 def _extract(window: int):
@@ -427,25 +509,6 @@ def _extract(window: int):
     return run
 
 
-def _window_hashes(window: int):
-    """128 bits of each window of each piece: hashes read forwards and backwards."""
-
-    def run(batches: Batches) -> Batches:
-        hasher = Hasher()
-        for batch in batches:
-            for doc, key, start, alone, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(piece, np.uint8)
-                one = hasher.grams(hasher.sums(data), window)
-                two = hasher.grams(hasher.sums(data[::-1]), window)[::-1]
-                n = len(one)
-                columns = [one.view(np.int64), two.copy().view(np.int64), [doc] * n, [key] * n]
-                columns += [np.arange(start, start + n), [alone] * n]
-                kinds = [pa.int64()] * 4 + [pa.int32(), pa.bool_()]
-                yield _batch([f.split()[0] for f in _WINDOWS.split(", ")], kinds, columns)
-
-    return run
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")
@@ -464,26 +527,35 @@ def repeated_spans(
     cut = texts.select("doc_id", "text_key", "text").mapInArrow(_cut(window, gram), _SEGMENTS)
     cut = cut.repartition("anchor").sortWithinPartitions("anchor", "segment")
     marks = written(cut.mapInArrow(_mark(MOST_SEGMENTS), _MARKS), "segment-marks")
-    copied = marks.where(F.col("kind") == _COPY).select(
-        "doc_id", "text_key", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("until")
-    )
+    copied = _copied(marks, window)
 
     wanted = marks.where(F.col("kind") != _COPY).groupBy("doc_id", "text_key")
     listed = wanted.agg(F.collect_list(F.struct("kind", "start", "windows", "anchor", "alone")).alias("wanted"))
     both = texts.join(listed, _same_row(texts, listed)).select(texts["doc_id"], texts["text_key"], "text", "wanted")
     pieces = written(both.mapInArrow(_extract(window), _PIECES), "segment-pieces")
 
-    few = pieces.where("NOT many").select("anchor", "doc_id", "text_key", "start", "alone", "piece")
-    few = few.repartition("anchor").sortWithinPartitions("anchor")
-    sorted_out = few.mapInArrow(_sort_shards(window), _SPANS)
-
-    many = pieces.where("many").select("doc_id", "text_key", "start", "alone", "piece")
-    many = many.mapInArrow(_window_hashes(window), _WINDOWS)
-    twice = many.groupBy("one", "two").agg(F.count("*").alias("k")).where("k > 1").select("one", "two")
-    hashed = many.where("alone").join(twice, ["one", "two"], "left_semi").select(
-        "doc_id", "text_key", F.col("start").alias("begin"), (F.col("start") + window).alias("until")
+    columns = ["anchor", "doc_id", "text_key", "start", "alone", "piece"]
+    found, few = [copied], [pieces.where("NOT many").select(*columns)]
+    crowded = pieces.where("many").select(*columns[1:])
+    for width in _RANGES:
+        if crowded.isEmpty():
+            break
+        again = crowded.mapInArrow(_cut_again(window, gram, width), _CUT_PIECES)
+        again = again.repartition("anchor").sortWithinPartitions("anchor", "segment")
+        most = MOST_SEGMENTS if width > 1 else _ANY
+        ranged = written(again.mapInArrow(_mark(most), f"{_MARKS}, piece binary"), f"ranges-{width}")
+        found.append(_copied(ranged, window))
+        few.append(ranged.where(F.col("kind") == _FEW).select(*columns))
+        crowded = ranged.where(F.col("kind") == _MANY).select(*columns[1:])
+    gathered = reduce(DataFrame.unionByName, few).repartition("anchor").sortWithinPartitions("anchor")
+    return reduce(DataFrame.unionByName, [*found, gathered.mapInArrow(_sort_shards(window), _SPANS)])
+
+
+def _copied(marks: DataFrame, window: int) -> DataFrame:
+    """Spans of segments that occur twice or more as a whole."""
+    return marks.where(F.col("kind") == _COPY).select(
+        "doc_id", "text_key", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("until")
     )
-    return copied.unionByName(sorted_out).unionByName(hashed)
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -157,6 +157,42 @@ def test_removal_equals_brute_force(edge, edge_rows, most, monkeypatch):
     assert Counter(tuple(r) for r in suffix_repeats.removal_digests(edge).collect()) == brute_removal(edge_rows)
 
 
+PASSAGE = "".join(random.Random(4).choices("abcdefgh ", k=460))
+
+
+def rims(n):
+    """One passage in many documents, whole or in part, between texts of their own."""
+    draw = random.Random(n)
+
+    def own(most):
+        return "".join(draw.choice("klmnopqrstuvwxyz ") for _ in range(draw.randrange(most)))
+
+    rows = [(i, own(300) + PASSAGE[draw.randrange(40) :] + own(300)) for i in range(n)]
+    rows += [(n + i, own(3) + PASSAGE[: draw.randrange(190, 300)] + own(3)) for i in range(n)]
+    return rows + [(3 * n, "ab" * 400), (3 * n + 1, "x" + "ab" * 300)]
+
+
+@pytest.mark.parametrize("most", [2, 20])
+def test_crowded_anchors_are_cut_by_offsets(spark, most, monkeypatch):
+    rows, made = rims(150), {}
+    whole = suffix_repeats.written
+
+    def counted(frame, purpose):
+        out = whole(frame, purpose)
+        made[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_repeats, "written", counted)
+    monkeypatch.setattr(suffix_repeats, "MOST_SEGMENTS", most)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = Counter(tuple(r) for r in suffix_repeats.removal_digests(docs).collect())
+    assert found == brute_removal(rows)
+    # a row per window would be some 150 for each segment of a crowded anchor
+    segments = made["segment-pieces"]
+    assert made["ranges-64"] < 6 * segments
+    assert all(made.get(f"ranges-{w}", 0) < 8 * segments for w in (16, 4, 1))
+
+
 def test_texts_after_removal(edge, empty):
     left = suffix_repeats.without_repeats(edge)
     assert left.columns == edge.columns
