@@ -66,13 +66,26 @@ def attempt_classes(attempts: DataFrame, keys: tuple[str, ...] = ()) -> DataFram
     return failed.groupBy(*keys, "error_class").agg(F.count("*").alias("attempts"))
 
 
+def period_spine(periods: DataFrame, period: str = "1 minute") -> DataFrame:
+    """Every ``period_start`` from the first to the last one of a table, also those in between."""
+    ends = periods.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last"))
+    ends = ends.where(F.col("first").isNotNull())
+    every = F.sequence("first", "last", F.expr(f"INTERVAL {period}"))
+    return ends.select(F.explode(every).alias("period_start"))
+
+
 def metrics_report(
-    batch_log: DataFrame, received: DataFrame, attempts: DataFrame, period: str = "1 minute"
+    batch_log: DataFrame,
+    received: DataFrame,
+    attempts: DataFrame,
+    period: str = "1 minute",
+    idle: bool = False,
 ) -> DataFrame:
     """``period_start, key, value, type`` per reporting period.
 
     Counts are summed and gauges take their maximum within a period. The end-to-end
     latency is left out of periods that never set it, and error counts that are zero.
+    With ``idle``, periods in which nothing happened report their zeros too.
     """
 
     def start(time: str) -> Column:
@@ -93,6 +106,8 @@ def metrics_report(
         F.count_if(kind == "setup").alias("setup"),
     )
     periods = batches.join(streams, "period_start", "full").join(errors, "period_start", "full")
+    if idle:
+        periods = period_spine(periods, period).join(periods, "period_start", "left")
     lines = F.array(
         _metric("events_good", F.coalesce("good", zero), COUNT),
         _metric("events_bad", F.coalesce("bad", zero), COUNT),

@@ -50,6 +50,9 @@ class LoadOptions:
     # Keep parsed rows between the passes over one batch. Right for a stream, whose
     # batches are bounded; switch off to re-scan the source of a huge static frame.
     cache: bool = True
+    # The column of the lines that tells when the source received each, such as Kafka's
+    # ``timestamp``; the batch log then knows how long lines waited.
+    source_time: str | None = None
     processor: Processor = field(default_factory=Processor)
 
     def __post_init__(self):

@@ -111,6 +111,27 @@ def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "metrics_idle_periods",
+    f"""WITH log AS (SELECT loaded_ms // 3600000 * 3600000 AS p, sum(good) AS good, sum(bad) AS bad,
+        max(loaded_ms - earliest_ms) AS e2e FROM ({_SQL_LOG}) WHERE event_type = 'purchase' GROUP BY 1),
+      spine AS (SELECT unnest(generate_series(min(p), max(p), 3600000)) AS p FROM log),
+      wide AS (SELECT * FROM spine LEFT JOIN log USING (p))
+    SELECT p AS period_millis, key, CAST(value AS BIGINT) AS value, type FROM (
+      SELECT p, 'events_good' AS key, coalesce(good, 0) AS value, 'count' AS type FROM wide
+      UNION ALL SELECT p, 'events_bad', coalesce(bad, 0), 'count' FROM wide
+      UNION ALL SELECT p, 'latency_millis', 0, 'gauge' FROM wide
+      UNION ALL SELECT p, 'e2e_latency_millis', e2e, 'gauge' FROM wide WHERE e2e IS NOT NULL)""",
+)
+def metrics_idle_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of one event type's loads by the hour, with the hours that had none."""
+    log = _batch_log(spark, sf_dir).where("event_type = 'purchase'")
+    none = F.lit(False)
+    received, attempts = _received(spark, sf_dir).where(none), _attempts(spark, sf_dir).where(none)
+    report = metrics.metrics_report(log, received, attempts, "1 hour", idle=True)
+    return report.select(F.unix_millis("period_start").alias("period_millis"), "key", "value", "type")
+
+
 @query(
     "attempt_classes",
     f"""SELECT event_type, CASE WHEN {_SQL_SETUP} THEN 'setup' ELSE 'transient' END AS error_class,

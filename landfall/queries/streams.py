@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,17 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.names import UNSTRUCT
+from landfall.operators.metrics import attempt_class, stream_latency
 from landfall.operators.table import CLUSTER_BY
 from landfall.queries import inputs
 from landfall.queries.catalog import query
 from landfall.queries.inputs import SQL_ADDITION, SQL_CONTEXTS, SQL_GOOD, SQL_K
 from landfall.queries.landing import load_options
 from landfall.queries.lines import SQL_LINE
+from landfall.sources.attempts import attempt_log
 from landfall.sources.landing import LOAD_ATTEMPT, batch_folder, read_landing, write_batch
 from landfall.sources.lines import LINE_SCHEMA, start_at, stream_lines
-from landfall.sources.manifest import Manifest, read_committed
+from landfall.sources.manifest import Manifest, read_committed, received_log
 from landfall.sources.scratch import scratch_folder
-from landfall.streaming.loader import Loader
+from landfall.streaming.loader import Loader, MissingSchemas
 from landfall.streaming.table import ingest, read_table
 
 _START = datetime(2024, 1, 10, tzinfo=UTC)
@@ -156,6 +159,36 @@ def table_of_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.groupBy("event_id", "event_name").agg(F.count("*").cast("int").alias("loads"))
 
 
+@query(
+    "load_metrics",
+    """SELECT 0 AS attempt, 'transient' AS error_class, CAST(NULL AS BIGINT) AS oldest_micros, false AS waited
+    UNION ALL SELECT 1, NULL, min(epoch_us(ts)), true FROM events""",
+)
+def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs that a load wrote itself: its first try lacks schemas, its second loads.
+
+    The lines' source time goes through the load, so the log knows when the oldest line of the
+    batch came in; the broken try is classed by its chain of causes.
+    """
+    options = load_options(spark, "measured", source_time="written")
+    registry = inputs.registry(spark, sf_dir)
+    lines = inputs.raw_lines(spark, sf_dir)
+    with suppress(MissingSchemas):
+        Loader(options, registry.where("name <> 'session'")).process(lines, 0)
+    Loader(options, registry).process(lines, 0)
+    batch = ["query_id", "batch_id"]
+    received = received_log(spark, options.manifest)
+    waits = stream_latency(received, tuple(batch)).join(received, batch)
+    tried = attempt_log(spark, options.manifest).withColumn("error_class", attempt_class())
+    good = F.col("error_class").isNull()
+    return tried.join(waits, batch, "left").select(
+        "attempt",
+        "error_class",
+        F.when(good, F.unix_micros("ingested_at")).alias("oldest_micros"),
+        (good & (F.col("latency_millis") > 0)).alias("waited"),
+    )
+
+
 def flat_events(landed: DataFrame) -> DataFrame:
     own = [c for c in landed.columns if c.startswith(f"{UNSTRUCT}_event_")]
     k = [F.col(c).getField("k") for c in own if "_recovered_" not in c]

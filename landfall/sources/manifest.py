@@ -42,6 +42,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
         T.StructField("folder", T.StringType()),
+        T.StructField("ingested", T.TimestampType()),
     ]
 )
 
@@ -106,13 +107,15 @@ class Manifest:
             "load_tstamp": attempt.load_tstamp,
             **values,
         }
-        cells = [_literal(row.get(f.name), f) for f in LOG_SCHEMA.fields]
+        cells = [literal(row.get(f.name), f) for f in LOG_SCHEMA.fields]
         one = self.spark.range(1).coalesce(1).select(*cells)
         one.write.mode("append").parquet(self._folder(batch_id))
 
 
-def _literal(value, field: T.StructField) -> Column:
+def literal(value, field: T.StructField) -> Column:
     """A log value as a column; instants by their microseconds, whatever the session's zone."""
+    if isinstance(value, list):
+        return F.array(*[F.lit(x) for x in value]).cast(field.dataType).alias(field.name)
     if isinstance(value, datetime):
         column = F.timestamp_micros(F.lit(_micros(value)))
     elif isinstance(value, dict) and value:
@@ -136,6 +139,15 @@ def batch_log(spark: SparkSession, path: str) -> DataFrame:
     return log.where(F.col("state") == COMMITTED).drop("state")
 
 
+def received_log(spark: SparkSession, path: str) -> DataFrame:
+    """When the oldest line of each committed batch came to the source, and when the batch was taken up.
+
+    It has the batches whose load knows the source's time, see ``LoadOptions.source_time``.
+    """
+    log = batch_log(spark, path).where(F.col("ingested").isNotNull())
+    return log.select("query_id", "batch_id", F.col("ingested").alias("ingested_at"), F.col("load_tstamp").alias("processed_at"))
+
+
 def committed_folders(log: DataFrame) -> list[str]:
     """The folder of each committed batch that landed rows; of two commits the first counts.
 

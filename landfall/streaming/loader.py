@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import datetime
+from datetime import UTC, datetime
 from threading import Event
 from uuid import uuid4
 
@@ -20,6 +20,7 @@ from landfall.operators.project import assemble, override_load_time, transform_e
 from landfall.operators.registry import registered_versions, resolve
 from landfall.options import LoadOptions
 from landfall.plans.columns import EntityColumn, SeenVersion, plan_columns
+from landfall.sources.attempts import failures_path, record_failure
 from landfall.sources.failed import failed_json, send_failed, write_failed
 from landfall.sources.landing import batch_folder, file_count, seed, write_batch
 from landfall.sources.ledger import TypeLedger
@@ -28,6 +29,8 @@ from landfall.sources.manifest import Attempt, Manifest, instant
 
 # How many unregistered versions the message names; the table it points to has all.
 _FIRST_MISSING = 20
+# The source's time of each line, while it is parsed.
+SOURCE_TIME = "_source_time"
 # How often a batch plans its columns again because other loads claimed theirs.
 _CLAIMS = 5
 
@@ -43,6 +46,7 @@ class BatchPlan:
     rows: int
     bytes: int
     earliest: datetime | None
+    ingested: datetime | None
     columns: list[EntityColumn]
     known: list[str]
     missing_items: int
@@ -59,6 +63,7 @@ class BatchResult:
     columns: tuple[EntityColumn, ...] = ()
     repeated: bool = False
     folder: str | None = None
+    ingested: datetime | None = None
 
 
 def plan_batch(
@@ -78,6 +83,7 @@ def plan_batch(
             "rows",
             "bytes",
             "earliest",
+            "ingested",
             F.when(_is_missing(), F.col("items")).otherwise(0).alias("missing_items"),
         )
         .groupBy(*SEEN)
@@ -85,6 +91,7 @@ def plan_batch(
             F.sum("rows").alias("rows"),
             F.sum("bytes").alias("bytes"),
             F.unix_micros(F.min("earliest")).alias("earliest"),
+            F.unix_micros(F.min("ingested")).alias("ingested"),
             F.sum("missing_items").alias("missing_items"),
         )
         .collect()
@@ -93,13 +100,13 @@ def plan_batch(
     if missing_items and options.strict:
         raise MissingSchemas(_missing_message(stats, registry, options.manifest))
     seen = [SeenVersion(*[r[c] for c in SEEN]) for r in rows if r["kind"] is not None]
-    times = [r["earliest"] for r in rows if r["earliest"] is not None]
     texts = _schema_texts(seen, registry)
     landed = ledger.types(s.entity for s in seen) if ledger else {}
     return BatchPlan(
         rows=sum(r["rows"] for r in rows),
         bytes=sum(r["bytes"] or 0 for r in rows),
-        earliest=instant(min(times)) if times else None,
+        earliest=_least(rows, "earliest"),
+        ingested=_least(rows, "ingested"),
         columns=plan_columns(seen, texts, landed),
         known=sorted({key_text(*s.schema_key, *s.version) for s in seen}),
         missing_items=missing_items,
@@ -108,6 +115,11 @@ def plan_batch(
     )
 
 
+def _least(rows: list, name: str) -> datetime | None:
+    times = [r[name] for r in rows if r[name] is not None]
+    return instant(min(times)) if times else None
+
+
 def settle_columns(plan: BatchPlan, ledger: TypeLedger) -> BatchPlan:
     """The plan with columns that the ledger holds, also if others claim types meanwhile."""
     for _ in range(_CLAIMS):
@@ -123,13 +135,15 @@ def _version_stats(parsed: DataFrame, options: LoadOptions) -> DataFrame:
     """Per schema version of good rows: its items, and the sums of rows whose own it is."""
     time = options.layout.event_time
     good = F.col(FAILURE).isNull()
-    spread = spread_items(parsed, BYTES, F.when(good, F.col(time)).alias("time"))
+    ingested = F.lit(None).cast("timestamp") if options.source_time is None else F.col(SOURCE_TIME)
+    spread = spread_items(parsed, BYTES, F.when(good, F.col(time)).alias("time"), ingested.alias("ingested"))
     first = F.col("position") == 0
     stats = spread.groupBy(*SEEN_KEY).agg(
         F.count("key").alias("items"),
         F.count_if(first).alias("rows"),
         F.sum(F.when(first, F.col(BYTES))).alias("bytes"),
         F.min("time").alias("earliest"),
+        F.min("ingested").alias("ingested"),
     )
     return stats.select(
         "*", *key_parts("key"), F.expr(matches_any(options.criteria, "key")).alias("skipped")
@@ -207,25 +221,37 @@ class Loader:
         attempt = manifest.start(batch_id)
         if attempt.committed:
             return BatchResult(0, 0, 0, None, repeated=True)
-        parsed = parse_lines(spread(lines), options.layout)
+        started = datetime.now(UTC)
+        try:
+            result = self._try(lines, f"{load}-{batch_id}", attempt)
+            manifest.commit(
+                batch_id,
+                attempt,
+                good=result.good,
+                bad=result.bad,
+                bytes=result.bytes,
+                earliest=result.earliest,
+                columns={c.column: _logged_type(c) for c in result.columns},
+                folder=result.folder,
+                ingested=result.ingested,
+            )
+        except Exception as e:
+            record_failure(lines.sparkSession, failures_path(options.manifest), load, batch_id, attempt.number, started, e)
+            raise
+        return result
+
+    def _try(self, lines: DataFrame, tag: str, attempt: Attempt) -> BatchResult:
+        options, keep = self.options, ()
+        if options.source_time is not None:
+            lines, keep = lines.withColumn(SOURCE_TIME, F.col(options.source_time).cast("timestamp")), (SOURCE_TIME,)
+        parsed = parse_lines(spread(lines), options.layout, keep=keep)
         if options.cache:
             parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = self._load(parsed, f"{load}-{batch_id}", attempt)
+            return self._load(parsed, tag, attempt)
         finally:
             if options.cache:
                 parsed.unpersist()
-        manifest.commit(
-            batch_id,
-            attempt,
-            good=result.good,
-            bad=result.bad,
-            bytes=result.bytes,
-            earliest=result.earliest,
-            columns={c.column: _logged_type(c) for c in result.columns},
-            folder=result.folder,
-        )
-        return result
 
     def _load(self, parsed: DataFrame, tag: str, attempt: Attempt) -> BatchResult:
         options, load_time = self.options, attempt.load_tstamp
@@ -243,7 +269,7 @@ class Loader:
             files = file_count(plan.bytes, options.target_file_bytes, cores)
             write_batch(landed, folder, options.codec, files, mode="errorifexists")
         columns = tuple(plan.columns) if good else ()
-        return BatchResult(good, bad, plan.bytes, plan.earliest, columns, folder=folder)
+        return BatchResult(good, bad, plan.bytes, plan.earliest, columns, folder=folder, ingested=plan.ingested)
 
     def _send_failed(self, events: DataFrame, tag: str) -> int:
         """Send a batch's failed events; returns how many there are."""

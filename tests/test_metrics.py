@@ -72,3 +72,16 @@ def test_report(logs):
         60: {"events_good": (0, "count"), "events_bad": (6, "count"), "latency_millis": (0, "gauge")},
         180: {"events_good": (0, "count"), "events_bad": (0, "count"), "latency_millis": (0, "gauge")},
     }
+
+
+def test_idle_periods_report_zeros(logs):
+    batches, received, attempts = logs
+    late = batches.selectExpr("loaded_at + INTERVAL 4 MINUTES AS loaded_at", "good", "bad", "earliest").where("good = 4")
+    report = metrics.metrics_report(batches.union(late), received.limit(0), attempts.limit(0), idle=True)
+    rows = report.selectExpr("unix_seconds(period_start) AS p", "key", "value").collect()
+    noon = int(NOON.timestamp())
+    good = {r["p"] - noon: r["value"] for r in rows if r["key"] == "events_good"}
+    assert good == {0: 5, 60: 0, 120: 0, 180: 0, 240: 4}
+    assert {r["key"] for r in rows if r["p"] == noon + 120} == {"events_good", "events_bad", "latency_millis"}
+    none = metrics.metrics_report(*[log.limit(0) for log in logs], idle=True)
+    assert none.count() == 0
