@@ -16,31 +16,39 @@ from landfall.llm.shared import let_workers_import, table, written
 #: Near copies of this stage: word shingles and their least similarity; op9 has its own.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
+#: Bytes of an Arrow batch: five operators share Python workers, whose memory should hold one batch of each.
+BATCH_BYTES = "8m"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
     let_workers_import(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return kneser_ney.without_poor(docs, table(spark, sf_dir, "labels"))
 
 
 def calm_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return toxicity.without_toxic(docs, toxicity.learn_stems(docs, table(spark, sf_dir, "labels")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return jaccard.one_of_each(docs, jaccard.similar_documents(docs, words=NEAR_WORDS, percent=NEAR_PERCENT))
 
 
 def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return suffix_repeats.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return packing.pack(docs, word_tokenizer(), END_ID)
 
 
