@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOAD_TSTAMP = "load_tstamp"
 CLUSTER_BY = (LOAD_TSTAMP, "event_name")
@@ -47,3 +48,23 @@ def file_stats(table: DataFrame, columns: tuple[str, ...] = STATS_COLUMNS) -> Da
     for c in present:
         stats += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     return rows.groupBy("file_path").agg(*stats)
+
+
+def files_between(index: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
+    """Files of a ``file_stats`` table that may hold values of a column from ``low`` to ``high``."""
+    return index.where((F.col(f"max_{column}") >= low) & (F.col(f"min_{column}") <= high)).select("file_path")
+
+
+def read_between(
+    index: DataFrame, schema: T.StructType, column: str, low: Column, high: Column
+) -> tuple[DataFrame, int]:
+    """The rows with values from ``low`` to ``high``, and how many files are read for them.
+
+    Files that cannot hold such a row are left out before the scan; of a clustered table
+    few remain. Their paths go through the driver, as those of any scan do.
+    """
+    spark = index.sparkSession
+    files = sorted(row["file_path"] for row in files_between(index, column, low, high).collect())
+    if not files:
+        return spark.createDataFrame([], schema), 0
+    return spark.read.schema(schema).parquet(*files).where(F.col(column).between(low, high)), len(files)

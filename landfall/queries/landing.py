@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.operators.parse import failed_rows, parse_lines
-from landfall.operators.table import cluster, file_stats, with_load_tstamp
+from landfall.operators.table import cluster, file_stats, read_between, with_load_tstamp
 from landfall.options import CODECS, LoadOptions
 from landfall.queries import inputs
 from landfall.queries.catalog import query
@@ -288,3 +288,31 @@ def clustered_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_millis(F.min("min_collector_tstamp")).alias("min_millis"),
         F.unix_millis(F.max("max_collector_tstamp")).alias("max_millis"),
     )
+
+
+@query(
+    "clustered_reads",
+    """SELECT count(*) AS items, CAST(sum(l_linenumber) AS BIGINT) AS numbers, true AS few_files
+    FROM lineitem WHERE epoch_ms(l_shipdate) BETWEEN
+      (SELECT min(epoch_ms(l_shipdate)) FROM lineitem)
+      AND (SELECT min(epoch_ms(l_shipdate)) + 2592000000 FROM lineitem)""",
+)
+def clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of a table clustered by time: the file index leaves most files out of the scan."""
+    base = scratch_folder(spark, "clustered")
+    items = inputs.table(spark, sf_dir, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber").alias("event_id"),
+        "l_linenumber",
+        inputs.utc(F.col("l_shipdate")).alias("collector_tstamp"),
+    )
+    cluster(items, ("collector_tstamp",), partitions=24).write.parquet(base)
+    table = spark.read.schema(items.schema).parquet(base)
+    index = file_stats(table, ("collector_tstamp",))
+    index.write.parquet(f"{base}-index")
+    index = spark.read.schema(index.schema).parquet(f"{base}-index")
+    first = index.agg(F.unix_micros(F.min("min_collector_tstamp")).alias("at")).first()["at"]
+    low, high = (F.timestamp_micros(F.lit(first + days * 86_400_000_000)) for days in (0, 30))
+    rows, files = read_between(index, items.schema, "collector_tstamp", low, high)
+    return rows.agg(
+        F.count("*").alias("items"), F.sum("l_linenumber").alias("numbers")
+    ).withColumn("few_files", F.lit(4 * files <= index.count()))

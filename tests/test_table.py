@@ -12,7 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from landfall.operators.registry import registry_from_folder
-from landfall.operators.table import cluster, file_stats, with_load_tstamp
+from landfall.operators.table import cluster, file_stats, read_between, with_load_tstamp
 from landfall.options import CODECS
 from landfall.sources import lines as sources
 from landfall.sources.failed import failed_json, send_failed
@@ -281,3 +281,20 @@ def test_the_table_follows_committed_batches_alone(spark, tmp_path):
     ingest(spark, landing, table, checkpoint, manifest=str(tmp_path / "log"), cluster_by=("a", "none")).awaitTermination()
     assert {(r["a"], r["b"]) for r in read_table(spark, table).collect()} == {(0, "kept"), (1, "kept")}
     assert {r["a"] for r in read_committed(spark, str(tmp_path / "log"), landing).collect()} == {0, 1}
+
+
+def test_an_index_leaves_files_out_of_a_clustered_table_only(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("id AS event_id", "pmod(xxhash64(id), 1000) AS place")
+    low, high = F.lit(100), F.lit(140)
+    read = {}
+    for name, frame in (("plain", rows.repartition(12)), ("clustered", cluster(rows, ("place",), partitions=12))):
+        path = str(tmp_path / name)
+        frame.write.parquet(path)
+        index = file_stats(spark.read.parquet(path), ("place",))
+        found, files = read_between(index, rows.schema, "place", low, high)
+        read[name] = files
+        assert found.count() == rows.where("place BETWEEN 100 AND 140").count()
+        assert len(found.inputFiles()) == files
+    assert read["plain"] == 12 and read["clustered"] <= 3
+    none, files = read_between(index, rows.schema, "place", F.lit(2000), F.lit(3000))
+    assert (none.count(), files) == (0, 0)
