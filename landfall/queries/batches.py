@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.operators.batching import BATCH, assign_batches, combine_batches, earliest_parsed
+from landfall.operators.closing import assign_batches_exact
 from landfall.operators.metrics import batches_to_write
 from landfall.operators.parse import parse_lines
 from landfall.queries import inputs
@@ -24,18 +25,47 @@ _SQL_ASSIGNED = f"""SELECT event_id, event_type AS source, {_SQL_BUCKET} AS dela
     AS batch_seq FROM events"""
 
 
-def _assigned(spark: SparkSession, sf_dir: str, **limits) -> DataFrame:
-    chunks = inputs.events(spark, sf_dir).select(
+#: The sequential fold, one chunk of each source a step.
+_SQL_FOLDED = f"""WITH RECURSIVE chunks AS (
+  SELECT event_id, event_type AS source, epoch_us(ts) AS at, strlen(props) AS weight,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS place FROM events),
+folded AS (
+  SELECT event_id, source, place, at AS since, weight AS held, CAST(0 AS BIGINT) AS batch_seq
+  FROM chunks WHERE place = 1
+  UNION ALL
+  SELECT c.event_id, c.source, c.place,
+    CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN c.at ELSE since END,
+    CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN 0 ELSE held END + c.weight,
+    batch_seq + CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN 1 ELSE 0 END
+  FROM folded f JOIN chunks c ON c.source = f.source AND c.place = f.place + 1)
+SELECT event_id, source, batch_seq FROM folded"""
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.events(spark, sf_dir).select(
         "event_id",
         "event_type",
         inputs.utc(F.col("ts")).alias("ts"),
         F.octet_length("props").alias("weight"),
     )
+
+
+def _assigned(spark: SparkSession, sf_dir: str, **limits) -> DataFrame:
+    chunks = _chunks(spark, sf_dir)
     return assign_batches(
         chunks, "event_type", "ts", "event_id", "weight", _MAX_BYTES, _DELAY_SECONDS, **limits
     ).select("event_id", *BATCH)
 
 
+@query("batch_assign_exact", _SQL_FOLDED)
+def batch_assign_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch counts anew from the chunk that opens it."""
+    assigned = assign_batches_exact(
+        _chunks(spark, sf_dir), "event_type", "ts", "event_id", "weight", _MAX_BYTES, _DELAY_SECONDS
+    )
+    return assigned.select("event_id", "source", "batch_seq")
+
+
 @query("batch_assign", _SQL_ASSIGNED)
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assigned(spark, sf_dir)
