@@ -27,16 +27,16 @@ _SQL_ASSIGNED = f"""SELECT event_id, event_type AS source, {_SQL_BUCKET} AS dela
 
 #: The sequential fold, one chunk of each source a step.
 _SQL_FOLDED = f"""WITH RECURSIVE chunks AS (
-  SELECT event_id, event_type AS source, epoch_us(ts) AS at, strlen(props) AS weight,
+  SELECT event_id, event_type AS source, epoch_us(ts) AS instant, strlen(props) AS weight,
     row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS place FROM events),
 folded AS (
-  SELECT event_id, source, place, at AS since, weight AS held, CAST(0 AS BIGINT) AS batch_seq
+  SELECT event_id, source, place, instant AS since, weight AS held, CAST(0 AS BIGINT) AS batch_seq
   FROM chunks WHERE place = 1
   UNION ALL
   SELECT c.event_id, c.source, c.place,
-    CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN c.at ELSE since END,
-    CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN 0 ELSE held END + c.weight,
-    batch_seq + CASE WHEN held >= {_MAX_BYTES} OR c.at - since >= {_DELAY_SECONDS}000000 THEN 1 ELSE 0 END
+    CASE WHEN held >= {_MAX_BYTES} OR c.instant - since >= {_DELAY_SECONDS}000000 THEN c.instant ELSE since END,
+    CASE WHEN held >= {_MAX_BYTES} OR c.instant - since >= {_DELAY_SECONDS}000000 THEN 0 ELSE held END + c.weight,
+    batch_seq + CASE WHEN held >= {_MAX_BYTES} OR c.instant - since >= {_DELAY_SECONDS}000000 THEN 1 ELSE 0 END
   FROM folded f JOIN chunks c ON c.source = f.source AND c.place = f.place + 1)
 SELECT event_id, source, batch_seq FROM folded"""
 
