@@ -1,44 +1,96 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters, of order four, one for each language, trained on all trusted
-documents but every fifth, which calibrate. Each language keeps its ``ALPHABET`` most frequent
-characters; the others are one symbol, so a model has at most ``(ALPHABET + 2) ** 4`` entries
-whatever the corpus: that is the bound of what travels to the tasks. The counts cover all trusted
-text and are summed in shards; joins of the counts with those of their contexts and of their
-shorter ends, again in shards, give discounted probabilities and the weights of the orders below.
-
-A document's perplexity is compared with quantiles of the calibrating documents of its language.
-
-Defined results: a null or empty text, or one in a language without trusted text, has a null
-perplexity and is kept; a null language is a language of its own; null labels and ids are not
-trusted; repeated rows count each; an empty table gives no rows.
+The model is over words, of order two, one for each language, trained on all trusted documents but
+every fifth, which calibrate. No word, pair or text is left out: what the model holds grows with the
+trusted text. Words are lower-cased runs of letters and digits; each symbol, and each character of a
+script written without spaces, is a word of its own. A language's words are numbered apart from
+another's by 64-bit hashes.
+
+Counts are summed in shards, and joins of the pairs with both their words, in shards too, give the
+discounted probabilities. The logarithm of a text's probability is then a sum over what it holds:
+
+    words * log(c)  +  sum over its words u of V(u)  +  sum over its pairs (a, b) of G(a, b)
+
+c is the chance of an unknown word. V(u) is what u is likelier than that where nothing tells more, and
+the weight it leaves to such guesses about the word after it. G(a, b) is what a known pair adds to
+both. So scoring is one join: each text's distinct words and pairs, by hash, with the values, summed
+by document. The ``HOT_KEYS`` most frequent values (16 bytes each) travel to the tasks, which add them
+up there: no key that is frequent enough to be hot is shuffled. The others are joined.
+
+A document's perplexity is compared with quantiles of its language: the upper one of the documents that
+calibrate, the lower one of all trusted documents, as those the model has seen are the most predictable. The room
+beyond them is wider the fewer documents calibrate; a language without any has no bounds.
+
+Defined results: a null or empty text, or one without words, or in a language without trusted text,
+has a null perplexity and is kept; a null language is a language of its own; null labels and ids are
+not trusted; repeated rows count each when trained on and get the same perplexity; a very long text is
+one row like any other; an empty table gives no rows; columns of ``docs`` are never clashed with.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import re
+import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.shared import Batches, written
 
-ALPHABET = 62
-BITS = 6
-ORDER = 4
 #: Every so many of the trusted documents (by a hash of the id) calibrate.
 CALIBRATE = 5
 LOW, HIGH = 0.001, 0.995
-#: Room beyond the quantiles, as a factor of the perplexity.
-SLACK = 1.25
-#: Up to so many ids of trusted documents (8 bytes each) are broadcast; more are joined by a shuffle.
-MOST_BROADCAST = 1_000_000
-_COUNTED = 2_000_000
-_START, _OTHER = 0, 1
-
-SCORES = "doc_id long, lang string, n_symbols long, perplexity double"
+#: Room beyond the quantiles, as a factor of the perplexity: SLACK * (1 + FEW / sqrt(documents that calibrate)).
+SLACK, FEW = 1.25, 2.0
+#: Most frequent words and pairs whose values travel to the tasks.
+HOT_KEYS = 1 << 20
+#: Most frequent words whose counts travel to the tasks that join pairs with their words.
+HOT_WORDS = 100_000
+#: Words a task holds before it passes its counts on, and hashes of words a worker remembers.
+_COUNTED, _REMEMBERED, _LONGEST = 2_000_000, 300_000, 64
+_NO_LANGUAGE = "\0"
+
+_SPACELESS = "぀-ヿ㐀-䶿一-鿿"
+#: A symbol, or a character of a spaceless script, or a run of other letters and digits.
+_WORDS = re.compile(rf"[^\w\s]|_|[{_SPACELESS}]|[^\W_{_SPACELESS}]+")
+#: Stand for the place before the first word and after the last; no word is empty or white.
+_START, _END = "", " "
+
+
+class Words:
+    """Texts of a worker to numbers of their words: the start, each word, the end."""
+
+    def __init__(self):
+        self.known: dict[str, dict[str, int]] = {}
+        self.size = 0
+
+    def __call__(self, lang: str, text: str) -> np.ndarray:
+        if self.size > _REMEMBERED:
+            self.known, self.size = {}, 0
+        known, seed = self.known.setdefault(lang, {}), zlib.crc32(lang.encode())
+        words = [_START, *_WORDS.findall(text.lower()), _END]
+        found = list(map(known.get, words))
+        if None in found:
+            for i, n in enumerate(found):
+                if n is None:
+                    word = words[i]
+                    found[i] = n = known.get(word) or xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed)
+                    if len(word) <= _LONGEST and word not in known:
+                        known[word] = n
+                        self.size += 1
+        return np.array(found, np.uint64)
+
+
+def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """64-bit key of a pair of words; the order counts."""
+    mixed = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -50,71 +102,40 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return ids.withColumn("calibrates", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE)) == 0)
 
 
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), "<u4")
-
-
-def _alphabets(texts: DataFrame) -> dict[str | None, np.ndarray]:
-    """The most frequent characters of each language, sorted: ``ALPHABET`` for each."""
+def _pair_counts(texts: DataFrame) -> DataFrame:
+    """(lang, a, b, n) of all texts (lang, text), summed in shards."""
 
     def run(batches: Batches) -> Batches:
-        sums: dict[str | None, Counter] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums.setdefault(lang, Counter()).update(text or "")
-        rows = [(lang, ord(c), n) for lang, counts in sums.items() for c, n in counts.items()]
-        kinds, names = [pa.string(), pa.int32(), pa.int64()], ["lang", "char", "n"]
-        columns = list(zip(*rows, strict=True)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    counts = texts.mapInArrow(run, "lang string, char int, n long").groupBy("lang", "char").agg(F.sum("n").alias("n"))
-    top = counts.groupBy("lang").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct(-F.col("n"), "char"))), 1, ALPHABET).alias("top")
-    )
-    return {r["lang"]: np.array(sorted(t["char"] for t in r["top"]), np.uint32) for r in top.collect()}
-
-
-def _grams(text: str, alphabet: np.ndarray) -> np.ndarray:
-    """Packed grams that end at each character; three start symbols stand before the text."""
-    points = _code_points(text)
-    at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
-    symbols = np.full(len(points) + ORDER - 1, _START, np.int64)
-    symbols[ORDER - 1 :] = np.where(alphabet[at] == points, at + 2, _OTHER)
-    n = len(points)
-    packed = symbols[:n].copy()
-    for i in range(1, ORDER):
-        packed = packed << BITS | symbols[i : i + n]
-    return packed
-
-
-def _counts(texts: DataFrame, alphabets: dict[str | None, np.ndarray]) -> DataFrame:
-    """(lang, gram, n) over all texts, summed in shards."""
-
-    def run(batches: Batches) -> Batches:
-        pending: dict[str | None, list[np.ndarray]] = {}
-        held = 0
+        words, pending, held = Words(), {}, 0
 
         def flushed():
             for lang, parts in pending.items():
-                grams, n = np.unique(np.concatenate(parts), return_counts=True)
-                columns = [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+                whole = np.concatenate(parts)
+                pairs, n = np.unique(whole, return_counts=True)
+                columns = [pa.array([lang] * len(pairs), pa.string())]
+                columns += [pa.array(pairs[side].view(np.int64).copy()) for side in ("a", "b")]
+                columns.append(pa.array(n.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "n"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text:
-                    pending.setdefault(lang, []).append(_grams(text, alphabets[lang]))
-                    held += len(text)
+                found = words(lang, text or "")
+                if len(found) > 2:
+                    pairs = np.empty(len(found) - 1, [("a", np.uint64), ("b", np.uint64)])
+                    pairs["a"], pairs["b"] = found[:-1], found[1:]
+                    pending.setdefault(lang, []).append(pairs)
+                    held += len(pairs)
                 if held >= _COUNTED:
                     yield from flushed()
                     pending, held = {}, 0
         yield from flushed()
 
-    return texts.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(run, "lang string, a long, b long, n long")
+    return counts.groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
-    """(lang, d1, d2, d3): modified Kneser-Ney discounts from the counts of counts; a row per language."""
+def _with_discounts(counts: DataFrame) -> DataFrame:
+    """The counts with what modified Kneser-Ney takes off each: ``off``, by the language's counts of counts."""
     ones = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in range(1, 5)]
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
@@ -122,159 +143,177 @@ def _discounts(counts: DataFrame) -> DataFrame:
         raw = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         return F.least(F.greatest(F.coalesce(raw, F.lit(k / 2)), F.lit(0.05)), F.lit(k * 0.95)).alias(f"d{k}")
 
-    return counts.groupBy("lang").agg(*ones).select("lang", *[discount(k) for k in (1, 2, 3)])
-
-
-def _level(counts: DataFrame, below: DataFrame | None, order: int) -> tuple[DataFrame, DataFrame]:
-    """Probabilities (lang, gram, p) of an order and the weights (lang, context, w) it gives the order below."""
-    n = F.col("n")
-    found = counts.join(F.broadcast(_discounts(counts)), "lang")  # one row per language
-    off = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
-    found = found.withColumn("off", off).withColumn("context", F.shiftright("gram", BITS))
-    contexts = found.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("off").alias("kept_back"))
-    contexts = contexts.select("lang", "context", "total", (F.col("kept_back") / F.col("total")).alias("w"))
-    joined = found.join(contexts, ["lang", "context"])
-    if below is None:
-        lower: Column = F.lit(1.0 / (ALPHABET + 2))
-    else:
-        shorter = below.select("lang", F.col("gram").alias("end"), F.col("p").alias("lower"))
-        joined = joined.withColumn("end", F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1))
-        joined = joined.join(shorter, ["lang", "end"])
-        lower = F.col("lower")
-    p = (n - F.col("off")) / F.col("total") + F.col("w") * lower
-    return joined.select("lang", "gram", p.alias("p")), contexts.select("lang", "context", "w")
+    discounts = counts.groupBy("lang").agg(*ones).select("lang", *[discount(k) for k in (1, 2, 3)])
+    off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    return counts.join(discounts, "lang").withColumn("off", off).drop("d1", "d2", "d3")
 
 
+@dataclass
 class Model:
-    """One language: probabilities of seen grams, and dense tables for the orders below."""
-
-    def __init__(self, alphabet: np.ndarray):
-        self.alphabet = alphabet
-        self.size = 1 << BITS
-        self.levels: list = [None] * ORDER
-
-    def close(self) -> None:
-        """Fills the dense tables from the lowest order up, and keeps the highest sparse."""
-        dense = np.full(1, 1.0 / (ALPHABET + 2))
-        for order in range(1, ORDER):
-            grams, p, contexts, w = self.levels[order - 1]
-            weights = np.ones(self.size ** (order - 1))
-            weights[contexts] = w
-            tails = np.tile(dense, self.size) if order > 1 else np.repeat(dense, self.size)
-            full = np.repeat(weights, self.size) * tails
-            full[grams] = p
-            dense = full
-        grams, p, contexts, w = self.levels[ORDER - 1]
-        by = np.argsort(grams)
-        self.grams, self.seen = grams[by], np.log(p[by]).astype(np.float32)
-        weights = np.ones(self.size ** (ORDER - 1))
-        weights[contexts] = w
-        self.weights = np.log(weights).astype(np.float32)
-        self.lower = np.log(np.maximum(dense, 1e-12)).astype(np.float32)
-        del self.levels
-
-    def perplexity(self, text: str) -> float:
-        grams = _grams(text, self.alphabet)
-        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        unseen = self.weights[grams >> BITS] + self.lower[grams & ((1 << BITS * (ORDER - 1)) - 1)]
-        logs = np.where(self.grams[at] == grams, self.seen[at], unseen)
-        return float(np.exp(-logs.mean(dtype=np.float64)))
-
-
-def train(texts: DataFrame) -> dict[str | None, Model]:
-    """Models of (lang, text), one per language."""
-    alphabets = _alphabets(texts)
-    models = {lang: Model(alphabet) for lang, alphabet in alphabets.items() if len(alphabet)}
-    if not models:
-        return {}
-    # joins on a null language need a name for it
-    named = F.coalesce(F.col("lang"), F.lit("\0")).alias("lang")
-    counts = [written(_counts(texts, alphabets).select(named, "gram", "n"), "gram-counts")]
-    for order in range(ORDER - 1, 0, -1):  # below the highest: in how many ways a gram is continued to the left
-        end = F.col("gram").bitwiseAND((1 << BITS * order) - 1)
-        counts.append(counts[-1].groupBy("lang", end.alias("gram")).agg(F.count("*").alias("n")))
-    below = None
-    for order, frame in enumerate(reversed(counts), 1):
-        level, contexts = _level(frame, below, order)
-        below = written(level, f"gram-probabilities-{order}")
-        for lang, grams, p in _by_language(below, "gram", "p"):
-            models[lang].levels[order - 1] = [grams, p]
-        for lang, keys, w in _by_language(contexts, "context", "w"):
-            models[lang].levels[order - 1] += [keys, w]
-    for model in models.values():
-        model.close()
-    return models
-
-
-def _by_language(frame: DataFrame, key: str, value: str):
-    """Arrays of each language; bounded by the alphabet."""
-    found = frame.select("lang", key, value).toArrow()
-    langs = np.array(found.column("lang").to_pylist())
-    keys, values = found.column(key).to_numpy(), found.column(value).to_numpy()
-    for lang in sorted(set(langs.tolist())):
-        at = langs == lang
-        yield (None if lang == "\0" else lang), keys[at].astype(np.int64), values[at]
-
-
-def score(docs: DataFrame, models: dict[str | None, Model], id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """Perplexity of every document."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    #: (key, value, n): of a word or a pair, how much it adds to a text's log probability, and how often it occurs.
+    values: DataFrame
+    #: (lang, log_unknown): the log probability of a word that nothing is known of.
+    languages: DataFrame
 
-    def run(batches: Batches) -> Batches:
-        known = sent.value
+
+def _word_table(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, word, total, weight, p, n) of all words, and (lang, log_unknown).
+
+    ``total`` and ``weight`` stand for the word as a context: how often it is one, and what it leaves to the
+    lower order. ``p`` is its own probability there.
+    """
+    contexts = pairs.groupBy("lang", F.col("a").alias("word")).agg(
+        F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight")
+    )
+    single = _with_discounts(pairs.groupBy("lang", F.col("b").alias("word")).agg(F.count("*").alias("n")))
+    single = written(single, "word-continuations")
+    sums = single.groupBy("lang").agg(
+        F.sum("n").alias("all"), (F.sum("off") / F.sum("n") / (F.count("*") + 1)).alias("unknown")
+    )
+    p = (F.col("n") - F.col("off")) / F.col("all") + F.col("unknown")
+    ends = single.join(sums, "lang").select("lang", "word", p.alias("p"))
+    words = contexts.join(ends, ["lang", "word"], "full")
+    return written(words, "word-table"), sums.select("lang", F.log("unknown").alias("log_unknown"))
+
+
+def _looked_up(pairs: DataFrame, words: DataFrame, hot: DataFrame, side: str, columns: list[str]) -> DataFrame:
+    """Pairs with columns of one of their words: by a bounded table of the most frequent, then by a join."""
+    names = [F.col("lang"), F.col("word").alias(side), *columns]
+    near = pairs.join(F.broadcast(hot.select(*names, F.lit(True).alias("_near"))), ["lang", side], "left")
+    far = near.where("_near IS NULL").drop("_near", *columns).join(words.select(*names), ["lang", side])
+    return near.where("_near").drop("_near").unionByName(far)
+
+
+def train(texts: DataFrame, hot_words: int = HOT_WORDS) -> Model:
+    """The model of (lang, text); null languages are named before."""
+    counted = written(_pair_counts(texts), "pair-counts")
+    pairs = _with_discounts(counted)
+    words, languages = _word_table(pairs)
+    languages = written(languages, "languages")
+    hot = written(words.orderBy(F.desc_nulls_last("total"), "lang", "word").limit(hot_words), "hot-words")
+    found = _looked_up(pairs, words, hot, "a", ["total", "weight"])
+    found = _looked_up(found, words, hot, "b", ["p"])
+    guess = F.col("weight") * F.col("p")
+    gain = F.log((F.col("n") - F.col("off")) / F.col("total") + guess) - F.log(guess)
+
+    def keyed(batches: Batches) -> Batches:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
+            key = pa.array(pair_key(a, b).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, batch.column(2), batch.column(3)], names=["key", "value", "n"])
+
+    of_pairs = found.select("a", "b", gain.alias("value"), "n").mapInArrow(keyed, "key long, value double, n long")
+    above = F.coalesce(F.log("p") - F.col("log_unknown"), F.lit(0.0)) + F.coalesce(F.log("weight"), F.lit(0.0))
+    # The end is never a context, but occurs as often as texts do.
+    often = F.coalesce(F.col("total"), F.lit(2**62))
+    of_words = words.join(languages, "lang").select(F.col("word").alias("key"), above.alias("value"), often.alias("n"))
+    return Model(written(of_words.unionByName(of_pairs), "gram-values"), languages)
+
+
+def _key(id_col: str, text_col: str, lang_col: str) -> Column:
+    """Which rows are one document: those with the same id, language and text."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(lang_col).cast("string"), F.col(text_col))
+
+
+def score(
+    docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_col="lang", hot_keys: int = HOT_KEYS
+) -> DataFrame:
+    """(doc_id, lang, n_words, perplexity, doc_key) of every document."""
+    spark = docs.sparkSession
+    top = model.values.orderBy(F.desc("n"), "key").limit(hot_keys).select("key", "value").toArrow()
+    keys, values = (top.column(i).to_numpy() for i in (0, 1))
+    by = np.argsort(keys)
+    sent = spark.sparkContext.broadcast((np.append(keys[by], np.int64(2**63 - 1)), np.append(values[by], 0.0)))
+    named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE))
+    texts = docs.select(
+        _key(id_col, text_col, lang_col).alias("doc_key"),
+        named.alias("lang"),
+        F.col(text_col).alias("text"),
+        F.col(id_col).cast("long").alias("doc_id"),
+    )
+
+    def distinct(batch: pa.RecordBatch, words: Words):
+        """For each text: its key, its words, its distinct words and pairs, how often, and which are not near."""
+        near, _ = sent.value
+        for key, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found = words(lang, text or "")
+            if len(found) > 2:
+                grams = np.concatenate([found, pair_key(found[:-1], found[1:])]).view(np.int64)
+                grams, n = np.unique(grams, return_counts=True)
+                at = np.searchsorted(near[:-1], grams)
+                yield key, len(found) - 1, grams, n, at, near[at] != grams
+            else:
+                yield key, 0, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def summed(batches: Batches) -> Batches:
+        words, (_, weights) = Words(), sent.value
+        for batch in batches:
+            sizes, parts = [], []
+            for _, size, _, n, at, far in distinct(batch, words):
+                sizes.append(size)
+                parts.append(float((n * np.where(far, 0.0, weights[at])).sum()))
+            arrays = [*batch.columns[3:], batch.column(1), batch.column(0), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, pa.array(parts, pa.float64())], names=["doc_id", "lang", "doc_key", "n_words", "part"]
+            )
+
+    def asked(batches: Batches) -> Batches:
+        words = Words()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            langs = batch.column(2).to_pylist()
-            found = [known[g].perplexity(t) if t and g in known else None for t, g in zip(texts, langs, strict=True)]
-            columns = [batch.column(0), batch.column(2), pa.array([len(t or "") for t in texts], pa.int64())]
-            columns.append(pa.array(found, pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_symbols", "perplexity"])
-
-    chosen = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
+            for key, _, grams, n, _, far in distinct(batch, words):
+                wanted = grams[far]
+                columns = [pa.array(wanted), pa.array(np.full(len(wanted), key, np.int64))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(n[far].astype(np.int32))], names=["key", "doc_key", "n"]
+                )
+
+    base = written(
+        texts.mapInArrow(summed, "doc_id long, lang string, doc_key long, n_words long, part double"), "near-sums"
+    )
+    requests = texts.drop("doc_id").mapInArrow(asked, "key long, doc_key long, n int")
+    gains = requests.join(model.values.select("key", "value"), "key")
+    gains = gains.groupBy("doc_key").agg(F.sum(F.col("n") * F.col("value")).alias("gain"))
+    # Rows that are one document were asked for each: the sum is theirs together.
+    rows = base.groupBy("doc_key").agg(F.count("*").alias("rows"))
+    shares = rows.join(gains, "doc_key").select("doc_key", (F.col("gain") / F.col("rows")).alias("far"))
+    log = F.col("part") + F.coalesce("far", F.lit(0.0)) + F.col("n_words") * F.col("log_unknown")
+    perplexity = F.when(F.col("n_words") > 0, F.exp(-log / F.col("n_words")))
+    scored = base.join(shares, "doc_key", "left").join(model.languages, "lang", "left")
+    return scored.select(
+        "doc_id",
+        F.nullif(F.col("lang"), F.lit(_NO_LANGUAGE)).alias("lang"),
+        F.greatest(F.col("n_words") - 1, F.lit(0)).alias("n_words"),
+        perplexity.alias("perplexity"),
+        "doc_key",
     )
-    return chosen.mapInArrow(run, SCORES)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang"):
-    """Models, and the (low, high) perplexities of each language, from the trusted documents."""
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     ids = written(trusted_ids(labels), "trusted")
-    few = ids.count() <= MOST_BROADCAST
-    texts = docs.select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id")
+    named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
+    texts = docs.select(named, F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    model = train(texts.join(ids.where("NOT calibrates"), "doc_id").select("lang", "text"))
+    scored = written(score(docs, model, id_col, text_col, lang_col), "perplexities")
+    bounds = scored.where("perplexity IS NOT NULL").join(ids, "doc_id").groupBy("lang").agg(
+        F.percentile_approx("perplexity", LOW, 100_000).alias("least"),
+        F.percentile_approx(F.when(F.col("calibrates"), F.col("perplexity")), HIGH, 100_000).alias("most"),
+        F.lit(SLACK) * (1 + F.lit(FEW) / F.sqrt(F.greatest(F.count_if("calibrates"), F.lit(1)))),
+    ).toDF("lang", "least", "most", "room")
+    bounds = bounds.select(
+        F.col("lang").alias("of"), (F.col("least") / F.col("room")).alias("low"), (F.col("most") * F.col("room")).alias("high")
     )
-    trusted = texts.join(F.broadcast(ids) if few else ids, "doc_id")
-    models = train(trusted.where("NOT calibrates").select("lang", "text"))
-    held = score(trusted.where("calibrates"), models)
-    cuts = held.groupBy("lang").agg(F.percentile_approx("perplexity", [LOW, HIGH], 100_000).alias("q")).collect()
-    return models, {r["lang"]: (r["q"][0] / SLACK, r["q"][1] * SLACK) for r in cuts if r["q"]}
+    kept = F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True))
+    judged = scored.join(bounds, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
+    return judged.withColumn("kept", kept)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """(doc_id, lang, n_symbols, perplexity, low, high, kept) of every document."""
-    models, cuts = fit(docs, labels, id_col, text_col, lang_col)
-    scored = score(docs, models, id_col, text_col, lang_col)
-    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for lang, (least, most) in cuts.items():
-        low = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(least)).otherwise(low)
-        high = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(most)).otherwise(high)
-    kept = F.coalesce(F.col("perplexity").between(F.col("low"), F.col("high")), F.lit(True))
-    return scored.withColumn("low", low).withColumn("high", high).withColumn("kept", kept)
+    """(doc_id, lang, n_words, perplexity, low, high, kept) of every document."""
+    return _judged(docs, labels, id_col, text_col, lang_col).drop("doc_key")
 
 
 def without_poor(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, all columns as they are."""
-    models, cuts = fit(docs, labels, id_col, text_col, lang_col)
-    sent = docs.sparkSession.sparkContext.broadcast((models, cuts))
-
-    def run(batches: Batches) -> Batches:
-        known, bounds = sent.value
-        for batch in batches:
-            at = batch.schema.get_field_index
-            keep = []
-            for text, lang in zip(batch.column(at(text_col)).to_pylist(), batch.column(at(lang_col)).to_pylist(), strict=True):
-                judged = text and lang in known and lang in bounds
-                keep.append(not judged or bounds[lang][0] <= known[lang].perplexity(text) <= bounds[lang][1])
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    judged = _judged(docs, labels, id_col, text_col, lang_col)
+    poor = written(judged.where("NOT kept").select(F.col("doc_key").alias("_poor_key")).distinct(), "poor")
+    return docs.join(poor, _key(id_col, text_col, lang_col) == F.col("_poor_key"), "left_anti")
