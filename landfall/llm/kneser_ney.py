@@ -14,8 +14,8 @@ discounted probabilities. The logarithm of a text's probability is then a sum ov
 c is the chance of an unknown word. V(u) is what u is likelier than that where nothing tells more, and
 the weight it leaves to such guesses about the word after it. G(a, b) is what a known pair adds to
 both. So scoring is one join: each text's distinct words and pairs, by hash, with the values, summed
-by document. The ``HOT_KEYS`` most frequent values (16 bytes each) travel to the tasks, which add them
-up there: no key that is frequent enough to be hot is shuffled. The others are joined.
+by document. The values of the most frequent words and pairs, at most ``HOT_KEYS`` of 16 bytes, travel to
+the tasks, which add them up there: no key that is frequent enough to be hot is shuffled. The others are joined.
 
 A document's perplexity is compared with quantiles of its language: the upper one of the documents that
 calibrate, the lower one of all trusted documents, as those the model has seen are the most predictable. The room
@@ -36,7 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.shared import Batches, written
@@ -134,8 +134,11 @@ def _pair_counts(texts: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def _with_discounts(counts: DataFrame) -> DataFrame:
-    """The counts with what modified Kneser-Ney takes off each: ``off``, by the language's counts of counts."""
+def _with_discounts(counts: DataFrame, chosen: Column | None = None) -> DataFrame:
+    """The counts with what modified Kneser-Ney takes off each: ``off``, by the language's counts of counts.
+
+    All counts say what is taken off; ``chosen`` ones are returned.
+    """
     ones = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in range(1, 5)]
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
@@ -145,13 +148,16 @@ def _with_discounts(counts: DataFrame) -> DataFrame:
 
     discounts = counts.groupBy("lang").agg(*ones).select("lang", *[discount(k) for k in (1, 2, 3)])
     off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return counts.join(discounts, "lang").withColumn("off", off).drop("d1", "d2", "d3")
+    wanted = counts if chosen is None else counts.where(chosen)
+    return wanted.join(discounts, "lang").withColumn("off", off).drop("d1", "d2", "d3")
 
 
 @dataclass
 class Model:
-    #: (key, value, n): of a word or a pair, how much it adds to a text's log probability, and how often it occurs.
-    values: DataFrame
+    #: (key, value) of a word or a pair: how much it adds to a text's log probability. The frequent ones, at
+    #: most ``hot_keys``, and all others; these are computed where they are joined and never stored.
+    near: DataFrame
+    far: DataFrame
     #: (lang, log_unknown): the log probability of a word that nothing is known of.
     languages: DataFrame
 
@@ -184,30 +190,50 @@ def _looked_up(pairs: DataFrame, words: DataFrame, hot: DataFrame, side: str, co
     return near.where("_near").drop("_near").unionByName(far)
 
 
-def train(texts: DataFrame, hot_words: int = HOT_WORDS) -> Model:
+def _frequent(frame: DataFrame, most: int) -> int:
+    """The least n for which no more than ``most`` rows have an n so large: from a histogram, without sorting."""
+    larger = F.sum("rows").over(Window.orderBy(F.desc("n")))
+    # One row for each power of two and each small count.
+    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long"))
+    sizes = frame.groupBy(step.alias("n")).agg(F.count("*").alias("rows")).select("n", larger.alias("larger"))
+    return sizes.where(F.col("larger") <= most).agg(F.min("n")).first()[0] or 2**62
+
+
+def train(texts: DataFrame, hot_words: int = HOT_WORDS, hot_keys: int = HOT_KEYS) -> Model:
     """The model of (lang, text); null languages are named before."""
-    counted = written(_pair_counts(texts), "pair-counts")
-    pairs = _with_discounts(counted)
-    words, languages = _word_table(pairs)
+    # Pairs of a first word lie side by side, which halves their file.
+    counted = written(_pair_counts(texts).sortWithinPartitions("lang", "a", "b"), "pair-counts")
+    words, languages = _word_table(_with_discounts(counted))
     languages = written(languages, "languages")
-    hot = written(words.orderBy(F.desc_nulls_last("total"), "lang", "word").limit(hot_words), "hot-words")
-    found = _looked_up(pairs, words, hot, "a", ["total", "weight"])
-    found = _looked_up(found, words, hot, "b", ["p"])
-    guess = F.col("weight") * F.col("p")
-    gain = F.log((F.col("n") - F.col("off")) / F.col("total") + guess) - F.log(guess)
+    often = F.coalesce(F.col("total"), F.lit(2**61))  # the end is no context, but occurs as often as texts do
+    words = words.withColumn("n", often)
+    hot = words.where(F.col("n") >= _frequent(words, hot_words)).drop("n")
+    # Half of the room is for words, half for pairs.
+    least_word, least_pair = _frequent(words, hot_keys // 2), _frequent(counted, hot_keys // 2)
 
     def keyed(batches: Batches) -> Batches:
         for batch in batches:
             a, b = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
             key = pa.array(pair_key(a, b).view(np.int64))
-            yield pa.RecordBatch.from_arrays([key, batch.column(2), batch.column(3)], names=["key", "value", "n"])
-
-    of_pairs = found.select("a", "b", gain.alias("value"), "n").mapInArrow(keyed, "key long, value double, n long")
-    above = F.coalesce(F.log("p") - F.col("log_unknown"), F.lit(0.0)) + F.coalesce(F.log("weight"), F.lit(0.0))
-    # The end is never a context, but occurs as often as texts do.
-    often = F.coalesce(F.col("total"), F.lit(2**62))
-    of_words = words.join(languages, "lang").select(F.col("word").alias("key"), above.alias("value"), often.alias("n"))
-    return Model(written(of_words.unionByName(of_pairs), "gram-values"), languages)
+            yield pa.RecordBatch.from_arrays([key, batch.column(2)], names=["key", "value"])
+
+    def values(words_too: Column, pairs_too: Column) -> DataFrame:
+        pairs = _with_discounts(counted, pairs_too)
+        found = _looked_up(pairs, words.drop("n"), hot, "a", ["total", "weight"])
+        found = _looked_up(found, words.drop("n"), hot, "b", ["p"])
+        guess = F.col("weight") * F.col("p")
+        gain = F.log((F.col("n") - F.col("off")) / F.col("total") + guess) - F.log(guess)
+        of_pairs = found.select("a", "b", gain.alias("value")).mapInArrow(keyed, "key long, value double")
+        above = F.coalesce(F.log("p") - F.col("log_unknown"), F.lit(0.0)) + F.coalesce(F.log("weight"), F.lit(0.0))
+        of_words = words.where(words_too).join(languages, "lang")
+        return of_words.select(F.col("word").alias("key"), above.alias("value")).unionByName(of_pairs)
+
+    n = F.col("n")
+    return Model(
+        written(values(n >= least_word, n >= least_pair), "frequent-values"),
+        values(n < least_word, n < least_pair),
+        languages,
+    )
 
 
 def _key(id_col: str, text_col: str, lang_col: str) -> Column:
@@ -215,12 +241,10 @@ def _key(id_col: str, text_col: str, lang_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(lang_col).cast("string"), F.col(text_col))
 
 
-def score(
-    docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_col="lang", hot_keys: int = HOT_KEYS
-) -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
     """(doc_id, lang, n_words, perplexity, doc_key) of every document."""
     spark = docs.sparkSession
-    top = model.values.orderBy(F.desc("n"), "key").limit(hot_keys).select("key", "value").toArrow()
+    top = model.near.toArrow()
     keys, values = (top.column(i).to_numpy() for i in (0, 1))
     by = np.argsort(keys)
     sent = spark.sparkContext.broadcast((np.append(keys[by], np.int64(2**63 - 1)), np.append(values[by], 0.0)))
@@ -271,7 +295,7 @@ def score(
         texts.mapInArrow(summed, "doc_id long, lang string, doc_key long, n_words long, part double"), "near-sums"
     )
     requests = texts.drop("doc_id").mapInArrow(asked, "key long, doc_key long, n int")
-    gains = requests.join(model.values.select("key", "value"), "key")
+    gains = requests.join(model.far, "key")
     gains = gains.groupBy("doc_key").agg(F.sum(F.col("n") * F.col("value")).alias("gain"))
     # Rows that are one document were asked for each: the sum is theirs together.
     rows = base.groupBy("doc_key").agg(F.count("*").alias("rows"))

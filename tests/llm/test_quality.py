@@ -159,8 +159,10 @@ def test_perplexities_equal_brute_force(spark, edge, edge_rows, hot):
     rows = [(r[0], r[1], r[2] or "\0") for r in edge_rows]
     trained = [r for r in rows if r[0] % 2]
     models = {g: BruteModel([t for _, t, lang in trained if lang == g]) for g in {r[2] for r in trained if r[1]}}
-    model = kneser_ney.train(spark.createDataFrame([(g, t) for _, t, g in trained], "lang string, text string"), hot)
-    got = kneser_ney.score(edge, model, hot_keys=hot).collect()
+    texts = spark.createDataFrame([(g, t) for _, t, g in trained], "lang string, text string")
+    model = kneser_ney.train(texts, hot, hot)
+    assert model.near.count() <= hot
+    got = kneser_ney.score(edge, model).collect()
     known = {(d, g): models[g].perplexity(t) if g in models else None for d, t, g in rows}
     assert len(got) == len(rows)
     for r in got:
