@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.sources.landing import LOAD_BATCH, folder_name
@@ -38,20 +40,31 @@ def _json(failure: Column, payload: Column) -> Column:
     )
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The rows, and how many there were once they are written: the write itself counts them.
+
+    Spark takes a task's count once, with the try of it that succeeds.
+    """
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
 def write_failed(texts: DataFrame, root: str, batch: str) -> int:
     """JSON lines in a batch's own folder; returns how many.
 
     A retry replaces the folder as a whole, also when it has no failed rows, so the count
-    (taken from what was written, which is little) is always that of this try.
+    is always that of this try.
     """
-    folder = f"{root.rstrip('/')}/{LOAD_BATCH}={folder_name(batch)}"
-    texts.write.mode("overwrite").text(folder)
-    return texts.sparkSession.read.schema("value string").text(folder).count()
+    counted, count = _counted(texts)
+    counted.write.mode("overwrite").text(f"{root.rstrip('/')}/{LOAD_BATCH}={folder_name(batch)}")
+    return count()
 
 
-def send_failed(texts: DataFrame, kind: str, options: dict[str, str]) -> None:
-    """To any installed batch sink that takes a ``value`` column."""
-    texts.write.format(kind).options(**options).mode("append").save()
+def send_failed(texts: DataFrame, kind: str, options: dict[str, str]) -> int:
+    """To any installed batch sink that takes a ``value`` column; returns how many."""
+    counted, count = _counted(texts)
+    counted.write.format(kind).options(**options).mode("append").save()
+    return count()
 
 
 def read_failed(spark: SparkSession, folder: str) -> DataFrame:

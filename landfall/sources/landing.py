@@ -69,9 +69,14 @@ def write_batch(
     files: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write one batch to its own folder."""
+    """Write one batch to its own folder, in so many files.
+
+    Fewer files than cores make a small batch: its finished columns are dealt out, so that all cores compute them.
+    More files are merged from neighbouring splits, without a shuffle.
+    """
     with session_conf(events.sparkSession, _WRITE_CONF):
-        out = events if files is None else events.coalesce(files)
+        cores = events.sparkSession.sparkContext.defaultParallelism
+        out = events if files is None else events.repartition(files) if files < cores else events.coalesce(files)
         out.write.mode(mode).option("compression", codec_name(codec)).parquet(folder)
 
 

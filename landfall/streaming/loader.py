@@ -67,7 +67,11 @@ class BatchResult:
 
 
 def plan_batch(
-    parsed: DataFrame, registry: DataFrame, options: LoadOptions, ledger: TypeLedger | None = None
+    parsed: DataFrame,
+    registry: DataFrame,
+    options: LoadOptions,
+    ledger: TypeLedger | None = None,
+    known: SchemaTexts | None = None,
 ) -> BatchPlan:
     """Discover and resolve the schema versions of a batch, in one aggregation.
 
@@ -100,7 +104,7 @@ def plan_batch(
     if missing_items and options.strict:
         raise MissingSchemas(_missing_message(stats, registry, options.manifest))
     seen = [SeenVersion(*[r[c] for c in SEEN]) for r in rows if r["kind"] is not None]
-    texts = _schema_texts(seen, registry)
+    texts = (known or SchemaTexts(registry)).of(seen)
     landed = ledger.types(s.entity for s in seen) if ledger else {}
     return BatchPlan(
         rows=sum(r["rows"] for r in rows),
@@ -154,17 +158,30 @@ def _is_missing() -> Column:
     return F.col("key").isNotNull() & F.col("schema_json").isNull() & ~F.col("skipped")
 
 
-def _schema_texts(seen: list[SeenVersion], registry: DataFrame) -> dict:
-    """Registered versions of the models of a batch, from the registry table."""
-    if not seen:
-        return {}
-    models = sorted({s.schema_key for s in seen})
-    wanted = registry.sparkSession.createDataFrame(models, "vendor string, name string, model int")
-    texts: dict = {model: {} for model in models}
-    for row in registered_versions(registry, wanted).collect():
-        model = texts[row["vendor"], row["name"], row["model"]]
-        model[row["revision"], row["addition"]] = row["schema_json"]
-    return texts
+class SchemaTexts:
+    """Registered versions of the models that batches had, as schema texts.
+
+    A model's versions are read from the registry when a batch has one that is not among them. A version that
+    is registered but never seen doesn't change a column that has landed, so there is no need to look for it.
+    """
+
+    def __init__(self, registry: DataFrame):
+        self.registry = registry
+        self._known: dict = {}
+
+    def of(self, seen: list[SeenVersion]) -> dict:
+        lacking = {s.schema_key for s in seen if s.version not in self._known.get(s.schema_key, {})}
+        if lacking:
+            self._known |= self._read(sorted(lacking))
+        return {s.schema_key: self._known[s.schema_key] for s in seen}
+
+    def _read(self, models: list) -> dict:
+        wanted = self.registry.sparkSession.createDataFrame(models, "vendor string, name string, model int")
+        texts: dict = {model: {} for model in models}
+        for row in registered_versions(self.registry, wanted).collect():
+            model = texts[row["vendor"], row["name"], row["model"]]
+            model[row["revision"], row["addition"]] = row["schema_json"]
+        return texts
 
 
 def _missing_message(stats: DataFrame, registry: DataFrame, manifest: str) -> str:
@@ -198,6 +215,7 @@ class Loader:
         self.registry = registry
         self.name = name
         self.ledger = TypeLedger(registry.sparkSession, f"{options.manifest.rstrip('/')}-types")
+        self.known = SchemaTexts(registry)
 
     def seed(self, load_time: datetime) -> str:
         """Land the empty first file."""
@@ -255,7 +273,7 @@ class Loader:
 
     def _load(self, parsed: DataFrame, tag: str, attempt: Attempt) -> BatchResult:
         options, load_time = self.options, attempt.load_tstamp
-        plan = settle_columns(plan_batch(parsed, self.registry, options, self.ledger), self.ledger)
+        plan = settle_columns(plan_batch(parsed, self.registry, options, self.ledger, self.known), self.ledger)
         events = self.transform(parsed, plan)
         bad = self._send_failed(events, tag) if plan.rows else 0
         good = plan.rows - bad
@@ -278,10 +296,7 @@ class Loader:
         texts = failed_json(failed, options.failed_max_bytes)
         if options.failed_format == "text":
             return write_failed(texts, options.failed, tag)
-        count = failed.count()
-        if count:
-            send_failed(texts, options.failed_format, dict(options.failed_options))
-        return count
+        return send_failed(texts, options.failed_format, dict(options.failed_options))
 
     def run(self, lines: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Start the stream. A batch counts as read only once ``process`` has returned."""

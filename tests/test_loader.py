@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from landfall.options import LoadOptions, Processor
 from landfall.plans.columns import ClashingSchemas
 from landfall.sources import landing as landing_module
-from landfall.sources.failed import read_failed
+from landfall.sources.failed import read_failed, send_failed, write_failed
 from landfall.sources.landing import read_landing
 from landfall.sources.manifest import Manifest, batch_log, logged_schema, read_committed
 from landfall.streaming import loader as loader_module
@@ -391,3 +391,47 @@ def test_all_missing_schemas_are_listed(spark, load):
 def test_a_null_line_fails(load, spark):
     result, landed = load(events.line("a"), None)
     assert (result.good, result.bad) == (1, 1)
+
+
+def jobs_of(spark, group, run) -> int:
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setJobGroup("rest", "rest")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_of_a_batch(spark, tmp_path):
+    """The writes count what they write, and a known model needs no second look at the registry."""
+    options = LoadOptions(str(tmp_path / "l"), str(tmp_path / "f"), str(tmp_path / "m"), layout=events.layout())
+    loader = Loader(options, events.registry(spark))
+    lines = events.lines(spark, events.line("a", events.own(ORDER, {"number": "B-1"})), "nonsense").repartition(8).cache()
+    first = jobs_of(spark, "first-batch", lambda: loader.process(lines, 0))
+    second = jobs_of(spark, "second-batch", lambda: loader.process(lines, 1))
+    assert second <= 12 and second < first, (first, second)
+    assert [r["bad"] for r in batch_log(spark, options.manifest).collect()] == [1, 1]
+
+
+def test_a_version_registered_later_is_found(spark, load, tmp_path):
+    """The texts of a model are read again for a version that is not among them."""
+    both = {name: events.SCHEMAS[name] for name in ("shop/order/2-0-0", "shop/order/2-1-3")}
+    events.registry(spark, {"shop/order/2-0-0": both["shop/order/2-0-0"]}).write.parquet(str(tmp_path / "registry"))
+    registry = spark.read.parquet(str(tmp_path / "registry"))
+    options = LoadOptions(str(tmp_path / "l"), str(tmp_path / "f"), str(tmp_path / "m"), layout=events.layout())
+    loader = Loader(options, registry)
+    loader.process(events.lines(spark, events.line("a", events.own(ORDER, {"number": "B-1"}))), 0)
+    events.registry(spark, {"shop/order/2-1-3": both["shop/order/2-1-3"]}).write.mode("append").parquet(str(tmp_path / "registry"))
+    spark.catalog.refreshByPath(str(tmp_path / "registry"))
+    loader.registry = loader.known.registry = spark.read.parquet(str(tmp_path / "registry"))
+    result = loader.process(events.lines(spark, events.line("b", events.own(ORDER_SHIPPED, TO_BERN))), 1)
+    assert (result.good, result.bad) == (1, 0)
+    assert sorted(loader.known.of([])) == []
+    landed = read_committed(spark, options.manifest, options.landing)
+    assert {r["n"] for r in landed.select(F.col(f"{OWN}_order_2.number").alias("n")).collect()} == {"B-1", "B-2"}
+
+
+def test_failed_rows_are_counted_by_their_write(spark, tmp_path):
+    texts = spark.createDataFrame([(str(i),) for i in range(100)], "value string").repartition(5)
+    assert write_failed(texts, str(tmp_path / "a"), "x") == 100
+    assert write_failed(texts.where("false"), str(tmp_path / "a"), "x") == 0
+    assert send_failed(spark.createDataFrame([], "value string"), "parquet", {"path": str(tmp_path / "b")}) == 0
+    assert send_failed(texts.limit(7), "parquet", {"path": str(tmp_path / "b")}) == 7
