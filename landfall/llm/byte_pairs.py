@@ -6,8 +6,8 @@ entries whose symbols have changed since are skipped when they come up. Words re
 process keeps a bounded memo of them.
 
 Defined results: a null text is empty and has no ids; a special token of the file in a text is
-one id, as in the library; rows are independent, so ties, repeated rows, empty tables and
-further columns change nothing.
+one id, as in the library; a word may have any length; rows are independent, so ties, repeated rows,
+empty tables and further columns change nothing.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 MEMO_WORDS = 500_000
 #: Where this occurs, pieces between blanks do not stand for themselves.
 _BLANK_RUN = re.compile(r"\s (?:\s|\Z)")
-_PLACE = 24
-_PLACES = (1 << _PLACE) - 1
 #: Marks that make one word after letters; the apostrophe may begin a contraction.
 _MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 #: Letters below this have had their classes in every version of Unicode in use.
@@ -76,16 +74,18 @@ class BytePairs:
         if n == 1:
             return (symbols[0],)
         find, lefts, rights, merged = self.ranks.get, self.lefts, self.rights, self.merged
-        # an entry is a rank and, in its low bits, the place of the left symbol
+        # an entry is a rank and, in as many low bits as the word needs, the place of the left symbol
+        width = n.bit_length()
+        places = (1 << width) - 1
         ranks = map(find, zip(symbols, symbols[1:], strict=False))
-        heap = [rank << _PLACE | i for i, rank in enumerate(ranks) if rank is not None]
+        heap = [rank << width | i for i, rank in enumerate(ranks) if rank is not None]
         heapify(heap)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         symbols.append(-1)
         while heap:
             entry = heappop(heap)
-            i, rank = entry & _PLACES, entry >> _PLACE
+            i, rank = entry & places, entry >> width
             j = after[i]
             if symbols[i] != lefts[rank] or symbols[j] != rights[rank]:
                 continue  # stale: a symbol of the pair has merged since
@@ -95,10 +95,10 @@ class BytePairs:
             if k < n:
                 before[k] = i
                 if (rank := find((new, symbols[k]))) is not None:
-                    heappush(heap, rank << _PLACE | i)
+                    heappush(heap, rank << width | i)
             h = before[i]
             if h >= 0 and (rank := find((symbols[h], new))) is not None:
-                heappush(heap, rank << _PLACE | h)
+                heappush(heap, rank << width | h)
         return tuple([s for s in symbols if s >= 0])
 
     def _piece(self, piece: str) -> tuple[int, ...]:
