@@ -6,16 +6,16 @@ trusted text. Words are lower-cased runs of letters and digits; each symbol, and
 script written without spaces, is a word of its own. A language's words are numbered apart from
 another's by 64-bit hashes.
 
-Counts are summed in shards, and joins of the pairs with both their words, in shards too, give the
-discounted probabilities. The logarithm of a text's probability is then a sum over what it holds:
+Counts are summed in shards, which are ranges of 64-bit keys: a task counts its pairs and sends each shard
+one packed block, a shard of pairs adds up what tasks counted and says how often each of its words is a context,
+how often with one, two or more occurrences, and how many words it follows; shards of words add that up.
+Discounts are by language, from the counts of counts.
 
-    words * log(c)  +  sum over its words u of V(u)  +  sum over its pairs (a, b) of G(a, b)
-
-c is the chance of an unknown word. V(u) is what u is likelier than that where nothing tells more, and
-the weight it leaves to such guesses about the word after it. G(a, b) is what a known pair adds to
-both. So scoring is one join: each text's distinct words and pairs, by hash, with the values, summed
-by document. The values of the most frequent words and pairs, at most ``HOT_KEYS`` of 16 bytes, travel to
-the tasks, which add them up there: no key that is frequent enough to be hot is shuffled. The others are joined.
+Scoring is a join with these shards: a task takes about ``unit_words`` words of consecutive documents as a unit,
+asks each shard once for the unit's distinct keys there, and gets the counts back in the same order, in a file of
+the unit's own in the shared folder. It then reads its documents again and works out each pair's probability. So a key is
+asked for once in a unit however frequent it is, no key is hot, and blocks of sorted keys take few bytes. A pair is known by
+as many bits as make a false match less likely than 2 ** -28 a look-up.
 
 A document's perplexity is compared with quantiles of its language: the upper one of the documents that
 calibrate, the lower one of all trusted documents, as those the model has seen are the most predictable. The room
@@ -31,27 +31,36 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.shared import Batches, written
+from landfall.llm.shared import Batches, filesystem, written
+from landfall.sources.scratch import scratch_folder
 
 #: Every so many of the trusted documents (by a hash of the id) calibrate.
 CALIBRATE = 5
 LOW, HIGH = 0.001, 0.995
 #: Room beyond the quantiles, as a factor of the perplexity: SLACK * (1 + FEW / sqrt(documents that calibrate)).
 SLACK, FEW = 1.25, 2.0
-#: Most frequent words and pairs whose values travel to the tasks.
-HOT_KEYS = 1 << 20
-#: Most frequent words whose counts travel to the tasks that join pairs with their words.
-HOT_WORDS = 100_000
+#: Bytes of text to a shard, and words to a unit.
+SHARD_BYTES, UNIT_WORDS = 16 << 20, 3_000_000
+#: Bits of a pair's key beyond the binary digits of the bytes of trusted text.
+MATCH_BITS = 26
 #: Words a task holds before it passes its counts on, and hashes of words a worker remembers.
-_COUNTED, _REMEMBERED, _LONGEST = 2_000_000, 300_000, 64
+_COUNTED, _REMEMBERED, _LONGEST = 3_000_000, 300_000, 64
+#: Kinds of blocks.
+PAIRS, WORDS, LANGUAGES, WORD_PARTS = range(4)
+#: Counts of a word: as a context, in all and by pairs that occur once, twice, more often; as an end of pairs.
+WORD_VALUES = 5
 _NO_LANGUAGE = "\0"
 
 _SPACELESS = "぀-ヿ㐀-䶿一-鿿"
@@ -102,138 +111,200 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return ids.withColumn("calibrates", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE)) == 0)
 
 
-def _pair_counts(texts: DataFrame) -> DataFrame:
-    """(lang, a, b, n) of all texts (lang, text), summed in shards."""
+def shards_for(size: int) -> int:
+    """Binary digits of the number of shards for texts of so many bytes."""
+    return max(0, -(-size // SHARD_BYTES) - 1).bit_length()
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers by their bytes' significance, compressed: small ones take little."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return planes.T.copy().view("<u8").reshape(-1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
+
+
+def _cuts(keys: np.ndarray, bits: int, width: int = 64) -> list[tuple[int, int, int]]:
+    """(shard, begin, end) of ascending keys of ``width`` bits: a shard is a range of keys."""
+    if not len(keys):
+        return []
+    shard = (keys >> np.uint64(width - bits) if bits else np.zeros(len(keys), np.uint64)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(shard, prepend=-1))
+    return list(zip(shard[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=True))
+
+
+def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their columns of ``values``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    sums = np.add.reduceat(values[:, order], begin, axis=1) if len(keys) else values
+    return keys[begin], sums
+
+
+def _pair_parts(texts: DataFrame, bits: int) -> DataFrame:
+    """(lang, shard, a, b, n): what each task counted of the pairs of a shard."""
 
     def run(batches: Batches) -> Batches:
         words, pending, held = Words(), {}, 0
 
         def flushed():
             for lang, parts in pending.items():
-                whole = np.concatenate(parts)
-                pairs, n = np.unique(whole, return_counts=True)
-                columns = [pa.array([lang] * len(pairs), pa.string())]
-                columns += [pa.array(pairs[side].view(np.int64).copy()) for side in ("a", "b")]
-                columns.append(pa.array(n.astype(np.int64)))
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "n"])
+                a, b = (np.concatenate([p[side] for p in parts]) for side in (slice(None, -1), slice(1, None)))
+                keys, first, n = np.unique(pair_key(a, b), return_index=True, return_counts=True)
+                rows = []
+                for shard, begin, end in _cuts(keys, bits):
+                    at = first[begin:end]
+                    order = np.argsort(a[at])  # pairs of a first word lie side by side
+                    at = at[order]
+                    rows.append((shard, packed_keys(a[at]), packed(b[at]), packed(n[begin:end][order])))
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(rows)), pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                    names=["lang", "shard", "a", "b", "n"],
+                )
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = words(lang, text or "")
                 if len(found) > 2:
-                    pairs = np.empty(len(found) - 1, [("a", np.uint64), ("b", np.uint64)])
-                    pairs["a"], pairs["b"] = found[:-1], found[1:]
-                    pending.setdefault(lang, []).append(pairs)
-                    held += len(pairs)
+                    pending.setdefault(lang, []).append(found)
+                    held += len(found)
                 if held >= _COUNTED:
                     yield from flushed()
                     pending, held = {}, 0
         yield from flushed()
 
-    counts = texts.mapInArrow(run, "lang string, a long, b long, n long")
-    return counts.groupBy("lang", "a", "b").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "lang string, shard int, a binary, b binary, n binary")
 
 
-def _with_discounts(counts: DataFrame, chosen: Column | None = None) -> DataFrame:
-    """The counts with what modified Kneser-Ney takes off each: ``off``, by the language's counts of counts.
+_BLOCK = "kind int, shard int, lang string, keys binary, values binary, ones array<long>"
 
-    All counts say what is taken off; ``chosen`` ones are returned.
-    """
-    ones = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in range(1, 5)]
-    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
-    def discount(k: int) -> Column:
-        raw = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
-        return F.least(F.greatest(F.coalesce(raw, F.lit(k / 2)), F.lit(0.05)), F.lit(k * 0.95)).alias(f"d{k}")
+def _block(kind: int, shard: int, lang: str, keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> dict:
+    """A row of the model; ``ones`` says how many counts are 1, 2, 3 and 4, how many there are, and their sum."""
+    ones = [int((counts == k).sum()) for k in range(1, 5)] + [int((counts > 0).sum()), int(counts.sum())]
+    return {
+        "kind": kind, "shard": shard, "lang": lang,
+        "keys": packed_keys(keys), "values": packed(values.reshape(-1)), "ones": ones,
+    }
 
-    discounts = counts.groupBy("lang").agg(*ones).select("lang", *[discount(k) for k in (1, 2, 3)])
-    off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    wanted = counts if chosen is None else counts.where(chosen)
-    return wanted.join(discounts, "lang").withColumn("off", off).drop("d1", "d2", "d3")
 
+def _rows(rows: list[dict], like: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(),
+             "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+    fields = [field.split(" ") for field in like.split(", ")]
+    return pa.table({name: pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in fields})
 
-@dataclass
-class Model:
-    #: (key, value) of a word or a pair: how much it adds to a text's log probability. The frequent ones, at
-    #: most ``hot_keys``, and all others; these are computed where they are joined and never stored.
-    near: DataFrame
-    far: DataFrame
-    #: (lang, log_unknown): the log probability of a word that nothing is known of.
-    languages: DataFrame
 
+def _counted(texts: DataFrame, bits: int, width: int) -> DataFrame:
+    """Blocks of the pairs, complete, and of what each shard of pairs says of its words."""
 
-def _word_table(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, word, total, weight, p, n) of all words, and (lang, log_unknown).
+    def merged(key: tuple, parts: pa.Table) -> pa.Table:
+        lang, shard = (k.as_py() for k in key)
+        a = np.concatenate([unpacked_keys(x) for x in parts["a"].to_pylist()])
+        b, n = (np.concatenate([unpacked(x) for x in parts[c].to_pylist()]) for c in ("b", "n"))
+        keys = pair_key(a, b)
+        # equal keys are equal pairs
+        first = np.unique(keys, return_index=True)[1]
+        keys, (n,) = _added(keys, n.astype(np.int64)[None])
+        a, b = a[first], b[first]
+        rows = [_block(PAIRS, shard, lang, keys >> np.uint64(64 - width), n, n)]
+        words, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        before, after = at[: len(a)], at[len(a) :]
+        size = len(words)
+        values = [np.bincount(before, n, size)]
+        values += [np.bincount(before[chosen], minlength=size) for chosen in (n == 1, n == 2, n > 2)]
+        values = np.array([*values, np.bincount(after, minlength=size)]).astype(np.int64)
+        for part, begin, end in _cuts(words, bits):
+            rows.append(_block(WORD_PARTS, part, lang, words[begin:end], values[:, begin:end], np.zeros(0, np.int64)))
+        return _rows(rows, _BLOCK)
 
-    ``total`` and ``weight`` stand for the word as a context: how often it is one, and what it leaves to the
-    lower order. ``p`` is its own probability there.
-    """
-    contexts = pairs.groupBy("lang", F.col("a").alias("word")).agg(
-        F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight")
-    )
-    single = _with_discounts(pairs.groupBy("lang", F.col("b").alias("word")).agg(F.count("*").alias("n")))
-    single = written(single, "word-continuations")
-    sums = single.groupBy("lang").agg(
-        F.sum("n").alias("all"), (F.sum("off") / F.sum("n") / (F.count("*") + 1)).alias("unknown")
-    )
-    p = (F.col("n") - F.col("off")) / F.col("all") + F.col("unknown")
-    ends = single.join(sums, "lang").select("lang", "word", p.alias("p"))
-    words = contexts.join(ends, ["lang", "word"], "full")
-    return written(words, "word-table"), sums.select("lang", F.log("unknown").alias("log_unknown"))
-
-
-def _looked_up(pairs: DataFrame, words: DataFrame, hot: DataFrame, side: str, columns: list[str]) -> DataFrame:
-    """Pairs with columns of one of their words: by a bounded table of the most frequent, then by a join."""
-    names = [F.col("lang"), F.col("word").alias(side), *columns]
-    near = pairs.join(F.broadcast(hot.select(*names, F.lit(True).alias("_near"))), ["lang", side], "left")
-    far = near.where("_near IS NULL").drop("_near", *columns).join(words.select(*names), ["lang", side])
-    return near.where("_near").drop("_near").unionByName(far)
-
-
-def _frequent(frame: DataFrame, most: int) -> int:
-    """The least n for which no more than ``most`` rows have an n so large: from a histogram, without sorting."""
-    larger = F.sum("rows").over(Window.orderBy(F.desc("n")))
-    # One row for each power of two and each small count.
-    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long"))
-    sizes = frame.groupBy(step.alias("n")).agg(F.count("*").alias("rows")).select("n", larger.alias("larger"))
-    return sizes.where(F.col("larger") <= most).agg(F.min("n")).first()[0] or 2**62
-
-
-def train(texts: DataFrame, hot_words: int = HOT_WORDS, hot_keys: int = HOT_KEYS) -> Model:
-    """The model of (lang, text); null languages are named before."""
-    # Pairs of a first word lie side by side, which halves their file.
-    counted = written(_pair_counts(texts).sortWithinPartitions("lang", "a", "b"), "pair-counts")
-    words, languages = _word_table(_with_discounts(counted))
-    languages = written(languages, "languages")
-    often = F.coalesce(F.col("total"), F.lit(2**61))  # the end is no context, but occurs as often as texts do
-    words = words.withColumn("n", often)
-    hot = words.where(F.col("n") >= _frequent(words, hot_words)).drop("n")
-    # Half of the room is for words, half for pairs.
-    least_word, least_pair = _frequent(words, hot_keys // 2), _frequent(counted, hot_keys // 2)
-
-    def keyed(batches: Batches) -> Batches:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
-            key = pa.array(pair_key(a, b).view(np.int64))
-            yield pa.RecordBatch.from_arrays([key, batch.column(2)], names=["key", "value"])
-
-    def values(words_too: Column, pairs_too: Column) -> DataFrame:
-        pairs = _with_discounts(counted, pairs_too)
-        found = _looked_up(pairs, words.drop("n"), hot, "a", ["total", "weight"])
-        found = _looked_up(found, words.drop("n"), hot, "b", ["p"])
-        guess = F.col("weight") * F.col("p")
-        gain = F.log((F.col("n") - F.col("off")) / F.col("total") + guess) - F.log(guess)
-        of_pairs = found.select("a", "b", gain.alias("value")).mapInArrow(keyed, "key long, value double")
-        above = F.coalesce(F.log("p") - F.col("log_unknown"), F.lit(0.0)) + F.coalesce(F.log("weight"), F.lit(0.0))
-        of_words = words.where(words_too).join(languages, "lang")
-        return of_words.select(F.col("word").alias("key"), above.alias("value")).unionByName(of_pairs)
-
-    n = F.col("n")
-    return Model(
-        written(values(n >= least_word, n >= least_pair), "frequent-values"),
-        values(n < least_word, n < least_pair),
-        languages,
+    return written(_pair_parts(texts, bits).groupBy("lang", "shard").applyInArrow(merged, _BLOCK), "pair-counts")
+
+
+def _word_blocks(counted: DataFrame) -> DataFrame:
+    def merged(key: tuple, parts: pa.Table) -> pa.Table:
+        lang, shard = (k.as_py() for k in key)
+        keys = [unpacked_keys(x) for x in parts["keys"].to_pylist()]
+        values = [unpacked(x).astype(np.int64).reshape(WORD_VALUES, -1) for x in parts["values"].to_pylist()]
+        words, sums = _added(np.concatenate(keys), np.concatenate(values, axis=1))
+        return _rows([_block(WORDS, shard, lang, words, sums, sums[-1])], _BLOCK)
+
+    parts = counted.where(F.col("kind") == WORD_PARTS)
+    return written(parts.groupBy("lang", "shard").applyInArrow(merged, _BLOCK), "word-counts")
+
+
+def _discounts(ones: str) -> list[Column]:
+    """What modified Kneser-Ney takes off a count of 1, of 2, and of more, by the counts of counts."""
+    n = [F.col(ones)[k].cast("double") for k in range(4)]
+    y = F.try_divide(n[0], n[0] + 2 * n[1])
+    raw = [k - (k + 1) * y * F.try_divide(n[k], n[k - 1]) for k in (1, 2, 3)]
+    return [
+        F.least(F.greatest(F.coalesce(d, F.lit(k / 2)), F.lit(0.05)), F.lit(k * 0.95)) for k, d in enumerate(raw, 1)
+    ]
+
+
+def _languages(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, stats): discounts of pairs and of words, the pairs, and the chance of an unknown word."""
+
+    def summed(blocks: DataFrame, name: str) -> DataFrame:
+        sums = [F.sum(F.col("ones")[k]) for k in range(6)]
+        return blocks.groupBy("lang").agg(F.array(*sums).alias(name))
+
+    both = summed(pairs, "of_pairs").join(summed(words, "of_words"), "lang")
+    of_words = F.col("of_words")
+    rare = [of_words[0], of_words[1], of_words[4] - of_words[0] - of_words[1]]
+    taken = sum((d * n for d, n in zip(_discounts("of_words"), rare, strict=True)), F.lit(0.0))
+    unknown = taken / of_words[5] / (of_words[4] + 1)
+    stats = [*_discounts("of_pairs"), *_discounts("of_words"), of_words[5].cast("double"), unknown]
+    return both.select("lang", F.array(*stats).alias("stats"))
+
+
+@dataclass
+class Model:
+    #: (kind, shard, lang, keys, values, stats): the counts of pairs and of words, and each language's numbers.
+    blocks: DataFrame
+    #: Shards are so many leading bits of a key, pairs are known by so many.
+    bits: int
+    width: int
+
+
+def _shard_of_language(lang: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(lang), 64 - bits).cast("int") if bits else F.lit(0)
+
+
+def train(texts: DataFrame, bits: int | None = None) -> Model:
+    """The model of (lang, text); null languages are named before. ``bits`` fits texts to be scored."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = shards_for(size) if bits is None else bits
+    width = min(64, max(bits, size.bit_length()) + MATCH_BITS)
+    counted = _counted(texts, bits, width)
+    pairs, words = counted.where(F.col("kind") == PAIRS), _word_blocks(counted)
+    none = F.lit(None)
+    stats = none.cast("array<double>").alias("stats")
+    languages = _languages(pairs, words).select(
+        F.lit(LANGUAGES).alias("kind"),
+        _shard_of_language(F.col("lang"), bits).alias("shard"),
+        "lang",
+        none.cast("binary").alias("keys"),
+        none.cast("binary").alias("values"),
+        "stats",
     )
+    blocks = pairs.unionByName(words).select("kind", "shard", "lang", "keys", "values", stats)
+    return Model(blocks.unionByName(written(languages, "languages")), bits, width)
 
 
 def _key(id_col: str, text_col: str, lang_col: str) -> Column:
@@ -241,13 +312,132 @@ def _key(id_col: str, text_col: str, lang_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(lang_col).cast("string"), F.col(text_col))
 
 
-def score(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """(doc_id, lang, n_words, perplexity, doc_key) of every document."""
-    spark = docs.sparkSession
-    top = model.near.toArrow()
-    keys, values = (top.column(i).to_numpy() for i in (0, 1))
-    by = np.argsort(keys)
-    sent = spark.sparkContext.broadcast((np.append(keys[by], np.int64(2**63 - 1)), np.append(values[by], 0.0)))
+class Unit:
+    """Consecutive documents of a task: their words and pairs, each asked for once."""
+
+    def __init__(self, rows: list[tuple], width: int):
+        self.doc_keys, self.langs, self.ids, found = (list(c) for c in zip(*rows, strict=True))
+        self.id = int(np.uint64(xxhash.xxh64_intdigest(np.array(self.doc_keys, np.int64).tobytes())).astype(np.int64))
+        self.lengths = np.array([len(f) - 1 if len(f) > 2 else 0 for f in found])
+        self.words = np.concatenate([np.empty(0, np.uint64), *[f for f in found if len(f) > 2]])
+        ends = np.cumsum(self.lengths[self.lengths > 0] + 1)
+        inside = np.ones(max(len(self.words) - 1, 0), bool)
+        inside[ends[:-1] - 1] = False  # from the end of a text to the start of the next
+        self.first = np.flatnonzero(inside)
+        keys = pair_key(self.words[self.first], self.words[self.first + 1])
+        self.pairs = keys >> np.uint64(64 - width)
+
+    def named(self) -> list[str]:
+        return sorted({lang for lang, n in zip(self.langs, self.lengths, strict=True) if n})
+
+
+def _units(batches: Batches, width: int, most: int) -> Iterator[Unit]:
+    words, rows, held = Words(), [], 0
+    for batch in batches:
+        for key, lang, text, doc_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = words(lang, text or "")
+            rows.append((key, lang, doc_id, found))
+            held += len(found)
+            if held >= most:
+                yield Unit(rows, width)
+                rows, held = [], 0
+    if rows:
+        yield Unit(rows, width)
+
+
+_ASKED = "unit long, kind int, shard int, keys binary, lang string"
+_TOLD = "unit long, kind int, shard int, lang string, values binary, stats array<double>"
+_SCORED = "doc_id long, lang string, n_words long, perplexity double, doc_key long"
+
+
+def _told(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
+    """What the blocks of a shard say of the keys that units ask for, in their order."""
+    kind, shard = (k.as_py() for k in key)
+    rows: list[dict] = []
+    if kind == LANGUAGES:
+        stats = dict(zip(known["lang"].to_pylist(), known["stats"].to_pylist(), strict=True))
+        for unit, lang in zip(asked["unit"].to_pylist(), asked["lang"].to_pylist(), strict=True):
+            rows.append({"unit": unit, "kind": kind, "shard": shard, "lang": lang, "stats": stats.get(lang)})
+        return _rows(rows, _TOLD)
+    if not asked.num_rows:
+        return _rows(rows, _TOLD)
+    height = 1 if kind == PAIRS else WORD_VALUES
+    blocks = [unpacked_keys(x) for x in known["keys"].to_pylist()]
+    values = [unpacked(x).reshape(height, -1) for x in known["values"].to_pylist()]
+    keys = np.concatenate([*blocks, np.empty(0, np.uint64)])
+    order = np.argsort(keys, kind="stable")
+    keys = np.append(keys[order], np.uint64(2**64 - 1))
+    table = np.concatenate([*values, np.zeros((height, 1), np.uint64)], axis=1)
+    table = np.append(table[:, order], np.zeros((height, 1), np.uint64), axis=1)
+    for unit, data in zip(asked["unit"].to_pylist(), asked["keys"].to_pylist(), strict=True):
+        wanted = unpacked_keys(data)
+        at = np.searchsorted(keys, wanted)
+        told = np.where(keys[at] == wanted, table[:, at], np.uint64(0))
+        rows.append({"unit": unit, "kind": kind, "shard": shard, "values": packed(told.reshape(-1))})
+    return _rows(rows, _TOLD)
+
+
+def _answers(folder: str, unit: int) -> list[dict]:
+    """What was told a unit; rows that are there twice (two equal units) count once."""
+    store, path = filesystem(f"{folder}/unit={unit}")
+    files = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    rows: dict = {}
+    for file in files:
+        if file.base_name.startswith("part-"):
+            with store.open_input_file(file.path) as opened:
+                for row in pq.ParquetFile(opened).read().to_pylist():
+                    rows[row["kind"], row["shard"], row["lang"] or ""] = row
+    return [rows[k] for k in sorted(rows)]
+
+
+def _perplexities(unit: Unit, rows: list[dict]) -> np.ndarray:
+    """Of each document of a unit; not a number where there is none."""
+    out = np.full(len(unit.lengths), np.nan)
+    if not len(unit.words):
+        return out
+    words, word_at = np.unique(unit.words, return_inverse=True)
+    pairs, one, pair_at = np.unique(unit.pairs, return_index=True, return_inverse=True)
+
+    def of(kind: int, height: int, size: int) -> np.ndarray:
+        parts = [unpacked(r["values"]).astype(np.float64).reshape(height, -1) for r in rows if r["kind"] == kind]
+        values = np.concatenate([*parts, np.empty((height, 0))], axis=1)
+        if values.shape[1] != size:
+            raise RuntimeError("the rows came in another order than when their words were asked for: write the table first")
+        return values
+
+    total, k1, k2, k3, ends = of(WORDS, WORD_VALUES, len(words))
+    (n,) = of(PAIRS, 1, len(pairs))
+    stats = {r["lang"]: r["stats"] for r in rows if r["kind"] == LANGUAGES and r["stats"]}
+    names = unit.named()
+    numbers = np.array([stats.get(lang) or [np.nan] * 8 for lang in names])
+    number_of = {lang: i for i, lang in enumerate(names)}
+    doc = np.repeat(np.arange(len(unit.lengths)), unit.lengths)
+    lang = np.array([number_of.get(x, 0) for x in unit.langs])[doc[one]]
+    a, b = word_at[unit.first[one]], word_at[unit.first[one] + 1]
+
+    def less(count: np.ndarray, begin: int) -> np.ndarray:
+        off = numbers[lang, begin + np.clip(count, 1, 3).astype(np.int64) - 1]
+        return np.where(count > 0, count - off, 0.0)
+
+    guess = less(ends[b], 3) / numbers[lang, 6] + numbers[lang, 7]
+    d1, d2, d3 = numbers[lang, :3].T
+    left = k1[a] * d1 + k2[a] * d2 + k3[a] * d3
+    context = np.maximum(total[a], 1)
+    chance = np.where(total[a] > 0, less(n, 0) / context + left / context * guess, guess)
+    logs = np.bincount(doc, np.log(chance)[pair_at], len(out))
+    has = unit.lengths > 0
+    out[has] = np.exp(-logs[has] / unit.lengths[has])
+    return out
+
+
+def score(
+    docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_col="lang", unit_words: int = UNIT_WORDS
+) -> DataFrame:
+    """(doc_id, lang, n_words, perplexity, doc_key) of every document.
+
+    The rows are read twice and must come in the same order, as those of a table do; if not, this fails.
+    """
+    bits, width = model.bits, model.width
     named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE))
     texts = docs.select(
         _key(id_col, text_col, lang_col).alias("doc_key"),
@@ -256,67 +446,39 @@ def score(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", lang_
         F.col(id_col).cast("long").alias("doc_id"),
     )
 
-    def distinct(batch: pa.RecordBatch, words: Words):
-        """For each text: its key, its words, its distinct words and pairs, how often, and which are not near."""
-        near, _ = sent.value
-        for key, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            found = words(lang, text or "")
-            if len(found) > 2:
-                grams = np.concatenate([found, pair_key(found[:-1], found[1:])]).view(np.int64)
-                grams, n = np.unique(grams, return_counts=True)
-                at = np.searchsorted(near[:-1], grams)
-                yield key, len(found) - 1, grams, n, at, near[at] != grams
-            else:
-                yield key, 0, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-
-    def summed(batches: Batches) -> Batches:
-        words, (_, weights) = Words(), sent.value
-        for batch in batches:
-            sizes, parts = [], []
-            for _, size, _, n, at, far in distinct(batch, words):
-                sizes.append(size)
-                parts.append(float((n * np.where(far, 0.0, weights[at])).sum()))
-            arrays = [*batch.columns[3:], batch.column(1), batch.column(0), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(parts, pa.float64())], names=["doc_id", "lang", "doc_key", "n_words", "part"]
-            )
-
     def asked(batches: Batches) -> Batches:
-        words = Words()
-        for batch in batches:
-            for key, _, grams, n, _, far in distinct(batch, words):
-                wanted = grams[far]
-                columns = [pa.array(wanted), pa.array(np.full(len(wanted), key, np.int64))]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(n[far].astype(np.int32))], names=["key", "doc_key", "n"]
-                )
-
-    base = written(
-        texts.mapInArrow(summed, "doc_id long, lang string, doc_key long, n_words long, part double"), "near-sums"
-    )
-    requests = texts.drop("doc_id").mapInArrow(asked, "key long, doc_key long, n int")
-    gains = requests.join(model.far, "key")
-    gains = gains.groupBy("doc_key").agg(F.sum(F.col("n") * F.col("value")).alias("gain"))
-    # Rows that are one document were asked for each: the sum is theirs together.
-    rows = base.groupBy("doc_key").agg(F.count("*").alias("rows"))
-    shares = rows.join(gains, "doc_key").select("doc_key", (F.col("gain") / F.col("rows")).alias("far"))
-    log = F.col("part") + F.coalesce("far", F.lit(0.0)) + F.col("n_words") * F.col("log_unknown")
-    perplexity = F.when(F.col("n_words") > 0, F.exp(-log / F.col("n_words")))
-    scored = base.join(shares, "doc_key", "left").join(model.languages, "lang", "left")
-    return scored.select(
-        "doc_id",
-        F.nullif(F.col("lang"), F.lit(_NO_LANGUAGE)).alias("lang"),
-        F.greatest(F.col("n_words") - 1, F.lit(0)).alias("n_words"),
-        perplexity.alias("perplexity"),
-        "doc_key",
-    )
+        for unit in _units(batches, width, unit_words):
+            rows = [{"unit": unit.id, "kind": LANGUAGES, "lang": lang} for lang in unit.named()]
+            for kind, keys, of in ((PAIRS, unit.pairs, width), (WORDS, unit.words, 64)):
+                keys = np.unique(keys)
+                for shard, begin, end in _cuts(keys, bits, of):
+                    rows.append({"unit": unit.id, "kind": kind, "shard": shard, "keys": packed_keys(keys[begin:end])})
+            yield from _rows(rows, _ASKED).to_batches()
+
+    requests = texts.mapInArrow(asked, _ASKED)
+    requests = requests.withColumn("shard", F.coalesce("shard", _shard_of_language(F.col("lang"), bits)))
+    told = requests.groupBy("kind", "shard").cogroup(model.blocks.groupBy("kind", "shard")).applyInArrow(_told, _TOLD)
+    folder = scratch_folder(docs.sparkSession, "perplexity-answers")
+    told.repartition("unit").write.partitionBy("unit").parquet(folder)
+
+    def finished(batches: Batches) -> Batches:
+        for unit in _units(batches, width, unit_words):
+            found = _perplexities(unit, _answers(folder, unit.id))
+            langs = [None if x == _NO_LANGUAGE else x for x in unit.langs]
+            columns = [pa.array(unit.ids, pa.int64()), pa.array(langs, pa.string())]
+            columns += [pa.array(np.maximum(unit.lengths - 1, 0)), pa.array(found, mask=np.isnan(found))]
+            columns.append(pa.array(unit.doc_keys, pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_words", "perplexity", "doc_key"])
+
+    return texts.mapInArrow(finished, _SCORED)
 
 
 def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     ids = written(trusted_ids(labels), "trusted")
     named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
     texts = docs.select(named, F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    model = train(texts.join(ids.where("NOT calibrates"), "doc_id").select("lang", "text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    model = train(texts.join(ids.where("NOT calibrates"), "doc_id").select("lang", "text"), shards_for(size))
     scored = written(score(docs, model, id_col, text_col, lang_col), "perplexities")
     bounds = scored.where("perplexity IS NOT NULL").join(ids, "doc_id").groupBy("lang").agg(
         F.percentile_approx("perplexity", LOW, 100_000).alias("least"),

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from landfall.llm import divergence, kneser_ney, licenses, toxicity
@@ -153,16 +154,15 @@ class BruteModel:
         return math.exp(-sum(math.log(self.p(a, b)) for a, b in pairs) / len(pairs)) if pairs else None
 
 
-@pytest.mark.parametrize("hot", [1, 40, 1 << 20])
-def test_perplexities_equal_brute_force(spark, edge, edge_rows, hot):
-    """However many values travel to the tasks, and however few are left to the joins."""
+@pytest.mark.parametrize("bits, unit", [(None, 3_000_000), (0, 1), (5, 400)])
+def test_perplexities_equal_brute_force(spark, edge, edge_rows, bits, unit):
+    """However many shards there are, and however few documents ask together."""
     rows = [(r[0], r[1], r[2] or "\0") for r in edge_rows]
     trained = [r for r in rows if r[0] % 2]
     models = {g: BruteModel([t for _, t, lang in trained if lang == g]) for g in {r[2] for r in trained if r[1]}}
     texts = spark.createDataFrame([(g, t) for _, t, g in trained], "lang string, text string")
-    model = kneser_ney.train(texts, hot, hot)
-    assert model.near.count() <= hot
-    got = kneser_ney.score(edge, model).collect()
+    model = kneser_ney.train(texts, bits)
+    got = kneser_ney.score(edge, model, unit_words=unit).collect()
     known = {(d, g): models[g].perplexity(t) if g in models else None for d, t, g in rows}
     assert len(got) == len(rows)
     for r in got:
@@ -176,6 +176,14 @@ def test_probabilities_sum_to_one():
         assert sum(model.p(before, w) for w in [*model.p1, "unseen"]) == pytest.approx(1.0)
 
 
+def test_packed_numbers():
+    for numbers in ([], [0], [2**64 - 1, 0, 5], list(range(0, 10**6, 7))):
+        array = np.array(numbers, np.uint64)
+        assert kneser_ney.unpacked(kneser_ney.packed(array)).tolist() == numbers
+        assert kneser_ney.unpacked_keys(kneser_ney.packed_keys(np.sort(array))).tolist() == sorted(numbers)
+    assert [kneser_ney.shards_for(n) for n in (0, 1, 16 << 20, (16 << 20) + 1, 80 << 20)] == [0, 0, 0, 1, 3]
+
+
 def test_words_of_any_script():
     found = kneser_ney._WORDS.findall("naïve_x2 | 中文字 かな don't")
     assert found == ["naïve", "_", "x2", "|", "中", "文", "字", "か", "な", "don", "'", "t"]
