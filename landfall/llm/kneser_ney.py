@@ -136,6 +136,12 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Ascending; faster than numpy's own where most keys are distinct."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
+
+
 def _cuts(keys: np.ndarray, bits: int, width: int = 64) -> list[tuple[int, int, int]]:
     """(shard, begin, end) of ascending keys of ``width`` bits: a shard is a range of keys."""
     if not len(keys):
@@ -450,7 +456,7 @@ def score(
         for unit in _units(batches, width, unit_words):
             rows = [{"unit": unit.id, "kind": LANGUAGES, "lang": lang} for lang in unit.named()]
             for kind, keys, of in ((PAIRS, unit.pairs, width), (WORDS, unit.words, 64)):
-                keys = np.unique(keys)
+                keys = _distinct(keys)
                 for shard, begin, end in _cuts(keys, bits, of):
                     rows.append({"unit": unit.id, "kind": kind, "shard": shard, "keys": packed_keys(keys[begin:end])})
             yield from _rows(rows, _ASKED).to_batches()
