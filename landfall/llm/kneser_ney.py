@@ -52,7 +52,9 @@ LOW, HIGH = 0.001, 0.995
 #: Room beyond the quantiles, as a factor of the perplexity: SLACK * (1 + FEW / sqrt(documents that calibrate)).
 SLACK, FEW = 1.25, 2.0
 #: Bytes of text to a shard, and words to a unit.
-SHARD_BYTES, UNIT_WORDS = 16 << 20, 3_000_000
+SHARD_BYTES, UNIT_WORDS = 16 << 20, 5_000_000
+#: Trusted ids, of 8 bytes, that travel to the tasks; more are joined by a shuffle.
+MOST_SENT = 4_000_000
 #: Bits of a pair's key beyond the binary digits of the bytes of trusted text.
 MATCH_BITS = 26
 #: Words a task holds before it passes its counts on, and hashes of words a worker remembers.
@@ -484,7 +486,10 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang
     named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
     texts = docs.select(named, F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    model = train(texts.join(ids.where("NOT calibrates"), "doc_id").select("lang", "text"), shards_for(size))
+    chosen = ids.where("NOT calibrates").select("doc_id")
+    if chosen.count() <= MOST_SENT:  # or else the planner's join, which deals out the texts
+        chosen = F.broadcast(chosen)
+    model = train(texts.join(chosen, "doc_id").select("lang", "text"), shards_for(size))
     scored = written(score(docs, model, id_col, text_col, lang_col), "perplexities")
     bounds = scored.where("perplexity IS NOT NULL").join(ids, "doc_id").groupBy("lang").agg(
         F.percentile_approx("perplexity", LOW, 100_000).alias("least"),

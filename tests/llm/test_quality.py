@@ -176,6 +176,13 @@ def test_probabilities_sum_to_one():
         assert sum(model.p(before, w) for w in [*model.p1, "unseen"]) == pytest.approx(1.0)
 
 
+def test_trusted_ids_too_many_to_send(tables, monkeypatch):
+    docs, labels = tables
+    sent = kneser_ney.judge(docs, labels).orderBy("doc_id").collect()
+    monkeypatch.setattr(kneser_ney, "MOST_SENT", 0)
+    assert kneser_ney.judge(docs, labels).orderBy("doc_id").collect() == sent
+
+
 def test_packed_numbers():
     for numbers in ([], [0], [2**64 - 1, 0, 5], list(range(0, 10**6, 7))):
         array = np.array(numbers, np.uint64)
