@@ -52,13 +52,13 @@ LOW, HIGH = 0.001, 0.995
 #: Room beyond the quantiles, as a factor of the perplexity: SLACK * (1 + FEW / sqrt(documents that calibrate)).
 SLACK, FEW = 1.25, 2.0
 #: Bytes of text to a shard, and words to a unit.
-SHARD_BYTES, UNIT_WORDS = 16 << 20, 5_000_000
+SHARD_BYTES, UNIT_WORDS = 16 << 20, 2_000_000
 #: Trusted ids, of 8 bytes, that travel to the tasks; more are joined by a shuffle.
 MOST_SENT = 4_000_000
 #: Bits of a pair's key beyond the binary digits of the bytes of trusted text.
 MATCH_BITS = 26
 #: Words a task holds before it passes its counts on, and hashes of words a worker remembers.
-_COUNTED, _REMEMBERED, _LONGEST = 3_000_000, 300_000, 64
+_COUNTED, _REMEMBERED, _LONGEST = 2_000_000, 300_000, 64
 #: Kinds of blocks.
 PAIRS, WORDS, LANGUAGES, WORD_PARTS = range(4)
 #: Counts of a word: as a context, in all and by pairs that occur once, twice, more often; as an end of pairs.
