@@ -85,8 +85,13 @@ _SMALLEST_SHARE = 16_000_000
 
 
 def file_count(batch_bytes: int, target_file_bytes: int, cores: int) -> int:
-    """Files, and so writers, of a batch: by target size, or one per core for a small batch."""
+    """Files, and so writers, of a batch: by target size, or one per core for a small batch.
+
+    A few more files than cores become a whole number for each core, lest most cores wait for the last ones.
+    """
     wanted = ceil(batch_bytes / target_file_bytes)
+    if cores < wanted < 4 * cores:
+        wanted = cores * ceil(wanted / cores)
     shares = ceil(batch_bytes / min(_SMALLEST_SHARE, target_file_bytes))
     return max(1, wanted, min(cores, shares))
 

@@ -14,6 +14,8 @@ LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 EARLIEST, LATEST = "earliest", "latest"
 _PLACE = "_place"
 _FILE_FORMATS = {"text", "parquet", "orc", "json", "csv"}
+# Splits for each core from which a source is left as it is.
+_SPLITS_PER_CORE = 4
 
 
 def stream_lines(
@@ -82,21 +84,25 @@ def delay_trigger(max_delay_seconds: float = 1.0) -> dict[str, str]:
 
 
 def spread(rows: DataFrame, stable_order: bool = False) -> DataFrame:
-    """Deal the rows of a source with fewer splits than cores out over all of them.
+    """Deal the rows of a source with few splits out over all cores.
 
     Parsing is the costly step, and a batch that arrives in one file would run on one
-    core. A large source has more splits than there are cores and is left as it is,
-    without a shuffle; give the source before any shuffle of its own, since counting its
-    splits would run that.
+    core. Spark cuts a file into a split for each core, whether or not it can be cut: a row group
+    is read whole by one of them, and the others find nothing. So a split for each core says little,
+    and such a source is dealt out as well, into several shares for each core. Only a source
+    with that many splits is left as it is, without a shuffle; give the source before any
+    shuffle of its own, since counting its splits would run that.
 
     Rows are dealt in turn, so equal rows spread as well as others. Spark sorts them first,
     lest a retried task deal them differently; ``stable_order`` says that a re-read gives
     the same rows in the same order, as a bare file scan does, and spares the sort.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
+    splits = rows.rdd.getNumPartitions()
+    if splits >= _SPLITS_PER_CORE * cores:
         return rows
+    shares = cores if splits < cores else _SPLITS_PER_CORE * cores
     if not stable_order:
-        return rows.repartition(cores)
+        return rows.repartition(shares)
     placed = rows.withColumn(_PLACE, F.monotonically_increasing_id())
-    return placed.repartition(cores, _PLACE).drop(_PLACE)
+    return placed.repartition(shares, _PLACE).drop(_PLACE)

@@ -18,6 +18,7 @@ from landfall.sources import lines as sources
 from landfall.sources.failed import failed_json, send_failed
 from landfall.sources.landing import (
     batch_folder,
+    file_count,
     landing_schema,
     load_date,
     read_landing,
@@ -298,3 +299,22 @@ def test_an_index_leaves_files_out_of_a_clustered_table_only(spark, tmp_path):
     assert read["plain"] == 12 and read["clustered"] <= 3
     none, files = read_between(index, rows.schema, "place", F.lit(2000), F.lit(3000))
     assert (none.count(), files) == (0, 0)
+
+
+def test_spread_deals_out_a_file_that_cannot_be_cut(spark, tmp_path):
+    """One row group, planned as a split for each core: one of them would get every row."""
+    path = str(tmp_path / "one-row-group")
+    spark.range(20_000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS text").coalesce(1).write.parquet(path)
+    (file,) = (tmp_path / "one-row-group").glob("*.parquet")
+    cuts = {"spark.sql.files.maxPartitionBytes": str(file.stat().st_size // 10), "spark.sql.files.openCostInBytes": "1"}
+    with session_conf(spark, cuts):
+        rows = spark.read.parquet(path)
+        assert rows.rdd.getNumPartitions() >= 8
+        for stable in (False, True):
+            per_task = sources.spread(rows, stable_order=stable).groupBy(F.spark_partition_id()).count().collect()
+            assert sum(r["count"] for r in per_task) == 20_000 and max(r["count"] for r in per_task) < 5_000
+
+
+def test_a_few_more_files_than_cores_are_whole_rounds_of_tasks():
+    target = 128 * 1024 * 1024
+    assert [file_count(n * target, target, 8) for n in (8, 9, 17, 31, 33)] == [8, 16, 24, 32, 33]
