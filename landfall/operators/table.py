@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 LOAD_TSTAMP = "load_tstamp"
 CLUSTER_BY = (LOAD_TSTAMP, "event_name")
+# Rows of a split take several times its bytes once they are sorted.
+_RANGES_PER_SPLIT = 4
 STATS_COLUMNS = (
     LOAD_TSTAMP,
     "collector_tstamp",
@@ -33,10 +35,17 @@ def cluster(
     All rows of a load share one load time and one event name may fill a third of them,
     so the range also runs over a hash of ``spread``: a hot key is cut into several
     files instead of filling one task.
+
+    Without ``partitions`` there are as many as the session shuffles into, but more for a large input, so that
+    a task never sorts more than a part of a split. Give rows without a shuffle of their own then, since
+    counting the splits would run it.
     """
     ranges = [*[F.col(c) for c in by], F.xxhash64(spread)]
     if partitions is None:
-        return events.repartitionByRange(*ranges).sortWithinPartitions(*by)
+        wanted = _RANGES_PER_SPLIT * events.rdd.getNumPartitions()
+        if wanted <= int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            return events.repartitionByRange(*ranges).sortWithinPartitions(*by)
+        partitions = wanted
     return events.repartitionByRange(partitions, *ranges).sortWithinPartitions(*by)
 
 

@@ -318,3 +318,11 @@ def test_spread_deals_out_a_file_that_cannot_be_cut(spark, tmp_path):
 def test_a_few_more_files_than_cores_are_whole_rounds_of_tasks():
     target = 128 * 1024 * 1024
     assert [file_count(n * target, target, 8) for n in (8, 9, 17, 31, 33)] == [8, 16, 24, 32, 33]
+
+
+def test_clustering_cuts_a_large_input_into_more_ranges(spark):
+    """Sorted rows of a task stay bounded: ranges grow with the splits, not only with the session's setting."""
+    small, large = (spark.range(0, 40_000, 1, n).selectExpr("id AS event_id", "'e' AS event_name") for n in (1, 12))
+    assert cluster(small, ("event_name",)).rdd.getNumPartitions() <= 8
+    ranges = cluster(large, ("event_name",)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) == 48 and sum(r["count"] for r in ranges) == 40_000
