@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from landfall.layout import Layout
 from landfall.operators.parse import parse_lines
+from landfall.operators.registry import REGISTRY_SCHEMA
 from landfall.sources.lines import spread
+from landfall.sources.scratch import scratch_folder
 
 VENDOR = "acme.test"
 
@@ -181,3 +183,10 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = types.select(F.inline(F.array(*rows)))
     shared = types.agg(F.count("*")).select(F.inline(F.array(*contexts)))
     return own.union(shared)
+
+
+def kept_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as a small table: a load looks it up in every batch, which would scan all events each time."""
+    path = scratch_folder(spark, "registry")
+    registry(spark, sf_dir).coalesce(1).write.parquet(path)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)

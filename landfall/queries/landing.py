@@ -116,7 +116,7 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, one of them delivered twice; the second delivery changes nothing."""
     options = load_options(spark, "manifest")
-    loader = Loader(options, inputs.registry(spark, sf_dir))
+    loader = Loader(options, inputs.kept_registry(spark, sf_dir))
     source = inputs.events(spark, sf_dir)
     for batch_id in (0, 1, 0):
         loader.process(inputs.lines_of(source.where(F.col("event_id") % 2 == batch_id)), batch_id)

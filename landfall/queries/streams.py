@@ -51,7 +51,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: each loads only what came since; the last finds nothing."""
     options = load_options(spark, "resume")
     base = scratch_folder(spark, "resume-source")
-    registry = inputs.registry(spark, sf_dir)
+    registry = inputs.kept_registry(spark, sf_dir)
     source = inputs.events(spark, sf_dir)
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
     arrivals = [source.where(early), source.where(~early), None]
@@ -90,7 +90,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         base,
         LINE_SCHEMA,
     )
-    loader = Loader(options, inputs.registry(spark, sf_dir))
+    loader = Loader(options, inputs.kept_registry(spark, sf_dir))
     loader.run(lines, f"{base}-checkpoint").awaitTermination()
     return flat_events(read_landing(spark, options.landing))
 
@@ -128,7 +128,7 @@ def late_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def committed_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a lost try left behind is neither overwritten by its retry nor seen by readers."""
     options = load_options(spark, "attempts")
-    loader = Loader(options, inputs.registry(spark, sf_dir))
+    loader = Loader(options, inputs.kept_registry(spark, sf_dir))
     lost = Manifest(spark, options.manifest, loader.name).start(0)
     folder = batch_folder(options.landing, lost.load_tstamp, f"{loader.name}-0", lost.number)
     write_batch(inputs.events(spark, sf_dir).select("event_id"), folder)
@@ -146,7 +146,7 @@ def table_of_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = load_options(spark, "follow")
     base = scratch_folder(spark, "follow-source")
     source = inputs.events(spark, sf_dir)
-    loader = Loader(options, inputs.registry(spark, sf_dir))
+    loader = Loader(options, inputs.kept_registry(spark, sf_dir))
     newer = F.col("event_id") % 2 == 1
     for i, part in enumerate((source.where(~newer), source.where(newer))):
         inputs.lines_of(part).select("value").write.parquet(f"{base}/arrival={i}")
@@ -171,7 +171,7 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch came in; the broken try is classed by its chain of causes.
     """
     options = load_options(spark, "measured", source_time="written")
-    registry = inputs.registry(spark, sf_dir)
+    registry = inputs.kept_registry(spark, sf_dir)
     lines = inputs.raw_lines(spark, sf_dir)
     with suppress(MissingSchemas):
         Loader(options, registry.where("name <> 'session'")).process(lines, 0)

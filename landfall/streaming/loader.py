@@ -176,7 +176,8 @@ class SchemaTexts:
         return {s.schema_key: self._known[s.schema_key] for s in seen}
 
     def _read(self, models: list) -> dict:
-        wanted = self.registry.sparkSession.createDataFrame(models, "vendor string, name string, model int")
+        keys = [F.struct(F.lit(v).alias("vendor"), F.lit(n).alias("name"), F.lit(m).alias("model")) for v, n, m in models]
+        wanted = self.registry.sparkSession.range(1).coalesce(1).select(F.inline(F.array(*keys)))
         texts: dict = {model: {} for model in models}
         for row in registered_versions(self.registry, wanted).collect():
             model = texts[row["vendor"], row["name"], row["model"]]

@@ -326,3 +326,13 @@ def test_clustering_cuts_a_large_input_into_more_ranges(spark):
     assert cluster(small, ("event_name",)).rdd.getNumPartitions() <= 8
     ranges = cluster(large, ("event_name",)).groupBy(F.spark_partition_id()).count().collect()
     assert len(ranges) == 48 and sum(r["count"] for r in ranges) == 40_000
+
+
+def test_kept_registry_is_the_registry(spark, tmp_path):
+    from landfall.queries import inputs
+
+    sf = str(tmp_path)
+    spark.createDataFrame([("error",), ("click",), ("error",)], "event_type string").write.parquet(f"{sf}/events.parquet")
+    kept = inputs.kept_registry(spark, sf)
+    assert "events.parquet" not in kept._jdf.queryExecution().toString()
+    assert sorted(kept.collect()) == sorted(inputs.registry(spark, sf).collect())
