@@ -50,13 +50,23 @@ def cluster(
 
 
 def file_stats(table: DataFrame, columns: tuple[str, ...] = STATS_COLUMNS) -> DataFrame:
-    """Rows, minimum and maximum of the named columns in each file of a table."""
+    """Rows, minimum and maximum of the named columns in each file of a table.
+
+    Spark sorts all rows by file for the least text of each, but hashes if texts are only grouped by. So
+    the distinct texts of a file come first, with the statistics of the other columns.
+    """
     present = [c for c in columns if c in table.columns]
+    texts = [c for c in present if isinstance(table.schema[c].dataType, (T.StringType, T.BinaryType))]
     rows = table.select(F.col("_metadata.file_path").alias("file_path"), *present)
-    stats = [F.count("*").alias("rows")]
+    first = [F.count("*").alias("rows")]
+    for c in present:
+        if c not in texts:
+            first += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    stats = [F.sum("rows").alias("rows")]
     for c in present:
-        stats += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return rows.groupBy("file_path").agg(*stats)
+        low, high = (c, c) if c in texts else (f"min_{c}", f"max_{c}")
+        stats += [F.min(low).alias(f"min_{c}"), F.max(high).alias(f"max_{c}")]
+    return rows.groupBy("file_path", *texts).agg(*first).groupBy("file_path").agg(*stats)
 
 
 def files_between(index: DataFrame, column: str, low: Column, high: Column) -> DataFrame:

@@ -336,3 +336,15 @@ def test_kept_registry_is_the_registry(spark, tmp_path):
     kept = inputs.kept_registry(spark, sf)
     assert "events.parquet" not in kept._jdf.queryExecution().toString()
     assert sorted(kept.collect()) == sorted(inputs.registry(spark, sf).collect())
+
+
+def test_file_stats_do_not_sort_the_rows_of_a_file(spark, tmp_path):
+    """Rows are hashed by file and text; only the distinct texts are sorted."""
+    name = "CASE WHEN id % 7 > 0 THEN concat('e', id % 3) END AS event_name"
+    spark.range(1_000).selectExpr(name, "timestamp_seconds(id) AS load_tstamp").coalesce(1).write.parquet(str(tmp_path / "t"))
+    stats = file_stats(spark.read.parquet(str(tmp_path / "t")))
+    row = stats.select("rows", "min_event_name", "max_event_name", F.unix_seconds("max_load_tstamp").alias("max")).first()
+    assert tuple(row) == (1_000, "e0", "e2", 999)
+    lines = stats._jdf.queryExecution().executedPlan().toString().splitlines()
+    last = [line for line in lines if "Aggregate(" in line or "Sort [" in line][-1]
+    assert "+- HashAggregate" in last or " HashAggregate(" in last
