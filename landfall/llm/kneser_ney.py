@@ -6,6 +6,10 @@ trusted text. Words are lower-cased runs of letters and digits; each symbol, and
 script written without spaces, is a word of its own. A language's words are numbered apart from
 another's by 64-bit hashes.
 
+Up to 2 ** COMMON_BITS frequent words have small numbers instead, the most frequent the smallest. They are found in a
+bounded part of the trusted text, which decides how short a pair is written and nothing else: a pair of two such words is
+exactly its two numbers, any other pair is known by a hash.
+
 Counts are summed in shards, which are ranges of 64-bit keys: a task counts its pairs and sends each shard
 one packed block, a shard of pairs adds up what tasks counted and says how often each of its words is a context,
 how often with one, two or more occurrences, and how many words it follows; shards of words add that up.
@@ -14,8 +18,8 @@ Discounts are by language, from the counts of counts.
 Scoring is a join with these shards: a task takes about ``unit_words`` words of consecutive documents as a unit,
 asks each shard once for the unit's distinct keys there, and gets the counts back in the same order, in a file of
 the unit's own in the shared folder. It then reads its documents again and works out each pair's probability. So a key is
-asked for once in a unit however frequent it is, no key is hot, and blocks of sorted keys take few bytes. A pair is known by
-as many bits as make a false match less likely than 2 ** -28 a look-up.
+asked for once in a unit however frequent it is, no key is hot, and blocks of sorted keys take few bytes. A hashed pair is
+known by as many bits as make a false match less likely than 2 ** -28 a look-up.
 
 A document's perplexity is compared with quantiles of its language: the upper one of the documents that
 calibrate, the lower one of all trusted documents, as those the model has seen are the most predictable. The room
@@ -55,8 +59,10 @@ SLACK, FEW = 1.25, 2.0
 SHARD_BYTES, UNIT_WORDS = 16 << 20, 2_000_000
 #: Trusted ids, of 8 bytes, that travel to the tasks; more are joined by a shuffle.
 MOST_SENT = 4_000_000
-#: Bits of a pair's key beyond the binary digits of the bytes of trusted text.
+#: Bits of a pair's hash beyond the binary digits of the bytes of trusted text.
 MATCH_BITS = 26
+#: Words with small numbers, as a power of two, and bytes of trusted text in which they are looked for.
+COMMON_BITS, COMMON_BYTES = 16, 16 << 20
 #: Words a task holds before it passes its counts on, and hashes of words a worker remembers.
 _COUNTED, _REMEMBERED, _LONGEST = 2_000_000, 300_000, 64
 #: Kinds of blocks.
@@ -73,9 +79,13 @@ _START, _END = "", " "
 
 
 class Words:
-    """Texts of a worker to numbers of their words: the start, each word, the end."""
+    """Texts of a worker to numbers of their words: the start, each word, the end.
+
+    A word of ``common`` has its place there as a number, any other one its hash, which is larger.
+    """
 
-    def __init__(self):
+    def __init__(self, common: np.ndarray):
+        self.numbers = {h: i for i, h in enumerate(common.tolist())}
         self.known: dict[str, dict[str, int]] = {}
         self.size = 0
 
@@ -89,19 +99,45 @@ class Words:
             for i, n in enumerate(found):
                 if n is None:
                     word = words[i]
-                    found[i] = n = known.get(word) or xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed)
-                    if len(word) <= _LONGEST and word not in known:
-                        known[word] = n
-                        self.size += 1
+                    n = known.get(word)
+                    if n is None:
+                        n = max(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed), 1 << COMMON_BITS)
+                        n = self.numbers.get(n, n)
+                        if len(word) <= _LONGEST:
+                            known[word] = n
+                            self.size += 1
+                    found[i] = n
         return np.array(found, np.uint64)
 
 
-def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """64-bit key of a pair of words; the order counts."""
-    mixed = (first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second
-    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return mixed ^ (mixed >> np.uint64(31))
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    numbers = (numbers ^ (numbers >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    numbers = (numbers ^ (numbers >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return numbers ^ (numbers >> np.uint64(31))
+
+
+def _keys(common: np.ndarray, code: np.ndarray, hashed: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """Keys of ``width`` bits: ``bits`` for the shard, one that says which kind follows, and a code or a hash.
+
+    The last bits of a code and a hash of the others are its shard, the others are what follows: codes that lie close
+    are dealt to all shards and lie close in each.
+    """
+    rest = code >> np.uint64(bits)
+    shard = (code + _mixed(rest)) & np.uint64((1 << bits) - 1)
+    coded = (shard << np.uint64(width - bits) if bits else np.uint64(0)) | rest
+    return np.where(common, coded, (hashed >> np.uint64(64 - width)) | np.uint64(1 << (width - bits - 1)))
+
+
+def word_key(words: np.ndarray, bits: int) -> np.ndarray:
+    """64-bit keys of words."""
+    return _keys(words < np.uint64(1 << COMMON_BITS), words, words, bits, 64)
+
+
+def pair_key(first: np.ndarray, second: np.ndarray, bits: int, width: int = 64) -> np.ndarray:
+    """Keys of pairs of words; the order counts."""
+    common = np.maximum(first, second) < np.uint64(1 << COMMON_BITS)
+    hashed = _mixed((first ^ (first >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + second)
+    return _keys(common, first << np.uint64(COMMON_BITS) | second, hashed, bits, width)
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -130,7 +166,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys by their differences."""
+    """Keys by their differences, which are small where keys ascend."""
     return packed(np.diff(keys, prepend=np.uint64(0)))
 
 
@@ -162,20 +198,38 @@ def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[begin], sums
 
 
-def _pair_parts(texts: DataFrame, bits: int) -> DataFrame:
+def _common_words(texts: DataFrame, size: int) -> np.ndarray:
+    """Hashes of the words that are most frequent in about ``COMMON_BYTES`` of the texts, the most frequent first."""
+
+    def run(batches: Batches) -> Batches:
+        words = Words(np.empty(0, np.uint64))
+        for batch in batches:
+            found = [words(*row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) if row[1]]
+            if found:
+                hashes, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    part = texts.select("lang", "text").sample(min(1.0, COMMON_BYTES / max(size, 1)), seed=0)
+    counts = part.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    most = counts.orderBy(F.desc("n"), "word").limit(1 << COMMON_BITS).select("word").toArrow()
+    return most["word"].to_numpy().view(np.uint64)
+
+
+def _pair_parts(texts: DataFrame, bits: int, common: np.ndarray) -> DataFrame:
     """(lang, shard, a, b, n): what each task counted of the pairs of a shard."""
 
     def run(batches: Batches) -> Batches:
-        words, pending, held = Words(), {}, 0
+        words, pending, held = Words(common), {}, 0
 
         def flushed():
             for lang, parts in pending.items():
                 a, b = (np.concatenate([p[side] for p in parts]) for side in (slice(None, -1), slice(1, None)))
-                keys, first, n = np.unique(pair_key(a, b), return_index=True, return_counts=True)
+                keys, first, n = np.unique(pair_key(a, b, bits), return_index=True, return_counts=True)
                 rows = []
                 for shard, begin, end in _cuts(keys, bits):
                     at = first[begin:end]
-                    order = np.argsort(a[at])  # pairs of a first word lie side by side
+                    # pairs of a first word lie side by side, first those whose second word has a small number
+                    order = np.lexsort((a[at], b[at] >> np.uint64(COMMON_BITS) > 0))
                     at = at[order]
                     rows.append((shard, packed_keys(a[at]), packed(b[at]), packed(n[begin:end][order])))
                 columns = list(zip(*rows, strict=True))
@@ -217,20 +271,20 @@ def _rows(rows: list[dict], like: str) -> pa.Table:
     return pa.table({name: pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in fields})
 
 
-def _counted(texts: DataFrame, bits: int, width: int) -> DataFrame:
+def _counted(texts: DataFrame, bits: int, width: int, common: np.ndarray) -> DataFrame:
     """Blocks of the pairs, complete, and of what each shard of pairs says of its words."""
 
     def merged(key: tuple, parts: pa.Table) -> pa.Table:
         lang, shard = (k.as_py() for k in key)
         a = np.concatenate([unpacked_keys(x) for x in parts["a"].to_pylist()])
         b, n = (np.concatenate([unpacked(x) for x in parts[c].to_pylist()]) for c in ("b", "n"))
-        keys = pair_key(a, b)
+        keys = pair_key(a, b, bits)
         # equal keys are equal pairs
         first = np.unique(keys, return_index=True)[1]
-        keys, (n,) = _added(keys, n.astype(np.int64)[None])
+        n = _added(keys, n.astype(np.int64)[None])[1][0]
         a, b = a[first], b[first]
-        rows = [_block(PAIRS, shard, lang, keys >> np.uint64(64 - width), n, n)]
-        words, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        rows = [_block(PAIRS, shard, lang, pair_key(a, b, bits, width), n, n)]
+        words, at = np.unique(word_key(np.concatenate([a, b]), bits), return_inverse=True)
         before, after = at[: len(a)], at[len(a) :]
         size = len(words)
         values = [np.bincount(before, n, size)]
@@ -240,7 +294,7 @@ def _counted(texts: DataFrame, bits: int, width: int) -> DataFrame:
             rows.append(_block(WORD_PARTS, part, lang, words[begin:end], values[:, begin:end], np.zeros(0, np.int64)))
         return _rows(rows, _BLOCK)
 
-    return written(_pair_parts(texts, bits).groupBy("lang", "shard").applyInArrow(merged, _BLOCK), "pair-counts")
+    return written(_pair_parts(texts, bits, common).groupBy("lang", "shard").applyInArrow(merged, _BLOCK), "pair-counts")
 
 
 def _word_blocks(counted: DataFrame) -> DataFrame:
@@ -288,6 +342,8 @@ class Model:
     #: Shards are so many leading bits of a key, pairs are known by so many.
     bits: int
     width: int
+    #: Hashes of the words that have small numbers.
+    common: np.ndarray
 
 
 def _shard_of_language(lang: Column, bits: int) -> Column:
@@ -298,8 +354,10 @@ def train(texts: DataFrame, bits: int | None = None) -> Model:
     """The model of (lang, text); null languages are named before. ``bits`` fits texts to be scored."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shards_for(size) if bits is None else bits
-    width = min(64, max(bits, size.bit_length()) + MATCH_BITS)
-    counted = _counted(texts, bits, width)
+    # one more says whether a pair is hashed
+    width = min(64, max(max(bits, size.bit_length()) + MATCH_BITS, 2 * COMMON_BITS) + 1)
+    common = _common_words(texts, size)
+    counted = _counted(texts, bits, width, common)
     pairs, words = counted.where(F.col("kind") == PAIRS), _word_blocks(counted)
     none = F.lit(None)
     stats = none.cast("array<double>").alias("stats")
@@ -312,7 +370,7 @@ def train(texts: DataFrame, bits: int | None = None) -> Model:
         "stats",
     )
     blocks = pairs.unionByName(words).select("kind", "shard", "lang", "keys", "values", stats)
-    return Model(blocks.unionByName(written(languages, "languages")), bits, width)
+    return Model(blocks.unionByName(written(languages, "languages")), bits, width, common)
 
 
 def _key(id_col: str, text_col: str, lang_col: str) -> Column:
@@ -321,36 +379,36 @@ def _key(id_col: str, text_col: str, lang_col: str) -> Column:
 
 
 class Unit:
-    """Consecutive documents of a task: their words and pairs, each asked for once."""
+    """Consecutive documents of a task: the keys of their words and pairs, each asked for once."""
 
-    def __init__(self, rows: list[tuple], width: int):
+    def __init__(self, rows: list[tuple], bits: int, width: int):
         self.doc_keys, self.langs, self.ids, found = (list(c) for c in zip(*rows, strict=True))
         self.id = int(np.uint64(xxhash.xxh64_intdigest(np.array(self.doc_keys, np.int64).tobytes())).astype(np.int64))
         self.lengths = np.array([len(f) - 1 if len(f) > 2 else 0 for f in found])
-        self.words = np.concatenate([np.empty(0, np.uint64), *[f for f in found if len(f) > 2]])
+        words = np.concatenate([np.empty(0, np.uint64), *[f for f in found if len(f) > 2]])
         ends = np.cumsum(self.lengths[self.lengths > 0] + 1)
-        inside = np.ones(max(len(self.words) - 1, 0), bool)
+        inside = np.ones(max(len(words) - 1, 0), bool)
         inside[ends[:-1] - 1] = False  # from the end of a text to the start of the next
         self.first = np.flatnonzero(inside)
-        keys = pair_key(self.words[self.first], self.words[self.first + 1])
-        self.pairs = keys >> np.uint64(64 - width)
+        self.pairs = pair_key(words[self.first], words[self.first + 1], bits, width)
+        self.words = word_key(words, bits)
 
     def named(self) -> list[str]:
         return sorted({lang for lang, n in zip(self.langs, self.lengths, strict=True) if n})
 
 
-def _units(batches: Batches, width: int, most: int) -> Iterator[Unit]:
-    words, rows, held = Words(), [], 0
+def _units(batches: Batches, common: np.ndarray, bits: int, width: int, most: int) -> Iterator[Unit]:
+    words, rows, held = Words(common), [], 0
     for batch in batches:
         for key, lang, text, doc_id in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             found = words(lang, text or "")
             rows.append((key, lang, doc_id, found))
             held += len(found)
             if held >= most:
-                yield Unit(rows, width)
+                yield Unit(rows, bits, width)
                 rows, held = [], 0
     if rows:
-        yield Unit(rows, width)
+        yield Unit(rows, bits, width)
 
 
 _ASKED = "unit long, kind int, shard int, keys binary, lang string"
@@ -445,7 +503,7 @@ def score(
 
     The rows are read twice and must come in the same order, as those of a table do; if not, this fails.
     """
-    bits, width = model.bits, model.width
+    bits, width, common = model.bits, model.width, model.common
     named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE))
     texts = docs.select(
         _key(id_col, text_col, lang_col).alias("doc_key"),
@@ -455,7 +513,7 @@ def score(
     )
 
     def asked(batches: Batches) -> Batches:
-        for unit in _units(batches, width, unit_words):
+        for unit in _units(batches, common, bits, width, unit_words):
             rows = [{"unit": unit.id, "kind": LANGUAGES, "lang": lang} for lang in unit.named()]
             for kind, keys, of in ((PAIRS, unit.pairs, width), (WORDS, unit.words, 64)):
                 keys = _distinct(keys)
@@ -470,7 +528,7 @@ def score(
     told.repartition("unit").write.partitionBy("unit").parquet(folder)
 
     def finished(batches: Batches) -> Batches:
-        for unit in _units(batches, width, unit_words):
+        for unit in _units(batches, common, bits, width, unit_words):
             found = _perplexities(unit, _answers(folder, unit.id))
             langs = [None if x == _NO_LANGUAGE else x for x in unit.langs]
             columns = [pa.array(unit.ids, pa.int64()), pa.array(langs, pa.string())]

@@ -191,6 +191,30 @@ def test_packed_numbers():
     assert [kneser_ney.shards_for(n) for n in (0, 1, 16 << 20, (16 << 20) + 1, 80 << 20)] == [0, 0, 0, 1, 3]
 
 
+def test_keys_of_common_pairs_are_exact_and_dealt_out():
+    a, b = (x.reshape(-1).astype(np.uint64) for x in np.meshgrid(np.arange(300), np.arange(300)))
+    for bits, width in ((0, 33), (1, 40), (6, 55), (12, 64), (20, 64)):
+        keys = kneser_ney.pair_key(a, b, bits, width)
+        assert len(np.unique(keys)) == len(a) and int(keys.max()) < 1 << width
+        shards = np.bincount((keys >> np.uint64(width - bits) if bits else keys * np.uint64(0)).astype(np.int64), minlength=1 << bits)
+        assert bits > 6 or shards.max() < 1.2 * len(a) / (1 << bits)
+        hashed = kneser_ney.pair_key(a + np.uint64(1 << 16), b, bits, width)
+        assert not np.isin(hashed, keys).any()
+
+
+def test_requests_take_few_bytes(tables):
+    docs, _ = tables
+    texts = docs.selectExpr("coalesce(lang, '') AS lang", "text")
+    common = kneser_ney._common_words(texts, 1)
+    assert len(common) == len(set(common.tolist())) <= 1 << kneser_ney.COMMON_BITS
+    for coded, least, most in ((common, 0.5, 3.0), (common[:0], 4.0, 6.0)):
+        words = kneser_ney.Words(coded)
+        unit = kneser_ney.Unit([(0, r["lang"], 0, words(r["lang"], r["text"] or "")) for r in texts.collect()], 2, 56)
+        keys = np.unique(unit.pairs)
+        size = sum(len(kneser_ney.packed_keys(keys[i:j])) for _, i, j in kneser_ney._cuts(keys, 2, 56))
+        assert least < size / len(keys) < most
+
+
 def test_words_of_any_script():
     found = kneser_ney._WORDS.findall("naïve_x2 | 中文字 かな don't")
     assert found == ["naïve", "_", "x2", "|", "中", "文", "字", "か", "な", "don", "'", "t"]
