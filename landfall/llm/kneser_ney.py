@@ -47,7 +47,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.shared import Batches, filesystem, written
+from landfall.llm.shared import Batches, filesystem, released_shuffles, written
 from landfall.sources.scratch import scratch_folder
 
 #: Every so many of the trusted documents (by a hash of the id) calibrate.
@@ -539,8 +539,7 @@ def score(
     return texts.mapInArrow(finished, _SCORED)
 
 
-def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    ids = written(trusted_ids(labels), "trusted")
+def _scored(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     named = F.coalesce(F.col(lang_col).cast("string"), F.lit(_NO_LANGUAGE)).alias("lang")
     texts = docs.select(named, F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -548,7 +547,13 @@ def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang
     if chosen.count() <= MOST_SENT:  # or else the planner's join, which deals out the texts
         chosen = F.broadcast(chosen)
     model = train(texts.join(chosen, "doc_id").select("lang", "text"), shards_for(size))
-    scored = written(score(docs, model, id_col, text_col, lang_col), "perplexities")
+    return written(score(docs, model, id_col, text_col, lang_col), "perplexities")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    ids = written(trusted_ids(labels), "trusted")
+    with released_shuffles(docs.sparkSession):
+        scored = _scored(docs, ids, id_col, text_col, lang_col)
     bounds = scored.where("perplexity IS NOT NULL").join(ids, "doc_id").groupBy("lang").agg(
         F.percentile_approx("perplexity", LOW, 100_000).alias("least"),
         F.percentile_approx(F.when(F.col("calibrates"), F.col("perplexity")), HIGH, 100_000).alias("most"),
